@@ -11,14 +11,30 @@ from telemetra.operators import stats as ST
 from telemetra.plans import catalog as cat
 from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_HEALTH, LINEITEM_SENSORS
 from telemetra.plans.registry import register
-from telemetra.plans.sqlgen import (RISK, health_sql, lineitem_clean_ctes, r,
+from telemetra.plans.sqlgen import (RISK, health_sql, lineitem_clean_ctes, r, sround,
                                     zscore_cte)
 
 S = LINEITEM_SENSORS
 
 
+def rnd(c, d=4):
+    """Output rounding shared with the SQL side: nearest multiple of 2**-14.
+
+    Both engines evaluate floor(x * 16384 + 0.5) / 16384 with identical
+    double arithmetic.  A binary quantum never meets an exact half for
+    decimal fixed-point data (means of 2-decimal values), whereas decimal
+    rounding does, and then ulp-level differences in summation order would
+    flip the last digit.  ``d`` is kept for call-site readability.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * F.lit(QUANTUM) + 0.5).cast("double") / F.lit(QUANTUM)
+
+
+QUANTUM = 16384.0
+
+
 def _round_all(df, cols, d=4):
-    return df.withColumns({c: F.round(c, d) for c in cols})
+    return df.withColumns({c: rnd(c, d) for c in cols})
 
 
 # ---------------------------------------------------------------------------
@@ -59,9 +75,8 @@ kpi AS (
 h AS (
   SELECT *, {health_sql('pe_ / 100', 'qa_ / 5', '100 - 300 * da_', 'as_')} FROM kpi),
 hs AS (
-  SELECT *, round(temp_health * 0.25 + vibration_health * 0.25 + efficiency_health * 0.25
-                  + stability_health * 0.25, 1) AS health_score FROM h)
-SELECT * EXCLUDE (pe_, qa_, da_, as_), round(as_, 4) AS avg_anomaly_score,
+  SELECT *, {sround('temp_health * 0.25 + vibration_health * 0.25 + efficiency_health * 0.25 + stability_health * 0.25', 1)} AS health_score FROM h)
+SELECT * EXCLUDE (pe_, qa_, da_, as_), (floor(as_ * 16384.0 + 0.5) / 16384.0) AS avg_anomaly_score,
        {RISK.format(x='health_score')} AS risk_level
 FROM hs"""
 
@@ -120,14 +135,14 @@ def q_validate_rows(spark, sf_dir):
 
 
 @register("physics_cross", "C6 S1", """SELECT l_orderkey, l_linenumber,
-  round(l_extendedprice / l_quantity, 4) AS pressure_ratio,
-  round(l_tax * 3600 * 45 / (l_discount + 0.01), 4) AS heat_rate,
-  round(least(greatest(l_discount / (l_tax * 45 + 0.01) * 100 / 0.38, 50.0), 110.0), 4) AS efficiency_pct,
-  round(l_extendedprice - l_quantity, 4) AS temp_differential,
-  round(l_tax / (l_discount + 0.001), 4) AS specific_fuel_consumption,
-  round(l_quantity / (l_extendedprice / 1000 + 0.001), 4) AS vibration_speed_ratio,
-  round(CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice / (l_quantity * (l_quantity / l_tax + 0.001)) END, 4) AS compression_efficiency,
-  round(l_extendedprice / (l_discount + 0.001), 4) AS temp_load_ratio
+  (floor((l_extendedprice / l_quantity) * 16384.0 + 0.5) / 16384.0) AS pressure_ratio,
+  (floor((l_tax * 3600 * 45 / (l_discount + 0.01)) * 16384.0 + 0.5) / 16384.0) AS heat_rate,
+  (floor((least(greatest(l_discount / (l_tax * 45 + 0.01) * 100 / 0.38, 50.0), 110.0)) * 16384.0 + 0.5) / 16384.0) AS efficiency_pct,
+  (floor((l_extendedprice - l_quantity) * 16384.0 + 0.5) / 16384.0) AS temp_differential,
+  (floor((l_tax / (l_discount + 0.001)) * 16384.0 + 0.5) / 16384.0) AS specific_fuel_consumption,
+  (floor((l_quantity / (l_extendedprice / 1000 + 0.001)) * 16384.0 + 0.5) / 16384.0) AS vibration_speed_ratio,
+  (floor((CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice / (l_quantity * (l_quantity / l_tax + 0.001)) END) * 16384.0 + 0.5) / 16384.0) AS compression_efficiency,
+  (floor((l_extendedprice / (l_discount + 0.001)) * 16384.0 + 0.5) / 16384.0) AS temp_load_ratio
 FROM lineitem""")
 def q_physics_cross(spark, sf_dir):
     li = cat.table(spark, sf_dir, "lineitem")
@@ -155,8 +170,8 @@ def _rolling_sql():
     for w in (12, 144):
         for s in S:
             frame = f"(PARTITION BY l_suppkey ORDER BY {_li_order()} ROWS BETWEEN {w} PRECEDING AND CURRENT ROW)"
-            cols += [f"round(avg({s}) OVER {frame}, 3) AS {s}_rolling_mean_{w}",
-                     f"round(stddev_samp({s}) OVER {frame}, 3) AS {s}_rolling_std_{w}",
+            cols += [f"floor(avg({s}) OVER {frame} * 16384.0 + 0.5) / 16384.0 AS {s}_rolling_mean_{w}",
+                     f"floor(stddev_samp({s}) OVER {frame} * 16384.0 + 0.5) / 16384.0 AS {s}_rolling_std_{w}",
                      f"min({s}) OVER {frame} AS {s}_rolling_min_{w}",
                      f"max({s}) OVER {frame} AS {s}_rolling_max_{w}"]
     return (f"SELECT l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_partkey, "
@@ -168,13 +183,13 @@ def q_rolling_features(spark, sf_dir):
     x = FT.rolling_stats(cat.lineitem_readings(spark, sf_dir), LINEITEM, windows=(12, 144))
     cols = [f"{s}_rolling_{st}_{w}" for w in (12, 144) for s in S
             for st in ("mean", "std", "min", "max")]
-    x = x.withColumns({c: F.round(c, 3) for c in cols if "_mean_" in c or "_std_" in c})
+    x = x.withColumns({c: rnd(c, 3) for c in cols if "_mean_" in c or "_std_" in c})
     return x.select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", *cols)
 
 
 @register("rate_of_change", "W2 W3", """SELECT event_id, user_id,
-  round(value - lag(value) OVER w, 4) AS value_rate_of_change,
-  round((value - lag(value) OVER w) - (lag(value) OVER w - lag(value, 2) OVER w), 4) AS value_acceleration
+  (floor((value - lag(value) OVER w) * 16384.0 + 0.5) / 16384.0) AS value_rate_of_change,
+  (floor(((value - lag(value) OVER w) - (lag(value) OVER w - lag(value, 2) OVER w)) * 16384.0 + 0.5) / 16384.0) AS value_acceleration
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""")
 def q_rate_of_change(spark, sf_dir):
     x = FT.rate_of_change(cat.events_readings(spark, sf_dir), EVENTS.with_(block_rows=16))
@@ -183,18 +198,18 @@ def q_rate_of_change(spark, sf_dir):
 
 
 @register("zscore_flags", "W4", f"""WITH {zscore_cte('events', 'z', 'user_id', 'ts, event_id', ['value'], lookback=12, sigma=1.5, min_sensors=1)}
-SELECT event_id, user_id, round(value_zscore, 4) AS value_zscore, value_anomaly,
+SELECT event_id, user_id, (floor(value_zscore * 16384.0 + 0.5) / 16384.0) AS value_zscore, value_anomaly,
        anomaly_score, is_anomaly FROM z""")
 def q_zscore_flags(spark, sf_dir):
     x = FT.zscore_flags(cat.events_readings(spark, sf_dir), EVENTS.with_(block_rows=32),
                         lookback=12, sigma=1.5, min_sensors=1)
-    return x.select("event_id", "user_id", F.round("value_zscore", 4).alias("value_zscore"),
+    return x.select("event_id", "user_id", rnd("value_zscore", 4).alias("value_zscore"),
                     "value_anomaly", "anomaly_score", "is_anomaly")
 
 
 @register("latest_status", "W5", f"""WITH k AS (
   SELECT user_id, date_trunc('hour', ts) AS hour_bucket, count(*) AS reading_count,
-         round(avg(value), 4) AS value_avg
+         (floor(avg(value) * 16384.0 + 0.5) / 16384.0) AS value_avg
   FROM events GROUP BY 1, 2)
 SELECT user_id, hour_bucket, reading_count, value_avg FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY hour_bucket DESC) AS rn FROM k)
@@ -203,14 +218,14 @@ def q_latest_status(spark, sf_dir):
     ev = cat.events_readings(spark, sf_dir)
     k = K.hourly_kpis(ev, EVENTS, grain="hour", derived={})
     k = k.select("user_id", "hour_bucket", F.col("reading_count").cast("long"),
-                 F.round("value_avg", 4).alias("value_avg"))
+                 rnd("value_avg", 4).alias("value_avg"))
     return K.latest_per_asset(k, "user_id", "hour_bucket")
 
 
 @register("alert_history", "IO2 A2", """SELECT o_custkey AS turbine_id,
   date_trunc('hour', o_orderdate) AS hour_bucket, o_orderpriority AS alarm_code,
   o_orderstatus AS severity, count(*) AS occurrence_count,
-  round(avg(o_totalprice), 4) AS avg_sensor_value,
+  (floor(avg(o_totalprice) * 16384.0 + 0.5) / 16384.0) AS avg_sensor_value,
   arg_min('order ' || CAST(o_orderkey AS VARCHAR), o_orderkey) AS description,
   arg_min(round(o_totalprice / 1000, 0), o_orderkey) AS threshold
 FROM orders GROUP BY 1, 2, 3, 4""")
@@ -219,7 +234,7 @@ def q_alert_history(spark, sf_dir):
     out = K.alert_history(alarms, tiebreak=("o_orderkey",))
     return out.select("turbine_id", "hour_bucket", "alarm_code", "severity",
                       F.col("occurrence_count").cast("long"),
-                      F.round("avg_sensor_value", 4).alias("avg_sensor_value"),
+                      rnd("avg_sensor_value", 4).alias("avg_sensor_value"),
                       "description", "threshold")
 
 

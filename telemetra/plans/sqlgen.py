@@ -15,7 +15,13 @@ LI_COLS = ("l_suppkey, l_shipdate, l_quantity, l_extendedprice, l_discount, l_ta
 
 
 def r(expr: str, d: int = 4) -> str:
-    return f"round({expr}, {d})"
+    """Output rounding matching ``queries_core.rnd`` bit for bit."""
+    return f"(floor(({expr}) * 16384.0 + 0.5) / 16384.0)"
+
+
+def sround(expr: str, d: int) -> str:
+    """Spark's ``round`` (HALF_UP on the shortest decimal form of the double)."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 18)), {d}) AS DOUBLE)"
 
 
 def lineitem_clean_ctes() -> str:
@@ -64,13 +70,14 @@ def zscore_cte(source: str, name: str, asset: str, order: str, sensors, lookback
 
 
 def health_sql(temp: str, vib: str, eff: str, anom: str) -> str:
-    t = (f"round(CASE WHEN {temp} < 520 THEN 100.0 WHEN {temp} < 560 THEN 100 - ({temp} - 520) * 1.25 "
-         f"WHEN {temp} < 590 THEN 50 - ({temp} - 560) * 1.0 ELSE 10.0 END, 1)")
-    v = (f"round(CASE WHEN {vib} < 2.5 THEN 100.0 WHEN {vib} < 4.0 THEN 100 - ({vib} - 2.5) * 20 "
-         f"WHEN {vib} < 7.0 THEN 70 - ({vib} - 4.0) * 15 ELSE 10.0 END, 1)")
-    e = (f"round(CASE WHEN {eff} > 95 THEN 100.0 WHEN {eff} > 85 THEN 100 - (95 - {eff}) * 5 "
-         f"WHEN {eff} > 70 THEN 50 - (85 - {eff}) * 2 ELSE 10.0 END, 1)")
-    s0 = f"round(CAST(100 - {anom} * 15 AS DOUBLE), 1)"
+    temp, vib, eff, anom = (f"({x})" for x in (temp, vib, eff, anom))
+    t = sround(f"CASE WHEN {temp} < 520 THEN 100.0 WHEN {temp} < 560 THEN 100 - ({temp} - 520) * 1.25 "
+               f"WHEN {temp} < 590 THEN 50 - ({temp} - 560) * 1.0 ELSE 10.0 END", 1)
+    v = sround(f"CASE WHEN {vib} < 2.5 THEN 100.0 WHEN {vib} < 4.0 THEN 100 - ({vib} - 2.5) * 20 "
+               f"WHEN {vib} < 7.0 THEN 70 - ({vib} - 4.0) * 15 ELSE 10.0 END", 1)
+    e = sround(f"CASE WHEN {eff} > 95 THEN 100.0 WHEN {eff} > 85 THEN 100 - (95 - {eff}) * 5 "
+               f"WHEN {eff} > 70 THEN 50 - (85 - {eff}) * 2 ELSE 10.0 END", 1)
+    s0 = sround(f"CAST(100 - {anom} * 15 AS DOUBLE)", 1)
     s = f"CASE WHEN {s0} < 0 THEN 0.0 ELSE {s0} END"
     return f"{t} AS temp_health, {v} AS vibration_health, {e} AS efficiency_health, {s} AS stability_health"
 
