@@ -68,12 +68,13 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
                              .alias("p")).select(*g, "p", pos.alias("_pos"))
     ranks = ranks.select(*g, "p", "_pos", F.explode(F.array_distinct(F.array(
         F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))).alias("_k"))
-    # bucket holding each rank
-    cond = [ranks[c] == offs[c] for c in g] + [
-        offs["_bstart"] <= ranks["_k"], ranks["_k"] < offs["_bstart"] + offs["_bc"]]
-    hit = ranks.join(offs, on=cond, how="inner").select(
-        *[ranks[c] for c in g], ranks["p"], ranks["_pos"], ranks["_k"], offs["_b"],
-        offs["_bstart"])
+    # bucket holding each rank (offsets renamed: both sides derive from vcb)
+    offs2 = offs.select(*[F.col(c).alias(f"_o_{c}") for c in g], F.col("_b").alias("_ob"),
+                        F.col("_bstart").alias("_obs"), F.col("_bc").alias("_obc"))
+    cond = [F.col(c) == F.col(f"_o_{c}") for c in g] + [
+        F.col("_obs") <= F.col("_k"), F.col("_k") < F.col("_obs") + F.col("_obc")]
+    hit = ranks.join(offs2, on=cond, how="inner").select(
+        *g, "p", "_pos", "_k", F.col("_ob").alias("_b"), F.col("_obs").alias("_bstart"))
     need = hit.select(*g, "_b", "_bstart").distinct()
     inside = vcb.join(need, on=[*g, "_b"], how="inner")
     wb = Window.partitionBy(*g, "_b").orderBy(value_col)
