@@ -95,7 +95,8 @@ def match_rules(long_df: DataFrame, rules: DataFrame) -> DataFrame:
     return long_df.join(checked_broadcast(enabled), on="sensor_name", how="inner")
 
 
-def evaluate_rules(long_df: DataFrame, rules: DataFrame, asset: str, ts: str) -> DataFrame:
+def evaluate_rules(long_df: DataFrame, rules: DataFrame, asset: str, ts: str,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """Violations with severity, the crossed threshold and a
     deterministic alert id (sha2 of asset, rule, time)."""
     m = match_rules(long_df, rules)
@@ -105,7 +106,7 @@ def evaluate_rules(long_df: DataFrame, rules: DataFrame, asset: str, ts: str) ->
         F.col("warning_threshold"))
     aid = F.sha2(F.concat_ws("|", F.col(asset).cast("string"), F.col("rule_id"),
                              F.col(ts).cast("string")), 256)
-    return m.select(aid.alias("alert_id"), "rule_id", F.col(asset), "sensor_name", "severity",
+    return m.select(aid.alias("alert_id"), "rule_id", F.col(asset), *keep, "sensor_name", "severity",
                     "value", thr.alias("threshold"), F.col("description").alias("message"),
                     F.col(ts), "cooldown_minutes", F.lit(False).alias("acknowledged"))
 

@@ -197,7 +197,7 @@ def correlation_label(r: Column) -> Column:
 
 
 def sensor_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]],
-                       group_cols: Sequence[str] = (), decimals: int = 4) -> DataFrame:
+                       group_cols: Sequence[str] = (), decimals: int | None = 4) -> DataFrame:
     """Pearson r for many column pairs in one aggregation pass.
 
     Output rows: group..., sensor_a, sensor_b, pearson_r (0 when undefined,
@@ -215,9 +215,10 @@ def sensor_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]],
                      F.col(f"_n{i}").alias("data_points"))
             for i, (a, b) in enumerate(pairs)]
     long_df = wide.select(*g, F.explode(F.array(*rows)).alias("_x")).select(*g, "_x.*")
+    rr = F.col("r") if decimals is None else F.round("r", decimals)
     return long_df.select(
         *g, "sensor_a", "sensor_b",
-        F.coalesce(F.round("r", decimals), F.lit(0.0)).alias("pearson_r"),
+        F.coalesce(rr, F.lit(0.0)).alias("pearson_r"),
         correlation_label(F.col("r")).alias("interpretation"),
         F.col("data_points").cast("long").alias("data_points"))
 

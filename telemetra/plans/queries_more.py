@@ -101,7 +101,7 @@ CORR_PAIRS = [("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"),
               ("l_quantity", "l_discount"), ("l_extendedprice", "l_tax")]
 
 
-def _corr_sql():
+def _corr_sql(raw: bool = False):
     parts = []
     for a, b in CORR_PAIRS:
         rr = f"corr({a}, {b})"
@@ -109,7 +109,7 @@ def _corr_sql():
                f"WHEN {rr} > 0.3 THEN 'moderate positive' WHEN {rr} > -0.3 THEN 'weak/no' "
                f"WHEN {rr} > -0.7 THEN 'moderate negative' ELSE 'strong negative' END")
         parts.append(f"SELECT l_suppkey, '{a}' AS sensor_a, '{b}' AS sensor_b, "
-                     f"coalesce({r(rr)}, 0.0) AS pearson_r, {lab} AS interpretation, "
+                     f"coalesce({rr if raw else r(rr)}, 0.0) AS pearson_r, {lab} AS interpretation, "
                      f"count({a}) AS data_points FROM lineitem GROUP BY 1")
     return "\nUNION ALL\n".join(parts)
 
@@ -308,12 +308,14 @@ def _li_events(spark, sf_dir):
     long_df = AL.readings_long(li, "l_suppkey", "l_shipdate", S,
                                keep=["l_orderkey", "l_linenumber", "l_partkey"])
     rules = AL.rules_frame(spark, LI_RULES)
-    return AL.evaluate_rules(long_df, rules, "l_suppkey", "l_shipdate"), long_df
+    return AL.evaluate_rules(long_df, rules, "l_suppkey", "l_shipdate",
+                             keep=["l_orderkey", "l_linenumber", "l_partkey"]), long_df
 
 
 def _rules_sql():
     vals = ", ".join(
-        f"('{r[0]}', '{r[1]}', '{r[2]}', {r[3]}, {r[4]}, {str(r[7] if len(r) > 7 else True).lower()})"
+        f"('{r[0]}', '{r[1]}', '{r[2]}', CAST({r[3]} AS DOUBLE), CAST({r[4]} AS DOUBLE), "
+        f"{str(r[7] if len(r) > 7 else True).lower()})"
         for r in LI_RULES)
     return f"""rules(rule_id, sensor_name, rule_type, w, c, enabled) AS (VALUES {vals}),
 u AS (SELECT l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_partkey, sensor AS sensor_name, value
@@ -328,7 +330,7 @@ m AS (
            CASE WHEN abs(value) >= c THEN 'CRITICAL' WHEN abs(value) >= w THEN 'HIGH' END
     END AS severity
   FROM u JOIN rules USING (sensor_name) WHERE enabled),
-ev AS (SELECT *, CASE WHEN severity = 'CRITICAL' THEN c ELSE w END AS threshold
+ev AS (SELECT *, CAST(CASE WHEN severity = 'CRITICAL' THEN c ELSE w END AS DOUBLE) AS threshold
        FROM m WHERE severity IS NOT NULL)"""
 
 
@@ -379,7 +381,7 @@ def _derive_sql():
   ('T1', 'l_tax', '>', 0.07, 'Tax high', 'WARNING')),
 u AS (SELECT l_suppkey, l_shipdate, sensor AS sensor_name, value FROM """ + LI_UNPIVOT + """)
 SELECT l_shipdate AS timestamp, l_suppkey AS turbine_id, alarm_code, alarm_description, severity,
-       value AS sensor_value, threshold
+       value AS sensor_value, CAST(threshold AS DOUBLE) AS threshold
 FROM u JOIN d USING (sensor_name)
 WHERE (op = '>' AND value > threshold) OR (op = '<' AND value < threshold)"""
 
@@ -416,7 +418,7 @@ def _fault_alerts_sql():
 w AS (SELECT *, {expr_z} AS z, {expr_s} AS ws, {expr_v} AS wv, {expr_m} AS wm FROM t)
 SELECT l_shipdate AS timestamp, l_suppkey AS turbine_id, 'ALM-' || upper(substr(ws, 1, 6)) AS alarm_code,
   ws AS worst_sensor, round(z, 4) AS z, CASE WHEN z > 3 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
-  round(wv, 2) AS sensor_value, round(wm, 2) AS threshold
+  round(wv, 2) AS sensor_value, CAST(round(wm, 2) AS DOUBLE) AS threshold
 FROM w"""
 
 
@@ -459,7 +461,8 @@ def _rul_frame(spark, sf_dir):
     return TR.degradation_index(li, params, roles=RUL_ROLES)
 
 
-def _rul_sql():
+def _rul_sql(keys=("l_suppkey",), having=""):
+    kc = ", ".join(keys)
     b = """b AS (SELECT sensor, avg(value) AS m, stddev_samp(value) AS sd FROM """ + LI_UNPIVOT + \
         """ WHERE l_returnflag <> 'R' GROUP BY 1)"""
     def dev(col, rev=False):
@@ -471,18 +474,18 @@ def _rul_sql():
            f"{dev('l_discount', True)} * 0.25) / 1.0")
     order = LI_ORDER
     return f"""WITH {b},
-d AS (SELECT l_suppkey, {deg} AS y,
-        row_number() OVER (PARTITION BY l_suppkey ORDER BY {order}) AS rn,
-        count(*) OVER (PARTITION BY l_suppkey) AS cnt FROM lineitem),
+d AS (SELECT {kc}, {deg} AS y,
+        row_number() OVER (PARTITION BY {kc} ORDER BY {order}) AS rn,
+        count(*) OVER (PARTITION BY {kc}) AS cnt FROM lineitem),
 rec AS (SELECT *, CAST(rn - greatest(cnt - 336, 0) - 1 AS DOUBLE) AS x FROM d WHERE rn > cnt - 336),
-a AS (SELECT l_suppkey, count(*) AS n, regr_count(y, x) AS k, regr_slope(y, x) AS slope,
-        regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, arg_max(y, rn) AS cur FROM rec GROUP BY 1),
+a AS (SELECT {kc}, count(*) AS n, regr_count(y, x) AS k, regr_slope(y, x) AS slope,
+        regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, arg_max(y, rn) AS cur FROM rec GROUP BY {kc} {having}),
 f AS (SELECT *,
   CASE WHEN n < 2 OR k < 2 THEN NULL WHEN slope > 1e-12 THEN
          CASE WHEN 0.7 - cur > 0 THEN (0.7 - cur) / slope / 48 ELSE 0.0 END ELSE 365.0 END AS rul,
   CASE WHEN n < 2 THEN 0.0 WHEN k < 2 THEN cur ELSE least(1.0, exp(cur * 3 - 2)) END AS p,
   CASE WHEN n >= 2 AND k >= 2 THEN 1 - (syy - slope * sxy) / (syy + 1e-10) END AS r2 FROM a)
-SELECT l_suppkey, {r('rul')} AS rul_days, {r('p')} AS failure_probability, {r('cur')} AS degradation_index,
+SELECT {kc}, {r('rul')} AS rul_days, {r('p')} AS failure_probability, {r('cur')} AS degradation_index,
   CASE WHEN r2 > 0.8 THEN 'HIGH' WHEN r2 > 0.5 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
   CASE WHEN rul IS NULL THEN NULL
        WHEN rul <= 3 OR p > 0.8 THEN 'IMMEDIATE: Schedule emergency maintenance within 24 hours'
