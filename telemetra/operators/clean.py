@@ -69,7 +69,7 @@ def null_out_of_range(df: DataFrame, limits: Mapping[str, tuple[float, float]])
 
 
 def fill_previous(df: DataFrame, profile: SensorProfile, sensors: Iterable[str] | None = None,
-                  mode: str = "one_step", strategy: str = "chunked",
+                  mode: str = "one_step", strategy: str = "auto",
                   keep_sequence: bool = False) -> DataFrame:
     """C4: fill nulls from earlier rows of the same asset.
 
@@ -116,22 +116,21 @@ def drop_incomplete(df: DataFrame, sensors: Iterable[str]) -> DataFrame:
 
 
 def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step",
-                   strategy: str = "chunked", keep_sequence: bool = False) -> DataFrame:
+                   strategy: str = "auto", keep_sequence: bool = False) -> DataFrame:
     """C2-C5 chain: dedup, out-of-range to null, fill, drop incomplete rows.
 
     With ``keep_sequence`` the result keeps ``_rn``/``_cnt`` renumbered over
     the surviving rows, so a following windowed stage need not number again.
     """
     sensors = list(profile.sensors)
+    strategy = seq.choose_strategy(df, profile, strategy)  # raw rows bound cleaned rows
     x = nan_to_null(df, sensors)
     x = dedup_readings(x, profile)
     x = null_out_of_range(x, profile.limits)
     x = fill_previous(x, profile, sensors, mode=mode, strategy=strategy, keep_sequence=True)
     x = drop_incomplete(x, sensors)
     if keep_sequence:
-        if strategy == "direct":
-            return seq.number_rows(x.drop(seq.RN, seq.CNT, seq.BLK), profile, strategy="direct")
-        return seq.renumber(x, profile)
+        return seq.renumber(x, profile, strategy=strategy)
     return x.drop(seq.RN, seq.CNT, seq.BLK)
 
 

@@ -21,7 +21,12 @@ from telemetra.profile import SensorProfile
 def _framed(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int,
             strategy: str, block_rows: int | None) -> DataFrame:
     if seq.RN not in df.columns:
+        strategy = seq.choose_strategy(df, profile, strategy)
         df = seq.number_rows(df, profile, strategy=strategy)
+    elif strategy == "auto":
+        # numbered upstream: blocks are exact for any numbering and cost no
+        # extra shuffle for assets smaller than a block
+        strategy = "chunked"
     return seq.blocked(df, profile, lookback, lookahead, strategy=strategy, block_rows=block_rows)
 
 
@@ -32,7 +37,7 @@ def _finish(df: DataFrame, keep_sequence: bool) -> DataFrame:
 
 def rolling_stats(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] | None = None,
                   windows: Sequence[int] = (12, 144), stats: Sequence[str] = (
-                      "mean", "std", "min", "max"), strategy: str = "chunked",
+                      "mean", "std", "min", "max"), strategy: str = "auto",
                   block_rows: int | None = None, keep_sequence: bool = False) -> DataFrame:
     """``<sensor>_rolling_<stat>_<w>`` over ``rowsBetween(-w, 0)``."""
     sensors = list(sensors or profile.sensors)
@@ -43,7 +48,7 @@ def rolling_stats(df: DataFrame, profile: SensorProfile, sensors: Sequence[str]
 
 
 def rate_of_change(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] | None = None,
-                   strategy: str = "chunked", block_rows: int | None = None,
+                   strategy: str = "auto", block_rows: int | None = None,
                    keep_sequence: bool = False) -> DataFrame:
     """X - lag(x) and its difference, x - 2 lag(x) + lag(x, 2)."""
     sensors = list(sensors or profile.sensors)
@@ -63,7 +68,7 @@ def _rate_cols(sensors: Iterable[str], w: Window) -> dict[str, Column]:
 
 def zscore_flags(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] | None = None,
                  lookback: int = 288, sigma: float = 3.0, min_sensors: int = 2,
-                 strategy: str = "chunked", block_rows: int | None = None,
+                 strategy: str = "auto", block_rows: int | None = None,
                  keep_sequence: bool = False) -> DataFrame:
     """Rolling z-score per sensor, flags, anomaly_score, is_anomaly.
 
@@ -104,7 +109,7 @@ def cross_sensor(df: DataFrame, **roles) -> DataFrame:
 
 def silver_features(clean: DataFrame, profile: SensorProfile, windows: Sequence[int] = (12, 144),
                     lookback: int = 288, sigma: float = 3.0, min_sensors: int = 2,
-                    cross_roles: dict | None = None, strategy: str = "chunked",
+                    cross_roles: dict | None = None, strategy: str = "auto",
                     block_rows: int | None = None) -> DataFrame:
     """Feature tier in one blocked pass: rolling (W1), rate/acceleration
     (W2/W3), cross-sensor (S1, when roles are given) and z-score flags (W4).
@@ -125,7 +130,7 @@ def silver_features(clean: DataFrame, profile: SensorProfile, windows: Sequence[
 
 
 def fault_episodes(df: DataFrame, profile: SensorProfile, fault_col: str = "fault",
-                   strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
+                   strategy: str = "auto", block_rows: int | None = None) -> DataFrame:
     """One row per 0->1 transition (previous state of the first row is 0).
 
     Returns (asset, episode, start_ts, start_rn); ``episode`` numbers the
@@ -143,7 +148,7 @@ def fault_episodes(df: DataFrame, profile: SensorProfile, fault_col: str = "faul
 
 def sequences(df: DataFrame, profile: SensorProfile, features: Sequence[str],
               targets: Sequence[str], seq_len: int = 48, horizon: int = 12,
-              strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
+              strategy: str = "auto", block_rows: int | None = None) -> DataFrame:
     """Sliding training sequences.
 
     Row i (1-based) ending an input window yields ``x`` = features of rows
@@ -168,7 +173,7 @@ def sequences(df: DataFrame, profile: SensorProfile, features: Sequence[str],
 
 
 def chronological_split(df: DataFrame, profile: SensorProfile, validation: float = 0.2,
-                        strategy: str = "chunked") -> DataFrame:
+                        strategy: str = "auto") -> DataFrame:
     """Mark the first (1 - validation) share of each asset's rows as train.
 
     Adds ``split`` = 'train' / 'validation'; the cut is floor(n * (1 - v)).

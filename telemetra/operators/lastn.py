@@ -16,7 +16,7 @@ from telemetra.profile import SensorProfile
 
 
 def last_n_rows(df: DataFrame, profile: SensorProfile, n: int, keep_position: bool = False,
-                strategy: str = "chunked") -> DataFrame:
+                strategy: str = "auto") -> DataFrame:
     """The newest ``n`` rows of every asset (row count, not time)."""
     numbered = df if seq.RN in df.columns else seq.number_rows(df, profile, strategy=strategy)
     out = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - n)

@@ -40,14 +40,30 @@ RN, CNT, BLK, HALO = "_rn", "_cnt", "_blk", "_halo"
 _CHUNK, _LRN, _OFF, _CC = "_chunk", "_lrn", "_off", "_cc"
 
 
+def choose_strategy(df: DataFrame, profile: SensorProfile, strategy: str = "auto") -> str:
+    """Resolve ``auto``: ``direct`` when the largest asset fits in one block.
+
+    One aggregation over the asset column (pruned scan, map-side combine)
+    returns a single number.  Small assets then use plain per-asset windows
+    (one shuffle); a hot asset larger than ``block_rows`` switches the whole
+    operator to chunked numbering and blocks, so no task ever holds more
+    than a block plus its halo.
+    """
+    if strategy != "auto":
+        return strategy
+    most = df.groupBy(profile.asset).count().agg(F.max("count")).first()[0] or 0
+    return "direct" if most <= profile.block_rows else "chunked"
+
+
 def _chunk_expr(profile: SensorProfile) -> Column:
     micros = F.unix_micros(F.col(profile.ts).cast("timestamp"))
     return F.floor(micros / F.lit(profile.chunk_seconds * 1_000_000)).cast("long")
 
 
-def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "chunked",
+def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "auto",
                 with_count: bool = True) -> DataFrame:
     """Add ``_rn`` (1-based position per asset in time order) and ``_cnt``."""
+    strategy = choose_strategy(df, profile, strategy)
     a = profile.asset
     order = profile.order_exprs()
     if strategy == "direct":
@@ -73,7 +89,7 @@ def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "chunked"
         _CHUNK, _LRN, _OFF)
 
 
-def renumber(df: DataFrame, profile: SensorProfile) -> DataFrame:
+def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -> DataFrame:
     """Recompute ``_rn``/``_cnt`` after rows were filtered out.
 
     Input must carry ``_rn`` and ``_blk`` (no halo rows).  The local position
@@ -81,6 +97,10 @@ def renumber(df: DataFrame, profile: SensorProfile) -> DataFrame:
     position; only a per-block count table is aggregated.
     """
     a = profile.asset
+    if strategy == "direct":
+        w = Window.partitionBy(a)
+        return df.drop(CNT).withColumn(RN, F.row_number().over(w.orderBy(RN)).cast("long")) \
+            .withColumn(CNT, F.count(F.lit(1)).over(w)).drop(BLK)
     local = df.withColumn(_LRN, F.row_number().over(
         Window.partitionBy(a, BLK).orderBy(RN)))
     counts = df.groupBy(a, BLK).agg(F.count(F.lit(1)).alias(_CC))
@@ -98,7 +118,13 @@ def renumber(df: DataFrame, profile: SensorProfile) -> DataFrame:
 
 def blocked(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int = 0,
             strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
-    """Deal numbered rows into blocks with halo copies (see module doc)."""
+    """Deal numbered rows into blocks with halo copies (see module doc).
+
+    ``direct`` (or ``auto``, which cannot see sizes of a numbered frame
+    cheaply) keeps one block per asset only when asked explicitly;
+    ``chunked`` blocks are correct for any numbering and, for assets smaller
+    than a block, add no rows and no shuffle beyond the asset partitioning.
+    """
     if strategy == "direct":
         return df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
     size = max(int(block_rows or profile.block_rows), lookback, lookahead, 1)
@@ -121,8 +147,9 @@ def ordered_window(profile: SensorProfile) -> Window:
 
 
 def sequence_frame(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int = 0,
-                   strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
-    """number_rows + blocked in one call."""
+                   strategy: str = "auto", block_rows: int | None = None) -> DataFrame:
+    """number_rows + blocked in one call (``auto`` resolved once here)."""
+    strategy = choose_strategy(df, profile, strategy)
     numbered = number_rows(df, profile, strategy=strategy)
     return blocked(numbered, profile, lookback, lookahead, strategy, block_rows)
 

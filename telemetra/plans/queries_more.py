@@ -575,8 +575,14 @@ DRIFT_SPLIT_LI = "1996-01-01"
 
 
 def _drift_sql():
-    ks_terms = " + ".join(
+    import math
+    big = " + ".join(
         f"{(-1) ** (k - 1)} * exp(-2.0 * {k * k} * lam * lam)" for k in range(1, DR.KS_TERMS + 1))
+    small = " + ".join(
+        f"exp(-{(2 * k - 1) ** 2} * {math.pi ** 2!r} / (8.0 * lam * lam))"
+        for k in range(1, DR.KS_TERMS + 1))
+    ks_expr = (f"CASE WHEN lam < 1.18 THEN 1.0 - {math.sqrt(2 * math.pi)!r} / lam * ({small}) "
+               f"ELSE 2 * ({big}) END")
     return f"""WITH u AS (SELECT sensor AS feature, value, l_shipdate < TIMESTAMP '{DRIFT_SPLIT_LI}' AS is_base
                 FROM {LI_UNPIVOT} WHERE value IS NOT NULL),
 n AS (SELECT feature, count(*) FILTER (WHERE is_base) AS nb, count(*) FILTER (WHERE NOT is_base) AS nc,
@@ -596,7 +602,7 @@ psi AS (SELECT bins.feature, sum(CASE WHEN bin IS NULL THEN 0.0 ELSE
         FROM bins JOIN n USING (feature) GROUP BY 1),
 r AS (SELECT feature, d, psi, nb, nc, bm, bsd, cm, sqrt(nb * nc / (nb + nc)) * d AS lam
       FROM ks JOIN psi USING (feature) JOIN n USING (feature) WHERE nc >= 10),
-p AS (SELECT *, CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(2 * ({ks_terms}), 0.0), 1.0) END AS pv FROM r),
+p AS (SELECT *, CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest({ks_expr}, 0.0), 1.0) END AS pv FROM r),
 q AS (SELECT *, pv < 0.05 OR psi > 0.2 AS drifted FROM p)
 SELECT feature, {r('d')} AS ks_statistic, {r('pv')} AS p_value, {r('psi')} AS psi,
   {r('abs(cm - bm) / (bsd + 1e-10)')} AS mean_shift_sigma, drifted AS is_drifted,
