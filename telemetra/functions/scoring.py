@@ -101,7 +101,8 @@ def baseline_anomaly(baselines: Mapping[str, tuple[float, float]]) -> Column:
     for z in zs[1:]:
         total = total + z
     avg = total / max(len(zs), 1)
-    return F.least(F.greatest(avg / 5.0, F.lit(0.0)), F.lit(1.0))
+    # greatest/least skip nulls; a missing reading must stay missing
+    return F.when(avg.isNotNull(), F.least(F.greatest(avg / 5.0, F.lit(0.0)), F.lit(1.0)))
 
 
 def anomaly_label(score) -> Column:

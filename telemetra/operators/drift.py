@@ -31,12 +31,12 @@ def kolmogorov_sf(lam: Column, terms: int = KS_TERMS) -> Column:
     small = None
     big = None
     for k in range(1, terms + 1):
-        a = F.exp(-((2 * k - 1) ** 2) * (math.pi ** 2) / (8.0 * lam * lam))
+        a = F.exp(F.try_divide(F.lit(-((2 * k - 1) ** 2) * (math.pi ** 2)), 8.0 * lam * lam))
         b = ((-1) ** (k - 1)) * F.exp(-2.0 * k * k * lam * lam)
         small = a if small is None else small + a
         big = b if big is None else big + b
     q = (F.when(lam <= 0, F.lit(1.0))
-         .when(lam < 1.18, 1.0 - math.sqrt(2 * math.pi) / lam * small)
+         .when(lam < 1.18, 1.0 - F.try_divide(F.lit(math.sqrt(2 * math.pi)), lam) * small)
          .otherwise(2.0 * big))
     return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
 
@@ -58,7 +58,8 @@ def ks_test(base_long: DataFrame, cur_long: DataFrame, feature: str = "feature",
     n = u.groupBy(feature).agg(F.sum("wb").alias("nb"), F.sum("wc").alias("nc"))
     gaps = rc.join(n, on=feature, how="inner").select(
         feature, "nb", "nc",
-        F.abs(F.col("cum_wb") / F.col("nb") - F.col("cum_wc") / F.col("nc")).alias("_gap"))
+        F.abs(F.try_divide(F.col("cum_wb"), F.col("nb"))
+              - F.try_divide(F.col("cum_wc"), F.col("nc"))).alias("_gap"))
     d = gaps.groupBy(feature).agg(F.max("_gap").alias("ks_statistic"), F.first("nb").alias("nb"),
                                   F.first("nc").alias("nc"))
     en = F.sqrt(F.col("nb") * F.col("nc") / (F.col("nb") + F.col("nc")))
@@ -77,14 +78,14 @@ def psi(base_long: DataFrame, cur_long: DataFrame, bins: int = 10, feature: str
     rng = u.groupBy(feature).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"),
                                  F.sum("wb").alias("nb"), F.sum("wc").alias("nc"))
     span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / span * bins),
+    bucket = F.when(span > 0, F.least(F.floor(F.try_divide(F.col(value) - F.col("_lo"), span) * bins),
                                       F.lit(bins - 1))).cast("int")
     hist = u.join(rng, on=feature, how="inner").withColumn("_bin", bucket) \
         .groupBy(feature, "_bin").agg(F.sum("wb").alias("cb"), F.sum("wc").alias("cc"),
                                       F.first("nb").alias("nb"), F.first("nc").alias("nc"))
     # bins with no rows on either side contribute floor-vs-floor = 0
-    pb = F.greatest(F.col("cb") / F.col("nb"), F.lit(floor))
-    pc = F.greatest(F.col("cc") / F.col("nc"), F.lit(floor))
+    pb = F.greatest(F.try_divide(F.col("cb"), F.col("nb")), F.lit(floor))
+    pc = F.greatest(F.try_divide(F.col("cc"), F.col("nc")), F.lit(floor))
     term = F.when(F.col("_bin").isNull(), F.lit(0.0)).otherwise((pc - pb) * F.log(pc / pb))
     return hist.groupBy(feature).agg(F.sum(term).alias("psi"))
 
@@ -100,7 +101,8 @@ def drift_report(base: DataFrame, cur: DataFrame, features: Sequence[str],
     cl = unpivot(cur, features, var="feature", val="value").filter(F.col("value").isNotNull())
     cur_n = cl.groupBy("feature").agg(F.count(F.lit(1)).alias("_cn"),
                                       F.avg("value").alias("current_mean"))
-    cl = cl.join(cur_n.filter(F.col("_cn") >= min_current).select("feature"), "feature", "left_semi")
+    cur_n = cur_n.filter(F.col("_cn") >= min_current)
+    cl = cl.join(cur_n.select("feature"), "feature", "left_semi")
     bstats = bl.groupBy("feature").agg(F.avg("value").alias("baseline_mean"),
                                        F.stddev_samp("value").alias("_bsd"))
     ks = ks_test(bl, cl)

@@ -164,93 +164,112 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
 
     ``specs``: (output_name, input_column, w, kind) with kind in
     ``mean std min max``.  ``frame`` must come from :func:`sequence_frame`
-    with ``lookback >= w``.  Results equal ``avg/stddev_samp/min/max`` over
-    the direct frame; a window variance below 1e-12 of the mean square is
-    taken as exactly zero (as a Welford update would give for constant data).
+    (or :func:`blocked`) with ``lookback >= w``.  Results equal
+    ``avg/stddev_samp/min/max`` over the direct frame; a window variance
+    below 1e-12 of the mean square (of values shifted by a block constant)
+    is taken as exactly zero, as a Welford update gives for constant data.
+
+    Plan shape per distinct w: one sort on (asset, block, segment, row)
+    shared by the prefix frames, segment totals, the block shift and the
+    lags; min/max add one descending pass for suffix extremes.
     """
     a = profile.asset
-    base = Window.partitionBy(a, BLK)
-    cols: dict[str, Column] = {}
-    helper: list[tuple[str, Column]] = []
     by_w: dict[int, list[tuple[str, str, str]]] = {}
     for name, src, w, kind in specs:
         by_w.setdefault(int(w), []).append((name, src, kind))
 
     out = frame
+    tmp: list[str] = []
     for w, items in sorted(by_w.items()):
         seg = f"_seg{w}"
         out = out.withColumn(seg, F.floor((F.col(RN) - 1) / (w + 1)).cast("long"))
-        asc = Window.partitionBy(a, BLK, seg).orderBy(F.col(RN).asc()).rowsBetween(
-            Window.unboundedPreceding, 0)
+        ordw = Window.partitionBy(a, BLK).orderBy(seg, RN)
+        segw = Window.partitionBy(a, BLK, seg).orderBy(RN)
+        run = segw.rowsBetween(Window.unboundedPreceding, 0)
+        whole = segw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         desc = Window.partitionBy(a, BLK, seg).orderBy(F.col(RN).desc()).rowsBetween(
             Window.unboundedPreceding, 0)
-        lag_w = Window.partitionBy(a, BLK).orderBy(RN)
         srcs = sorted({src for _, src, _ in items})
-        kinds_by_src: dict[str, set[str]] = {}
+        need: dict[str, set[str]] = {}
         for _, src, kind in items:
-            kinds_by_src.setdefault(src, set()).add("sum" if kind in ("mean", "std") else kind)
+            k = need.setdefault(src, set())
+            if kind in ("mean", "std"):
+                k.update({"n", "s"})
             if kind == "std":
-                kinds_by_src[src].add("sq")
-        # shift: block-local constant so sums of squares stay well conditioned
-        stage: list[Column] = []
-        for src in srcs:
-            shift = F.first(F.col(src), ignorenulls=True).over(
-                base.orderBy(RN).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-            stage.append(shift.alias(f"_c_{src}_{w}"))
-        out = out.select("*", *stage)
+                k.add("q")
+            if kind in ("min", "max"):
+                k.update({"n", kind})
+        # block-local shift keeps sums of squares well conditioned
+        shifts = {src: f"_c{w}_{src}" for src in srcs if need[src] & {"s", "q"}}
+        out = out.select("*", *[
+            F.first(F.col(src), ignorenulls=True).over(
+                ordw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(c)
+            for src, c in shifts.items()])
         parts: list[Column] = []
         for src in srcs:
-            x = F.col(src) - F.col(f"_c_{src}_{w}")
-            ks = kinds_by_src[src]
-            pieces = {"n": F.count(F.col(src))}
-            if "sum" in ks:
-                pieces["s"] = F.sum(x)
-            if "sq" in ks:
-                pieces["q"] = F.sum(x * x)
-            if "min" in ks:
-                pieces["lo"] = F.min(F.col(src))
-            if "max" in ks:
-                pieces["hi"] = F.max(F.col(src))
+            x = F.col(src)
+            xs = x - F.col(shifts[src]) if src in shifts else x
+            pieces = {"n": F.count(x)}
+            if "s" in need[src]:
+                pieces["s"] = F.sum(xs)
+            if "q" in need[src]:
+                pieces["q"] = F.sum(xs * xs)
             for key, agg in pieces.items():
-                parts.append(agg.over(asc).alias(f"_p{key}_{src}_{w}"))
-                parts.append(agg.over(desc).alias(f"_s{key}_{src}_{w}"))
+                parts.append(agg.over(run).alias(f"_p{w}{key}_{src}"))
+                parts.append(agg.over(whole).alias(f"_t{w}{key}_{src}"))
+            if "min" in need[src]:
+                parts.append(F.min(x).over(run).alias(f"_p{w}lo_{src}"))
+                parts.append(F.min(x).over(desc).alias(f"_x{w}lo_{src}"))
+            if "max" in need[src]:
+                parts.append(F.max(x).over(run).alias(f"_p{w}hi_{src}"))
+                parts.append(F.max(x).over(desc).alias(f"_x{w}hi_{src}"))
         out = out.select("*", *parts)
-        lagged: list[Column] = []
+        # suffix (this row to segment end) = total - prefix + own value
+        lagged: list[Column] = [F.lag(F.col(seg), w).over(ordw).alias(f"_ls{w}")]
         for src in srcs:
-            for key in ["n", "s", "q", "lo", "hi"]:
-                cname = f"_s{key}_{src}_{w}"
-                if cname in out.columns:
-                    lagged.append(F.lag(F.col(cname), w).over(lag_w).alias(f"_l{key}_{src}_{w}"))
-            lagged.append(F.lag(F.col(seg), w).over(lag_w).alias(f"_lseg_{src}_{w}"))
+            own = {"n": F.when(F.col(src).isNotNull(), 1).otherwise(0)}
+            if src in shifts:
+                xs = F.coalesce(F.col(src) - F.col(shifts[src]), F.lit(0.0))
+                own["s"], own["q"] = xs, xs * xs
+            for key in ("n", "s", "q"):
+                if f"_p{w}{key}_{src}" in out.columns:
+                    suffix = (F.coalesce(F.col(f"_t{w}{key}_{src}"), F.lit(0))
+                              - F.coalesce(F.col(f"_p{w}{key}_{src}"), F.lit(0)) + own[key])
+                    lagged.append(F.lag(suffix, w).over(ordw).alias(f"_l{w}{key}_{src}"))
+            for key in ("lo", "hi"):
+                if f"_x{w}{key}_{src}" in out.columns:
+                    lagged.append(F.lag(F.col(f"_x{w}{key}_{src}"), w).over(ordw)
+                                  .alias(f"_l{w}{key}_{src}"))
         out = out.select("*", *lagged)
 
-        def comb(key: str, src: str, how: str) -> Column:
-            p = F.col(f"_p{key}_{src}_{w}")
-            lg = F.col(f"_l{key}_{src}_{w}")
-            same = F.col(f"_lseg_{src}_{w}").isNull() | (F.col(f"_lseg_{src}_{w}") == F.col(seg))
-            if how == "add":
-                other = F.coalesce(lg, F.lit(0))
-                return F.when(same, p).otherwise(p + other)
-            fn = F.least if how == "min" else F.greatest
+        same = F.col(f"_ls{w}").isNull() | (F.col(f"_ls{w}") == F.col(seg))
+
+        def add(key: str, src: str) -> Column:
+            p = F.coalesce(F.col(f"_p{w}{key}_{src}"), F.lit(0))
+            return F.when(same, p).otherwise(p + F.coalesce(F.col(f"_l{w}{key}_{src}"), F.lit(0)))
+
+        def ext(key: str, src: str, fn) -> Column:
+            p, lg = F.col(f"_p{w}{key}_{src}"), F.col(f"_l{w}{key}_{src}")
             return F.when(same, p).otherwise(fn(p, lg))
 
         final: list[Column] = []
         for name, src, kind in items:
-            n = comb("n", src, "add")
+            n = add("n", src)
             if kind == "min":
-                final.append(comb("lo", src, "min").alias(name))
+                final.append(F.when(n > 0, ext("lo", src, F.least)).alias(name))
             elif kind == "max":
-                final.append(comb("hi", src, "max").alias(name))
+                final.append(F.when(n > 0, ext("hi", src, F.greatest)).alias(name))
             else:
-                s = comb("s", src, "add")
-                c = F.col(f"_c_{src}_{w}")
+                s_ = add("s", src)
+                c = F.col(shifts[src])
                 if kind == "mean":
-                    final.append(F.when(n > 0, c + s / n).alias(name))
+                    final.append(F.when(n > 0, c + s_ / n).alias(name))
                 else:
-                    q = comb("q", src, "add")
-                    var = (q - s * s / n) / (n - 1)
+                    q = add("q", src)
+                    var = (q - s_ * s_ / n) / (n - 1)
                     var = F.when(var <= F.lit(1e-12) * (q / n), F.lit(0.0)).otherwise(var)
                     final.append(F.when(n > 1, F.sqrt(var)).alias(name))
-        keep = [c for c in out.columns if not c.startswith(("_p", "_s", "_l", "_c_")) and c != seg]
-        out = out.select(*keep, *final)
+        helper = [c for c in out.columns if c.startswith(
+            (f"_p{w}", f"_t{w}", f"_x{w}", f"_l{w}", f"_c{w}_")) or c in (seg, f"_ls{w}")]
+        out = out.select(*[c for c in out.columns if c not in helper], *final)
     return out

@@ -39,7 +39,7 @@ def _bucketed_counts(df: DataFrame, group_cols: Sequence[str], value_col: str,
                              F.sum("_c").alias("_n"))
     span = F.col("_hi") - F.col("_lo")
     bucket = F.when(span > 0, F.least(
-        F.floor((F.col(value_col) - F.col("_lo")) / span * buckets),
+        F.floor(F.try_divide(F.col(value_col) - F.col("_lo"), span) * buckets),
         F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
     vcb = vc.join(rng, on=g, how="inner").withColumn("_b", bucket)
     btot = vcb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
@@ -108,7 +108,7 @@ def value_running_counts(df: DataFrame, group_cols: Sequence[str], value_col: st
     rng = per_val.groupBy(*g).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
     bucket = F.when(span > 0, F.least(
-        F.floor((F.col(value_col) - F.col("_lo")) / span * buckets),
+        F.floor(F.try_divide(F.col(value_col) - F.col("_lo"), span) * buckets),
         F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
     pv = per_val.join(rng, on=g, how="inner").withColumn("_b", bucket).drop("_lo", "_hi")
     btot = pv.groupBy(*g, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in ws])
@@ -188,6 +188,14 @@ def fault_analysis(df: DataFrame, sensors: Sequence[str], fault_col: str = "faul
     return ranking, ov
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over pairwise-complete rows; null when a side is constant
+    (``corr`` raises on a zero variance under ANSI mode)."""
+    both = x.isNotNull() & y.isNotNull()
+    xx, yy = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
+
+
 def correlation_label(r: Column) -> Column:
     """Label for a Pearson r; null when r is undefined."""
     return (F.when(r.isNull(), F.lit(None).cast("string"))
@@ -207,7 +215,7 @@ def sensor_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]],
     g = list(group_cols)
     aggs = []
     for i, (a, b) in enumerate(pairs):
-        aggs += [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}"),
+        aggs += [pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}"),
                  F.count(a).alias(f"_n{i}")]
     wide = (df.groupBy(*g) if g else df.groupBy()).agg(*aggs)
     rows = [F.struct(F.lit(a).alias("sensor_a"), F.lit(b).alias("sensor_b"),
