@@ -166,7 +166,7 @@ def train_iforest(df: DataFrame, features: Sequence[str], n_trees: int = 200,
         # small table: each tree samples the table itself
         trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
         frac = min(1.0, psi * over / max(n, 1))
-        picked = x.withColumn("tree_id", trees.cast("int")).withColumn(
+        picked = x.withColumn("tree_id", trees).withColumn("tree_id", F.col("tree_id").cast("int")).withColumn(
             "_u", (F.abs(F.xxhash64(key, F.col("tree_id"))) % 1_000_000_007) / 1_000_000_007.0) \
             .filter(F.col("_u") < frac)
     w = Window.partitionBy("tree_id").orderBy("_u", "_rid")

@@ -169,7 +169,8 @@ def sequences(df: DataFrame, profile: SensorProfile, features: Sequence[str],
     out = seq.drop_halo(out)
     return out.filter((F.col(seq.RN) >= seq_len) & (F.col(seq.RN) + horizon <= F.col(seq.CNT))) \
         .select(profile.asset, F.col(seq.RN).alias("end_rn"), F.col(profile.ts).alias("end_ts"),
-                "x", "y")
+                "x", "y", (F.col(seq.RN) - seq_len + 1).alias("seq_idx"),
+                (F.col(seq.CNT) - seq_len - horizon + 1).alias("n_seq"))
 
 
 def chronological_split(df: DataFrame, profile: SensorProfile, validation: float = 0.2,

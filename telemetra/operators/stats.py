@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from telemetra.profile import SensorProfile
 
 VALUE_BUCKETS = 4096
+# groups up to this many values use Spark's exact ``percentile`` aggregate
+# (it holds one group's distinct values in a task); larger ones take the
+# bucketed path, whose tasks hold one value bucket only
+DIRECT_QUANTILE_MAX = 200_000
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
@@ -51,15 +55,31 @@ def _bucketed_counts(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], buckets: int = VALUE_BUCKETS) -> DataFrame:
+                    probs: Sequence[float], buckets: int = VALUE_BUCKETS,
+                    strategy: str = "auto") -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``percentile``).
 
     Returns (group..., p, q).  Nulls are ignored; a group with no values
-    yields no rows.
+    yields no rows.  ``auto`` checks the largest group once (one small
+    aggregate) and uses the ``percentile`` aggregate when it is bounded by
+    ``DIRECT_QUANTILE_MAX``, else the bucketed path.
     """
     g = list(group_cols)
+    if strategy == "auto":
+        vals = df.filter(F.col(value_col).isNotNull())
+        most = (vals.groupBy(*g).count().agg(F.max("count")).first()[0] if g
+                else vals.count()) or 0
+        strategy = "direct" if most <= DIRECT_QUANTILE_MAX else "bucketed"
+    if strategy == "direct":
+        pct = F.percentile(F.col(value_col), [float(p) for p in probs])
+        agg = (df.groupBy(*g) if g else df.groupBy()).agg(pct.alias("_qs"))
+        agg = agg.filter(F.col("_qs").isNotNull())
+        return agg.select(*g, F.posexplode("_qs").alias("_i", "q")).select(
+            *g, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
+            .alias("p"), "q")
     if not g:  # keep every join an equi-join
-        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value_col, probs, buckets)
+        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value_col, probs, buckets,
+                            strategy="bucketed")
         return q.drop("_g")
     vcb, offs = _bucketed_counts(df, g, value_col, buckets)
     per_group = offs.groupBy(*g).agg(F.first("_n").alias("_n"))

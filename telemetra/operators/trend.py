@@ -206,3 +206,90 @@ def forecast_bands(forecast: DataFrame, as_of: Column | str, horizon_minutes: in
                       (as_of.cast("timestamp") + F.make_interval(
                           mins=F.col("step") * step_minutes)).alias("forecast_ts"),
                       F.col("value"), lo.alias("lower_bound"), hi.alias("upper_bound"))
+
+
+# ---------------------------------------------------------------------------
+# Learned forecaster on lag windows (re-aimed to MLlib)
+# ---------------------------------------------------------------------------
+
+class ForecasterModel:
+    """Scaler + one regressor per (step, target) output."""
+
+    def __init__(self, scaler, models, features, targets, seq_len, horizon):
+        self.scaler, self.models = scaler, models
+        self.features, self.targets = list(features), list(targets)
+        self.seq_len, self.horizon = seq_len, horizon
+
+
+def train_forecaster(df: DataFrame, profile: SensorProfile, features: Sequence[str],
+                     targets: Sequence[str], seq_len: int = 48, horizon: int = 12,
+                     validation: float = 0.2, max_iter: int = 50, loss: str = "huber"
+                     ) -> tuple[ForecasterModel, DataFrame]:
+    """Sliding windows (W7) -> flattened lag vector -> MinMax scaling
+    fitted on the chronological training part only (W8) -> one linear
+    regressor per output (step-major, then target; Huber loss by default).
+
+    Returns the model and a metrics DataFrame (output, split, mae)."""
+    from pyspark.ml.feature import MinMaxScaler
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression
+
+    from telemetra.operators.features import sequences
+
+    seqs = sequences(df, profile, features, targets, seq_len, horizon)
+    data = seqs.select(profile.asset, "seq_idx", "n_seq",
+                       array_to_vector(F.flatten("x")).alias("raw"), "y")
+    data = data.withColumn("split", F.when(
+        F.col("seq_idx") <= F.floor(F.col("n_seq") * (1 - validation)), "train")
+        .otherwise("validation"))
+    scaler = MinMaxScaler(inputCol="raw", outputCol="features").fit(
+        data.filter(F.col("split") == "train"))
+    scaled = scaler.transform(data)
+    n_out = horizon * len(targets)
+    scaled = scaled.select("*", *[F.col("y")[i].alias(f"y{i}") for i in range(n_out)])
+    train = scaled.filter(F.col("split") == "train")
+    models, metrics = [], None
+    for i in range(n_out):
+        lr = LinearRegression(featuresCol="features", labelCol=f"y{i}", predictionCol="_pred",
+                              loss=loss, maxIter=max_iter, regParam=0.0 if loss == "squaredError" else 1e-4)
+        m = lr.fit(train)
+        models.append(m)
+        err = m.transform(scaled).groupBy("split").agg(
+            F.avg(F.abs(F.col("_pred") - F.col(f"y{i}"))).alias("mae")) \
+            .withColumn("output", F.lit(i))
+        metrics = err if metrics is None else metrics.unionByName(err)
+    return ForecasterModel(scaler, models, features, targets, seq_len, horizon), metrics
+
+
+def forecast(model: ForecasterModel, df: DataFrame, profile: SensorProfile) -> DataFrame:
+    """The last ``seq_len`` rows of every asset -> ``horizon`` x targets
+    forecasts rounded to 4; assets with fewer rows get no forecast and are
+    listed with ``sufficient_data = false``."""
+    from pyspark.ml.functions import array_to_vector
+
+    numbered = seq.number_rows(df, profile)
+    last = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - model.seq_len)
+    feat = F.array(*[F.col(c).cast("double") for c in model.features])
+    # windows of the last seq_len rows, in time order, per asset
+    grouped = last.groupBy(profile.asset).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(seq.RN).alias("rn"), feat.alias("f"))))
+        .alias("_rows"), F.max(seq.CNT).alias("_cnt"))  # <= seq_len rows per asset
+    ok = F.col("_cnt") >= model.seq_len
+    vec = grouped.withColumn("sufficient_data", ok).withColumn(
+        "raw", F.when(ok, array_to_vector(F.flatten(F.transform("_rows", lambda r: r["f"])))))
+    ready = model.scaler.transform(vec.filter(F.col("sufficient_data")))
+    outs = []
+    for i, m in enumerate(model.models):
+        step, tgt = divmod(i, len(model.targets))
+        p = m.transform(ready).select(profile.asset, F.lit(step + 1).alias("step"),
+                                      F.lit(model.targets[tgt]).alias("target"),
+                                      F.round(m.getPredictionCol(), 4).alias("value"))
+        outs.append(p)
+    out = outs[0]
+    for p in outs[1:]:
+        out = out.unionByName(p)
+    short = vec.filter(~F.col("sufficient_data")).select(
+        profile.asset, F.lit(None).cast("int").alias("step"), F.lit(None).cast("string").alias("target"),
+        F.lit(None).cast("double").alias("value"))
+    return out.withColumn("sufficient_data", F.lit(True)).unionByName(
+        short.withColumn("sufficient_data", F.lit(False)))

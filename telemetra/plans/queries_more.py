@@ -274,6 +274,7 @@ FROM t WHERE rn >= 6 AND rn + 3 <= cnt""")
 def q_sequences(spark, sf_dir):
     ev = cat.events_readings(spark, sf_dir)
     out = FT.sequences(ev, EVENTS.with_(block_rows=16), ["value"], ["value"], seq_len=6, horizon=3)
+    out = out.drop("seq_idx", "n_seq")
     xs = F.aggregate(F.transform("x", lambda a: a[0]), F.lit(0.0), lambda acc, v: acc + v)
     ys = F.aggregate("y", F.lit(0.0), lambda acc, v: acc + v)
     return out.select("user_id", "end_rn", "end_ts", F.size("x").cast("long").alias("x_len"),

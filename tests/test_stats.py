@@ -18,12 +18,13 @@ def table(spark, seed=3, n=2000, groups=3):
     return spark.createDataFrame(rows, "g int, v double"), g, v
 
 
-@pytest.mark.parametrize("buckets", [4096, 7])
-def test_exact_quantiles(spark, buckets):
+@pytest.mark.parametrize("buckets,strategy", [(4096, "bucketed"), (7, "bucketed"), (7, "direct"),
+                                              (7, "auto")])
+def test_exact_quantiles(spark, buckets, strategy):
     df, g, v = table(spark)
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
     got = {(r["g"], r["p"]): r["q"] for r in
-           ST.exact_quantiles(df, ["g"], "v", probs, buckets=buckets).collect()}
+           ST.exact_quantiles(df, ["g"], "v", probs, buckets=buckets, strategy=strategy).collect()}
     for k in range(3):
         vals = v[(g == k) & ~np.isnan(v)]
         for p in probs:
