@@ -124,6 +124,8 @@ def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step"
     """
     sensors = list(profile.sensors)
     strategy = seq.choose_strategy(df, profile, strategy)  # raw rows bound cleaned rows
+    if strategy == "direct":
+        return _clean_direct(df, profile, sensors, mode, keep_sequence)
     x = nan_to_null(df, sensors)
     x = dedup_readings(x, profile)
     x = null_out_of_range(x, profile.limits)
@@ -134,6 +136,35 @@ def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step"
     return x.drop(seq.RN, seq.CNT, seq.BLK)
 
 
+def _clean_direct(df: DataFrame, profile: SensorProfile, sensors: list[str], mode: str,
+                  keep_sequence: bool) -> DataFrame:
+    """Bounded assets (checked): one shuffle by asset, one time-ordered sort.
+
+    Copies of (asset, ts) are adjacent in (ts, tiebreak) order, so the first
+    of each run survives (the same survivor as ``dedup_readings``); the fill
+    and the numbering reuse the same partitioning and order.
+    """
+    a, ts = profile.asset, profile.ts
+    w = Window.partitionBy(a).orderBy(*profile.order_exprs())
+    x = nan_to_null(df, sensors)
+    first = F.row_number().over(w) == 1
+    x = x.withColumn("_dup", ~first & F.col(ts).eqNullSafe(F.lag(ts, 1).over(w)))
+    x = x.filter(~F.col("_dup")).drop("_dup")
+    x = null_out_of_range(x, profile.limits)
+    if mode == "one_step":
+        x = x.withColumns({c: F.coalesce(F.col(c), F.lag(c, 1).over(w)) for c in sensors})
+    elif mode == "full":
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        x = x.withColumns({c: F.last(F.col(c), ignorenulls=True).over(run) for c in sensors})
+    else:
+        raise ValueError(f"unknown fill mode {mode!r}")
+    x = drop_incomplete(x, sensors)
+    if keep_sequence:
+        x = x.withColumn(seq.RN, F.row_number().over(w).cast("long")) \
+            .withColumn(seq.CNT, F.count(F.lit(1)).over(Window.partitionBy(a)))
+    return x
+
+
 def with_physics(df: DataFrame, discharge: str = "discharge_pressure_bar",
                  inlet: str = "inlet_pressure_bar", fuel: str = "fuel_flow_kg_s",
                  load: str = "turbine_load_mw") -> DataFrame:

@@ -122,3 +122,17 @@ def test_sequences_shapes(spark):
     rows = out.collect()
     assert len(rows) == 30 - 6 - 3 + 1
     assert all(len(r["x"]) == 6 and len(r["y"]) == 3 for r in rows)
+
+
+@pytest.mark.parametrize("mode", ["one_step", "full"])
+def test_clean_chunked_equals_direct(spark, mode):
+    df = readings(spark, n=150, nulls=0.3)
+    # duplicate (asset, ts) with different payloads and identical copies
+    dups = df.filter("k % 5 = 0").withColumn("k", F.col("k") + 100000) \
+        .withColumn("x", F.col("x") + 1)
+    df = df.unionByName(dups).unionByName(df.filter("k % 11 = 0"))
+    p = PROF.with_(limits={"x": (470.0, 530.0)})
+    a = C.clean_readings(df, p, mode=mode, strategy="chunked", keep_sequence=True)
+    b = C.clean_readings(df, p, mode=mode, strategy="direct", keep_sequence=True)
+    cols = ["asset", "k", "x", "y", "_rn", "_cnt"]
+    assert collect(a, cols) == collect(b, cols)
