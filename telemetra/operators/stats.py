@@ -111,20 +111,31 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 
 def value_running_counts(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                         weight_cols: Sequence[str], buckets: int = VALUE_BUCKETS) -> DataFrame:
+                         weight_cols: Sequence[str], buckets: int = VALUE_BUCKETS,
+                         strategy: str = "auto") -> DataFrame:
     """Running sums of ``weight_cols`` in ascending value order per group.
 
     Returns (group..., value, weights summed per value, ``cum_<w>`` running
-    totals including the value).  Two-level: per-bucket totals give offsets,
+    totals including the value).  Values are first reduced per (group,
+    value).  ``auto`` checks the largest number of distinct values in a
+    group: when bounded (``DIRECT_QUANTILE_MAX``) one running window per
+    group is used; otherwise two levels -- per-bucket totals give offsets,
     running sums are taken inside buckets only.
     """
     g = list(group_cols)
     ws = list(weight_cols)
     if not g:
-        out = value_running_counts(df.withColumn("_g", F.lit(0)), ["_g"], value_col, ws, buckets)
+        out = value_running_counts(df.withColumn("_g", F.lit(0)), ["_g"], value_col, ws, buckets,
+                                   strategy)
         return out.drop("_g")
     per_val = (df.filter(F.col(value_col).isNotNull()).groupBy(*g, value_col)
                .agg(*[F.sum(c).alias(c) for c in ws]))
+    if strategy == "auto":
+        most = per_val.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+        strategy = "direct" if most <= DIRECT_QUANTILE_MAX else "bucketed"
+    if strategy == "direct":
+        wv = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
+        return per_val.select(*g, value_col, *ws, *[F.sum(c).over(wv).alias(f"cum_{c}") for c in ws])
     rng = per_val.groupBy(*g).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
     bucket = F.when(span > 0, F.least(

@@ -351,3 +351,52 @@ def q_rul_by_fault_type(spark, sf_dir):
                       rnd("failure_probability").alias("failure_probability"),
                       rnd("degradation_index").alias("degradation_index"), "confidence",
                       "recommendation")
+
+
+# ---------------------------------------------------------------------------
+# IO11/J2 retention window, C7/C8/C12 training set, R6/J6 log, R9 payload
+# ---------------------------------------------------------------------------
+
+AS_OF = "2024-01-31 00:00:00"
+
+
+@register("recent_window", "IO11 J2", f"""SELECT event_id, user_id, ts FROM events
+WHERE ts > TIMESTAMP '{AS_OF}' - INTERVAL 168 HOUR AND ts <= TIMESTAMP '{AS_OF}'""")
+def q_recent_window(spark, sf_dir):
+    from telemetra.operators.lastn import last_hours
+    from telemetra.sources.readers import apply_retention
+    ev = cat.events_readings(spark, sf_dir)
+    kept = apply_retention(ev, "ts", days=90, as_of=AS_OF)
+    out = last_hours(kept, EVENTS, 168, AS_OF)
+    return out.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@register("training_set", "C7 C8 C12", """SELECT l_shipdate, l_suppkey, l_quantity, l_extendedprice,
+  l_discount, l_tax, l_returnflag, l_orderkey, l_linenumber, l_partkey,
+  CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS is_faulty FROM lineitem""")
+def q_training_set(spark, sf_dir):
+    li = cat.lineitem_readings(spark, sf_dir)
+    # two sources (returned / other lines) stacked by name, then projected
+    parts = [li.filter(F.col("l_returnflag") == "R"), li.filter(F.col("l_returnflag") != "R")]
+    proj = C.training_projection(C.union_sources(parts), LINEITEM)
+    return C.with_fault_label(proj, "l_returnflag = 'R'")
+
+
+def _alert_id_sql():
+    return "sha256(concat_ws('|', CAST(l_suppkey AS VARCHAR), rule_id, CAST(l_shipdate AS VARCHAR)))"
+
+
+def _alert_log_sql():
+    from telemetra.plans.queries_more import _rules_sql
+    return f"""WITH {_rules_sql()},
+e AS (SELECT {_alert_id_sql()} AS alert_id, rule_id, l_suppkey, severity, l_shipdate FROM ev)
+SELECT * FROM e ORDER BY l_shipdate DESC, alert_id DESC LIMIT 100"""
+
+
+@register("alert_log", "R6 J6 R2", _alert_log_sql())
+def q_alert_log(spark, sf_dir):
+    from telemetra.plans.queries_more import _li_events
+    ev, _ = _li_events(spark, sf_dir)
+    from telemetra.operators import alerts as AL
+    return AL.alert_log(ev, "l_shipdate", 100).select("alert_id", "rule_id", "l_suppkey",
+                                                      "severity", "l_shipdate")

@@ -44,6 +44,17 @@ def ks_brute(a, b):
     return np.max(np.abs(fa - fb))
 
 
+@pytest.mark.parametrize("strategy", ["direct", "bucketed"])
+def test_value_running_counts_strategies(spark, strategy):
+    df, g, v = table(spark)
+    x = df.withColumn("w", F.lit(1))
+    got = {(r["g"], r["v"]): r["cum_w"] for r in
+           ST.value_running_counts(x, ["g"], "v", ["w"], buckets=5, strategy=strategy).collect()}
+    for (k, val), cum in got.items():
+        vals = v[(g == k) & ~np.isnan(v)]
+        assert cum == int(np.sum(vals <= val))
+
+
 def test_ks_and_psi_brute_force(spark):
     rng = np.random.default_rng(7)
     a = np.round(rng.normal(0, 1, 700), 2)
