@@ -400,3 +400,29 @@ def q_alert_log(spark, sf_dir):
     from telemetra.operators import alerts as AL
     return AL.alert_log(ev, "l_shipdate", 100).select("alert_id", "rule_id", "l_suppkey",
                                                       "severity", "l_shipdate")
+
+
+def _payload_sql():
+    from telemetra.plans.queries_more import _rules_sql
+    colour = ("CASE severity WHEN 'INFO' THEN '0078D4' WHEN 'WARNING' THEN 'FFC107' "
+              "WHEN 'HIGH' THEN 'FF8C00' WHEN 'CRITICAL' THEN 'D13438' ELSE '888888' END")
+    emph = "CASE WHEN severity IN ('HIGH', 'CRITICAL') THEN 'Attention' ELSE 'Default' END"
+    desc = "CASE rule_id " + " ".join(
+        f"WHEN '{r[0]}' THEN '{r[5]}'" for r in __import__(
+            "telemetra.plans.queries_more", fromlist=["LI_RULES"]).LI_RULES) + " END"
+    return f"""WITH {_rules_sql()}
+SELECT {_alert_id_sql()} AS alert_id,
+  '{{"color":"' || {colour} || '","title":"' || severity || ' Alert – ' || sensor_name ||
+  '","emphasis":"' || {emph} || '","facts":[{{"title":"Turbine","value":"' || CAST(l_suppkey AS VARCHAR) ||
+  '"}},{{"title":"Sensor","value":"' || sensor_name || '"}},{{"title":"Value","value":"' || printf('%.3f', value) ||
+  '"}},{{"title":"Threshold","value":"' || printf('%.3f', threshold) || '"}},{{"title":"Time","value":"' ||
+  CAST(l_shipdate AS VARCHAR) || '"}}],"text":"' || {desc} || '"}}' AS payload
+FROM ev"""
+
+
+@register("alert_payload", "R9 R2", _payload_sql())
+def q_alert_payload(spark, sf_dir):
+    from telemetra.operators import alerts as AL
+    from telemetra.plans.queries_more import _li_events
+    ev, _ = _li_events(spark, sf_dir)
+    return AL.alert_payload(ev, asset="l_suppkey", ts="l_shipdate")
