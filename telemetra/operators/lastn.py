@@ -29,12 +29,17 @@ def last_hours(df: DataFrame, profile: SensorProfile, hours: float, as_of,
                partition_cols: tuple[str, str] | None = None) -> DataFrame:
     """J2 (time variant): rows newer than ``as_of - hours``; with year/month
     partition columns an extra predicate prunes partitions."""
-    start = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(hours * 3600)} SECONDS")
-    out = df.filter((F.col(profile.ts).cast("timestamp") > start) &
-                    (F.col(profile.ts).cast("timestamp") <= F.lit(as_of).cast("timestamp")))
+    # bounds in the column's own type, so the predicate reaches the Parquet scan
+    import datetime as _dt
+    dt = df.schema[profile.ts].dataType
+    end_py = _dt.datetime.fromisoformat(str(as_of))
+    end = F.lit(end_py).cast(dt)
+    start = F.lit(end_py - _dt.timedelta(hours=hours)).cast(dt)
+    out = df.filter((F.col(profile.ts) > start) & (F.col(profile.ts) <= end))
     if partition_cols and all(c in df.columns for c in partition_cols):
         y, m = partition_cols
-        out = out.filter(F.col(y) * 12 + F.col(m) >= F.year(start) * 12 + F.month(start))
+        first = end_py - _dt.timedelta(hours=hours)
+        out = out.filter(F.col(y) * 12 + F.col(m) >= first.year * 12 + first.month)
     return out
 
 

@@ -21,7 +21,7 @@ VALUE_BUCKETS = 4096
 # groups up to this many values use Spark's exact ``percentile`` aggregate
 # (it holds one group's distinct values in a task); larger ones take the
 # bucketed path, whose tasks hold one value bucket only
-DIRECT_QUANTILE_MAX = 200_000
+DIRECT_QUANTILE_MAX = 1_000_000
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),

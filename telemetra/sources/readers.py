@@ -139,9 +139,11 @@ def apply_retention(df: DataFrame, ts: str, days: int, as_of,
     When the table is partitioned by year/month, an extra predicate on those
     columns lets the scan skip whole partitions.
     """
-    cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
-    out = df.filter(F.col(ts).cast("timestamp") >= cutoff)
+    # a literal cutoff in the column's own type reaches the Parquet scan
+    import datetime as _dt
+    cut_py = _dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(days=days)
+    out = df.filter(F.col(ts) >= F.lit(cut_py).cast(df.schema[ts].dataType))
     if partition_cols and all(c in df.columns for c in partition_cols):
         y, m = partition_cols
-        out = out.filter((F.col(y) * 12 + F.col(m)) >= F.year(cutoff) * 12 + F.month(cutoff))
+        out = out.filter((F.col(y) * 12 + F.col(m)) >= cut_py.year * 12 + cut_py.month)
     return out
