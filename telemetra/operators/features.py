@@ -140,10 +140,13 @@ def fault_episodes(df: DataFrame, profile: SensorProfile, fault_col: str = "faul
     frame = _framed(df, profile, 1, 0, strategy, block_rows)
     prev = F.lag(F.col(fault_col), 1, 0).over(seq.ordered_window(profile))
     starts = seq.drop_halo(frame.withColumn("_prev", prev)).filter((F.col(fault_col) == 1) & (F.col("_prev") != 1))
-    # number episodes per asset: episodes are few relative to rows
-    w = Window.partitionBy(profile.asset).orderBy(seq.RN)
-    return starts.select(profile.asset, F.row_number().over(w).alias("episode"),
-                         F.col(profile.ts).alias("start_ts"), F.col(seq.RN).alias("start_rn"))
+    # number the starts per asset with the same size-checked numbering (an
+    # asset that flips often may have as many starts as a hot asset has rows)
+    starts = starts.select(profile.asset, *profile.order_cols, F.col(seq.RN).alias("start_rn"))
+    numbered = seq.number_rows(starts, profile, strategy=strategy if strategy != "auto" else "auto",
+                               with_count=False)
+    return numbered.select(profile.asset, F.col(seq.RN).alias("episode"),
+                           F.col(profile.ts).alias("start_ts"), "start_rn")
 
 
 def sequences(df: DataFrame, profile: SensorProfile, features: Sequence[str],

@@ -426,3 +426,44 @@ def q_alert_payload(spark, sf_dir):
     from telemetra.plans.queries_more import _li_events
     ev, _ = _li_events(spark, sf_dir)
     return AL.alert_payload(ev, asset="l_suppkey", ts="l_shipdate")
+
+
+# ---------------------------------------------------------------------------
+# Streaming: events replayed as daily files through the file stream
+# ---------------------------------------------------------------------------
+
+@register("stream_kpis", "IO3 X1 X5", """WITH m AS (SELECT max(ts) AS mx FROM events),
+k AS (SELECT user_id, date_trunc('day', ts) AS window_start,
+        date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS reading_count,
+        (floor(avg(value) * 16384.0 + 0.5) / 16384.0) AS value_avg, min(value) AS value_min,
+        max(value) AS value_max, (floor(stddev_samp(value) * 16384.0 + 0.5) / 16384.0) AS value_std
+      FROM events GROUP BY 1, 2)
+SELECT k.* FROM k, m WHERE window_end <= mx - INTERVAL 1 HOUR""")
+def q_stream_kpis(spark, sf_dir):
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from telemetra.session import scratch_path
+    from telemetra.streaming import streams as STR
+
+    run = uuid.uuid4().hex[:12]
+    src = scratch_path(spark, f"stream_events_{run}")
+    ev = cat.events_readings(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(src)
+    schema = T.StructType([T.StructField("user_id", T.LongType()),
+                           T.StructField("ts", T.TimestampNTZType()),
+                           T.StructField("event_id", T.LongType()),
+                           T.StructField("value", T.DoubleType())])
+    stream = STR.ingest_stream(STR.stream_readings(spark, src, schema, ts="ts"), "ts")
+    kpis = STR.kpi_stream(stream, "user_id", "ts", ["value"], window="1 day", delay="1 hour")
+    sink = scratch_path(spark, f"stream_kpis_{run}")
+    q = (kpis.writeStream.format("parquet").outputMode("append").option("path", sink)
+         .option("checkpointLocation", scratch_path(spark, f"stream_ck_{run}"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(sink)  # the sink's log lists committed files only
+    return out.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      F.col("reading_count").cast("long"), rnd("value_avg").alias("value_avg"),
+                      "value_min", "value_max", rnd("value_std").alias("value_std"))
