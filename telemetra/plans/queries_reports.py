@@ -432,14 +432,8 @@ def q_alert_payload(spark, sf_dir):
 # Streaming: events replayed as daily files through the file stream
 # ---------------------------------------------------------------------------
 
-@register("stream_kpis", "IO3 X1 X5", """WITH m AS (SELECT max(ts) AS mx FROM events),
-k AS (SELECT user_id, date_trunc('day', ts) AS window_start,
-        date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS reading_count,
-        (floor(avg(value) * 16384.0 + 0.5) / 16384.0) AS value_avg, min(value) AS value_min,
-        max(value) AS value_max, (floor(stddev_samp(value) * 16384.0 + 0.5) / 16384.0) AS value_std
-      FROM events GROUP BY 1, 2)
-SELECT k.* FROM k, m WHERE window_end <= mx - INTERVAL 1 HOUR""")
-def q_stream_kpis(spark, sf_dir):
+def _events_stream(spark, sf_dir):
+    """Replay ``events`` as one file per day in the shared folder; stream them."""
     import uuid
 
     from pyspark.sql import types as T
@@ -449,21 +443,81 @@ def q_stream_kpis(spark, sf_dir):
 
     run = uuid.uuid4().hex[:12]
     src = scratch_path(spark, f"stream_events_{run}")
-    ev = cat.events_readings(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    ev = cat.events_readings(spark, sf_dir).select("user_id", "ts", "event_id", "event_type", "value")
     ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(src)
     schema = T.StructType([T.StructField("user_id", T.LongType()),
                            T.StructField("ts", T.TimestampNTZType()),
                            T.StructField("event_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()),
                            T.StructField("value", T.DoubleType())])
-    stream = STR.ingest_stream(STR.stream_readings(spark, src, schema, ts="ts"), "ts")
-    kpis = STR.kpi_stream(stream, "user_id", "ts", ["value"], window="1 day", delay="1 hour")
-    sink = scratch_path(spark, f"stream_kpis_{run}")
-    q = (kpis.writeStream.format("parquet").outputMode("append").option("path", sink)
-         .option("checkpointLocation", scratch_path(spark, f"stream_ck_{run}"))
+    return run, STR.stream_readings(spark, src, schema, ts="ts")
+
+
+def _run_to_parquet(spark, df, name):
+    from telemetra.session import scratch_path
+    sink = scratch_path(spark, f"stream_out_{name}")
+    q = (df.writeStream.format("parquet").outputMode("append").option("path", sink)
+         .option("checkpointLocation", scratch_path(spark, f"stream_ck_{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    out = spark.read.parquet(sink)  # the sink's log lists committed files only
+    return spark.read.parquet(sink)  # the sink's log lists committed files only
+
+
+@register("stream_kpis", "IO3 X1 X5", """WITH m AS (SELECT max(ts) AS mx FROM events),
+k AS (SELECT user_id, date_trunc('day', ts) AS window_start,
+        date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, count(*) AS reading_count,
+        (floor(avg(value) * 16384.0 + 0.5) / 16384.0) AS value_avg, min(value) AS value_min,
+        max(value) AS value_max, (floor(stddev_samp(value) * 16384.0 + 0.5) / 16384.0) AS value_std
+      FROM events GROUP BY 1, 2)
+SELECT k.* FROM k, m WHERE window_end <= mx - INTERVAL 1 HOUR""")
+def q_stream_kpis(spark, sf_dir):
+    from telemetra.streaming import streams as STR
+
+    run, stream = _events_stream(spark, sf_dir)
+    stream = STR.ingest_stream(stream, "ts")
+    kpis = STR.kpi_stream(stream, "user_id", "ts", ["value"], window="1 day", delay="1 hour")
+    out = _run_to_parquet(spark, kpis, f"kpis_{run}")
     return out.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                       F.col("reading_count").cast("long"), rnd("value_avg").alias("value_avg"),
                       "value_min", "value_max", rnd("value_std").alias("value_std"))
+
+
+def _stream_cooldown_sql():
+    return """WITH RECURSIVE c AS (
+  SELECT CAST(user_id AS VARCHAR) AS k, ts, event_id, value FROM events WHERE value >= 100),
+chain AS (
+  SELECT k, ts, event_id, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, CAST(event_id AS VARCHAR)) AS rn FROM c)
+  WHERE rn = 1
+  UNION ALL
+  SELECT n.k, n.ts, n.event_id, n.value FROM chain p, LATERAL (
+    SELECT k, ts, event_id, value FROM c WHERE c.k = p.k AND c.ts >= p.ts + INTERVAL 1440 MINUTE
+    ORDER BY ts, CAST(event_id AS VARCHAR) LIMIT 1) n)
+SELECT k AS key, CAST(event_id AS VARCHAR) AS event_id, ts, value FROM chain"""
+
+
+@register("stream_alerts", "X4 R3", _stream_cooldown_sql())
+def q_stream_alerts(spark, sf_dir):
+    from telemetra.streaming import streams as STR
+    run, stream = _events_stream(spark, sf_dir)
+    viol = stream.filter(F.col("value") >= 100)
+    fired = STR.alert_stream(viol, ["user_id"], "ts", "event_id", "value", cooldown_minutes=1440,
+                             delay="1 day")
+    out = _run_to_parquet(spark, fired, f"alerts_{run}")
+    return out.select("key", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
+@register("stream_scores", "X2 X3 S7 S8 S9 S12", f"""SELECT event_id, user_id,
+  least(greatest(100 - (CASE WHEN {_EV_Z} > 3 THEN 25 WHEN {_EV_Z} > 2 THEN 10 WHEN {_EV_Z} > 1.5 THEN 3
+    ELSE 0 END + CASE WHEN event_type = 'error' THEN 30 ELSE 0 END), 0.0), 100.0) AS health_score,
+  (floor(least(greatest({_EV_Z} / 5.0, 0.0), 1.0) * 16384.0 + 0.5) / 16384.0) AS anomaly_score
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) AS d FROM events) WHERE d = 1""")
+def q_stream_scores(spark, sf_dir):
+    from telemetra.streaming import streams as STR
+    run, stream = _events_stream(spark, sf_dir)
+    dedup = STR.dedup_stream(stream.withColumn("fault", EVENTS.fault_col()),
+                             ["user_id", "ts"], "ts", "1 hour")
+    scored = STR.score_stream(dedup, EVENTS.baselines, fault_col="fault")
+    out = _run_to_parquet(spark, scored, f"scores_{run}")
+    return out.select("event_id", "user_id", "health_score", rnd("anomaly_score").alias("anomaly_score"))
