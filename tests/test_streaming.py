@@ -96,3 +96,17 @@ def test_ingest_stream_to_parquet_sink(spark, tmp_dir):
     back = spark.read.parquet(os.path.join(tmp_dir, "out"))
     assert back.count() == len(rows)
     assert back.filter(F.col("source_file").contains("part-000")).count() == 150
+
+
+def test_read_csv_readings_renames_headers(spark, tmp_dir):
+    from telemetra.profile import SERVICE_CSV_RENAMES
+    from telemetra.sources.readers import read_csv_readings
+    path = os.path.join(tmp_dir, "svc.csv")
+    headers = list(SERVICE_CSV_RENAMES)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(",".join(headers) + "\n")
+        f.write("900,15000,3500,2.0,100,2.5,150,500,120,0\n")
+        f.write("1000,15900,3900,3.0,75,3.1,190,560,140,1\n")
+    df = read_csv_readings(spark, path, SERVICE_CSV_RENAMES)
+    assert df.columns == list(SERVICE_CSV_RENAMES.values())
+    assert df.count() == 2 and df.agg(F.sum("fault")).first()[0] == 1
