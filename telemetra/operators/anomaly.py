@@ -255,25 +255,34 @@ def score_summary(scored: DataFrame, score_col: str = "anomaly_score",
 def evaluate_anomaly(df: DataFrame, label_col: str, flag_col: str, score_col: str) -> DataFrame:
     """M4: anomaly rate, score mean/std (population), precision, recall, F1
     (positive = anomaly) and exact ROC-AUC (tie-aware rank statistic; 0.0
-    when only one class is present)."""
+    when only one class is present).
+
+    One pass: rows are reduced per distinct score (counts of positives,
+    negatives and the confusion cells), running counts in score order give
+    the AUC numerator, and a final aggregate gives every metric.
+    """
     y, p = F.col(label_col).cast("int"), F.col(flag_col).cast("int")
-    base = df.agg(F.count(F.lit(1)).alias("n"), F.avg(p.cast("double")).alias("anomaly_rate"),
-                  F.avg(score_col).alias("mean_score"), F.stddev_pop(score_col).alias("std_score"),
-                  F.sum(y * p).alias("tp"), F.sum((1 - y) * p).alias("fp"),
-                  F.sum(y * (1 - p)).alias("fn"), F.sum(y).alias("pos"),
-                  F.sum(1 - y).alias("neg"))
-    ranked = value_running_counts(df.select(F.col(score_col).alias("s"),
-                                            y.alias("wp"), (1 - y).alias("wn")).withColumn(
-        "_g", F.lit(0)), ["_g"], "s", ["wp", "wn"])
-    # pairs (positive, negative) with the positive scored higher, ties half
-    auc_num = ranked.agg(F.sum(F.col("wp") * (F.col("cum_wn") - F.col("wn"))
-                               + 0.5 * F.col("wp") * F.col("wn")).alias("u"))
-    # both sides are single-row aggregates
-    out = base.withColumn("_k", F.lit(0)).join(auc_num.withColumn("_k", F.lit(0)), "_k").drop("_k")
+    s = F.col(score_col).cast("double")
+    cells = df.select(s.alias("s"), y.alias("wp"), (1 - y).alias("wn"), (y * p).alias("tp"),
+                      ((1 - y) * p).alias("fp"), (y * (1 - p)).alias("fn"), p.alias("pp"),
+                      F.lit(1).alias("c"), (s * s).alias("s2"), s.alias("s1"))
+    ranked = value_running_counts(cells.withColumn("_g", F.lit(0)), ["_g"], "s",
+                                  ["wp", "wn", "tp", "fp", "fn", "pp", "c", "s1", "s2"])
+    tot = ranked.agg(
+        F.sum("c").alias("n"), F.sum("pp").alias("npred"), F.sum("s1").alias("ss"),
+        F.sum("s2").alias("ss2"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),
+        F.sum("fn").alias("fn"), F.sum("wp").alias("pos"), F.sum("wn").alias("neg"),
+        # pairs (positive, negative) with the positive scored higher, ties half
+        F.sum(F.col("wp") * (F.col("cum_wn") - F.col("wn")) + 0.5 * F.col("wp") * F.col("wn"))
+        .alias("u"))
+    n = F.col("n")
+    mean = F.col("ss") / n
+    var = F.greatest(F.col("ss2") / n - mean * mean, F.lit(0.0))
     prec = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0)
     rec = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0)
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
     auc = F.when((F.col("pos") > 0) & (F.col("neg") > 0),
                  F.col("u") / (F.col("pos") * F.col("neg"))).otherwise(0.0)
-    return out.select("anomaly_rate", "mean_score", "std_score", prec.alias("precision"),
+    return tot.select((F.col("npred") / n).alias("anomaly_rate"), mean.alias("mean_score"),
+                      F.sqrt(var).alias("std_score"), prec.alias("precision"),
                       rec.alias("recall"), f1.alias("f1_score"), auc.alias("auc_roc"))
