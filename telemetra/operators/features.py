@@ -137,14 +137,17 @@ def fault_episodes(df: DataFrame, profile: SensorProfile, fault_col: str = "faul
     starts of one asset from 1.  Counting and the first-10 list are
     ``groupBy``/``filter(episode <= 10)`` on this result.
     """
+    # resolve once on the input: an asset never has more starts than rows
+    strategy = seq.choose_strategy(df, profile, strategy) if seq.RN not in df.columns else (
+        "chunked" if strategy == "auto" else strategy)
     frame = _framed(df, profile, 1, 0, strategy, block_rows)
     prev = F.lag(F.col(fault_col), 1, 0).over(seq.ordered_window(profile))
-    starts = seq.drop_halo(frame.withColumn("_prev", prev)).filter((F.col(fault_col) == 1) & (F.col("_prev") != 1))
+    starts = seq.drop_halo(frame.withColumn("_prev", prev)).filter(
+        (F.col(fault_col) == 1) & (F.col("_prev") != 1))
     # number the starts per asset with the same size-checked numbering (an
     # asset that flips often may have as many starts as a hot asset has rows)
     starts = starts.select(profile.asset, *profile.order_cols, F.col(seq.RN).alias("start_rn"))
-    numbered = seq.number_rows(starts, profile, strategy=strategy if strategy != "auto" else "auto",
-                               with_count=False)
+    numbered = seq.number_rows(starts, profile, strategy=strategy, with_count=False)
     return numbered.select(profile.asset, F.col(seq.RN).alias("episode"),
                            F.col(profile.ts).alias("start_ts"), "start_rn")
 
