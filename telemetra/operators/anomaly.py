@@ -97,7 +97,12 @@ class IForestModel:
         left[ti, ni] = t["left"].to_numpy()
         right[ti, ni] = t["right"].to_numpy()
         size[ti, ni] = t["size"].to_numpy()
-        return feat, thr, left, right, size
+        # path-length correction c(size) of every node, precomputed once
+        corr = np.vectorize(_c, otypes=[float])(size)
+        # flat layout: global node id = tree * width + node (1-D takes are fast)
+        off = (np.arange(n_trees) * width)[:, None]
+        return (feat.ravel(), thr.ravel(), (left + off).ravel(), (right + off).ravel(),
+                corr.ravel(), n_trees, width)
 
 
 def _grow(pdf: pd.DataFrame, n_feat: int, height: int, seed: int) -> pd.DataFrame:
@@ -198,6 +203,11 @@ def score_iforest(df: DataFrame, model: IForestModel, normalise: str | None = "t
     """
     feats = model.features
     x = _standardise(df, feats, model.means, model.stds)
+    # scoring is CPU-bound Python: spread it when the input has fewer splits
+    # than cores (small files); large inputs already have many splits
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if x.rdd.getNumPartitions() < cores:
+        x = x.repartition(cores)
     fcols = [f"f{i}" for i in range(len(feats))]
     sc = df.sparkSession.sparkContext
     bc = sc.broadcast(model.arrays())
@@ -205,24 +215,27 @@ def score_iforest(df: DataFrame, model: IForestModel, normalise: str | None = "t
     out_schema = T.StructType(x.schema.fields + [T.StructField("score_samples", T.DoubleType())])
 
     def run(batches):
-        feat, thr, left, right, size = bc.value
-        n_trees = feat.shape[0]
-        csize = np.vectorize(_c)
+        feat, thr, left, right, corr, n_trees, width = bc.value
+        roots = (np.arange(n_trees) * width)[:, None]
+        nf = len(fcols)
         for pdf in batches:
             X = pdf[fcols].to_numpy(dtype=float)
-            depth_sum = np.zeros(len(X))
-            for t in range(n_trees):
-                node = np.zeros(len(X), dtype=np.int64)
-                depth = np.zeros(len(X))
-                active = feat[t, node] >= 0
-                while active.any():
-                    f = feat[t, node[active]]
-                    go_left = X[active, f] < thr[t, node[active]]
-                    node[active] = np.where(go_left, left[t, node[active]], right[t, node[active]])
-                    depth[active] += 1
-                    active = feat[t, node] >= 0
-                depth_sum += depth + csize(size[t, node])
-            s = np.power(2.0, -(depth_sum / n_trees) / cn) if cn > 0 else np.full(len(X), 0.5)
+            base = (np.arange(len(X)) * nf)[None, :]
+            flat = X.ravel()
+            # all trees at once: g[t, i] is row i's current (global) node in tree t
+            g = np.broadcast_to(roots, (n_trees, len(X))).copy()
+            depth = np.zeros((n_trees, len(X)))
+            while True:
+                f = feat.take(g)
+                active = f >= 0
+                if not active.any():
+                    break
+                value = flat.take(base + np.maximum(f, 0))
+                nxt = np.where(value < thr.take(g), left.take(g), right.take(g))
+                g = np.where(active, nxt, g)
+                depth += active
+            path = (depth + corr.take(g)).mean(axis=0)
+            s = np.power(2.0, -path / cn) if cn > 0 else np.full(len(X), 0.5)
             pdf = pdf.copy()
             pdf["score_samples"] = -s
             yield pdf

@@ -16,7 +16,7 @@ from telemetra.plans import catalog as cat
 from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_SENSORS
 from telemetra.plans.queries_core import rnd
 from telemetra.plans.registry import register
-from telemetra.plans.sqlgen import r
+from telemetra.plans.sqlgen import r, sround
 
 S = LINEITEM_SENSORS
 LI_ORDER = "l_shipdate, " + ", ".join(LINEITEM.tiebreak)
@@ -418,8 +418,8 @@ def _fault_alerts_sql():
                  FROM lineitem WHERE l_returnflag = 'R') WHERE k <= 20),
 w AS (SELECT *, {expr_z} AS z, {expr_s} AS ws, {expr_v} AS wv, {expr_m} AS wm FROM t)
 SELECT l_shipdate AS timestamp, l_suppkey AS turbine_id, 'ALM-' || upper(substr(ws, 1, 6)) AS alarm_code,
-  ws AS worst_sensor, round(z, 4) AS z, CASE WHEN z > 3 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
-  round(wv, 2) AS sensor_value, CAST(round(wm, 2) AS DOUBLE) AS threshold
+  ws AS worst_sensor, {sround('z', 4)} AS z, CASE WHEN z > 3 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+  {sround('wv', 2)} AS sensor_value, {sround('wm', 2)} AS threshold
 FROM w"""
 
 
