@@ -5,26 +5,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetra.llm.bpe import Tokenizer
 from telemetra.llm.exact_dedup import exact_dedup
+from telemetra.llm.mixing import mix, taken_words
 from telemetra.llm.sharding import shard_by_bytes
 
+#: Rank file of the registered tokenizer queries.
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer(spark: SparkSession) -> Tokenizer:
+    import public_tokenizers
+
+    return Tokenizer(spark, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+
+
+def token_digests(codec: Tokenizer, docs: DataFrame) -> DataFrame:
+    """Encode, decode the ids, and reduce both to digests."""
+    return codec.decode(codec.encode(docs)).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(tokenizer(spark), documents(spark, sf_dir))
+
+
 def op6_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(documents(spark, sf_dir), n_shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(*mix(documents(spark, sf_dir))).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op6_histogram_sort_shards": op6_histogram_sort_shards,
+    "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
