@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetra.llm import langid
 from telemetra.llm.bpe import Tokenizer
 from telemetra.llm.exact_dedup import exact_dedup
 from telemetra.llm.mixing import mix, taken_words
@@ -36,6 +37,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(tokenizer(spark), documents(spark, sf_dir))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op6_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(documents(spark, sf_dir), n_shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -53,6 +59,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_language_id": op5_language_id,
     "op6_histogram_sort_shards": op6_histogram_sort_shards,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
