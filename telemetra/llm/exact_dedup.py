@@ -15,8 +15,9 @@ still share everything read so far are split by their next slice of bytes:
 Slices grow by a constant factor, so the number of rounds is logarithmic in
 the longest text, and every byte of a text is moved once.  No digest decides
 equality.  The join that hands verdicts back to documents is a plain equi-join
-with the (pre-aggregated) groups, whose large partitions Spark's adaptive
-skew handling splits.
+with the (pre-aggregated) groups.  They are written first, so that the join
+stands directly on two exchanges and Spark's adaptive skew handling can split
+the partition of a large group of copies.
 """
 
 from __future__ import annotations
@@ -56,11 +57,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     while True:
         state = state.withColumn("slice", F.expr(f"substring(rest, 1, {width})"))
         at += width
-        groups = state.groupBy("grp", "n_bytes", "slice").agg(
+        groups = stored(state.groupBy("grp", "n_bytes", "slice").agg(
             F.count(F.lit(1)).alias("size"), F.min("row").alias("next"),
             F.min(F.struct((-F.col("n_cp")).alias("a"), F.col("id").isNull().alias("b"),
                            F.col("id").alias("c"), F.col("row").alias("d"))).alias("best"),
-        ).filter("size > 1")
+        ).filter("size > 1"), "msd-groups")
         ended = (F.col("size").isNull()) | (F.col("n_bytes") <= at)
         split = stored(state.join(groups, ["grp", "n_bytes", "slice"], "left").select(
             "id", "row", "n_cp", "sha", "n_bytes", ended.alias("ended"),
