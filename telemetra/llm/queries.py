@@ -9,6 +9,8 @@ from telemetra.llm import langid
 from telemetra.llm.bpe import Tokenizer
 from telemetra.llm.exact_dedup import exact_dedup
 from telemetra.llm.mixing import mix, taken_words
+from telemetra.llm.quality_rules import quality_rules
+from telemetra.llm.secret_scan import secret_scan
 from telemetra.llm.sharding import shard_by_bytes
 
 #: Rank file of the registered tokenizer queries.
@@ -19,6 +21,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 def tokenizer(spark: SparkSession) -> Tokenizer:
     import public_tokenizers
 
@@ -57,15 +63,71 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_language_id": op5_language_id,
     "op6_histogram_sort_shards": op6_histogram_sort_shards,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLES = {
+    "op2_quality_rules": """
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
+grams AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+cover AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY doc_id),
+c AS (
+  SELECT d.doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN cover USING (doc_id)),
+f AS (
+  SELECT *, CAST(n_words < 10 AS INT) AS f1, CAST(100 * n_repeat_words > 20 * n_words AS INT) AS f2,
+         CAST(10 * n_symbols > n_words AS INT) AS f3, CAST(100 * n_dup_lines > 30 * n_lines AS INT) AS f4
+  FROM c),
+long AS (
+  SELECT source, r, count(*) AS n, sum(bad) AS k
+  FROM (SELECT source, unnest(['short', 'repeats', 'symbols', 'dup_lines']) AS r, unnest([f1, f2, f3, f4]) AS bad FROM f)
+  GROUP BY source, r),
+prior AS (
+  SELECT r, m, CASE WHEN v > 0 THEN greatest(1.0, least(1e6, m * (1 - m) / v - 1)) ELSE 1e6 END AS s
+  FROM (SELECT r, sum(k) / sum(n) AS m,
+               sum(1.0 * k * k / n) / sum(n) - (sum(k) / sum(n)) ** 2
+               - (sum(k) / sum(n)) * (1 - sum(k) / sum(n)) * count(*) / sum(n) AS v
+        FROM long GROUP BY r)),
+rate AS (
+  SELECT source, max(n) AS host_docs,
+         max(CASE WHEN r = 'short' THEN (k + m * s) / (n + s) END) AS rate_short,
+         max(CASE WHEN r = 'repeats' THEN (k + m * s) / (n + s) END) AS rate_repeats,
+         max(CASE WHEN r = 'symbols' THEN (k + m * s) / (n + s) END) AS rate_symbols,
+         max(CASE WHEN r = 'dup_lines' THEN (k + m * s) / (n + s) END) AS rate_dup_lines
+  FROM long JOIN prior USING (r) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       f1 + f2 > 0 AS base_failed,
+       f1 + f2 = 0 AND greatest(rate_short, rate_repeats, rate_symbols, rate_dup_lines) <= 0.5 AS kept,
+       host_docs, round(rate_short, 6) AS rate_short, round(rate_repeats, 6) AS rate_repeats,
+       round(rate_symbols, 6) AS rate_symbols, round(rate_dup_lines, 6) AS rate_dup_lines
+FROM f JOIN rate ON f.source IS NOT DISTINCT FROM rate.source
+""",
     "op9_exact_dedup": """
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_cp,
