@@ -23,8 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-#: A worker remembers the last 200,000 to 400,000 distinct words and pieces.
-REMEMBERED = 200_000
+from telemetra.llm.common import Remembered
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -162,25 +161,6 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-class Remembered(dict):
-    """Results of a function of a string; those not used for long are forgotten."""
-
-    def __init__(self, of):
-        self.of, self.older = of, {}
-
-    def __missing__(self, key):
-        out = self.older.pop(key, None)
-        if out is None:
-            out = self.of(key)
-        self[key] = out
-        return out
-
-    def trim(self):
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-
-
 _codecs: dict[str, Codec] = {}
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, which separates words (Java regular expression class body).
 BLANK = r"\x20\x09-\x0D"
+#: A worker remembers the last 200,000 to 400,000 distinct strings of a function.
+REMEMBERED = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -56,3 +58,22 @@ def text_of(col: str | Column) -> Column:
 def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, though the body uses it often."""
     return F.transform(F.array(value), body)[0]
+
+
+class Remembered(dict):
+    """Results of a function of a string; those not used for long are forgotten."""
+
+    def __init__(self, of):
+        self.of, self.older = of, {}
+
+    def __missing__(self, key):
+        out = self.older.pop(key, None)
+        if out is None:
+            out = self.of(key)
+        self[key] = out
+        return out
+
+    def trim(self):
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()

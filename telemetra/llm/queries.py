@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telemetra.llm import langid
 from telemetra.llm.bpe import Tokenizer
 from telemetra.llm.exact_dedup import exact_dedup
+from telemetra.llm.jaccard_join import jaccard_components
 from telemetra.llm.mixing import mix, taken_words
 from telemetra.llm.quality_rules import quality_rules
 from telemetra.llm.secret_scan import secret_scan
@@ -43,6 +44,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(tokenizer(spark), documents(spark, sf_dir))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.predict(docs, langid.fit(docs))
@@ -70,6 +75,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_language_id": op5_language_id,
     "op6_histogram_sort_shards": op6_histogram_sort_shards,
     "op8_source_mix": op8_source_mix,
