@@ -28,7 +28,7 @@ WEIGHTS = (5, 2, 1)
 #: A draw handles fewer than a thousand million blocks; larger inputs get larger blocks.
 MOST_BLOCKS = 500_000_000
 #: Documents that one bucket of the permuted order holds on average.
-BUCKET_DOCS = 10_000
+BUCKET_DOCS = 2_000
 
 
 def n_words(text_col: str):
@@ -118,7 +118,7 @@ def mix(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: st
         "row", "id", "size", "h", "src", "source_size", "target", "goal", "cuts")
 
     # place in the permuted order: place in the bucket plus the words of earlier buckets
-    buckets = max(16, sum(t["n_docs"] for t in table) // BUCKET_DOCS)
+    buckets = max(64, sum(t["n_docs"] for t in table) // BUCKET_DOCS)
     placed = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
     sums = placed.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     before = sums.select("src", "bucket", F.coalesce(F.sum("words").over(
