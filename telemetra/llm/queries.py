@@ -13,6 +13,7 @@ from telemetra.llm.mixing import mix, taken_words
 from telemetra.llm.quality_rules import quality_rules
 from telemetra.llm.secret_scan import secret_scan
 from telemetra.llm.sharding import shard_by_bytes
+from telemetra.llm.suffix_dedup import remove_duplicates
 
 #: Rank file of the registered tokenizer queries.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -22,6 +23,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_duplicates(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -73,6 +79,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
