@@ -223,8 +223,10 @@ class Tokenizer:
         def run(batches):
             own = codec()
             for batch in batches:
-                out = [own.decode(x) for x in batch.column(1).to_pylist()] if batch.column(1).null_count == 0 \
-                    else [own.decode(x or ()) for x in batch.column(1).to_pylist()]
+                lists = batch.column(1)
+                ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                valid = lists.is_valid().to_pylist()
+                out = [own.decode(ids[a:b].tolist() if ok else ()) for a, b, ok in zip(ends, ends[1:], valid)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "ids", "decoded"])
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, which separates words (Java regular expression class body).
 BLANK = r"\x20\x09-\x0D"
-#: A worker remembers the last 200,000 to 400,000 distinct strings of a function.
-REMEMBERED = 200_000
+#: A worker remembers the last 120,000 to 240,000 distinct strings of a function.
+REMEMBERED = 120_000
 
 
 def shared_folder(spark: SparkSession) -> str:
