@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: ASCII white space, which separates words (Java regular expression class body).
 BLANK = r"\x20\x09-\x0D"
+#: Ids up to which a filter on documents is broadcast (8 bytes each).
+BROADCAST_IDS = 2_000_000
 #: A worker remembers the last 120,000 to 240,000 distinct strings of a function.
 REMEMBERED = 120_000
 
@@ -29,6 +32,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Tables that the last pipeline stage stored, and whether it is being built; see :func:`stage`.
+_of_stage: list[DataFrame] = []
+_in_stage: list[bool] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -38,9 +46,38 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    if _in_stage:
+        _of_stage.append(out)
     return out
 
 
+def stage(function):
+    """A pipeline stage: when the next one begins, the tables it stored are deleted.
+
+    The result of a stage has been written by then, so nothing reads them.
+    """
+    @functools.wraps(function)
+    def run(spark, docs, sf_dir):
+        while _of_stage:
+            discard(_of_stage.pop())
+        _in_stage.append(True)
+        try:
+            return function(spark, docs, sf_dir)
+        finally:
+            _in_stage.pop()
+    return run
+
+
+def without(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in ``ids`` (column ``id``); null ids stay.
+
+    The ids are broadcast when they are few, else both sides are shuffled.
+    """
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs[id_col] == ids["id"], "left_anti")
+
+
 def discard(df: DataFrame) -> None:
     """Delete a :func:`stored` table that no later plan reads."""
     path = getattr(df, "_stored_at", None)

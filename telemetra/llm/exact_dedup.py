@@ -34,9 +34,11 @@ def normalised(text_col: str):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                first_slice: int = 64, growth: int = 4) -> DataFrame:
+                carry: str | None = None, first_slice: int = 64, growth: int = 4) -> DataFrame:
     """One row per input row: ``id_col, keep_id, group_size, kept, text_sha256``.
 
+    ``carry`` names a column whose values are returned as ``carried``.
+
     Of equal texts, the row with the most code points in the original text
     stays, then the smallest id; a null id comes last.  Rows that repeat one
     id and text are separate rows, of which one stays.  Null and empty texts
@@ -46,7 +48,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     norm = normalised(text_col)
     state = stored(docs.select(
         F.col(id_col).alias("id"), F.length(text_of(text_col)).alias("n_cp"),
-        norm.cast("binary").alias("rest"),
+        norm.cast("binary").alias("rest"), (F.col(carry) if carry else F.lit(None).cast("int")).alias("carried"),
     ).select(
         "*", F.monotonically_increasing_id().alias("row"), F.lit(0).cast("long").alias("grp"),
         F.octet_length("rest").alias("n_bytes"), F.sha2("rest", 256).alias("sha"),
@@ -64,7 +66,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ).filter("size > 1"), "msd-groups")
         ended = (F.col("size").isNull()) | (F.col("n_bytes") <= at)
         split = stored(state.join(groups, ["grp", "n_bytes", "slice"], "left").select(
-            "id", "row", "n_cp", "sha", "n_bytes", ended.alias("ended"),
+            "id", "row", "n_cp", "sha", "n_bytes", "carried", ended.alias("ended"),
             F.coalesce("size", F.lit(1)).cast("long").alias("size"),
             F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("best.c")).alias("keep_id"),
             (F.col("size").isNull() | (F.col("best.d") == F.col("row"))).alias("kept"),
@@ -82,4 +84,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for more in done[1:]:
         out = out.unionByName(more)
     return out.select(F.col("id").alias(id_col), "keep_id", F.col("size").alias("group_size"),
-                      "kept", F.col("sha").alias("text_sha256"))
+                      "kept", F.col("sha").alias("text_sha256"), *(["carried"] if carry else []))

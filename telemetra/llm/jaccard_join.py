@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import Remembered, stored
+from telemetra.llm.common import BROADCAST_IDS, Remembered, stored, without
 from telemetra.llm.components import components
 
 WORDS = 5
@@ -44,8 +44,6 @@ NUM, DEN = 3, 4
 SLACK, SLACK_PERCENT = 40, 3
 #: A token with more holders goes to the end of the order (a matter of cost, not of the result).
 FREQUENT = 64
-#: Identifiers up to which a filter on documents is broadcast (8 bytes each).
-BROADCAST_IDS = 2_000_000
 SALTS = 16
 
 _word_hash = Remembered(xxhash.xxh3_64_intdigest)
@@ -82,11 +80,11 @@ def _stored_tokens(n: int) -> int:
     return min(n, _prefix(n) + max(SLACK, n * SLACK_PERCENT // 100))
 
 
-def _only(docs: DataFrame, id_col: str, ids: DataFrame, how: str) -> DataFrame:
-    """Semi or anti join of documents by id: broadcast when the ids are few, else a shuffle join."""
+def _only(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The documents with one of ``ids``: broadcast when they are few, else a shuffle join."""
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, docs[id_col] == ids["id"], how)
+    return docs.join(ids, docs[id_col] == ids["id"], "left_semi")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -107,7 +105,7 @@ def verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "tokens"])
 
     sets = stored(_only(docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")),
-                        "key", ids, "left_semi").mapInArrow(full, "id long, tokens binary"), "jaccard-sets")
+                        "key", ids).mapInArrow(full, "id long, tokens binary"), "jaccard-sets")
     first = pairs.select("a", "salt").distinct().join(sets, F.col("a") == F.col("id")) \
         .select("a", "salt", F.lit(0).alias("role"), "id", "tokens")
     second = pairs.join(sets, F.col("b") == F.col("id")).select("a", "salt", F.lit(1).alias("role"), "id", "tokens")
@@ -267,7 +265,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     "jaccard-members")
     copies = stored(member.filter("id <> rep").select("id").distinct(), "jaccard-copies")
 
-    index = stored(_index(_only(docs, id_col, copies, "left_anti"), id_col, text_col), "jaccard-index")
+    index = stored(_index(without(docs, id_col, copies), id_col, text_col), "jaccard-index")
     rows = stored(_ordered(index), "jaccard-prefixes")
     links = stored(verified(docs, _tries(rows), id_col, text_col), "jaccard-links")
     near = components(links)

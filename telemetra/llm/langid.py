@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 BUCKETS = 1 << 15
 UNKNOWN = "und"
@@ -218,25 +219,31 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, held_out, lang_pred, score`` for every row, from the text alone.
+    """``id_col, held_out, lang_pred, score`` for every row; see :func:`predict_rows`."""
+    return predict_rows(docs, model, text_col).select(
+        f"row.{id_col}", held_out(f"row.{id_col}").alias("held_out"), "lang_pred", "score")
+
+
+def predict_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``row`` (all columns of ``docs``), ``lang_pred, score``, from the text alone.
 
     A null text, or one without a letter, is ``und`` with score 0, as is every
-    text when nothing could be learned.  Rows that repeat an id stay separate;
-    an empty table gives an empty result; other columns are not read.
+    text when nothing could be learned.  Every row gives a row, repeated ones
+    too; an empty table gives an empty result; other columns are carried along.
     """
     import pyarrow as pa
 
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = dict(docs.dtypes)[id_col]
+    given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
 
     def run(batches):
         own = shared.value
         for batch in batches:
-            got = [own.predict(text.as_py()) for text in batch.column(2)]
+            texts = batch.column(0).field(text_col)
+            got = [own.predict(text.as_py()) for text in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.float64())], ["id", "held_out", "lang_pred", "score"])
+                [batch.column(0), pa.array([g[0] for g in got], pa.string()),
+                 pa.array([g[1] for g in got], pa.float64())], ["row", "lang_pred", "score"])
 
-    return docs.select(docs[id_col].alias("id"), held_out(id_col).alias("held_out"), docs[text_col].alias("text")) \
-        .mapInArrow(run, f"id {kind}, held_out boolean, lang_pred string, score double") \
-        .withColumnRenamed("id", id_col)
+    return given.mapInArrow(run, StructType([
+        *given.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

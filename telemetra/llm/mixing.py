@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from telemetra.llm.common import BLANK, stored, text_of
 
+#: Pieces up to which they are broadcast to the texts (about 60 bytes each).
+BROADCAST_PIECES = 1_000_000
+
 WEIGHTS = (5, 2, 1)
 #: A draw handles fewer than a thousand million blocks; larger inputs get larger blocks.
 MOST_BLOCKS = 500_000_000
@@ -85,8 +88,8 @@ def mix(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: st
     """``(rows, pieces)``.
 
     ``rows`` has a row per document: ``row, id, size, source_size, target``.
-    ``pieces`` has what the mix takes: ``row, id, shard, pass, first_word,
-    n_words, order_key`` (words ``first_word .. first_word + n_words - 1`` of
+    ``pieces`` has what the mix takes: ``row, id, size, shard, pass,
+    first_word, n_words, order_key`` (words ``first_word .. first_word + n_words - 1`` of
     the document, in reading pass ``pass``); a shard's content is its pieces in
     ``order_key`` order.  Every source gives its rounded target exactly.  Null
     and blank texts have size 0 and give no piece; a null source is a source
@@ -136,7 +139,7 @@ def mix(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: st
         F.greatest(F.col("start"), F.col("cuts")[k]).alias("a"),
         F.least(F.col("start") + F.col("size"), F.col("cuts")[k + 1]).alias("b")))
     pieces = again.withColumn("part", F.explode(F.filter(parts, lambda p: p["a"] < p["b"]))).select(
-        "row", "id", "part.shard", "pass", (F.col("part.a") - F.col("start")).alias("first_word"),
+        "row", "id", "size", "part.shard", "pass", (F.col("part.a") - F.col("start")).alias("first_word"),
         (F.col("part.b") - F.col("part.a")).alias("n_words"),
         F.xxhash64(F.lit(seed), "part.shard", "id", "row", "pass").alias("order_key"))
     return rows.select("row", "id", "size", "source_size", "target"), pieces
@@ -151,3 +154,28 @@ def taken_words(rows: DataFrame, pieces: DataFrame) -> DataFrame:
     """``rows`` with ``taken``, the words that the mix takes of each document."""
     took = pieces.groupBy("row").agg(F.sum("n_words").alias("taken"))
     return rows.join(took, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    length_col: str | None = "n_chars", **options) -> DataFrame:
+    """The mix as documents: a row for every piece, with the columns of ``docs``.
+
+    A piece that is a whole document has its text; of others the text is the
+    words taken, joined by single blanks, and ``length_col`` is its length.
+    Rows are told apart by id and number of words.
+    """
+    _, pieces = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    wanted = stored(pieces.select(F.col("id").alias("of"), "first_word", F.col("n_words").alias("take"), "size"),
+                    "mix-pieces")
+    if wanted.count() <= BROADCAST_PIECES:
+        wanted = F.broadcast(wanted)
+    given = docs.withColumn("words in text", n_words(text_col))
+    joined = given.join(wanted, given[id_col].eqNullSafe(wanted["of"]) & (F.col("words in text") == wanted["size"]))
+    cut = wanted["take"] < wanted["size"]
+    words = F.regexp_extract_all(given[text_col], F.lit(f"[^{BLANK}]+"), F.lit(0))
+    part = F.array_join(F.slice(words, (wanted["first_word"] + 1).cast("int"), wanted["take"].cast("int")), " ")
+    text = F.when(cut, part).otherwise(given[text_col])
+    changed = {text_col: text}
+    if length_col in docs.columns:
+        changed[length_col] = F.when(cut, F.length(part).cast("long")).otherwise(given[length_col])
+    return joined.select(*[changed.get(c, given[c]).alias(c) for c in docs.columns])
