@@ -9,6 +9,7 @@ from telemetra.llm import langid
 from telemetra.llm.bpe import Tokenizer
 from telemetra.llm.exact_dedup import exact_dedup
 from telemetra.llm.jaccard_join import jaccard_components
+from telemetra.llm.lm_score import stupid_backoff
 from telemetra.llm.mixing import mix, taken_words
 from telemetra.llm.quality_rules import quality_rules
 from telemetra.llm.secret_scan import secret_scan
@@ -65,6 +66,10 @@ def op6_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stupid_backoff(documents(spark, sf_dir))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken_words(*mix(documents(spark, sf_dir))).select(
         F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -85,6 +90,7 @@ QUERIES = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_language_id": op5_language_id,
     "op6_histogram_sort_shards": op6_histogram_sort_shards,
+    "op7_stupid_backoff": op7_stupid_backoff,
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
@@ -140,6 +146,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        host_docs, round(rate_short, 6) AS rate_short, round(rate_repeats, 6) AS rate_repeats,
        round(rate_symbols, 6) AS rate_symbols, round(rate_dup_lines, 6) AS rate_dup_lines
 FROM f JOIN rate ON f.source IS NOT DISTINCT FROM rate.source
+""",
+    "op7_stupid_backoff": """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (
+  SELECT doc_id, w[i] AS w, CASE WHEN i = 1 THEN ' ' ELSE w[i - 1] END AS v
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+uni AS (SELECT w, count(*) AS c FROM t GROUP BY w),
+ctx AS (SELECT w AS v, c FROM uni UNION ALL SELECT ' ', count(*) FROM d WHERE len(w) > 0),
+own AS (SELECT doc_id, v, w, count(*) AS cd FROM t GROUP BY doc_id, v, w),
+big AS (SELECT v, w, sum(cd) AS c FROM own GROUP BY v, w),
+s AS (
+  SELECT doc_id, sum(cd * CAST(round(1e6 * log10(CASE
+           WHEN big.c > cd THEN CAST(big.c - cd AS DOUBLE) / ctx.c
+           ELSE CAST(0.4 AS DOUBLE) * uni.c / (SELECT count(*) FROM t) END)) AS BIGINT)) AS score
+  FROM own JOIN big USING (v, w) JOIN ctx USING (v) JOIN uni USING (w) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(CAST(score AS DOUBLE), 0) / 1e6 AS log_score,
+       round(CAST(score AS DOUBLE) / 1e6 / len(w), 6) AS mean_score
+FROM d LEFT JOIN s USING (doc_id)
 """,
     "op9_exact_dedup": """
 WITH n AS (
