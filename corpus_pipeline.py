@@ -18,7 +18,7 @@ from telemetra.llm.mixing import mixed_documents
 from telemetra.llm.queries import tokenizer
 
 #: Documents whose language is less certain than this go, as do those without a letter.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 @stage
