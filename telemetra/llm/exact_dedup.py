@@ -65,7 +65,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                            F.col("id").alias("c"), F.col("row").alias("d"))).alias("best"),
         ).filter("size > 1"), "msd-groups")
         ended = (F.col("size").isNull()) | (F.col("n_bytes") <= at)
-        split = stored(state.join(groups, ["grp", "n_bytes", "slice"], "left").select(
+        split = stored(state.join(groups.hint("merge"), ["grp", "n_bytes", "slice"], "left").select(
             "id", "row", "n_cp", "sha", "n_bytes", "carried", ended.alias("ended"),
             F.coalesce("size", F.lit(1)).cast("long").alias("size"),
             F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("best.c")).alias("keep_id"),
