@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from telemetra.llm.common import stored, text_of
 
 #: Marks matches; a text's own marker characters become the other one, which no pattern matches.
-MARK, OTHER = "", ""
+MARK, OTHER = "\ue000", "\ue001"
 VALUE = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: Runs of one class: a run that is long enough is the base match of the same place.
 ACCESS = "AKIA[A-Z0-9]{16,}"
