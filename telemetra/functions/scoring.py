@@ -113,8 +113,9 @@ def anomaly_label(score) -> Column:
 
 
 def failure_probability(degradation) -> Column:
-    """min(1, exp(3 d - 2))."""
-    return F.least(F.lit(1.0), F.exp(_c(degradation) * 3 - 2))
+    """min(1, exp(3 d - 2)); null for a missing index."""
+    p = F.exp(_c(degradation) * 3 - 2)
+    return F.when(p.isNotNull(), F.least(F.lit(1.0), p))
 
 
 def recommendation(rul_days, prob=None, mode: str = "model") -> Column:

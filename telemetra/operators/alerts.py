@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra.functions.scoring import rule_severity
+from telemetra.operators.sequence import null_safe_join
 from telemetra.profile import (ALARM_CODES, DEFAULT_COOLDOWN_MINUTES, DEFAULT_RULES,
                                DERIVED_ALARMS, SEVERITY_COLOURS)
 from telemetra.session import cut_lineage
@@ -113,80 +114,78 @@ def evaluate_rules(long_df: DataFrame, rules: DataFrame, asset: str, ts: str,
 
 def apply_cooldown(events: DataFrame, ts: str, key_cols: Sequence[str], id_col: str = "alert_id",
                    cooldown_col: str | None = "cooldown_minutes",
-                   cooldown_minutes: float | None = None, max_levels: int | None = None
-                   ) -> DataFrame:
+                   cooldown_minutes: float | None = None) -> DataFrame:
     """Greedy cooldown -- an event fires when no event of its key fired
     in the last ``cooldown`` (ts - last_fired >= cooldown fires).
 
-    The greedy chain is found without sorting a key in one task:
+    Of events of one key at one instant only the first by ``id_col`` can fire
+    (with a cooldown of 0 all events fire), so a place in the chain is a (key,
+    time) pair, whatever the ids.  The chain is found without sorting a key in
+    one task:
 
     * time is cut into chunks one cooldown long; at most one event per key
       fires in a chunk;
-    * each event's successor (first event at or after ts + cooldown) lies in
-      the next chunk or is the first event of a later non-empty chunk; both
+    * each place's successor (first place at or after ts + cooldown) lies in
+      the next chunk or is the first of a later non-empty chunk; both
       are found with windows over (key, chunk) partitions only;
-    * pointer doubling (log2 rounds of id joins, each level checkpointed)
-      gives 2**k-th successors, and the fired set {succ^m(first event)} is
+    * pointer doubling (log2 rounds of joins, each level checkpointed)
+      gives 2**k-th successors, and the fired set {succ^m(first place)} is
       enumerated from the highest level down.
 
     ``key_cols`` = (asset, rule) for per-asset cooldown, or (rule,) for the
-    source behaviour where one asset silences the others.  One cooldown per
-    key is required (taken from ``cooldown_col`` or ``cooldown_minutes``).
+    source behaviour where one asset silences the others; null keys are a key.
+    One cooldown per key is required (taken from ``cooldown_col`` or
+    ``cooldown_minutes``).
     """
     key = list(key_cols)
-    if cooldown_minutes is not None:
-        ev = events.withColumn("_cd", F.lit(float(cooldown_minutes)))
-    else:
-        ev = events.withColumn("_cd", F.col(cooldown_col).cast("double"))
-    ev = ev.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp"))) \
-        .withColumn("_L", (F.col("_cd") * 60_000_000).cast("long")) \
-        .withColumn("_c", F.floor(F.col("_t") / F.col("_L")).cast("long"))
-    node = F.struct(F.col("_t").alias("t"), F.col(id_col).alias("id"))
-    base = ev.select(*key, id_col, "_t", "_L", "_c", node.alias("_n"))
-
-    # first event of every non-empty chunk, and of the next chunk >= c + 2
-    heads = base.groupBy(*key, "_c").agg(F.min("_n").alias("_h"), F.first("_L").alias("_L"))
+    minutes = F.lit(float(cooldown_minutes)) if cooldown_minutes is not None else F.col(cooldown_col).cast("double")
+    ev = events.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp"))) \
+        .withColumn("_L", (minutes * 60_000_000).cast("long"))
+    always = ev.filter("_L <= 0").select(*events.columns)
+    rest = [c for c in events.columns if c != id_col and c not in key]
+    places = ev.filter("_L > 0").groupBy(*key, "_t").agg(
+        F.min("_L").alias("_L"), F.min(F.struct(id_col, *rest)).alias("_row"))
+    places = cut_lineage(places.withColumn("_c", F.floor(F.col("_t") / F.col("_L")).cast("long")))
+    base = places.select(*key, "_t", "_L", "_c")
+
+    # first place of every non-empty chunk, and of the next chunk >= c + 2
+    heads = base.groupBy(*key, "_c").agg(F.min("_t").alias("_h"))
     wk = Window.partitionBy(*key).orderBy("_c")
     heads = heads.select(
         *key, "_c", "_h",
         F.when(F.lead("_c", 1).over(wk) >= F.col("_c") + 2, F.lead("_h", 1).over(wk))
         .otherwise(F.lead("_h", 2).over(wk)).alias("_far"))
 
-    # probes (ts + L) of chunk c meet the events of chunk c + 1
+    # probes (ts + L) of chunk c meet the places of chunk c + 1
+    none = F.lit(None).cast("long")
     probes = base.select(*key, (F.col("_c") + 1).alias("_pc"), (F.col("_t") + F.col("_L")).alias("_pt"),
-                         F.lit(0).alias("_kind"), F.col(id_col).alias("_src"),
-                         F.lit(None).cast(base.schema["_n"].dataType).alias("_n"))
+                         F.lit(0).alias("_kind"), F.col("_t").alias("_src"), none.alias("_n"))
     cands = base.select(*key, F.col("_c").alias("_pc"), F.col("_t").alias("_pt"),
-                        F.lit(1).alias("_kind"), F.lit(None).cast(base.schema[id_col].dataType)
-                        .alias("_src"), "_n")
-    merged = probes.unionByName(cands)
-    wdesc = Window.partitionBy(*key, "_pc").orderBy(
-        F.col("_pt").desc(), F.col("_kind").desc(), F.col("_n").desc()).rowsBetween(
+                        F.lit(1).alias("_kind"), none.alias("_src"), F.col("_t").alias("_n"))
+    wdesc = Window.partitionBy(*key, "_pc").orderBy(F.col("_pt").desc(), F.col("_kind").desc()).rowsBetween(
         Window.unboundedPreceding, -1)
-    near = merged.withColumn("_nx", F.last("_n", ignorenulls=True).over(wdesc)) \
-        .filter(F.col("_kind") == 0).select(*key, F.col("_src").alias(id_col),
-                                           (F.col("_pc") - 1).alias("_c"), "_nx")
-    succ = near.join(heads.select(*key, "_c", "_far"), on=[*key, "_c"], how="left") \
-        .select(*key, id_col, F.coalesce("_nx.id", "_far.id").alias("_j"))
+    near = probes.unionByName(cands).withColumn("_nx", F.last("_n", ignorenulls=True).over(wdesc)) \
+        .filter(F.col("_kind") == 0).select(*key, F.col("_src").alias("_t"), (F.col("_pc") - 1).alias("_c"), "_nx")
+    succ = null_safe_join(near, heads.select(*key, "_c", "_far"), [*key, "_c"], "left") \
+        .select(*key, "_t", F.coalesce("_nx", "_far").alias("_j"))
 
     # number of levels: chain length <= non-empty chunks of a key
-    if max_levels is None:
-        most = heads.groupBy(*key).count().agg(F.max("count")).first()[0] or 1
-        max_levels = max(1, math.ceil(math.log2(most + 1)))
-    levels = [cut_lineage(succ.select(id_col, "_j"))]
-    for _ in range(max_levels):
+    most = heads.groupBy(*key).count().agg(F.max("count")).first()[0] or 1
+    levels = [cut_lineage(succ)]
+    for _ in range(max(1, math.ceil(math.log2(most + 1)))):
         prev = levels[-1]
-        nxt = prev.alias("a").join(prev.alias("b"), F.col("a._j") == F.col(f"b.{id_col}"),
-                                   "left").select(F.col(f"a.{id_col}"), F.col("b._j").alias("_j"))
-        levels.append(cut_lineage(nxt))
-    # walk: start from the first event of every key
-    first = heads.groupBy(*key).agg(F.min("_h").alias("_h")).select(F.col("_h.id").alias(id_col))
-    fired = first
-    for lvl in reversed(levels):
-        step = fired.join(lvl, on=id_col, how="inner").filter(F.col("_j").isNotNull()) \
-            .select(F.col("_j").alias(id_col))
+        then = prev.select(*key, F.col("_t").alias("_j"), F.col("_j").alias("_k"))
+        levels.append(cut_lineage(null_safe_join(prev, then, [*key, "_j"], "left")
+                                  .select(*key, "_t", F.col("_k").alias("_j"))))
+    # walk: start from the first place of every key
+    fired = base.groupBy(*key).agg(F.min("_t").alias("_t"))
+    for level in reversed(levels):
+        step = null_safe_join(fired, level, [*key, "_t"]).filter(F.col("_j").isNotNull()) \
+            .select(*key, F.col("_j").alias("_t"))
         fired = cut_lineage(fired.unionByName(step))
-    return events.join(fired, on=id_col, how="left_semi")
+    out = null_safe_join(places, fired, [*key, "_t"])
+    named = [F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in events.columns]
+    return out.select(*named).unionByName(always)
 
 
 def alert_log(events: DataFrame, ts: str, limit: int = 100) -> DataFrame:
@@ -282,11 +281,13 @@ def fault_alerts(readings: DataFrame, asset: str, ts: str, fault_col: str,
 
 def filter_alerts(alerts: DataFrame, severity: str | None = None, active_only: bool = False,
                   resolved_col: str = "resolved") -> DataFrame:
-    """Severity filter and unresolved-only filter."""
+    """Severity filter and unresolved-only filter (which needs ``resolved_col``)."""
     out = alerts
+    if active_only and resolved_col not in alerts.columns:
+        raise ValueError(f"no column {resolved_col!r} tells which alerts are active")
     if severity:
         out = out.filter(F.col("severity") == severity)
-    if active_only and resolved_col in out.columns:
+    if active_only:
         out = out.filter(~F.coalesce(F.col(resolved_col), F.lit(False)))
     return out
 

@@ -69,7 +69,7 @@ def null_out_of_range(df: DataFrame, limits: Mapping[str, tuple[float, float]])
 
 
 def fill_previous(df: DataFrame, profile: SensorProfile, sensors: Iterable[str] | None = None,
-                  mode: str = "one_step", strategy: str = "auto",
+                  mode: str = "one_step", strategy: str = "chunked",
                   keep_sequence: bool = False) -> DataFrame:
     """C4: fill nulls from earlier rows of the same asset.
 
@@ -100,7 +100,7 @@ def fill_previous(df: DataFrame, profile: SensorProfile, sensors: Iterable[str]
         carry = last_in_block.select(a, seq.BLK, *[
             F.last(F.col(f"_lb_{c}"), ignorenulls=True).over(carry_w).alias(f"_cy_{c}")
             for c in sensors])
-        out = out.join(carry, on=[a, seq.BLK], how="left").withColumns({
+        out = seq.null_safe_join(out, carry, [a, seq.BLK], "left").withColumns({
             c: F.coalesce(F.col(c), F.col(f"_cy_{c}")) for c in sensors}).drop(
             *[f"_cy_{c}" for c in sensors])
     else:
@@ -116,14 +116,13 @@ def drop_incomplete(df: DataFrame, sensors: Iterable[str]) -> DataFrame:
 
 
 def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step",
-                   strategy: str = "auto", keep_sequence: bool = False) -> DataFrame:
+                   strategy: str = "chunked", keep_sequence: bool = False) -> DataFrame:
     """C2-C5 chain: dedup, out-of-range to null, fill, drop incomplete rows.
 
     With ``keep_sequence`` the result keeps ``_rn``/``_cnt`` renumbered over
     the surviving rows, so a following windowed stage need not number again.
     """
     sensors = list(profile.sensors)
-    strategy = seq.choose_strategy(df, profile, strategy)  # raw rows bound cleaned rows
     if strategy == "direct":
         return _clean_direct(df, profile, sensors, mode, keep_sequence)
     x = nan_to_null(df, sensors)
@@ -138,7 +137,7 @@ def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step"
 
 def _clean_direct(df: DataFrame, profile: SensorProfile, sensors: list[str], mode: str,
                   keep_sequence: bool) -> DataFrame:
-    """Bounded assets (checked): one shuffle by asset, one time-ordered sort.
+    """The reference form of tests: one shuffle by asset, one time-ordered sort.
 
     Copies of (asset, ts) are adjacent in (ts, tiebreak) order, so the first
     of each run survives (the same survivor as ``dedup_readings``); the fill
@@ -174,7 +173,8 @@ def with_physics(df: DataFrame, discharge: str = "discharge_pressure_bar",
     return df.withColumns({
         "pressure_ratio": F.try_divide(d, i),
         "heat_rate": F.try_divide(f * 3600 * 45, l + 0.01),
-        "efficiency_pct": F.least(F.greatest(eff, F.lit(50.0)), F.lit(110.0)),
+        # least and greatest skip nulls; a missing reading stays missing
+        "efficiency_pct": F.when(eff.isNotNull(), F.least(F.greatest(eff, F.lit(50.0)), F.lit(110.0))),
     })
 
 

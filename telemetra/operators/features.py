@@ -21,12 +21,7 @@ from telemetra.profile import SensorProfile
 def _framed(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int,
             strategy: str, block_rows: int | None) -> DataFrame:
     if seq.RN not in df.columns:
-        strategy = seq.choose_strategy(df, profile, strategy)
         df = seq.number_rows(df, profile, strategy=strategy)
-    elif strategy == "auto":
-        # numbered upstream: blocks are exact for any numbering and cost no
-        # extra shuffle for assets smaller than a block
-        strategy = "chunked"
     return seq.blocked(df, profile, lookback, lookahead, strategy=strategy, block_rows=block_rows)
 
 
@@ -37,7 +32,7 @@ def _finish(df: DataFrame, keep_sequence: bool) -> DataFrame:
 
 def rolling_stats(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] | None = None,
                   windows: Sequence[int] = (12, 144), stats: Sequence[str] = (
-                      "mean", "std", "min", "max"), strategy: str = "auto",
+                      "mean", "std", "min", "max"), strategy: str = "chunked",
                   block_rows: int | None = None, keep_sequence: bool = False) -> DataFrame:
     """``<sensor>_rolling_<stat>_<w>`` over ``rowsBetween(-w, 0)``."""
     sensors = list(sensors or profile.sensors)
@@ -48,7 +43,7 @@ def rolling_stats(df: DataFrame, profile: SensorProfile, sensors: Sequence[str]
 
 
 def rate_of_change(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] | None = None,
-                   strategy: str = "auto", block_rows: int | None = None,
+                   strategy: str = "chunked", block_rows: int | None = None,
                    keep_sequence: bool = False) -> DataFrame:
     """X - lag(x) and its difference, x - 2 lag(x) + lag(x, 2)."""
     sensors = list(sensors or profile.sensors)
@@ -68,7 +63,7 @@ def _rate_cols(sensors: Iterable[str], w: Window) -> dict[str, Column]:
 
 def zscore_flags(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] | None = None,
                  lookback: int = 288, sigma: float = 3.0, min_sensors: int = 2,
-                 strategy: str = "auto", block_rows: int | None = None,
+                 strategy: str = "chunked", block_rows: int | None = None,
                  keep_sequence: bool = False) -> DataFrame:
     """Rolling z-score per sensor, flags, anomaly_score, is_anomaly.
 
@@ -109,7 +104,7 @@ def cross_sensor(df: DataFrame, **roles) -> DataFrame:
 
 def silver_features(clean: DataFrame, profile: SensorProfile, windows: Sequence[int] = (12, 144),
                     lookback: int = 288, sigma: float = 3.0, min_sensors: int = 2,
-                    cross_roles: dict | None = None, strategy: str = "auto",
+                    cross_roles: dict | None = None, strategy: str = "chunked",
                     block_rows: int | None = None) -> DataFrame:
     """Feature tier in one blocked pass: rolling (W1), rate/acceleration
     (W2/W3), cross-sensor (S1, when roles are given) and z-score flags (W4).
@@ -130,22 +125,19 @@ def silver_features(clean: DataFrame, profile: SensorProfile, windows: Sequence[
 
 
 def fault_episodes(df: DataFrame, profile: SensorProfile, fault_col: str = "fault",
-                   strategy: str = "auto", block_rows: int | None = None) -> DataFrame:
+                   strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
     """One row per 0->1 transition (previous state of the first row is 0).
 
     Returns (asset, episode, start_ts, start_rn); ``episode`` numbers the
     starts of one asset from 1.  Counting and the first-10 list are
     ``groupBy``/``filter(episode <= 10)`` on this result.
     """
-    # resolve once on the input: an asset never has more starts than rows
-    strategy = seq.choose_strategy(df, profile, strategy) if seq.RN not in df.columns else (
-        "chunked" if strategy == "auto" else strategy)
     frame = _framed(df, profile, 1, 0, strategy, block_rows)
     prev = F.lag(F.col(fault_col), 1, 0).over(seq.ordered_window(profile))
     starts = seq.drop_halo(frame.withColumn("_prev", prev)).filter(
         (F.col(fault_col) == 1) & (F.col("_prev") != 1))
-    # number the starts per asset with the same size-checked numbering (an
-    # asset that flips often may have as many starts as a hot asset has rows)
+    # number the starts per asset the same way (an asset that flips often may
+    # have as many starts as a hot asset has rows)
     starts = starts.select(profile.asset, *profile.order_cols, F.col(seq.RN).alias("start_rn"))
     numbered = seq.number_rows(starts, profile, strategy=strategy, with_count=False)
     return numbered.select(profile.asset, F.col(seq.RN).alias("episode"),
@@ -154,7 +146,7 @@ def fault_episodes(df: DataFrame, profile: SensorProfile, fault_col: str = "faul
 
 def sequences(df: DataFrame, profile: SensorProfile, features: Sequence[str],
               targets: Sequence[str], seq_len: int = 48, horizon: int = 12,
-              strategy: str = "auto", block_rows: int | None = None) -> DataFrame:
+              strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
     """Sliding training sequences.
 
     Row i (1-based) ending an input window yields ``x`` = features of rows
@@ -180,7 +172,7 @@ def sequences(df: DataFrame, profile: SensorProfile, features: Sequence[str],
 
 
 def chronological_split(df: DataFrame, profile: SensorProfile, validation: float = 0.2,
-                        strategy: str = "auto") -> DataFrame:
+                        strategy: str = "chunked") -> DataFrame:
     """Mark the first (1 - validation) share of each asset's rows as train.
 
     Adds ``split`` = 'train' / 'validation'; the cut is floor(n * (1 - v)).
@@ -191,3 +183,12 @@ def chronological_split(df: DataFrame, profile: SensorProfile, validation: float
     cut = F.floor(F.col(seq.CNT) * (1 - validation))
     out = x.withColumn("split", F.when(F.col(seq.RN) <= cut, "train").otherwise("validation"))
     return out if numbered else out.drop(seq.RN, seq.CNT)
+
+
+def split_sequences(seqs: DataFrame, validation: float = 0.2) -> DataFrame:
+    """Mark the first (1 - validation) share of each asset's sequences as train.
+
+    ``seqs`` comes from :func:`sequences`; the cut is floor(n_seq * (1 - v)).
+    """
+    cut = F.floor(F.col("n_seq") * (1 - validation))
+    return seqs.withColumn("split", F.when(F.col("seq_idx") <= cut, "train").otherwise("validation"))

@@ -1,28 +1,32 @@
 """Latest-N rows and row queries per asset.
 
-Positions come from :func:`sequence.number_rows` (time-chunked numbering),
-so "the last n rows of an asset" never needs one task per asset.
+"The last n rows of an asset" are a descending top-k, which Spark prunes
+before the shuffle.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra.operators import sequence as seq
 from telemetra.profile import SensorProfile
 
+POS = "pos_from_end"
 
-def last_n_rows(df: DataFrame, profile: SensorProfile, n: int, keep_position: bool = False,
-                strategy: str = "auto") -> DataFrame:
-    """The newest ``n`` rows of every asset (row count, not time)."""
-    numbered = df if seq.RN in df.columns else seq.number_rows(df, profile, strategy=strategy)
-    out = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - n)
-    if keep_position:
-        return out.withColumn("pos_from_end", F.col(seq.CNT) - F.col(seq.RN) + 1)
-    return out.drop(seq.RN, seq.CNT)
+
+def last_n_rows(df: DataFrame, profile: SensorProfile, n: int, keep_position: bool = False) -> DataFrame:
+    """The newest ``n`` rows of every asset (row count, not time).
+
+    A descending top-k: every map task keeps at most ``n`` rows of an asset,
+    so neither the table nor a hot asset is sorted as a whole.  With
+    ``keep_position``, ``pos_from_end`` numbers them from 1, the newest.
+    """
+    newest = Window.partitionBy(profile.asset).orderBy(*profile.order_exprs(descending=True))
+    out = df.drop(seq.RN, seq.CNT).withColumn(POS, F.row_number().over(newest)).filter(F.col(POS) <= n)
+    return out if keep_position else out.drop(POS)
 
 
 def last_hours(df: DataFrame, profile: SensorProfile, hours: float, as_of,
@@ -66,8 +70,7 @@ def latest_status(df: DataFrame, profile: SensorProfile, window_rows: int = 288,
                   health_col: str = "health_score") -> DataFrame:
     """A10: newest row per asset with its health/risk and the number of fault
     rows among the last ``window_rows`` rows (reported as active alerts)."""
-    numbered = seq.number_rows(df, profile)
-    tail = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - window_rows)
+    tail = last_n_rows(df, profile, window_rows)
     key = F.struct(*[F.col(c) for c in profile.order_cols])
     cols = [c for c in df.columns if c != profile.asset]
     agg = tail.groupBy(profile.asset).agg(

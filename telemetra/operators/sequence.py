@@ -40,19 +40,17 @@ RN, CNT, BLK, HALO = "_rn", "_cnt", "_blk", "_halo"
 _CHUNK, _LRN, _OFF, _CC = "_chunk", "_lrn", "_off", "_cc"
 
 
-def choose_strategy(df: DataFrame, profile: SensorProfile, strategy: str = "auto") -> str:
-    """Resolve ``auto``: ``direct`` when the largest asset fits in one block.
-
-    One aggregation over the asset column (pruned scan, map-side combine)
-    returns a single number.  Small assets then use plain per-asset windows
-    (one shuffle); a hot asset larger than ``block_rows`` switches the whole
-    operator to chunked numbering and blocks, so no task ever holds more
-    than a block plus its halo.
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which null equals null; the keys are kept once.
+
+    Rows without an asset or a time are rows like any others.
     """
-    if strategy != "auto":
-        return strategy
-    most = df.groupBy(profile.asset).count().agg(F.max("count")).first()[0] or 0
-    return "direct" if most <= profile.block_rows else "chunked"
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = None
+    for k in keys:
+        same = left[k].eqNullSafe(renamed[f"_right_{k}"])
+        condition = same if condition is None else condition & same
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def _chunk_expr(profile: SensorProfile) -> Column:
@@ -60,10 +58,9 @@ def _chunk_expr(profile: SensorProfile) -> Column:
     return F.floor(micros / F.lit(profile.chunk_seconds * 1_000_000)).cast("long")
 
 
-def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "auto",
+def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "chunked",
                 with_count: bool = True) -> DataFrame:
     """Add ``_rn`` (1-based position per asset in time order) and ``_cnt``."""
-    strategy = choose_strategy(df, profile, strategy)
     a = profile.asset
     order = profile.order_exprs()
     if strategy == "direct":
@@ -84,7 +81,7 @@ def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "auto",
                    F.lit(0)).alias(_OFF),
         *([F.sum(_CC).over(Window.partitionBy(a)).alias(CNT)] if with_count else []),
     )
-    joined = local.join(offsets, on=[a, _CHUNK], how="inner")
+    joined = null_safe_join(local, offsets, [a, _CHUNK])
     return joined.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
         _CHUNK, _LRN, _OFF)
 
@@ -111,7 +108,7 @@ def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -
                    F.lit(0)).alias(_OFF),
         F.sum(_CC).over(Window.partitionBy(a)).alias(CNT),
     )
-    out = local.drop(CNT).join(offsets, on=[a, BLK], how="inner")
+    out = null_safe_join(local.drop(CNT), offsets, [a, BLK])
     return out.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
         _LRN, _OFF, BLK)
 
@@ -120,8 +117,7 @@ def blocked(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int
             strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
     """Deal numbered rows into blocks with halo copies (see module doc).
 
-    ``direct`` (or ``auto``, which cannot see sizes of a numbered frame
-    cheaply) keeps one block per asset only when asked explicitly;
+    ``direct`` keeps one block per asset (the reference form of tests);
     ``chunked`` blocks are correct for any numbering and, for assets smaller
     than a block, add no rows and no shuffle beyond the asset partitioning.
     """
@@ -147,9 +143,8 @@ def ordered_window(profile: SensorProfile) -> Window:
 
 
 def sequence_frame(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int = 0,
-                   strategy: str = "auto", block_rows: int | None = None) -> DataFrame:
-    """number_rows + blocked in one call (``auto`` resolved once here)."""
-    strategy = choose_strategy(df, profile, strategy)
+                   strategy: str = "chunked", block_rows: int | None = None) -> DataFrame:
+    """number_rows + blocked in one call."""
     numbered = number_rows(df, profile, strategy=strategy)
     return blocked(numbered, profile, lookback, lookahead, strategy, block_rows)
 
@@ -165,9 +160,9 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
     ``specs``: (output_name, input_column, w, kind) with kind in
     ``mean std min max``.  ``frame`` must come from :func:`sequence_frame`
     (or :func:`blocked`) with ``lookback >= w``.  Results equal
-    ``avg/stddev_samp/min/max`` over the direct frame; a window variance
-    below 1e-12 of the mean square (of values shifted by a block constant)
-    is taken as exactly zero, as a Welford update gives for constant data.
+    ``avg/stddev_samp/min/max`` over the direct frame.  Values are shifted by
+    the mean of their block before squares are summed; a frame whose values are all equal has
+    standard deviation exactly 0, as its least and greatest value agree.
 
     Plan shape per distinct w: one sort on (asset, block, segment, row)
     shared by the prefix frames, segment totals, the block shift and the
@@ -196,14 +191,13 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
             if kind in ("mean", "std"):
                 k.update({"n", "s"})
             if kind == "std":
-                k.add("q")
+                k.update({"q", "min", "max"})
             if kind in ("min", "max"):
                 k.update({"n", kind})
         # block-local shift keeps sums of squares well conditioned
         shifts = {src: f"_c{w}_{src}" for src in srcs if need[src] & {"s", "q"}}
         out = out.select("*", *[
-            F.first(F.col(src), ignorenulls=True).over(
-                ordw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(c)
+            F.avg(F.col(src)).over(Window.partitionBy(a, BLK)).alias(c)
             for src, c in shifts.items()])
         parts: list[Column] = []
         for src in srcs:
@@ -266,9 +260,9 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
                     final.append(F.when(n > 0, c + s_ / n).alias(name))
                 else:
                     q = add("q", src)
-                    var = (q - s_ * s_ / n) / (n - 1)
-                    var = F.when(var <= F.lit(1e-12) * (q / n), F.lit(0.0)).otherwise(var)
-                    final.append(F.when(n > 1, F.sqrt(var)).alias(name))
+                    var = F.greatest((q - s_ * s_ / n) / (n - 1), F.lit(0.0))
+                    flat = ext("lo", src, F.least) == ext("hi", src, F.greatest)
+                    final.append(F.when(n > 1, F.when(flat, F.lit(0.0)).otherwise(F.sqrt(var))).alias(name))
         helper = [c for c in out.columns if c.startswith(
             (f"_p{w}", f"_t{w}", f"_x{w}", f"_l{w}", f"_c{w}_")) or c in (seg, f"_ls{w}")]
         out = out.select(*[c for c in out.columns if c not in helper], *final)

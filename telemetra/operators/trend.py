@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from telemetra.functions.scoring import (failure_probability, failure_risk,
                                          recommendation)
 from telemetra.operators import sequence as seq
+from telemetra.operators.lastn import POS, last_n_rows
 from telemetra.profile import DEGRADATION_WEIGHTS, SensorProfile
 
 SLOPE_EPS = 1e-12  # slopes below this are float noise, treated as flat
@@ -54,7 +55,8 @@ def degradation_index(df: DataFrame, baseline: Mapping[str, tuple[float, float]]
             dev = (F.lit(m) - F.col(col)) / (F.lit(sd) + 1e-10)
         else:
             dev = (F.col(col) - F.lit(m)) / (F.lit(sd) + 1e-10)
-        score = F.least(F.greatest(dev / 5.0, F.lit(0.0)), F.lit(1.0))
+        # a missing sensor makes the index missing, not zero
+        score = F.when(dev.isNotNull(), F.least(F.greatest(dev / 5.0, F.lit(0.0)), F.lit(1.0)))
         w = weights.get(role, 1.0 / len(present))
         total = score * w if total is None else total + score * w
         wsum += w
@@ -80,15 +82,15 @@ def estimate_rul(df: DataFrame, profile: SensorProfile, value_col: str = "degrad
     prof = profile.with_(asset="_grp") if group_cols else profile
     x = df.withColumn("_grp", F.concat_ws("\u0001", *[F.col(c).cast("string") for c in keys])) \
         if group_cols else df
-    numbered = seq.number_rows(x, prof)
-    recent = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - window)
-    pos = (F.col(seq.RN) - F.greatest(F.col(seq.CNT) - window, F.lit(0)) - 1).cast("double")
+    recent = last_n_rows(x, prof, window, keep_position=True)
+    # regression slopes and R^2 do not depend on where the axis starts
+    pos = -F.col(POS).cast("double")
     y = F.col(value_col)
     agg = recent.withColumn("_x", pos).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.regr_count(y, "_x").alias("_k"),
         F.regr_slope(y, "_x").alias("_slope"), F.regr_syy(y, "_x").alias("_syy"),
         F.regr_sxy(y, "_x").alias("_sxy"),
-        F.max_by(y, F.col(seq.RN)).alias("_cur"))
+        F.max_by(y, "_x").alias("_cur"))
     slope, cur = F.col("_slope"), F.col("_cur")
     fit = (F.col("_n") >= 2) & (F.col("_k") >= 2)
     rul = (F.when(~fit, F.lit(None).cast("double"))
@@ -129,15 +131,14 @@ def failure_prediction(df: DataFrame, profile: SensorProfile, vib_col: str, temp
     0..365; d >= 0.7 -> (1 - d) * 10; else 180.  Assets with fewer than
     ``min_rows`` rows get ``sufficient_data = false`` and null predictions.
     """
-    numbered = seq.number_rows(df, profile)
-    recent = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - window_rows)
-    pos = (F.col(seq.RN) - F.greatest(F.col(seq.CNT) - window_rows, F.lit(0)) - 1).cast("double")
+    recent = last_n_rows(df, profile, window_rows, keep_position=True)
+    pos = -F.col(POS).cast("double")
     fault = F.col(fault_col) if fault_col else profile.fault_col()
     agg = recent.withColumn("_x", pos).groupBy(profile.asset).agg(
         F.count(F.lit(1)).alias("_n"),
         F.regr_slope(F.col(vib_col), "_x").alias("_vs"),
-        F.max_by(F.col(vib_col), F.col(seq.RN)).alias("_v"),
-        F.max_by(F.col(temp_col), F.col(seq.RN)).alias("_t"),
+        F.max_by(F.col(vib_col), "_x").alias("_v"),
+        F.max_by(F.col(temp_col), "_x").alias("_t"),
         F.avg(fault.cast("double")).alias("_fr"))
     vdev = F.greatest(F.lit(0.0), (F.col("_v") - vib_base[0]) / vib_base[1])
     tdev = F.greatest(F.lit(0.0), (F.col("_t") - temp_base[0]) / temp_base[1])
@@ -173,9 +174,8 @@ def linear_forecast(df: DataFrame, profile: SensorProfile, sensors: Sequence[str
     as 0.  Output (asset, sensor, step, value); assets with < 2 rows give
     nothing."""
     sensors = list(sensors or profile.sensors)
-    numbered = seq.number_rows(df, profile)
-    last = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - fit_rows)
-    pos = (F.col(seq.RN) - F.greatest(F.col(seq.CNT) - fit_rows, F.lit(0)) - 1).cast("double")
+    last = last_n_rows(df, profile, fit_rows, keep_position=True)
+    pos = -F.col(POS).cast("double")  # the newest row is at -1, the first forecast at 0
     long_df = last.withColumn("_x", pos).select(
         profile.asset, "_x", *[F.coalesce(F.col(s).cast("double"), F.lit(0.0)).alias(s)
                                for s in sensors]).unpivot([profile.asset, "_x"], sensors,
@@ -187,7 +187,7 @@ def linear_forecast(df: DataFrame, profile: SensorProfile, sensors: Sequence[str
     out = fit.select(profile.asset, "sensor", "_k", "_a", "_b",
                      F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step"))
     return out.select(profile.asset, "sensor", "step",
-                      (F.col("_a") + F.col("_b") * (F.col("_k") - 1 + F.col("step"))).alias("value"))
+                      (F.col("_a") + F.col("_b") * (F.col("step") - 1)).alias("value"))
 
 
 def forecast_bands(forecast: DataFrame, as_of: Column | str, horizon_minutes: int = 60,
@@ -267,13 +267,12 @@ def forecast(model: ForecasterModel, df: DataFrame, profile: SensorProfile) -> D
     listed with ``sufficient_data = false``."""
     from pyspark.ml.functions import array_to_vector
 
-    numbered = seq.number_rows(df, profile)
-    last = numbered.filter(F.col(seq.RN) > F.col(seq.CNT) - model.seq_len)
+    last = last_n_rows(df, profile, model.seq_len, keep_position=True)
     feat = F.array(*[F.col(c).cast("double") for c in model.features])
     # windows of the last seq_len rows, in time order, per asset
     grouped = last.groupBy(profile.asset).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(seq.RN).alias("rn"), feat.alias("f"))))
-        .alias("_rows"), F.max(seq.CNT).alias("_cnt"))  # <= seq_len rows per asset
+        F.array_sort(F.collect_list(F.struct((-F.col(POS)).alias("rn"), feat.alias("f"))))
+        .alias("_rows"), F.count(F.lit(1)).alias("_cnt"))  # <= seq_len rows per asset
     ok = F.col("_cnt") >= model.seq_len
     vec = grouped.withColumn("sufficient_data", ok).withColumn(
         "raw", F.when(ok, array_to_vector(F.flatten(F.transform("_rows", lambda r: r["f"])))))

@@ -440,7 +440,7 @@ FROM ev WHERE severity <> 'HIGH' GROUP BY 1""")
 def q_alert_summary(spark, sf_dir):
     ev, _ = _li_events(spark, sf_dir)
     ev = ev.withColumnRenamed("l_suppkey", "turbine_id")
-    kept = ev.filter(F.col("severity") != "HIGH")
+    kept = ev.filter(F.col("severity") != "HIGH").withColumn("resolved", F.col("acknowledged"))
     out = AL.alert_summary(AL.filter_alerts(kept, active_only=True), ["turbine_id"], "l_shipdate")
     return out.select("turbine_id", *[F.col(c).cast("long") for c in
                                       ("total_active", "critical", "warning", "info")],

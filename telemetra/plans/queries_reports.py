@@ -15,8 +15,8 @@ from telemetra.operators import stats as ST
 from telemetra.operators import trend as TR
 from telemetra.plans import catalog as cat
 from telemetra.plans import reports as RP
-from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_SENSORS
-from telemetra.plans.queries_core import gold_kpis_frame, rnd
+from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_HEALTH, LINEITEM_SENSORS
+from telemetra.plans.queries_core import rnd
 from telemetra.plans.queries_more import (CORR_PAIRS, LI_ORDER, LI_UNPIVOT, RUL_ROLES,
                                           _corr_sql, _rul_frame)
 from telemetra.plans.registry import register
@@ -216,7 +216,7 @@ def q_quality_gates(spark, sf_dir):
     raw = cat.lineitem_readings(spark, sf_dir)
     clean = C.clean_readings(raw, LINEITEM, keep_sequence=True)
     feats = FT.zscore_flags(clean, LINEITEM, lookback=288)
-    kpis = gold_kpis_frame(spark, sf_dir)
+    kpis = K.with_health(K.hourly_kpis(feats, LINEITEM, grain="month", bucket_col="month_bucket"), **LINEITEM_HEALTH)
     out = RP.quality_gates(raw, feats, kpis, LINEITEM, present_tables=(
         "gold_turbine_hourly_kpis", "gold_turbine_latest_status", "gold_alert_history"))
     return out.select("tier", "gate", "value", "limit", "passed")
@@ -432,8 +432,11 @@ def q_alert_payload(spark, sf_dir):
 # Streaming: events replayed as daily files through the file stream
 # ---------------------------------------------------------------------------
 
+STREAM_FILES = 6
+
+
 def _events_stream(spark, sf_dir):
-    """Replay ``events`` as one file per day in the shared folder; stream them."""
+    """Replay ``events`` as files of consecutive days in the shared folder; one file per micro-batch."""
     import uuid
 
     from pyspark.sql import types as T
@@ -444,13 +447,20 @@ def _events_stream(spark, sf_dir):
     run = uuid.uuid4().hex[:12]
     src = scratch_path(spark, f"stream_events_{run}")
     ev = cat.events_readings(spark, sf_dir).select("user_id", "ts", "event_id", "event_type", "value")
-    ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(src)
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01"))
+    first, last = ev.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        ev.write.parquet(src)
+    else:
+        step = (last - first) // STREAM_FILES + 1
+        for start in range(first, last + 1, step):  # in order, so that event time advances file by file
+            ev.filter(day.between(start, start + step - 1)).coalesce(1).write.mode("append").parquet(src)
     schema = T.StructType([T.StructField("user_id", T.LongType()),
                            T.StructField("ts", T.TimestampNTZType()),
                            T.StructField("event_id", T.LongType()),
                            T.StructField("event_type", T.StringType()),
                            T.StructField("value", T.DoubleType())])
-    return run, STR.stream_readings(spark, src, schema, ts="ts")
+    return run, STR.stream_readings(spark, src, schema, max_files_per_trigger=1, ts="ts")
 
 
 def _run_to_parquet(spark, df, name):

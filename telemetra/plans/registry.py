@@ -34,5 +34,5 @@ def register(name: str, ids: str, sql: str | None):
 
 def all_queries() -> dict[str, Query]:
     # importing the modules fills REGISTRY
-    from telemetra.plans import queries_core, queries_more, queries_reports  # noqa: F401
+    from telemetra.plans import queries_checks, queries_core, queries_more, queries_reports  # noqa: F401
     return dict(REGISTRY)

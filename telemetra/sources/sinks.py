@@ -15,16 +15,16 @@ def write_append(df: DataFrame, path: str, partitions: Sequence[str] = ("year",
                  source_col: str = "source_file") -> None:
     """IO7: append, partitioned (e.g. by year, month, asset).
 
-    ``replace_sources`` makes re-runs idempotent: partitions are overwritten
-    dynamically, so re-ingesting the same files replaces instead of
-    duplicating (the source appends duplicates on every re-run).
+    ``replace_sources`` makes re-runs idempotent by source file: the table is
+    partitioned by ``source_col`` first and only the partitions of the sources
+    in ``df`` are overwritten, so ingesting a file again replaces its rows and
+    an increment of the same month keeps the earlier ones.
     """
-    w = df.write.partitionBy(*partitions)
+    w = df.write.partitionBy(*([source_col] if replace_sources else []), *partitions)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if replace_sources:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        w.mode("overwrite").parquet(path)
+        w.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
     else:
         w.mode("append").parquet(path)
 

@@ -45,10 +45,30 @@ def test_number_rows_chunked_equals_direct(spark):
     assert collect(a, ["asset", "k", "_rn", "_cnt"]) == collect(b, ["asset", "k", "_rn", "_cnt"])
 
 
-def test_auto_strategy_switches_on_size(spark):
-    df = readings(spark, n=50)
-    assert seq.choose_strategy(df, PROF.with_(block_rows=10_000)) == "direct"
-    assert seq.choose_strategy(df, PROF.with_(block_rows=60)) == "chunked"
+def test_null_assets_and_times_keep_their_rows(spark):
+    df = readings(spark, n=60).withColumn("asset", F.when(F.col("k") % 5 != 0, F.col("asset"))) \
+        .withColumn("ts", F.when(F.col("k") % 7 != 0, F.col("ts")))
+    for size in (16, 1 << 16):
+        p = PROF.with_(block_rows=size)
+        a, b = seq.number_rows(df, p, strategy="chunked"), seq.number_rows(df, p, strategy="direct")
+        assert a.count() == b.count() == df.count()
+        cols = ["asset", "ts", "k", seq.RN, seq.CNT]
+        assert sorted(map(str, a.select(*cols).collect())) == sorted(map(str, b.select(*cols).collect()))
+        assert C.clean_readings(df, p).count() == C.clean_readings(df, p, strategy="direct").count()
+        assert FT.rate_of_change(df, p).count() == df.count()
+
+
+def test_std_after_a_large_first_outlier(spark):
+    rows = [("a", T0 + dt.timedelta(minutes=i), i, 0.0 if i == 0 else 1e6 + (0.4 if i % 2 else -0.4), 0.0, 0)
+            for i in range(60)]
+    df = spark.createDataFrame([(r[0], r[1], r[2], r[3]) for r in rows], "asset string, ts timestamp, k int, x double")
+    p = PROF.with_(sensors=("x",), limits={})
+    got = {r["k"]: r["x_rolling_std_12"] for r in FT.rolling_stats(df, p, windows=(12,), stats=("std",)).collect()}
+    w = Window.partitionBy("asset").orderBy("ts").rowsBetween(-12, 0)
+    for r in df.withColumn("s", F.stddev_samp("x").over(w)).collect():
+        # blocks of 37 rows: the outlier moves the block's mean by 1e6 / 37, squares of that cost digits
+        assert got[r["k"]] == r["s"] or abs(got[r["k"]] - r["s"]) < 1e-5 * max(1.0, r["s"])
+
 
 
 @pytest.mark.parametrize("w", [1, 5, 12, 36])
@@ -110,7 +130,7 @@ def test_clean_readings_edges(spark):
 
 def test_last_n_rows_chunked(spark):
     df = readings(spark, n=100, nulls=0.0)
-    got = LN.last_n_rows(df, PROF, 7, strategy="chunked")
+    got = LN.last_n_rows(df, PROF, 7)
     w = Window.partitionBy("asset").orderBy(F.col("ts").desc(), F.col("k").desc())
     ref = df.withColumn("r", F.row_number().over(w)).filter("r <= 7")
     assert collect(got, ["asset", "k"]) == collect(ref, ["asset", "k"])
