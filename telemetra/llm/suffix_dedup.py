@@ -34,6 +34,8 @@ from telemetra.llm.common import discard, stored
 GRAM = 32
 #: Window starts handled at once; places within fit in 24 bits.
 CHUNK = 1 << 19
+#: Window hashes that a task gathers before it passes them on.
+FLUSH = 200_000
 #: Rows up to which per-document places are broadcast to the text (some 30 bytes each).
 BROADCAST_ROWS = 2_000_000
 
@@ -205,22 +207,29 @@ def _equal_windows(texts: DataFrame, runs: DataFrame, length: int) -> DataFrame:
     per_doc = runs.groupBy("doc").agg(F.collect_list(F.struct(
         (F.col("at") - F.col("left")).alias("start"), "run", (F.col("same_ctx") == 1).alias("ask"))).alias("runs"))
 
+    names = ["window", "doc", "start", "ask"]
+
     def windows(batches):
         for b in batches:
-            hashes, docs, starts, asks = [], [], [], []
-            for doc, raw, listed in zip(*(b.column(c).to_pylist() for c in range(3))):
-                for r in listed:
-                    n = r["run"] + 1
-                    part = np.frombuffer(raw, np.uint8, n + length - 1, r["start"]) \
-                        if r["start"] + n + length - 1 <= len(raw) else np.zeros(0, np.uint8)
-                    if len(part):
-                        hashes.append(_hashes(_sums(part), length).view(np.int64))
-                        docs.append(np.full(n, doc, np.int64))
-                        starts.append(np.arange(r["start"], r["start"] + n))
-                        asks.append(np.full(n, r["ask"]))
-            if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (hashes, docs, starts, asks)],
-                                                 ["window", "doc", "start", "ask"])
+            listed = b.column(2)
+            ends, of = listed.offsets.to_numpy(), listed.values
+            begins, lasts, asks = (of.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            parts, held = [], 0
+            for i, doc in enumerate(b.column(0).to_pylist()):
+                raw = np.frombuffer(b.column(1)[i].as_buffer(), np.uint8)
+                for begin, last, ask in zip(begins[ends[i]:ends[i + 1]].tolist(), lasts[ends[i]:ends[i + 1]].tolist(),
+                                            asks[ends[i]:ends[i + 1]].tolist()):
+                    n = last + 1
+                    if begin + last + length > len(raw):
+                        continue  # a run of another text of this id
+                    hashes = _hashes(_sums(raw[begin:begin + last + length]), length).view(np.int64)
+                    parts.append((hashes, np.full(n, doc, np.int64), np.arange(begin, begin + n), np.full(n, ask)))
+                    held += n
+                if held > FLUSH:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names)
+                    parts, held = [], 0
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names)
 
     rows = _beside(texts.select("doc", "raw"), per_doc, runs.count(), "inner").select("doc", "raw", "runs") \
         .mapInArrow(windows, "window long, doc long, start long, ask boolean")
