@@ -11,18 +11,21 @@ moved to the end of the order, which takes common passages out of the
 prefixes; a document whose stored tokens do not reach that far keeps the plain
 hash order for all its pairs.
 
-*Groups.*  Every token's holders are tried against one of them (the same for
-most tokens of a cluster), at most one try per document.  Verified links make
-the groups of similar documents.
+*Groups.*  Every token points to one of its holders, the one whose tokens are
+the most widely held (the original of a cluster of edited copies).  Documents
+that point to the same one are a group; each is tried against it, and verified
+links make the first components.
 
 *Matrix.*  For every group the union of its members' prefix tokens is stored,
 one row per token and group.  A document is a query against larger groups:
 the number of its prefix tokens in a group's union bounds its overlap with any
-member, and only groups that the bound admits are opened, that is compared
-member by member on the full sets.
+member, and only groups that the bound admits are opened: the query's full set
+is sent to each part of the group and compared with the members there that are
+not yet in its component.  Within a group the same is done for the members
+outside its main component.
 
-Copies are never expanded into pairs, members of a group never compared again,
-and nothing is capped or sampled: the result is exact (up to 64-bit hashes).
+Neither copies nor groups are expanded into pairs, and nothing is capped or
+sampled: the result is exact (up to 64-bit hashes).
 """
 
 from __future__ import annotations
@@ -41,10 +44,13 @@ WORDS = 5
 #: Similarity as a fraction: links hold when intersection / union >= NUM / DEN.
 NUM, DEN = 3, 4
 #: Stored tokens beyond the prefix: at least SLACK, or SLACK_PERCENT of the set.
-SLACK, SLACK_PERCENT = 40, 3
+SLACK, SLACK_PERCENT = 64, 3
 #: A token with more holders goes to the end of the order (a matter of cost, not of the result).
 FREQUENT = 64
+#: Parts among which the tries against one document are dealt.
 SALTS = 16
+#: Members of a group that are held together when it is opened.
+PART = 256
 
 _word_hash = Remembered(xxhash.xxh3_64_intdigest)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -87,17 +93,46 @@ def _only(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     return docs.join(ids, docs[id_col] == ids["id"], "left_semi")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Those ``a, b`` of ``pairs`` whose full sets reach the similarity.
-
-    The set of ``a`` meets the sets of its partners in up to ``SALTS`` tasks,
-    partner by partner; one set is in memory at a time besides that of ``a``.
+class _Part:
+    """The members of one part of a group: their sets, and the components they are known to be in."""
+
+    def __init__(self):
+        self.sets: list[np.ndarray] = []
+        self.components: list[int] = []
+        self.every = None
+
+    def add(self, tokens: np.ndarray, component: int) -> None:
+        self.sets.append(tokens)
+        self.components.append(component)
+
+    def linked(self, tokens: np.ndarray, component: int) -> set[int]:
+        """Components of members, other than the query's own, whose sets reach the similarity."""
+        if self.every is None:
+            self.sizes = np.array([len(x) for x in self.sets])
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.labels = np.array(self.components)
+            self.every = np.concatenate(self.sets)
+        n = len(tokens)
+        open_ = (self.labels != component) & (DEN * np.minimum(self.sizes, n) >= NUM * np.maximum(self.sizes, n))
+        if not open_.any():
+            return set()
+        at = np.minimum(np.searchsorted(tokens, self.every), n - 1)
+        common = np.add.reduceat((tokens[at] == self.every).astype(np.int64), self.starts)
+        return set(self.labels[open_ & (DEN * common >= NUM * (self.sizes + n - common))].tolist())
+
+
+def verified(docs: DataFrame, members: DataFrame, queries: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``a, b``: components that are linked, by comparing queries with the members of groups.
+
+    ``members`` and ``queries`` are ``grp, part, id, comp``.  The full sets of
+    a part's members (``PART`` of them or so) are held while its queries pass
+    one by one; members of a query's own component are passed over.
     """
     import pyarrow as pa
 
-    pairs = stored(pairs.select("a", "b").distinct().withColumn(
-        "salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")), "jaccard-pairs")
-    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "jaccard-ids")
+    wanted = stored(members.select("grp", "part", F.lit(0).alias("role"), "id", "comp").unionByName(
+        queries.select("grp", "part", F.lit(1).alias("role"), "id", "comp")), "jaccard-meetings")
+    ids = stored(wanted.select("id").distinct(), "jaccard-ids")
 
     def full(batches):
         for batch in batches:
@@ -106,31 +141,25 @@ def verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> D
 
     sets = stored(_only(docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")),
                         "key", ids).mapInArrow(full, "id long, tokens binary"), "jaccard-sets")
-    first = pairs.select("a", "salt").distinct().join(sets, F.col("a") == F.col("id")) \
-        .select("a", "salt", F.lit(0).alias("role"), "id", "tokens")
-    second = pairs.join(sets, F.col("b") == F.col("id")).select("a", "salt", F.lit(1).alias("role"), "id", "tokens")
 
     def compare(batches):
-        at, own = None, []
+        at, own = None, None
         for batch in batches:
-            found = []
-            for a, role, b, tokens in zip(*(batch.column(c).to_pylist() for c in (0, 2, 3, 4))):
-                if a != at:
-                    at, own = a, []
+            found = set()
+            for grp, part, role, comp, tokens in zip(*(batch.column(c).to_pylist() for c in range(5))):
+                if (grp, part) != at:
+                    at, own = (grp, part), _Part()
                 tokens = np.frombuffer(tokens, np.uint64)
                 if role == 0:
-                    own.append(tokens)
-                    continue
-                for x in own:
-                    common = len(np.intersect1d(x, tokens, assume_unique=True))
-                    if DEN * common >= NUM * (len(x) + len(tokens) - common):
-                        found.append((a, b))
-                        break
+                    own.add(tokens, comp)
+                elif own.sets:
+                    found.update((other, comp) for other in own.linked(tokens, comp))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
                                               pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
 
-    return first.union(second).repartition("a", "salt").sortWithinPartitions("a", "salt", "role") \
-        .mapInArrow(compare, "a long, b long")
+    return wanted.join(sets.hint("merge"), "id").select("grp", "part", "role", "comp", "tokens") \
+        .repartition("grp", "part").sortWithinPartitions("grp", "part", "role") \
+        .mapInArrow(compare, "a long, b long").distinct()
 
 
 def _index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -156,28 +185,37 @@ def _index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("holders > 1")
 
 
-def _ordered(index: DataFrame) -> DataFrame:
-    """``token, doc, n, plain, late, fits``: which tokens are in the prefix of which order.
+def _lengths(n):
+    """Columns: prefix and stored tokens of a set of ``n``."""
+    p = n - F.ceil(NUM * n / DEN) + 1
+    return p, F.least(n, p + F.greatest(F.lit(SLACK), F.floor(n * SLACK_PERCENT / 100)))
+
+
+def _ordered(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """``token, doc, n, grp, members, plain, late, fits``: which tokens are in the prefix of which order.
 
     ``late``: in the prefix of the order with frequent tokens last; only where
     the stored tokens reach that far (``fits``).  ``plain``: in the prefix of
     the hash order.  A pair is found in the late order if both fit, else in
-    the plain order.
+    the plain order.  A token is frequent when many groups hold it; tokens
+    that a single component holds have done their work.
     """
+    by_token = Window.partitionBy("token")
+    held = index.join(groups.select("doc", "grp", "comp", "members"), "doc") \
+        .withColumn("nth", F.dense_rank().over(by_token.orderBy("grp"))) \
+        .withColumn("groups", F.max("nth").over(by_token)) \
+        .withColumn("open", F.min("comp").over(by_token) != F.max("comp").over(by_token)).filter("open")
     per_doc = Window.partitionBy("doc")
-    n = F.col("n")
-    p = n - F.ceil(NUM * n / DEN) + 1
-    length = F.least(n, p + F.greatest(F.lit(SLACK), F.floor(n * SLACK_PERCENT / 100)))
-    often = F.when(F.col("holders") > FREQUENT, 1).otherwise(0)
-    marked = index.withColumn("often", often) \
+    p, length = _lengths(F.col("n"))
+    marked = held.withColumn("often", F.when(F.col("groups") > FREQUENT, 1).otherwise(0)) \
         .withColumn("earlier", F.coalesce(F.sum("often").over(
             per_doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
         .withColumn("seldom", length - F.sum("often").over(per_doc)) \
-        .withColumn("p", p).withColumn("whole", length == n)
+        .withColumn("p", p).withColumn("whole", length == F.col("n"))
     rank = F.when(F.col("often") == 1, F.when(F.col("whole"), F.col("seldom") + F.col("earlier"))) \
         .otherwise(F.col("pos") - F.col("earlier"))
     return marked.withColumn("fits", F.col("whole") | (F.col("seldom") >= F.col("p"))).select(
-        "token", "doc", "n", "fits", (F.col("pos") < F.col("p")).alias("plain"),
+        "token", "doc", "n", "grp", "members", "fits", (F.col("pos") < F.col("p")).alias("plain"),
         F.coalesce(F.col("fits") & (rank < F.col("p")), F.lit(False)).alias("late")).filter("plain or late")
 
 
@@ -186,39 +224,41 @@ def _close(a: str, b: str):
     return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
 
 
-def _tries(rows: DataFrame) -> DataFrame:
-    """At most one pair per document: with the holder that most of its tokens point to."""
-    listed = rows.filter("late or not fits")
-    heads = stored(listed.groupBy("token").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), F.col("doc").alias("head"),
+def _tries(index: DataFrame) -> DataFrame:
+    """``grp, part, id``: at most one try per document, against the holder that most of its tokens point to.
+
+    A token points to its holder of most weight, the mean number of holders of
+    a document's stored tokens; in a cluster of edited copies that is the
+    original or the least edited one.
+    """
+    p, length = _lengths(F.col("n"))
+    listed = stored(index.withColumn("weight", F.sum("holders").over(Window.partitionBy("doc")) / length)
+                    .filter(F.col("pos") < p).select("token", "doc", "n", "weight"), "jaccard-weights")
+    heads = stored(listed.groupBy("token").agg(F.max(F.struct("weight", F.xxhash64("doc"), F.col("doc").alias("head"),
                                                               F.col("n").alias("head_n"))).alias("m"))
                    .select("token", "m.head", "m.head_n"), "jaccard-heads")
-    counted = listed.join(heads, "token").filter((F.col("doc") != F.col("head")) & _close("n", "head_n")) \
-        .groupBy("doc", "head", "n").agg(F.count(F.lit(1)).alias("c")).filter("20 * c >= n")
-    return counted.groupBy("doc").agg(F.max(F.struct("c", "head")).alias("m")) \
-        .select(F.col("m.head").alias("a"), F.col("doc").alias("b"))
+    counted = listed.select("token", "doc", "n").join(heads.hint("merge"), "token") \
+        .filter((F.col("doc") != F.col("head")) & _close("n", "head_n")) \
+        .groupBy("doc", "head", "n").agg(F.count(F.lit(1)).alias("c")).filter("8 * c >= n")
+    return counted.groupBy("doc").agg(F.max(F.struct("c", "head")).alias("m")).select(
+        F.col("m.head").alias("grp"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int").alias("part"),
+        F.col("doc").alias("id"))
 
 
-def _qualifying(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """``doc, n, grp``: queries and the larger groups that their bound admits.
+def _qualifying(rows: DataFrame) -> DataFrame:
+    """``doc, grp``: queries and the larger groups, other than their own, that their bound admits.
 
     Of a pair with sizes x and y, the overlap is at most the common prefix
     tokens plus what either set has beyond its prefix, so these must number
     ``ceil(t (x + y) / (1 + t)) - max(ceil(t x), ceil(t y)) + 1`` at least.
     For given x that is least at one end of the range of y.
     """
-    own = stored(rows.join(groups, "doc", "left").select(
-        "token", "doc", "n", "fits", "plain", "late", F.coalesce("grp", "doc").alias("grp"),
-        F.coalesce("members", F.lit(1)).alias("members")), "jaccard-rows")
-
-    def matrix(condition):
-        return own.filter(condition).groupBy("token", "grp").agg(
+    def against(queries, condition):
+        matrix = rows.filter(condition).groupBy("token", "grp").agg(
             F.min("n").alias("low"), F.max("n").alias("high"), F.max("members").alias("g_members")) \
             .withColumnRenamed("grp", "g")
-
-    def against(queries, condition):
-        q = own.filter(queries)
-        hits = q.join(matrix(condition), "token").filter(
-            (F.struct("g_members", "g") > F.struct("members", "grp")) & (F.col("grp") != F.col("g"))
+        hits = rows.filter(queries).join(matrix, "token").filter(
+            (F.struct("g_members", "g") > F.struct("members", "grp"))
             & (DEN * F.col("high") >= NUM * F.col("n")) & (DEN * F.col("n") >= NUM * F.col("low")))
         return hits.groupBy("doc", "n", "g").agg(
             F.count(F.lit(1)).alias("c"), F.min("low").alias("low"), F.max("high").alias("high"))
@@ -235,7 +275,7 @@ def _qualifying(rows: DataFrame, groups: DataFrame) -> DataFrame:
     high = F.least("high", F.floor(DEN * F.col("n") / NUM))
     # one token less than the bound, since the ends are rounded
     return found.filter((low <= high) & (F.col("c") >= F.least(need(low), need(high)) - 1)) \
-        .select("doc", "n", F.col("g").alias("grp")).distinct()
+        .select("doc", F.col("g").alias("grp")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -266,19 +306,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     copies = stored(member.filter("id <> rep").select("id").distinct(), "jaccard-copies")
 
     index = stored(_index(without(docs, id_col, copies), id_col, text_col), "jaccard-index")
-    rows = stored(_ordered(index), "jaccard-prefixes")
-    links = stored(verified(docs, _tries(rows), id_col, text_col), "jaccard-links")
-    near = components(links)
-    sizes = near.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    groups = stored(near.join(sizes, "component").select(F.col("node").alias("doc"), F.col("component").alias("grp"),
-                                                         "members"), "jaccard-groups")
-
-    opened = stored(_qualifying(rows, groups), "jaccard-opened")
-    holders = rows.select(F.col("doc").alias("x"), F.col("n").alias("x_n")).distinct() \
-        .join(groups.withColumnRenamed("doc", "x"), "x", "left").select("x", "x_n", F.coalesce("grp", "x").alias("grp"))
-    pairs = opened.join(holders, "grp").filter(_close("n", "x_n") & (F.col("x") != F.col("doc"))) \
-        .select(F.col("doc").alias("a"), F.col("x").alias("b"))
-    more = stored(verified(docs, pairs, id_col, text_col), "jaccard-links")
+    # groups: the documents that point to the same one; components: what is linked so far
+    tries = stored(_tries(index), "jaccard-tries")
+    heads = tries.select("grp", "part", F.col("grp").alias("id")).distinct().withColumn("comp", F.col("id"))
+    links = stored(verified(docs, heads, tries.withColumn("comp", F.col("id")), id_col, text_col), "jaccard-links")
+    near = components(links).withColumnsRenamed({"node": "doc", "component": "comp"})
+    placed = index.select("doc").distinct().join(tries.select(F.col("id").alias("doc"), "grp"), "doc", "left") \
+        .join(near, "doc", "left").select("doc", F.coalesce("grp", "doc").alias("grp"),
+                                          F.coalesce("comp", "doc").alias("comp"))
+    placed = stored(placed, "jaccard-placed")
+    parted = placed.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("grp").agg(
+        F.sum("k").alias("members"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("m"))
+    sizes = stored(parted.select("grp", "members", "comps", F.col("m.comp").alias("main")), "jaccard-sizes")
+    groups = stored(placed.join(sizes, "grp"), "jaccard-groups")
+
+    # a group is opened to queries from outside, and to its own members outside its main component
+    rows = stored(_ordered(index, groups), "jaccard-prefixes")
+    asked = _qualifying(rows).join(placed.select("doc", "comp"), "doc").select("doc", "comp", "grp") \
+        .union(groups.filter("comps > 1 and comp <> main").select("doc", "comp", "grp"))
+    asked = stored(asked.join(sizes.select("grp", "members"), "grp"), "jaccard-asked")
+    parts = F.ceil(F.col("members") / PART).cast("int")
+    queries = asked.select("grp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+                           F.col("doc").alias("id"), "comp")
+    members = groups.join(asked.select("grp").distinct(), "grp", "left_semi").select(
+        "grp", F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), F.col("doc").alias("id"), "comp")
+    more = stored(verified(docs, members, queries, id_col, text_col), "jaccard-links")
     final = stored(components(links.union(more)), "jaccard-components")
     return member.join(final, member["rep"] == final["node"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
