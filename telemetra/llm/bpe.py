@@ -82,17 +82,22 @@ class PerfectHash:
         return int(self.slot[-d - 1 if d < 0 else xxhash.xxh3_64_intdigest(key, d) % self.n])
 
 
-def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+def byte_pairs(ranks: dict[bytes, int]) -> list[int]:
+    """Ranks of all two-byte tokens by ``first << 8 | second``, -1 for others."""
+    return [ranks.get(bytes((k >> 8, k & 255)), -1) for k in range(1 << 16)]
+
+
+def merge_pairs(piece: bytes, ranks: dict[bytes, int], twos: list[int]) -> list[int]:
     """Ids of one pre-token by rank-ordered merges (heap over linked bytes).
 
-    A heap entry is ``rank << 32 | start``; it is stale unless ``pair[start]``
+    ``twos`` is :func:`byte_pairs` of the ranks.  A heap entry is ``rank << 32 | start``; it is stale unless ``pair[start]``
     still has that rank.
     """
     n = len(piece)
     get = ranks.get
     end = [*range(1, n + 1)]  # of the part that starts here
     before = [*range(-1, n)]  # start of the part before
-    pair = [get(piece[i:i + 2], -1) for i in range(n - 1)]
+    pair = [twos[a << 8 | b] for a, b in zip(piece, piece[1:])]
     pair.append(-1)
     heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
     heapify(heap)
@@ -131,16 +136,22 @@ class Codec:
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.split = regex.compile(pattern).findall
         self.apart = regex.compile(r"\s\s|^\s|\s$").search
-        self.pieces = Remembered(lambda piece: self.pre_token(piece))
-        self.words = Remembered(lambda word: self.pre_tokens(" " + word))
+        self.twos = byte_pairs(self.ranks)
+        self.pieces = Remembered(self.pre_token)
+        self.words = Remembered(lambda word: self.pre_token(" " + word) if word.isalpha()
+                                else self.pre_tokens(" " + word))
 
     def pre_token(self, piece: str) -> tuple[int, ...]:
         raw = piece.encode()
         i = self.table.candidate(raw)
-        return (i,) if i >= 0 and self.tokens[i] == raw else tuple(merge_pairs(raw, self.ranks))
+        return (i,) if i >= 0 and self.tokens[i] == raw else tuple(merge_pairs(raw, self.ranks, self.twos))
 
     def pre_tokens(self, text: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
+        """Ids of the pre-tokens of a text; a blank and letters are remembered as a word."""
+        out: list[int] = []
+        for piece in self.split(text):
+            out += self.words[piece[1:]] if piece[0] == " " and piece[1:].isalpha() else self.pieces[piece]
+        return tuple(out)
 
     def encode(self, text: str) -> list[int]:
         """Token ids of a whole text, no special tokens.

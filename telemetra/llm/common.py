@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 BLANK = r"\x20\x09-\x0D"
 #: Ids up to which a filter on documents is broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
-#: A worker remembers the last 120,000 to 240,000 distinct strings of a function.
-REMEMBERED = 120_000
+#: A worker remembers the last 240,000 to 480,000 distinct strings of a function.
+REMEMBERED = 240_000
 
 
 def shared_folder(spark: SparkSession) -> str:
