@@ -81,7 +81,7 @@ SELECT * EXCLUDE (pe_, qa_, da_, as_), (floor(as_ * 16384.0 + 0.5) / 16384.0) AS
 FROM hs"""
 
 
-@register("gold_kpis", "IO1 C2 C3 C4 C5 W4 A1 S2 S3 S4 S5 S6 S7", _gold_sql())
+@register("gold_kpis", "C2 C3 C4 C5 W4 A1 S2 S3 S4 S5 S6 S7", _gold_sql())
 def q_gold_kpis(spark, sf_dir):
     return _gold_select(gold_kpis_frame(spark, sf_dir))
 
@@ -222,7 +222,7 @@ def q_latest_status(spark, sf_dir):
     return K.latest_per_asset(k, "user_id", "hour_bucket")
 
 
-@register("alert_history", "IO2 A2", """SELECT o_custkey AS turbine_id,
+@register("alert_history", "A2", """SELECT o_custkey AS turbine_id,
   date_trunc('hour', o_orderdate) AS hour_bucket, o_orderpriority AS alarm_code,
   o_orderstatus AS severity, count(*) AS occurrence_count,
   (floor(avg(o_totalprice) * 16384.0 + 0.5) / 16384.0) AS avg_sensor_value,

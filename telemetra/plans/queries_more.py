@@ -335,7 +335,7 @@ ev AS (SELECT *, CAST(CASE WHEN severity = 'CRITICAL' THEN c ELSE w END AS DOUBL
        FROM m WHERE severity IS NOT NULL)"""
 
 
-@register("evaluate_rules", "J1 R1 R2 R4 R5", f"""WITH {_rules_sql()}
+@register("evaluate_rules", "J1 R1 R2", f"""WITH {_rules_sql()}
 SELECT rule_id, l_suppkey, l_orderkey, l_linenumber, l_partkey, sensor_name, severity, value, threshold
 FROM ev""")
 def q_evaluate_rules(spark, sf_dir):

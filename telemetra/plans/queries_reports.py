@@ -226,7 +226,7 @@ def q_quality_gates(spark, sf_dir):
 # Anomaly model and scores
 # ---------------------------------------------------------------------------
 
-@register("iforest_scores", "M1 M2 T8 C10", None)
+@register("iforest_scores", "M1 M2", None)
 def q_iforest_scores(spark, sf_dir):
     li = cat.lineitem_readings(spark, sf_dir)
     model = AN.train_iforest(li, S, n_trees=100, max_samples=256, contamination=0.05, seed=42)
