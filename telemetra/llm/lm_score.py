@@ -198,32 +198,35 @@ def _bucket_scores(payloads: DataFrame, frequent, n_words: int, n_docs: int) ->
         base = np.cumsum([0] + [len(d) for d in docs])
         v = [np.repeat(_unpack48(p["v"]), np.frombuffer(p["v_pairs"], np.uint32)) for p in parts]
         refs = [np.frombuffer(p["w_refs"], np.uint32) for p in parts]
-        held = np.concatenate([np.frombuffer(p["ref"], np.uint16).astype(np.int64) + b for p, b in zip(parts, base)])
-        times = np.concatenate([np.frombuffer(p["times"], np.uint32) for p in parts]).astype(np.int64)
+        held = np.concatenate([np.frombuffer(p["ref"], np.uint16).astype(np.int32) + np.int32(b)
+                               for p, b in zip(parts, base)])
+        times = np.concatenate([np.frombuffer(p["times"], np.uint32) for p in parts])
         v, w, refs = np.concatenate(v), np.concatenate([_unpack48(p["w"]) for p in parts]), np.concatenate(refs)
         docs, who = np.unique(np.concatenate(docs), return_inverse=True)
+        who = who.astype(np.int32)
 
         # counts of bigrams over all blocks, and of contexts
         order = np.lexsort((w, v))
         first = _starts(v[order], w[order])
-        number = np.empty(len(order), np.int64)
+        number = np.empty(len(order), np.int32)
         number[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
         pair_of = np.repeat(number, refs)
         count = np.bincount(pair_of, weights=times, minlength=len(first)).astype(np.int64)
-        pv, pw = v[order][first], w[order][first]
+        pv, pw = v[order[first]], w[order[first]]
+        del v, w, order, number, refs
         starts = _starts(pv)
         context = np.repeat(np.add.reduceat(count, starts), np.diff(np.append(starts, len(pv))))
         known = _lookup(table, pv)
         context = np.where(known > 0, known, np.where(pv == BEGIN, n_docs, context))
 
-        # a document's own occurrences of a bigram, over its blocks
-        holder = who[held]
+        # a document's own occurrences of a bigram; an id in several blocks has to be put together
         scored = pw[pair_of] != END
-        pair_of, holder, times = pair_of[scored], holder[scored], times[scored]
-        key = pair_of * len(docs) + holder
-        key, back = np.unique(key, return_inverse=True)
-        times = np.bincount(back, weights=times, minlength=len(key)).astype(np.int64)
-        pair_of, holder = key // max(len(docs), 1), key % max(len(docs), 1)
+        pair_of, holder, times = pair_of[scored], who[held[scored]], times[scored].astype(np.int64)
+        del held, scored
+        if base[-1] > len(docs):
+            key, back = np.unique(pair_of.astype(np.int64) * len(docs) + holder, return_inverse=True)
+            times = np.bincount(back, weights=times, minlength=len(key)).astype(np.int64)
+            pair_of, holder = key // len(docs), key % len(docs)
         others = count[pair_of] - times
         found = others > 0
         word = pw[pair_of]
