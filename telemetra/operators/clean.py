@@ -92,22 +92,22 @@ def fill_previous(df: DataFrame, profile: SensorProfile, sensors: Iterable[str]
             c: F.last(F.col(c), ignorenulls=True).over(run) for c in sensors})
         out = seq.drop_halo(out)
         # value carried into each block from earlier blocks
-        a = profile.asset
-        last_in_block = frame.groupBy(a, seq.BLK).agg(*[
+        last_in_block = frame.groupBy(seq.BKEY).agg(*[
             F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(seq.RN))).alias(f"_lb_{c}")
             for c in sensors])
-        carry_w = Window.partitionBy(a).orderBy(seq.BLK).rowsBetween(Window.unboundedPreceding, -1)
-        carry = last_in_block.select(a, seq.BLK, *[
+        carry_w = Window.partitionBy(f"{seq.BKEY}.a").orderBy(f"{seq.BKEY}.b") \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        carry = last_in_block.select(seq.BKEY, *[
             F.last(F.col(f"_lb_{c}"), ignorenulls=True).over(carry_w).alias(f"_cy_{c}")
             for c in sensors])
-        out = seq.null_safe_join(out, carry, [a, seq.BLK], "left").withColumns({
+        out = out.join(carry, seq.BKEY, "left").withColumns({
             c: F.coalesce(F.col(c), F.col(f"_cy_{c}")) for c in sensors}).drop(
             *[f"_cy_{c}" for c in sensors])
     else:
         raise ValueError(f"unknown fill mode {mode!r}")
     if keep_sequence:
         return out
-    return out.drop(seq.RN, seq.CNT, seq.BLK)
+    return out.drop(seq.RN, seq.CNT, seq.BLK, seq.BKEY)
 
 
 def drop_incomplete(df: DataFrame, sensors: Iterable[str]) -> DataFrame:
@@ -132,7 +132,7 @@ def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step"
     x = drop_incomplete(x, sensors)
     if keep_sequence:
         return seq.renumber(x, profile, strategy=strategy)
-    return x.drop(seq.RN, seq.CNT, seq.BLK)
+    return x.drop(seq.RN, seq.CNT, seq.BLK, seq.BKEY)
 
 
 def _clean_direct(df: DataFrame, profile: SensorProfile, sensors: list[str], mode: str,

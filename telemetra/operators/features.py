@@ -26,7 +26,7 @@ def _framed(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int
 
 
 def _finish(df: DataFrame, keep_sequence: bool) -> DataFrame:
-    out = seq.drop_halo(df).drop(seq.BLK)
+    out = seq.drop_halo(df).drop(seq.BLK, seq.BKEY)
     return out if keep_sequence else out.drop(seq.RN, seq.CNT)
 
 

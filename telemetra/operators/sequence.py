@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from telemetra.profile import SensorProfile
 
 RN, CNT, BLK, HALO = "_rn", "_cnt", "_blk", "_halo"
+BKEY = "_bkey"  # (asset, block) as one value that is never null itself: windows and joins share it
 _CHUNK, _LRN, _OFF, _CC = "_chunk", "_lrn", "_off", "_cc"
 
 
@@ -70,18 +71,19 @@ def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "chunked"
             out = out.withColumn(CNT, F.count(F.lit(1)).over(Window.partitionBy(a)))
         return out
 
-    chunked = df.withColumn(_CHUNK, _chunk_expr(profile))
-    local = chunked.withColumn(
-        _LRN, F.row_number().over(Window.partitionBy(a, _CHUNK).orderBy(*order)))
-    counts = chunked.groupBy(a, _CHUNK).agg(F.count(F.lit(1)).alias(_CC))
-    per_asset = Window.partitionBy(a).orderBy(_CHUNK)
+    # a struct of null fields is not null, so null keys group and join like others
+    # and the join stands on the window's partitioning
+    chunked = df.withColumn(_CHUNK, F.struct(F.col(a).alias("a"), _chunk_expr(profile).alias("c")))
+    local = chunked.withColumn(_LRN, F.row_number().over(Window.partitionBy(_CHUNK).orderBy(*order)))
+    counts = chunked.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias(_CC))
+    per_asset = Window.partitionBy(f"{_CHUNK}.a").orderBy(f"{_CHUNK}.c")
     offsets = counts.select(
-        a, _CHUNK,
+        _CHUNK,
         F.coalesce(F.sum(_CC).over(per_asset.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_OFF),
-        *([F.sum(_CC).over(Window.partitionBy(a)).alias(CNT)] if with_count else []),
+        *([F.sum(_CC).over(Window.partitionBy(f"{_CHUNK}.a")).alias(CNT)] if with_count else []),
     )
-    joined = null_safe_join(local, offsets, [a, _CHUNK])
+    joined = local.join(offsets, _CHUNK)
     return joined.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
         _CHUNK, _LRN, _OFF)
 
@@ -97,20 +99,20 @@ def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -
     if strategy == "direct":
         w = Window.partitionBy(a)
         return df.drop(CNT).withColumn(RN, F.row_number().over(w.orderBy(RN)).cast("long")) \
-            .withColumn(CNT, F.count(F.lit(1)).over(w)).drop(BLK)
+            .withColumn(CNT, F.count(F.lit(1)).over(w)).drop(BLK, BKEY)
     local = df.withColumn(_LRN, F.row_number().over(
-        Window.partitionBy(a, BLK).orderBy(RN)))
-    counts = df.groupBy(a, BLK).agg(F.count(F.lit(1)).alias(_CC))
-    per_asset = Window.partitionBy(a).orderBy(BLK)
+        Window.partitionBy(BKEY).orderBy(RN)))
+    counts = df.groupBy(BKEY).agg(F.count(F.lit(1)).alias(_CC))
+    per_asset = Window.partitionBy(f"{BKEY}.a").orderBy(f"{BKEY}.b")
     offsets = counts.select(
-        a, BLK,
+        BKEY,
         F.coalesce(F.sum(_CC).over(per_asset.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_OFF),
-        F.sum(_CC).over(Window.partitionBy(a)).alias(CNT),
+        F.sum(_CC).over(Window.partitionBy(f"{BKEY}.a")).alias(CNT),
     )
-    out = null_safe_join(local.drop(CNT), offsets, [a, BLK])
+    out = local.drop(CNT).join(offsets, BKEY)
     return out.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
-        _LRN, _OFF, BLK)
+        _LRN, _OFF, BLK, BKEY)
 
 
 def blocked(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int = 0,
@@ -122,7 +124,7 @@ def blocked(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int
     than a block, add no rows and no shuffle beyond the asset partitioning.
     """
     if strategy == "direct":
-        return df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False))
+        return _keyed(df.withColumn(BLK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)), profile)
     size = max(int(block_rows or profile.block_rows), lookback, lookahead, 1)
     pos = (F.col(RN) - 1) % size
     blk = F.floor((F.col(RN) - 1) / size).cast("long")
@@ -134,12 +136,16 @@ def blocked(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int
         targets.append(F.when((pos < lookahead) & (blk > 0),
                               F.struct((blk - 1).alias("b"), F.lit(True).alias("h"))))
     exploded = df.withColumn("_t", F.explode(F.filter(F.array(*targets), lambda t: t.isNotNull())))
-    return exploded.withColumn(BLK, F.col("_t.b")).withColumn(HALO, F.col("_t.h")).drop("_t")
+    return _keyed(exploded.withColumn(BLK, F.col("_t.b")).withColumn(HALO, F.col("_t.h")).drop("_t"), profile)
+
+
+def _keyed(frame: DataFrame, profile: SensorProfile) -> DataFrame:
+    return frame.withColumn(BKEY, F.struct(F.col(profile.asset).alias("a"), F.col(BLK).alias("b")))
 
 
 def ordered_window(profile: SensorProfile) -> Window:
     """Window over a blocked frame, ordered by asset position."""
-    return Window.partitionBy(profile.asset, BLK).orderBy(RN)
+    return Window.partitionBy(BKEY).orderBy(RN)
 
 
 def sequence_frame(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int = 0,
@@ -168,7 +174,6 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
     shared by the prefix frames, segment totals, the block shift and the
     lags; min/max add one descending pass for suffix extremes.
     """
-    a = profile.asset
     by_w: dict[int, list[tuple[str, str, str]]] = {}
     for name, src, w, kind in specs:
         by_w.setdefault(int(w), []).append((name, src, kind))
@@ -178,11 +183,11 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
     for w, items in sorted(by_w.items()):
         seg = f"_seg{w}"
         out = out.withColumn(seg, F.floor((F.col(RN) - 1) / (w + 1)).cast("long"))
-        ordw = Window.partitionBy(a, BLK).orderBy(seg, RN)
-        segw = Window.partitionBy(a, BLK, seg).orderBy(RN)
+        ordw = Window.partitionBy(BKEY).orderBy(seg, RN)
+        segw = Window.partitionBy(BKEY, seg).orderBy(RN)
         run = segw.rowsBetween(Window.unboundedPreceding, 0)
         whole = segw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        desc = Window.partitionBy(a, BLK, seg).orderBy(F.col(RN).desc()).rowsBetween(
+        desc = Window.partitionBy(BKEY, seg).orderBy(F.col(RN).desc()).rowsBetween(
             Window.unboundedPreceding, 0)
         srcs = sorted({src for _, src, _ in items})
         need: dict[str, set[str]] = {}
@@ -197,7 +202,7 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
         # block-local shift keeps sums of squares well conditioned
         shifts = {src: f"_c{w}_{src}" for src in srcs if need[src] & {"s", "q"}}
         out = out.select("*", *[
-            F.avg(F.col(src)).over(Window.partitionBy(a, BLK)).alias(c)
+            F.avg(F.col(src)).over(Window.partitionBy(BKEY)).alias(c)
             for src, c in shifts.items()])
         parts: list[Column] = []
         for src in srcs:
