@@ -156,6 +156,7 @@ def _bigram_payloads(texts: DataFrame, frequent, n_buckets: int) -> DataFrame:
             bucket = _mix(np.where(salt, v ^ _mix(w), v)) % np.uint64(n_buckets)
             high = (bucket << np.uint64(48)) | v
             low = (w << np.uint64(16)) | doc
+            del every, is_end, w, v, doc, salt, bucket
             order = np.argsort(low, kind="stable")
             order = order[np.argsort(high[order], kind="stable")]
             high, low = high[order], low[order]
