@@ -23,7 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from telemetra.llm.common import Remembered
+from telemetra.llm.common import Remembered, forget_others
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -191,6 +191,7 @@ class Tokenizer:
             if key not in _codecs:
                 _codecs.clear()
                 _codecs[key] = Codec(*shared.value)
+            forget_others(_codecs[key].words, _codecs[key].pieces)
             return _codecs[key]
         return codec
 

@@ -97,11 +97,23 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+_remembering: list["Remembered"] = []
+
+
+def forget_others(*kept: "Remembered") -> None:
+    """Workers outlive a stage: drop what earlier stages remembered there."""
+    for memory in _remembering:
+        if not any(memory is k for k in kept):
+            memory.clear()
+            memory.older = {}
+
+
 class Remembered(dict):
     """Results of a function of a string; those not used for long are forgotten."""
 
     def __init__(self, of):
         self.of, self.older = of, {}
+        _remembering.append(self)
 
     def __missing__(self, key):
         out = self.older.pop(key, None)

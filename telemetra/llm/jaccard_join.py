@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import BROADCAST_IDS, Remembered, stored, without
+from telemetra.llm.common import BROADCAST_IDS, Remembered, forget_others, stored, without
 from telemetra.llm.components import components
 
 WORDS = 5
@@ -167,6 +167,7 @@ def _index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     import pyarrow as pa
 
     def prefixes(batches):
+        forget_others(_word_hash)
         for batch in batches:
             tokens, doc, n, pos = [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -291,6 +292,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     import pyarrow as pa
 
     def summaries(batches):
+        forget_others(_word_hash)
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from telemetra.llm.common import forget_others
+
 BUCKETS = 1 << 15
 UNKNOWN = "und"
 _SPACE = 32
@@ -169,6 +171,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return Model([], np.zeros(BUCKETS), np.zeros((BUCKETS, 0)), np.zeros(0), 1.0)
 
     def count(batches):
+        forget_others()
         df = np.zeros(BUCKETS + 1, np.int64)  # the last counts documents
         for batch in batches:
             for text in batch.column(0):
@@ -237,6 +240,7 @@ def predict_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
     given = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
 
     def run(batches):
+        forget_others()
         own = shared.value
         for batch in batches:
             texts = batch.column(0).field(text_col)
