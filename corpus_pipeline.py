@@ -32,9 +32,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts (white space aside) stays.
 
-    Rows are told apart by their place in ``docs``, a written table.
+    Rows are told apart by a number that is written with them: a second scan
+    may split the files of ``docs`` in another way and so number it otherwise.
     """
-    numbered = docs.withColumn("place in table", F.monotonically_increasing_id())
+    numbered = stored(docs.withColumn("place in table", F.monotonically_increasing_id()), "pipeline-numbered")
     verdicts = exact_dedup(numbered, carry="place in table")
     gone = stored(verdicts.filter("not kept").select(F.col("carried").alias("id")), "pipeline-copies")
     return without(numbered, "place in table", gone).drop("place in table")

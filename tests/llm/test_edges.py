@@ -42,3 +42,23 @@ def test_pipeline_edges(spark, tmp_path):
                 docs.write.parquet(str(path))
                 docs = spark.read.parquet(str(path))
             assert C.STAGES[-1][1](spark, docs, "").count() >= 0
+
+
+def test_drop_copies_with_other_splits(spark, tmp_path):
+    """Other splits between the search for copies and the anti-join: still one row of each text stays."""
+    import corpus_pipeline as C
+
+    rows = [(i, f"text number {i % 9}", "en", "s", 13) for i in range(40)]
+    docs = spark.read.parquet(written(spark, frame(spark, rows).repartition(8), tmp_path) + "/documents.parquet")
+    left = C.drop_copies(spark, docs, "")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    counts = []
+    try:
+        for cost in ("1", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+            spark.conf.set("spark.sql.files.openCostInBytes", cost)
+            counts.append(sorted(r["text"] for r in left.select("*").collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert counts == [sorted(f"text number {k}" for k in range(9))] * 2
