@@ -84,10 +84,11 @@ def splitting_tree(quotas: list[int], n_shards: int, seed: int) -> list[list[int
 
 def mix(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_passes: int = 3,
-        block_words: int = 256, seed: int = 17) -> tuple[DataFrame, DataFrame]:
+        block_words: int = 256, seed: int = 17, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, pieces)``.
 
-    ``rows`` has a row per document: ``row, id, size, source_size, target``.
+    ``row_col`` names a column of distinct numbers of the rows; without it they
+    are numbered here.  ``rows`` has a row per document: ``row, id, size, source_size, target``.
     ``pieces`` has what the mix takes: ``row, id, size, shard, pass,
     first_word, n_words, order_key`` (words ``first_word .. first_word + n_words - 1`` of
     the document, in reading pass ``pass``); a shard's content is its pieces in
@@ -101,7 +102,7 @@ def mix(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", text_col: st
     base = stored(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
         n_words(text_col).alias("size"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"),
-        F.monotonically_increasing_id().alias("row")), "mix-rows")
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row")), "mix-rows")
     targets = stored(source_targets(base.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), weights, max_passes), "mix-targets")
 
@@ -162,15 +163,17 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A piece that is a whole document has its text; of others the text is the
     words taken, joined by single blanks, and ``length_col`` is its length.
-    Rows are told apart by id and number of words.
+    Rows are told apart by a number that is written with them, so rows that
+    repeat an id, and those without one, give their own pieces only.
     """
-    _, pieces = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    wanted = stored(pieces.select(F.col("id").alias("of"), "first_word", F.col("n_words").alias("take"), "size"),
+    given = stored(docs.withColumn("place in table", F.monotonically_increasing_id()), "mix-documents")
+    _, pieces = mix(given, id_col=id_col, text_col=text_col, source_col=source_col, row_col="place in table",
+                    **options)
+    wanted = stored(pieces.select(F.col("row").alias("of"), "first_word", F.col("n_words").alias("take"), "size"),
                     "mix-pieces")
     if wanted.count() <= BROADCAST_PIECES:
         wanted = F.broadcast(wanted)
-    given = docs.withColumn("words in text", n_words(text_col))
-    joined = given.join(wanted, given[id_col].eqNullSafe(wanted["of"]) & (F.col("words in text") == wanted["size"]))
+    joined = given.join(wanted, given["place in table"] == wanted["of"])
     cut = wanted["take"] < wanted["size"]
     words = F.regexp_extract_all(given[text_col], F.lit(f"[^{BLANK}]+"), F.lit(0))
     part = F.array_join(F.slice(words, (wanted["first_word"] + 1).cast("int"), wanted["take"].cast("int")), " ")

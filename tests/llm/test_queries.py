@@ -273,6 +273,26 @@ def test_op8_tree_and_pieces(spark, table):
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_op8_documents_of_repeated_ids(spark):
+    """Texts of equal length without an id, or with one that repeats, give their own pieces only."""
+    from telemetra.llm.mixing import mixed_documents
+    rows = [(None if i < 6 else 5, " ".join(f"{c}{i}" for c in "abcdefg"), "ab"[i % 2], 0) for i in range(12)]
+    rows += [(100 + i, " ".join(f"{c}{i}" for c in "pqr"), "c", 0) for i in range(4)]
+    got = collected(mixed_documents(spark.createDataFrame(
+        rows, "doc_id long, text string, source string, n_chars long").repartition(3), block_words=4))
+    sizes, taken, words = collections.Counter(), collections.Counter(), collections.Counter()
+    for _, text, source, _ in rows:
+        sizes[source] += len(text.split())
+    owner = {w: (r[0], r[2]) for r in rows for w in r[1].split()}
+    for r in got:
+        taken[r["source"]] += len(r["text"].split())
+        words.update(r["text"].split())
+        assert {owner[w] for w in r["text"].split()} == {(r["doc_id"], r["source"])}
+    goal = wanted_targets(dict(sizes))
+    assert all(abs(taken[s] - goal[s]) <= 1 for s in goal)
+    assert max(words.values()) <= 3
+
+
 def test_op9_repeated_rows(spark, table, rows):
     groups = collections.defaultdict(list)
     for r in rows:
