@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from telemetra.llm import langid
 from telemetra.llm.common import stage, stored, without
 from telemetra.llm.exact_dedup import exact_dedup
-from telemetra.llm.jaccard_join import jaccard_components
+from telemetra.llm.jaccard_join import row_components
 from telemetra.llm.mixing import mixed_documents
 from telemetra.llm.queries import tokenizer
 
@@ -43,11 +43,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents that are linked by similar shingle sets the smallest id stays."""
-    linked = jaccard_components(docs)
-    gone = stored(linked.filter("component_id <> doc_id").select(F.col("doc_id").alias("id")).distinct(),
+    """Of the documents that are linked by similar shingle sets the smallest id stays, a null id being last.
+
+    Every row is a document of its own, whatever its id.
+    """
+    numbered = stored(docs.withColumn("place in table", F.monotonically_increasing_id()), "pipeline-numbered")
+    linked = row_components(numbered, "place in table")
+    stays = linked.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("a"), "id", "row")).alias("m"))
+    gone = stored(linked.join(stays.select("m.row"), "row", "left_anti").select(F.col("row").alias("id")),
                   "pipeline-near")
-    return without(docs, "doc_id", gone)
+    return without(numbered, "place in table", gone).drop("place in table")
 
 
 @stage

@@ -279,39 +279,37 @@ def _qualifying(rows: DataFrame) -> DataFrame:
         .select("doc", F.col("g").alias("grp")).distinct()
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col, n_shingles, component_id``.
+def row_components(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``row, id, n, component``.
 
-    ``component_id`` is the smallest id that is reachable by links, the row's
-    own included.  Texts without words (null, empty, blank) link with nothing
-    and keep their own id.  Rows that repeat an id are one document: links of
-    any of its texts count.  A row with a null id gets the component of its
-    equal texts (null when all have null ids).  An empty table gives an empty
-    result; other columns are not read; ids are integers.
+    ``row_col`` has distinct numbers of the rows of ``docs``, a written table.
+    Every row is a document of its own, whatever its id; ``component`` is the
+    smallest row number that is reachable by links.
     """
     import pyarrow as pa
 
     def summaries(batches):
         forget_others(_word_hash)
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(1)]
+            sets = [shingles(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary())],
-                ["id", "n", "sig"])
+                ["row", "id", "n", "sig"])
 
-    every = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-                   .mapInArrow(summaries, "id long, n long, sig binary"), "jaccard-docs")
-    classes = stored(every.filter("n > 0").groupBy("sig").agg(F.min("id").alias("rep")), "jaccard-classes")
-    member = stored(every.join(classes, "sig", "left").select("id", "n", F.coalesce("rep", "id").alias("rep")),
+    every = stored(docs.select(F.col(row_col).alias("row"), F.col(id_col).cast("long").alias("id"),
+                               F.col(text_col).alias("text"))
+                   .mapInArrow(summaries, "row long, id long, n long, sig binary"), "jaccard-docs")
+    classes = stored(every.filter("n > 0").groupBy("sig").agg(F.min("row").alias("rep")), "jaccard-classes")
+    member = stored(every.join(classes, "sig", "left").select("row", "id", "n", F.coalesce("rep", "row").alias("rep")),
                     "jaccard-members")
-    copies = stored(member.filter("id <> rep").select("id").distinct(), "jaccard-copies")
+    copies = stored(member.filter("row <> rep").select(F.col("row").alias("id")), "jaccard-copies")
 
-    index = stored(_index(without(docs, id_col, copies), id_col, text_col), "jaccard-index")
+    index = stored(_index(without(docs, row_col, copies), row_col, text_col), "jaccard-index")
     # groups: the documents that point to the same one; components: what is linked so far
     tries = stored(_tries(index), "jaccard-tries")
     heads = tries.select("grp", "part", F.col("grp").alias("id")).distinct().withColumn("comp", F.col("id"))
-    links = stored(verified(docs, heads, tries.withColumn("comp", F.col("id")), id_col, text_col), "jaccard-links")
+    links = stored(verified(docs, heads, tries.withColumn("comp", F.col("id")), row_col, text_col), "jaccard-links")
     near = components(links).withColumnsRenamed({"node": "doc", "component": "comp"})
     placed = index.select("doc").distinct().join(tries.select(F.col("id").alias("doc"), "grp"), "doc", "left") \
         .join(near, "doc", "left").select("doc", F.coalesce("grp", "doc").alias("grp"),
@@ -332,8 +330,47 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                            F.col("doc").alias("id"), "comp")
     members = groups.join(asked.select("grp").distinct(), "grp", "left_semi").select(
         "grp", F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), F.col("doc").alias("id"), "comp")
-    more = stored(verified(docs, members, queries, id_col, text_col), "jaccard-links")
+    more = stored(verified(docs, members, queries, row_col, text_col), "jaccard-links")
     final = stored(components(links.union(more)), "jaccard-components")
-    return member.join(final, member["rep"] == final["node"], "left").select(
+    return stored(member.join(final, member["rep"] == final["node"], "left").select(
+        "row", "id", "n", F.coalesce("component", "rep").alias("component")), "jaccard-rows")
+
+
+def _looked_up(rows: DataFrame, col: str, table: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``table`` (column ``of``), which is broadcast when it is small."""
+    table = F.broadcast(table) if table.count() <= BROADCAST_IDS else table.hint("merge")
+    return rows.join(table, rows[col] == table["of"], "left")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id_col, n_shingles, component_id``.
+
+    ``component_id`` is the smallest id that is reachable by links, the row's
+    own included.  Texts without words (null, empty, blank) link with nothing
+    and keep their own id.  Rows that repeat an id are one document: links of
+    any of its texts count.  A row with a null id is a document of its own; it
+    gets the smallest id among those it is linked with (null when there is
+    none).  An empty table gives an empty result; other columns are not read;
+    ids are integers.
+    """
+    numbered = stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+                                  F.col(text_col).alias("text")), "jaccard-numbered")
+    linked = row_components(numbered, "row", "id", "text")
+    # components that share an id are one
+    spread = linked.filter("id is not null").groupBy("id").agg(
+        F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("id")
+    shared = linked.select("id", "component").join(stored(spread, "jaccard-repeated"), "id").distinct()
+    shared = stored(shared.join(shared.groupBy("id").agg(F.min("component").alias("a")), "id")
+                    .select("a", F.col("component").alias("b")), "jaccard-shared")
+    if not shared.isEmpty():
+        joined = stored(components(shared).select(F.col("node").alias("of"), F.col("component").alias("whole")),
+                        "jaccard-joined")
+        linked = stored(_looked_up(linked, "component", joined).select(
+            "row", "id", "n", F.coalesce("whole", "component").alias("component")), "jaccard-rows")
+    # a component of one row has that row's id
+    least = stored(linked.groupBy(F.col("component").alias("of")).agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("of", "least"),
+        "jaccard-least")
+    return _looked_up(linked, "component", least).select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "rep").alias("component_id"))
+        F.when(F.col("of").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))

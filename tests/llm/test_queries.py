@@ -169,6 +169,48 @@ def test_op4_frequent_tokens(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in collected(J.jaccard_components(df))} == want
 
 
+def repeated_and_null_ids():
+    """Near copies without ids, and one id with a text that has a copy, one that has a near copy and a lonely one."""
+    import random
+    rng = random.Random(11)
+
+    def words(n):
+        return ["w%d" % rng.randrange(5000) for _ in range(n)]
+
+    def edited(w, k):
+        return " ".join(w[:k] + ["e%d" % k] + w[k + 1:])
+
+    a, b, c, d, lonely = (words(80) for _ in range(5))
+    rows = [(None, edited(a, 3)), (None, edited(a, 70)), (None, " ".join(words(60))),
+            (None, edited(d, 5)), (21, edited(d, 75)),
+            (7, " ".join(b)), (3, " ".join(b)),
+            (7, edited(c, 2)), (30, edited(c, 77)),
+            (7, " ".join(lonely))]
+    return [(i, t, "en", "s", len(t)) for i, t in rows]
+
+
+def test_op4_repeated_and_null_ids(spark):
+    from telemetra.llm.jaccard_join import jaccard_components
+
+    from .conftest import frame
+    rows = repeated_and_null_ids()
+    got = collections.Counter((r["doc_id"], r["component_id"])
+                              for r in collected(jaccard_components(frame(spark, rows).repartition(3))))
+    assert got == collections.Counter({(None, None): 3, (None, 21): 1, (21, 21): 1, (7, 3): 3, (3, 3): 1, (30, 3): 1})
+
+
+def test_pipeline_near_copies_by_row(spark):
+    import corpus_pipeline as C
+
+    from .conftest import frame
+    rows = repeated_and_null_ids()
+    left = collected(C.drop_near_copies(spark, frame(spark, rows).repartition(3), ""))
+    texts = [r["text"] for r in left]
+    assert len(texts) == 6 and len(set(texts) & {rows[0][1], rows[1][1]}) == 1
+    assert {rows[2][1], rows[4][1], rows[6][1], rows[7][1], rows[9][1]} <= set(texts)
+    assert (3, rows[6][1]) in {(r["doc_id"], r["text"]) for r in left}
+
+
 def test_op5_held_out_accuracy(spark, table, rows):
     got = collected(Q.op5_language_id(spark, table))
     assert len(got) == len(rows)
