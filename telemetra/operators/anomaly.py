@@ -6,10 +6,10 @@ subsample of ``max_samples`` rows with random axis splits up to height
 ceil(log2(max_samples)); the score of x is 2^(-E[h(x)] / c(max_samples)).
 
 Distribution:
-* one seeded-hash sample of about trees * max_samples rows is dealt to trees
-  by hash (the input is never multiplied by the number of trees); when the
-  table is smaller than that, every tree draws its own hash sample of the
-  whole table;
+* at every size a row is drawn for each tree with the same probability, by
+  hashes of its identity (key columns, readings and a copy number), so equal
+  readings are drawn independently; only drawn rows are repeated, about
+  1.3 * trees * max_samples in all;
 * trees grow in parallel, one ``applyInPandas`` group per tree (a group
   holds at most ``max_samples`` rows);
 * the forest is a table of nodes (trees * 2^(h+1) rows at most, a fixed
@@ -144,11 +144,59 @@ def _standardise(df: DataFrame, features: Sequence[str], means, stds) -> DataFra
     return df.select("*", *cols)
 
 
+def _draws(n: int, n_trees: int, psi: int) -> list[float]:
+    """Chances that a row is drawn for at most 0, 1, ... trees, each with chance 1.3 psi / n."""
+    p = min(1.0, 1.3 * psi / max(n, 1))
+    if p in (0.0, 1.0):
+        return [1.0 - p] * n_trees
+    out, total = [], 0.0
+    for m in range(n_trees):
+        total += math.exp(math.lgamma(n_trees + 1) - math.lgamma(m + 1) - math.lgamma(n_trees - m + 1)
+                          + m * math.log(p) + (n_trees - m) * math.log1p(-p))
+        out.append(total)
+    return out
+
+
+def _samples(df: DataFrame, features: Sequence[str], key_cols: Sequence[str], n: int, n_trees: int,
+             psi: int, seed: int) -> DataFrame:
+    """``tree_id`` and the features of up to ``psi`` rows for every tree, without replacement.
+
+    The number of trees of a row is a binomial draw; the trees are steps of a
+    random walk through all of them, so they differ.  Rows that agree in keys
+    and features are told apart by a copy number.
+    """
+    rows = df.select(F.xxhash64(F.lit(seed), *key_cols, *features).alias("_key"), *features) \
+        .groupBy("_key", *features).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+
+    def drawn(use):
+        return F.xxhash64("_key", "_copy", F.lit(use))
+
+    limits = _draws(n, n_trees, psi)
+    steps = [k for k in range(1, n_trees + 1) if math.gcd(k, n_trees) == 1]
+    first = F.pmod(drawn("first"), F.lit(n_trees))
+    step = F.element_at(F.array(*[F.lit(k) for k in steps]),
+                        (F.pmod(drawn("step"), F.lit(len(steps))) + 1).cast("int"))
+    picked = rows.withColumn("_u", F.shiftrightunsigned(drawn("trees"), 11) * F.lit(2.0 ** -53)) \
+        .filter(F.col("_u") >= limits[0]) \
+        .withColumn("_m", F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x <= F.col("_u")))) \
+        .withColumn("_first", first).withColumn("_step", step) \
+        .withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_m") - 1))) \
+        .withColumn("tree_id", F.pmod(F.col("_first") + F.col("_j") * F.col("_step"), F.lit(n_trees)).cast("int"))
+    w = Window.partitionBy("tree_id").orderBy(F.xxhash64("_key", "_copy", "tree_id"), "_key", "_copy")
+    return picked.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= psi).select("tree_id", *features)
+
+
 def train_iforest(df: DataFrame, features: Sequence[str], n_trees: int = 200,
                   max_samples: int = 256, contamination: float | None = 0.05,
-                  seed: int = 42) -> IForestModel:
-    """M1: fit scaler statistics, deal samples to trees, grow trees in parallel."""
+                  seed: int = 42, key_cols: Sequence[str] | None = None) -> IForestModel:
+    """M1: fit scaler statistics, deal samples to trees, grow trees in parallel.
+
+    ``key_cols`` identify a row for sampling; by default all columns do.
+    """
     features = list(features)
+    if key_cols is None:
+        key_cols = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)],
                    F.count(F.lit(1)).alias("n")).first()
@@ -157,26 +205,7 @@ def train_iforest(df: DataFrame, features: Sequence[str], n_trees: int = 200,
     n = int(stats["n"])
     psi = min(max_samples, n)
     height = max(1, math.ceil(math.log2(max(psi, 2))))
-    x = _standardise(df, features, means, stds).select(*[f"f{i}" for i in range(len(features))],
-                                                       F.monotonically_increasing_id().alias("_rid"))
-    # deterministic per-row hash: stable under recomputation of the same input
-    key = F.xxhash64(*[F.col(f"f{i}") for i in range(len(features))], F.lit(seed))
-    over = 1.3
-    if n >= n_trees * psi:
-        frac = min(1.0, n_trees * psi * over / n)
-        u = (F.abs(key) % 1_000_000_007) / 1_000_000_007.0
-        picked = x.withColumn("_u", u).filter(F.col("_u") < frac) \
-            .withColumn("tree_id", (F.abs(F.xxhash64(key, F.lit(1))) % n_trees).cast("int"))
-    else:
-        # small table: each tree samples the table itself
-        trees = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
-        frac = min(1.0, psi * over / max(n, 1))
-        picked = x.withColumn("tree_id", trees).withColumn("tree_id", F.col("tree_id").cast("int")).withColumn(
-            "_u", (F.abs(F.xxhash64(key, F.col("tree_id"))) % 1_000_000_007) / 1_000_000_007.0) \
-            .filter(F.col("_u") < frac)
-    w = Window.partitionBy("tree_id").orderBy("_u", "_rid")
-    sample = picked.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= psi) \
-        .drop("_k", "_u", "_rid")
+    sample = _standardise(_samples(df, features, key_cols, n, n_trees, psi, seed), features, means, stds)
     nf = len(features)
     nodes = sample.groupBy("tree_id").applyInPandas(
         lambda pdf: _grow(pdf, nf, height, seed), NODE_SCHEMA)

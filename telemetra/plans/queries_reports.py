@@ -229,7 +229,8 @@ def q_quality_gates(spark, sf_dir):
 @register("iforest_scores", "M1 M2", None)
 def q_iforest_scores(spark, sf_dir):
     li = cat.lineitem_readings(spark, sf_dir)
-    model = AN.train_iforest(li, S, n_trees=100, max_samples=256, contamination=0.05, seed=42)
+    model = AN.train_iforest(li, S, n_trees=100, max_samples=256, contamination=0.05, seed=42,
+                             key_cols=["l_orderkey", "l_linenumber"])
     scored = AN.score_iforest(li, model, normalise="batch")
     return scored.select("l_orderkey", "l_linenumber", "l_partkey", "is_anomaly",
                          rnd("anomaly_score").alias("anomaly_score"))

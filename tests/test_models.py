@@ -42,6 +42,23 @@ def test_iforest_finds_planted_outliers(spark, tmp_dir):
     assert s1.exceptAll(s2).count() == 0
 
 
+@pytest.mark.parametrize("n", [3000, 200])
+def test_iforest_samples_rows_not_readings(spark, n):
+    """A third of the rows share one reading: every tree sees it at about its share, at both sizes."""
+    df = spark.range(n).select("id", F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(5)).alias("a"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    trees, psi = 20, 64
+    sample = AN._samples(df, ["a"], ["id"], n, trees, psi, 3).groupBy("tree_id").agg(
+        F.count(F.lit(1)).alias("n"), F.avg((F.col("a") == 0.5).cast("int")).alias("hot"),
+        F.countDistinct("a").alias("d"), F.count_if(F.col("a") != 0.5).alias("others")).collect()
+    assert len(sample) == trees and all(r["n"] == psi for r in sample)
+    assert all(0.1 < r["hot"] < 0.6 and r["d"] == r["others"] + 1 for r in sample)
+    grown = [AN.train_iforest(x, ["a"], n_trees=trees, max_samples=psi, contamination=None, seed=3).nodes
+             for x in (df, df.orderBy(F.desc("id")).repartition(5))]
+    shape = [sorted(g[["tree_id", "node_id", "feature", "left", "right", "size"]].values.tolist()) for g in grown]
+    assert shape[0] == shape[1]
+
+
 def test_forecaster_learns_linear_trend(spark):
     rows = [("A", T0 + dt.timedelta(minutes=5 * i), float(i), 2.0 * i) for i in range(200)]
     df = spark.createDataFrame(rows, "a string, ts timestamp, x double, y double")
