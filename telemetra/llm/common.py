@@ -87,6 +87,13 @@ def discard(df: DataFrame) -> None:
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Size of the files of a :func:`stored` table."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def text_of(col: str | Column) -> Column:
     """The text, null counted as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

@@ -14,6 +14,7 @@ from telemetra.llm.mixing import mix, taken_words
 from telemetra.llm.quality_rules import quality_rules
 from telemetra.llm.secret_scan import secret_scan
 from telemetra.llm.sharding import shard_by_bytes
+from telemetra.llm.substring_dedup import remove_repeated
 from telemetra.llm.suffix_dedup import remove_duplicates
 
 #: Rank file of the registered tokenizer queries.
@@ -83,6 +84,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(documents(spark, sf_dir))
 
 
+def op11_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -94,6 +100,7 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_substring_doubling": op11_substring_doubling,
 }
 
 ORACLES = {
