@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from telemetra.llm import langid
 from telemetra.llm.bpe import Tokenizer
 from telemetra.llm.exact_dedup import exact_dedup
+from telemetra.llm.hard_negatives import hard_negatives
 from telemetra.llm.jaccard_join import jaccard_components
 from telemetra.llm.lm_score import stupid_backoff
 from telemetra.llm.mixing import mix, taken_words
@@ -89,6 +90,12 @@ def op11_substring_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, "vec_id", "embedding", label, anchor=F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -101,6 +108,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
     "op11_substring_doubling": op11_substring_doubling,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLES = {
@@ -183,5 +191,26 @@ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY norm ORDER BY n_cp DESC, d
        row_number() OVER (PARTITION BY norm ORDER BY n_cp DESC, doc_id) = 1 AS kept,
        sha256(norm) AS text_sha256
 FROM n
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
 """,
 }
