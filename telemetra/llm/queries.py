@@ -12,6 +12,7 @@ from telemetra.llm.hard_negatives import hard_negatives
 from telemetra.llm.jaccard_join import jaccard_components
 from telemetra.llm.lm_score import stupid_backoff
 from telemetra.llm.mixing import mix, taken_words
+from telemetra.llm.prefix_trie import numbered_turns, prefix_trie, rebuilt
 from telemetra.llm.quality_rules import quality_rules
 from telemetra.llm.secret_scan import secret_scan
 from telemetra.llm.sharding import shard_by_bytes
@@ -96,6 +97,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors, "vec_id", "embedding", label, anchor=F.col("vec_id") % 50 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*rebuilt(numbered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
 QUERIES = {
     "op1_suffix_array_dedup": op1_suffix_array_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -109,6 +114,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "op11_substring_doubling": op11_substring_doubling,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES = {
@@ -212,5 +218,42 @@ n AS (
   FROM p JOIN s USING (anchor_id)
   WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+""",
+    "op13_prefix_trie": """
+WITH o AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+v AS (
+  SELECT c, max(pos) AS n, c - c % 100 AS base,
+         xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+             lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+             lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS h
+  FROM o GROUP BY c),
+w AS (SELECT v.c, v.base, v.h, least(v.h, coalesce(b.n, 0)) AS shared FROM v LEFT JOIN v b ON b.c = v.base),
+r AS (
+  SELECT w.c, o.pos, role, text FROM w JOIN o ON o.c = w.base AND o.pos <= w.h
+  UNION ALL SELECT w.c, o.pos - w.h + w.shared, role, text FROM w JOIN o ON o.c = w.c AND o.pos > w.h),
+s AS (
+  SELECT w.c, coalesce(x, []) AS s
+  FROM w LEFT JOIN (SELECT c, list({'role': role, 'text': text} ORDER BY pos) AS x FROM r GROUP BY c) USING (c)),
+n AS (
+  SELECT d, s[1:d] AS k, min(c) AS c, count(*) AS n
+  FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s) GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+val AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children,
+         CASE WHEN d = 0 THEN 0 ELSE (n - 1) * length(k[d].text) END AS saved
+  FROM n LEFT JOIN kids USING (d, k)),
+sub AS (
+  SELECT a AS d, k[1:a] AS k, sum(CAST(n_children = 0 AS INT)) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM val) GROUP BY 1, 2),
+ends AS (
+  SELECT CAST(len(s) AS BIGINT) AS d, s AS k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS e FROM s GROUP BY s)
+SELECT val.c AS conv_id, val.d AS depth, p.c AS parent_conv_id, val.n AS n_convs, val.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       coalesce(e, sha256('')) AS ends_sha256
+FROM val JOIN sub USING (d, k) LEFT JOIN n p ON p.d = val.d - 1 AND p.k = val.k[1:val.d - 1]
+LEFT JOIN ends ON ends.d = val.d AND ends.k = val.k
 """,
 }
