@@ -214,8 +214,7 @@ def train_iforest(df: DataFrame, features: Sequence[str], n_trees: int = 200,
     model = IForestModel(features, means, stds, forest, psi)
     if contamination is not None:
         scored = score_iforest(df, model, normalise=None)
-        q = exact_quantiles(scored.withColumn("_g", F.lit(0)), ["_g"], "score_samples",
-                            [contamination]).first()
+        q = exact_quantiles(scored, [], "score_samples", [contamination], few_groups=True).first()
         model.offset = float(q["q"])
     return model
 
@@ -308,8 +307,7 @@ def evaluate_anomaly(df: DataFrame, label_col: str, flag_col: str, score_col: st
     cells = df.select(s.alias("s"), y.alias("wp"), (1 - y).alias("wn"), (y * p).alias("tp"),
                       ((1 - y) * p).alias("fp"), (y * (1 - p)).alias("fn"), p.alias("pp"),
                       F.lit(1).alias("c"), (s * s).alias("s2"), s.alias("s1"))
-    ranked = value_running_counts(cells.withColumn("_g", F.lit(0)), ["_g"], "s",
-                                  ["wp", "wn", "tp", "fp", "fn", "pp", "c", "s1", "s2"])
+    ranked = value_running_counts(cells, [], "s", ["wn"], ["wp", "tp", "fp", "fn", "pp", "c", "s1", "s2"])
     tot = ranked.agg(
         F.sum("c").alias("n"), F.sum("pp").alias("npred"), F.sum("s1").alias("ss"),
         F.sum("s2").alias("ss2"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp"),

@@ -236,7 +236,7 @@ def column_medians(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     cols = list(cols)
     longf = unpivot(df, cols, id_cols=[], var="feature", val="value")
     longf = longf.filter(F.abs(F.col("value")) != F.lit(float("inf")))
-    q = exact_quantiles(longf, ["feature"], "value", [0.5])
+    q = exact_quantiles(longf, ["feature"], "value", [0.5], few_groups=True)
     return q.groupBy().agg(*[
         F.max(F.when(F.col("feature") == c, F.col("q"))).alias(c) for c in cols])
 

@@ -1,11 +1,19 @@
 """Statistics over sensors: exact quantiles, summaries, fault analysis,
 correlation, tallies, baselines (A3-A14, J5).
 
-Exact quantiles and value-ordered running counts are computed without
-sending a whole column to one task: values are first reduced to
-(value, count) pairs (map-side combine), dealt into equal-width value
-buckets, bucket totals give running offsets, and only the buckets holding a
-requested rank are ordered inside.
+Exact quantiles and value-ordered running counts work on the ordered bits of
+doubles (:func:`telemetra.functions.ordered.with_ordered_bits`), cut into three
+digits, so that no column and no group is ever ordered in one task, whatever
+its size and however its values are spread:
+
+* a quantile is a rank; one histogram per digit (combined on the map side)
+  finds the interval that holds the rank, and only rows of such intervals go
+  into the next digit's histogram,
+* running counts add the offset of the high digits, of the middle digits
+  inside them, and the running sum inside one combination of both.
+
+A window sees at most 2**(bits of a digit) rows.  There is one plan at every
+size, and no job is started while a query is built.
 """
 
 from __future__ import annotations
@@ -15,13 +23,12 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from telemetra.functions.ordered import with_ordered_bits
+from telemetra.operators.sequence import null_safe_join
 from telemetra.profile import SensorProfile
 
-VALUE_BUCKETS = 4096
-# groups up to this many values use Spark's exact ``percentile`` aggregate
-# (it holds one group's distinct values in a task); larger ones take the
-# bucketed path, whose tasks hold one value bucket only
-DIRECT_QUANTILE_MAX = 1_000_000
+#: Lowest bits cut off by the high and by the middle digits of a value.
+HIGH, MIDDLE = 42, 21
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
@@ -33,124 +40,88 @@ def unpivot(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
     return long_df.withColumn(val, F.nanvl(F.col(val), F.lit(None).cast("double")))
 
 
-def _bucketed_counts(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                     buckets: int = VALUE_BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """(value counts with bucket id, bucket offsets) for value-ordered work."""
-    g = list(group_cols)
-    vc = (df.filter(F.col(value_col).isNotNull())
-          .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_c")))
-    rng = vc.groupBy(*g).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"),
-                             F.sum("_c").alias("_n"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(
-        F.floor(F.try_divide(F.col(value_col) - F.col("_lo"), span) * buckets),
-        F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
-    vcb = vc.join(rng, on=g, how="inner").withColumn("_b", bucket)
-    btot = vcb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"), F.first("_n").alias("_n"))
-    w = Window.partitionBy(*g).orderBy("_b") if g else Window.orderBy("_b")
-    offs = btot.withColumn(
-        "_bstart", F.coalesce(F.sum("_bc").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)))
-    return vcb.select(*g, value_col, "_c", "_b"), offs
+def _digits(df: DataFrame, value_col: str, names: Sequence[str] = ("_k1", "_k2", "_k3")) -> DataFrame:
+    """Rows with digits of their value: ``_k1`` (high), ``_k2`` (high and middle), ``_k3`` (all)."""
+    cut = {"_k1": F.shiftright("_bits", HIGH), "_k2": F.shiftright("_bits", MIDDLE), "_k3": F.col("_bits")}
+    return with_ordered_bits(df, value_col, "_bits").withColumns({n: cut[n] for n in names}).drop("_bits")
 
 
 def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                    probs: Sequence[float], buckets: int = VALUE_BUCKETS,
-                    strategy: str = "auto") -> DataFrame:
+                    probs: Sequence[float], few_groups: bool = False) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``percentile``).
 
-    Returns (group..., p, q).  Nulls are ignored; a group with no values
-    yields no rows.  ``auto`` checks the largest group once (one small
-    aggregate) and uses the ``percentile`` aggregate when it is bounded by
-    ``DIRECT_QUANTILE_MAX``, else the bucketed path.
+    Returns (group..., p, q).  Null values are ignored, NaN counts as larger
+    than all others; a null group is a group, one without values yields no
+    rows.  Ranks are found digit by digit (see the module): the first
+    histogram has at most 2**22 rows per group, and the others are taken over
+    the intervals that hold a wanted rank only.  ``few_groups`` says that the
+    groups are names of columns (a bounded set): the intervals are then
+    broadcast and no row is shuffled.
     """
     g = list(group_cols)
-    if strategy == "auto":
-        vals = df.filter(F.col(value_col).isNotNull())
-        most = (vals.groupBy(*g).count().agg(F.max("count")).first()[0] if g
-                else vals.count()) or 0
-        strategy = "direct" if most <= DIRECT_QUANTILE_MAX else "bucketed"
-    if strategy == "direct":
-        pct = F.percentile(F.col(value_col), [float(p) for p in probs])
-        agg = (df.groupBy(*g) if g else df.groupBy()).agg(pct.alias("_qs"))
-        agg = agg.filter(F.col("_qs").isNotNull())
-        return agg.select(*g, F.posexplode("_qs").alias("_i", "q")).select(
-            *g, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1)
-            .alias("p"), "q")
-    if not g:  # keep every join an equi-join
-        q = exact_quantiles(df.withColumn("_g", F.lit(0)), ["_g"], value_col, probs, buckets,
-                            strategy="bucketed")
-        return q.drop("_g")
-    vcb, offs = _bucketed_counts(df, g, value_col, buckets)
-    per_group = offs.groupBy(*g).agg(F.first("_n").alias("_n"))
-    pos = F.col("p") * (F.col("_n") - 1)
-    ranks = per_group.select(*g, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-                             .alias("p")).select(*g, "p", pos.alias("_pos"))
-    ranks = ranks.select(*g, "p", "_pos", F.explode(F.array_distinct(F.array(
-        F.floor("_pos").cast("long"), F.ceil("_pos").cast("long")))).alias("_k"))
-    # bucket holding each rank (offsets renamed: both sides derive from vcb)
-    offs2 = offs.select(*[F.col(c).alias(f"_o_{c}") for c in g], F.col("_b").alias("_ob"),
-                        F.col("_bstart").alias("_obs"), F.col("_bc").alias("_obc"))
-    cond = [F.col(c) == F.col(f"_o_{c}") for c in g] + [
-        F.col("_obs") <= F.col("_k"), F.col("_k") < F.col("_obs") + F.col("_obc")]
-    hit = ranks.join(offs2, on=cond, how="inner").select(
-        *g, "p", "_pos", "_k", F.col("_ob").alias("_b"), F.col("_obs").alias("_bstart"))
-    need = hit.select(*g, "_b", "_bstart").distinct()
-    inside = vcb.join(need, on=[*g, "_b"], how="inner")
-    wb = Window.partitionBy(*g, "_b").orderBy(value_col)
-    inside = inside.withColumn("_end", F.col("_bstart") + F.sum("_c").over(
-        wb.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = inside.withColumn("_start", F.col("_end") - F.col("_c"))
-    kv = hit.join(inside, on=[*g, "_b"], how="inner").filter(
-        (F.col("_start") <= F.col("_k")) & (F.col("_k") < F.col("_end"))).select(
-        *g, "p", "_pos", "_k", F.col(value_col).alias("_v"))
-    agg = kv.groupBy(*g, "p", "_pos").agg(
-        F.min_by("_v", "_k").alias("_vlo"), F.max_by("_v", "_k").alias("_vhi"))
-    frac = F.col("_pos") - F.floor("_pos")
-    return agg.select(*g, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("q"))
+    x = df.filter(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
+    x = _digits(x, "_v", ["_k1"])
+
+    def placed(hist: DataFrame, inside: list[str], by: str) -> DataFrame:
+        """Histogram rows with the ranks they begin and end at inside ``inside``."""
+        ordered = Window.partitionBy(*inside).orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+        return hist.withColumn("_end", F.sum("_c").over(ordered)) \
+            .withColumn("_start", F.col("_end") - F.col("_c"))
+
+    whole = Window.partitionBy(*g)
+    first = placed(x.groupBy(*g, "_k1").agg(F.count(F.lit(1)).alias("_c")), g, "_k1") \
+        .withColumn("_n", F.sum("_c").over(whole))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"))
+                       for p in probs])
+    ranks = F.flatten(F.transform(wanted, lambda r: F.array_distinct(F.array(*[
+        F.struct(r["p"].alias("p"), r["pos"].alias("pos"), k(r["pos"]).cast("long").alias("k")) for k in (F.floor, F.ceil)]))))
+    hits = first.withColumn("_r", F.explode(F.filter(
+        ranks, lambda r: (r["k"] >= F.col("_start")) & (r["k"] < F.col("_end"))))) \
+        .select(*g, "_k1", F.col("_r.p").alias("p"), F.col("_r.pos").alias("_pos"),
+                (F.col("_r.k") - F.col("_start")).alias("_k"))
+    for above, digit in (("_k1", "_k2"), ("_k2", "_k3")):
+        intervals = hits.select(*g, above).distinct()
+        x = _digits(null_safe_join(x, F.broadcast(intervals) if few_groups else intervals, [*g, above]), "_v", [digit])
+        hist = placed(x.groupBy(*g, above, digit).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_v")),
+                      [*g, above], digit)
+        hits = null_safe_join(hist, hits.select(*g, above, "p", "_pos", "_k"), [*g, above]) \
+            .filter((F.col("_k") >= F.col("_start")) & (F.col("_k") < F.col("_end"))) \
+            .select(*g, digit, "p", "_pos", (F.col("_k") - F.col("_start")).alias("_k"), "_v")
+    # a whole position has one rank, another one the two around it
+    found = hits.groupBy(*g, "p", "_pos").agg(F.min("_k3").alias("_k3"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    part = F.col("_pos") - F.floor("_pos")
+    return found.select(*g, "p", F.when((part == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(
+        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias("q"))
 
 
 def value_running_counts(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                         weight_cols: Sequence[str], buckets: int = VALUE_BUCKETS,
-                         strategy: str = "auto") -> DataFrame:
+                         weight_cols: Sequence[str], carry_cols: Sequence[str] = ()) -> DataFrame:
     """Running sums of ``weight_cols`` in ascending value order per group.
 
-    Returns (group..., value, weights summed per value, ``cum_<w>`` running
-    totals including the value).  Values are first reduced per (group,
-    value).  ``auto`` checks the largest number of distinct values in a
-    group: when bounded (``DIRECT_QUANTILE_MAX``) one running window per
-    group is used; otherwise two levels -- per-bucket totals give offsets,
-    running sums are taken inside buckets only.
+    Returns (group..., value, weights and ``carry_cols`` summed per value,
+    ``cum_<w>`` running totals of the weights including the value); null
+    values are left out, a null group is a group.  Values are first reduced
+    per (group, value); totals of the middle and the high digits give the
+    offsets of the sums inside one combination.
     """
-    g = list(group_cols)
-    ws = list(weight_cols)
-    if not g:
-        out = value_running_counts(df.withColumn("_g", F.lit(0)), ["_g"], value_col, ws, buckets,
-                                   strategy)
-        return out.drop("_g")
-    per_val = (df.filter(F.col(value_col).isNotNull()).groupBy(*g, value_col)
-               .agg(*[F.sum(c).alias(c) for c in ws]))
-    if strategy == "auto":
-        most = per_val.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
-        strategy = "direct" if most <= DIRECT_QUANTILE_MAX else "bucketed"
-    if strategy == "direct":
-        wv = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-        return per_val.select(*g, value_col, *ws, *[F.sum(c).over(wv).alias(f"cum_{c}") for c in ws])
-    rng = per_val.groupBy(*g).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(
-        F.floor(F.try_divide(F.col(value_col) - F.col("_lo"), span) * buckets),
-        F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
-    pv = per_val.join(rng, on=g, how="inner").withColumn("_b", bucket).drop("_lo", "_hi")
-    btot = pv.groupBy(*g, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in ws])
-    wbk = (Window.partitionBy(*g) if g else Window.partitionBy()).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offs = btot.select(*g, "_b", *[F.coalesce(F.sum(f"_bt_{c}").over(wbk), F.lit(0)).alias(
-        f"_of_{c}") for c in ws])
-    wv = Window.partitionBy(*g, "_b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, 0)
-    out = pv.join(offs, on=[*g, "_b"], how="inner")
-    return out.select(*g, value_col, *ws, *[
-        (F.col(f"_of_{c}") + F.sum(c).over(wv)).alias(f"cum_{c}") for c in ws])
+    g, ws = list(group_cols), list(weight_cols)
+    own = [*ws, *carry_cols]
+    summed = df.filter(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(*[F.sum(c).alias(c) for c in own])
+    per_value = _digits(summed, value_col)
+    upto = (Window.unboundedPreceding, 0)
+    before = (Window.unboundedPreceding, -1)
+
+    def exclusive(total: DataFrame, inside: list[str], by: str, prefix: str) -> DataFrame:
+        window = Window.partitionBy(*inside).orderBy(by).rowsBetween(*before)
+        return total.select(*inside, by, *[F.coalesce(F.sum(c).over(window), F.lit(0)).alias(f"{prefix}{c}") for c in ws])
+
+    middle = per_value.groupBy(*g, "_k1", "_k2").agg(*[F.sum(c).alias(c) for c in ws])
+    high = exclusive(middle.groupBy(*g, "_k1").agg(*[F.sum(c).alias(c) for c in ws]), g, "_k1", "_h_")
+    offsets = null_safe_join(exclusive(middle, [*g, "_k1"], "_k2", "_m_"), high, [*g, "_k1"]).drop("_k1")
+    low = Window.partitionBy(*g, "_k2").orderBy("_k3").rowsBetween(*upto)
+    running = per_value.select(*g, value_col, "_k2", *own, *[F.sum(c).over(low).alias(f"_l_{c}") for c in ws])
+    return null_safe_join(running, offsets, [*g, "_k2"]).select(
+        *g, value_col, *own, *[(F.col(f"_h_{c}") + F.col(f"_m_{c}") + F.col(f"_l_{c}")).alias(f"cum_{c}") for c in ws])
 
 
 def summary_stats(long_df: DataFrame, group_cols: Sequence[str] = ("sensor",),
@@ -161,7 +132,7 @@ def summary_stats(long_df: DataFrame, group_cols: Sequence[str] = ("sensor",),
         F.avg(value_col).alias("mean"), F.stddev_samp(value_col).alias("std"),
         F.min(value_col).alias("min"), F.max(value_col).alias("max"),
         F.count(value_col).alias("count"))
-    q = exact_quantiles(long_df, g, value_col, [0.25, 0.5, 0.75])
+    q = exact_quantiles(long_df, g, value_col, [0.25, 0.5, 0.75], few_groups=g == ["sensor"])
     qw = q.groupBy(*g).agg(*[
         F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
         for p, name in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
@@ -297,7 +268,7 @@ def baseline_stats(long_df: DataFrame, group_cols: Sequence[str] = ("sensor",),
         F.count(value_col).alias("n"), F.count(F.lit(1)).alias("_rows"))
     base = base.filter(F.col("_rows") >= min_rows).drop("_rows")
     probs = [0.05, 0.95] + ([0.5] if with_median else [])
-    q = exact_quantiles(long_df, g, value_col, probs)
+    q = exact_quantiles(long_df, g, value_col, probs, few_groups=g in (["sensor"], ["feature"]))
     names = {0.05: "p05", 0.95: "p95", 0.5: "median"}
     qw = q.groupBy(*g).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(names[p])
                             for p in probs])

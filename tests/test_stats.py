@@ -18,17 +18,64 @@ def table(spark, seed=3, n=2000, groups=3):
     return spark.createDataFrame(rows, "g int, v double"), g, v
 
 
-@pytest.mark.parametrize("buckets,strategy", [(4096, "bucketed"), (7, "bucketed"), (7, "direct"),
-                                              (7, "auto")])
-def test_exact_quantiles(spark, buckets, strategy):
+#: Digits as they are, and digits so small that every combination of them is used.
+DIGITS = [(42, 21), (50, 47), (3, 1)]
+
+
+@pytest.fixture(params=DIGITS)
+def digits(request, monkeypatch):
+    monkeypatch.setattr(ST, "HIGH", request.param[0])
+    monkeypatch.setattr(ST, "MIDDLE", request.param[1])
+
+
+def test_exact_quantiles(spark, digits):
     df, g, v = table(spark)
     probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
-    got = {(r["g"], r["p"]): r["q"] for r in
-           ST.exact_quantiles(df, ["g"], "v", probs, buckets=buckets, strategy=strategy).collect()}
+    got = {(r["g"], r["p"]): r["q"] for r in ST.exact_quantiles(df, ["g"], "v", probs).collect()}
     for k in range(3):
         vals = v[(g == k) & ~np.isnan(v)]
         for p in probs:
             assert got[(k, p)] == pytest.approx(np.quantile(vals, p), abs=1e-9)
+    whole = {r["p"]: r["q"] for r in ST.exact_quantiles(df, [], "v", probs).collect()}
+    assert whole == {p: pytest.approx(np.quantile(v[~np.isnan(v)], p), abs=1e-9) for p in probs}
+
+
+def test_quantiles_of_far_values_and_null_groups(spark):
+    """One value far off, both signs, zeros of both signs, a null group, a group without values."""
+    values = [-1e300, -2.0, -0.0, 0.0, 0.0, 1e-300, 1.0, 1.0000000000000002, 1e12]
+    rows = [(g, x) for g in (None, 1) for x in values] + [(2, None)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    probs = [0.0, 0.1, 0.3, 0.5, 0.8, 1.0]
+    got = {(r["g"], r["p"]): r["q"] for r in ST.exact_quantiles(df, ["g"], "v", probs).collect()}
+    assert got == {(g, p): pytest.approx(np.quantile(values, p)) for g in (None, 1) for p in probs}
+
+
+def test_quantiles_start_no_job(spark):
+    """One plan at every size: nothing runs while the query is built."""
+    tracker = spark.sparkContext.statusTracker()
+    df, _, _ = table(spark)
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        ST.exact_quantiles(df, ["g"], "v", [0.5])
+        ST.value_running_counts(df.withColumn("w", F.lit(1)), ["g"], "v", ["w"])
+        assert list(tracker.getJobIdsForGroup("build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ordered_bits(spark):
+    import random
+    import struct
+
+    from telemetra.functions.ordered import with_ordered_bits
+    rng = random.Random(1)
+    xs = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, 2.225073858507201e-308, 1.7976931348623157e308]
+    xs += [struct.unpack("d", struct.pack("q", rng.getrandbits(63)))[0] for _ in range(2000)]
+    xs += [y for e in range(-1074, 1024) for y in (2.0 ** e, np.nextafter(2.0 ** e, 0), -np.nextafter(2.0 ** e, 2))]
+    df = spark.createDataFrame([(float(x),) for x in xs if x == x], "x double")
+    for r in with_ordered_bits(df, "x", "k").collect():
+        size = struct.unpack("q", struct.pack("d", abs(r["x"])))[0]
+        assert r["k"] == (-size if r["x"] < 0 else size)
 
 
 def test_quantile_single_value_and_constant(spark):
@@ -44,12 +91,10 @@ def ks_brute(a, b):
     return np.max(np.abs(fa - fb))
 
 
-@pytest.mark.parametrize("strategy", ["direct", "bucketed"])
-def test_value_running_counts_strategies(spark, strategy):
+def test_value_running_counts(spark, digits):
     df, g, v = table(spark)
     x = df.withColumn("w", F.lit(1))
-    got = {(r["g"], r["v"]): r["cum_w"] for r in
-           ST.value_running_counts(x, ["g"], "v", ["w"], buckets=5, strategy=strategy).collect()}
+    got = {(r["g"], r["v"]): r["cum_w"] for r in ST.value_running_counts(x, ["g"], "v", ["w"]).collect()}
     for (k, val), cum in got.items():
         vals = v[(g == k) & ~np.isnan(v)]
         assert cum == int(np.sum(vals <= val))
