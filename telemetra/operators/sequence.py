@@ -5,11 +5,14 @@ asset in time order.  ``Window.partitionBy(asset)`` sends a whole asset to one
 task, so a single hot asset holding a third of the table would stall the job.
 This module numbers rows and cuts every asset into bounded blocks instead:
 
-1. ``number_rows``: rows are grouped by (asset, time chunk); a window inside
-   each chunk gives the local position, a small per-chunk count table gives
-   the chunk offsets (running sum over chunks of one asset), and a join adds
-   them back.  Result: ``_rn`` = 1-based position of the row inside its asset,
-   ``_cnt`` = rows of the asset.
+1. ``number_rows``: time is cut twice, into chunks (``chunk_seconds``) and
+   into ``SLOTS`` slots of a chunk.  A window inside (asset, slot) gives the
+   local position; the rows per slot are a two-level histogram of the asset:
+   running sums over the slots of a chunk and over the chunks of an asset are
+   its offsets, which one join adds back.  No window sees more than the rows
+   of one slot, the slots of one chunk, or the chunks of one asset.  Result:
+   ``_rn`` = 1-based position of the row inside its asset, ``_cnt`` = rows of
+   the asset.
 2. ``blocked``: rows are dealt into blocks of ``block_rows`` consecutive
    positions.  A row that lies within ``lookback`` rows of the next block is
    copied there as a halo row (``_halo``), likewise for ``lookahead``.  A
@@ -39,6 +42,8 @@ from telemetra.profile import SensorProfile
 RN, CNT, BLK, HALO = "_rn", "_cnt", "_blk", "_halo"
 BKEY = "_bkey"  # (asset, block) as one value that is never null itself: windows and joins share it
 _CHUNK, _LRN, _OFF, _CC = "_chunk", "_lrn", "_off", "_cc"
+#: Slots of a chunk: a slot is what one window partition numbers (a week's chunk has slots of ten minutes).
+SLOTS = 1024
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -54,9 +59,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def _chunk_expr(profile: SensorProfile) -> Column:
+def _slot_expr(profile: SensorProfile) -> Column:
+    """Number of the slot of a row's time; null times have none."""
     micros = F.unix_micros(F.col(profile.ts).cast("timestamp"))
-    return F.floor(micros / F.lit(profile.chunk_seconds * 1_000_000)).cast("long")
+    return F.floor(micros / F.lit(max(profile.chunk_seconds * 1_000_000 // SLOTS, 1))).cast("long")
 
 
 def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "chunked",
@@ -73,21 +79,29 @@ def number_rows(df: DataFrame, profile: SensorProfile, strategy: str = "chunked"
 
     # a struct of null fields is not null, so null keys group and join like others
     # and the join stands on the window's partitioning
-    chunked = df.withColumn(_CHUNK, F.struct(F.col(a).alias("a"), _chunk_expr(profile).alias("c")))
-    local = chunked.withColumn(_LRN, F.row_number().over(Window.partitionBy(_CHUNK).orderBy(*order)))
-    counts = chunked.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias(_CC))
-    per_asset = Window.partitionBy(f"{_CHUNK}.a").orderBy(f"{_CHUNK}.c")
-    offsets = counts.select(
-        _CHUNK,
-        F.coalesce(F.sum(_CC).over(per_asset.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias(_OFF),
-        *([F.sum(_CC).over(Window.partitionBy(f"{_CHUNK}.a")).alias(CNT)] if with_count else []),
-    )
-    joined = local.join(offsets, _CHUNK)
+    slotted = df.withColumn(_CHUNK, F.struct(F.col(a).alias("a"), _slot_expr(profile).alias("s")))
+    local = slotted.withColumn(_LRN, F.row_number().over(Window.partitionBy(_CHUNK).orderBy(*order)))
+    joined = local.join(_offsets(slotted.groupBy(_CHUNK).agg(F.count(F.lit(1)).alias(_CC)), with_count), _CHUNK)
     return joined.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
         _CHUNK, _LRN, _OFF)
 
 
+def _offsets(counts: DataFrame, with_count: bool) -> DataFrame:
+    """Rows of the asset before each slot, from the rows per (asset, slot); with ``_cnt`` the asset's rows."""
+    earlier = (Window.unboundedPreceding, -1)
+    span = F.struct(F.col(f"{_CHUNK}.a").alias("a"), F.floor(F.col(f"{_CHUNK}.s") / SLOTS).alias("c"))
+    slots = counts.withColumn("_span", span)
+    inside = Window.partitionBy("_span").orderBy(f"{_CHUNK}.s")
+    slots = slots.select(_CHUNK, "_span", F.coalesce(F.sum(_CC).over(inside.rowsBetween(*earlier)), F.lit(0)).alias("_in"))
+    spans = counts.groupBy(span.alias("_span")).agg(F.sum(_CC).alias(_CC))
+    per_asset = Window.partitionBy("_span.a")
+    spans = spans.select(
+        "_span", F.coalesce(F.sum(_CC).over(per_asset.orderBy("_span.c").rowsBetween(*earlier)), F.lit(0)).alias("_before"),
+        *([F.sum(_CC).over(per_asset).alias(CNT)] if with_count else []))
+    return slots.join(spans, "_span").select(
+        _CHUNK, (F.col("_in") + F.col("_before")).alias(_OFF), *([CNT] if with_count else []))
+
+
 def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -> DataFrame:
     """Recompute ``_rn``/``_cnt`` after rows were filtered out.
 

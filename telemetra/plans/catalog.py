@@ -33,18 +33,18 @@ LINEITEM = SensorProfile(
             "l_discount": (0.0, 0.09), "l_tax": (0.0, 0.08)},
     baselines={"l_quantity": (25.5, 14.4), "l_extendedprice": (38000.0, 23000.0),
                "l_discount": (0.05, 0.032), "l_tax": (0.04, 0.026)},
-    fault="l_returnflag = 'R'", chunk_seconds=90 * 86400,
+    fault="l_returnflag = 'R'", chunk_seconds=1024 * 30 * 86400,  # days between readings: slots of a month
 )
 
 EVENTS = SensorProfile(
     asset="user_id", ts="ts", sensors=("value",), tiebreak=("event_id",),
     limits={"value": (0.0, 400.0)}, baselines={"value": (50.0, 50.0)},
-    fault="event_type = 'error'", chunk_seconds=86400,
+    fault="event_type = 'error'", chunk_seconds=1024 * 86400,  # slots of a day
 )
 
 ORDERS_ALARMS = SensorProfile(
     asset="o_custkey", ts="o_orderdate", sensors=("o_totalprice",), tiebreak=("o_orderkey",),
-    fault="o_orderstatus = 'F'", chunk_seconds=365 * 86400,
+    fault="o_orderstatus = 'F'", chunk_seconds=1024 * 365 * 86400,  # slots of a year
 )
 
 # health inputs for lineitem KPIs (scaled onto the pipeline's health bands)

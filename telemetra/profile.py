@@ -26,7 +26,8 @@ class SensorProfile:
     baselines  -- (mean, std) per sensor for baseline z-scores
     fault      -- SQL expression giving 1 for a faulty row, 0 otherwise
     chunk_seconds -- time-chunk width used to number rows per asset without
-                     sending a whole asset to one task
+                     sending a whole asset to one task (a task's window holds
+                     the rows of 1/1024 of a chunk)
     block_rows -- rows per block for windowed work (halo copies bridge blocks)
     """
 

@@ -156,3 +156,33 @@ def test_clean_chunked_equals_direct(spark, mode):
     b = C.clean_readings(df, p, mode=mode, strategy="direct", keep_sequence=True)
     cols = ["asset", "k", "x", "y", "_rn", "_cnt"]
     assert collect(a, cols) == collect(b, cols)
+
+
+def test_numbering_of_one_busy_asset(spark):
+    """One asset at 1 Hz, a million rows: no window partition comes near a block, positions are right."""
+    from telemetra.operators import sequence as seq
+
+    prof = SensorProfile(asset="a", ts="ts", sensors=("x",))
+    df = spark.range(1_000_000).select(
+        F.lit(1).alias("a"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"),
+        F.col("id").cast("double").alias("x"))
+    slots = df.groupBy("a", seq._slot_expr(prof)).count()
+    chunks = df.groupBy("a", F.floor(seq._slot_expr(prof) / seq.SLOTS)).agg(F.countDistinct(seq._slot_expr(prof)).alias("n"))
+    assert slots.agg(F.max("count")).first()[0] <= prof.block_rows
+    assert chunks.agg(F.max("n")).first()[0] <= seq.SLOTS
+    wrong = seq.number_rows(df, prof).filter((F.col(seq.RN) != F.col("x") + 1) | (F.col(seq.CNT) != 1_000_000))
+    assert wrong.count() == 0
+
+
+def test_numbering_across_slots_and_chunks(spark):
+    """Small slots: many chunks, empty ones between, null assets and times, equal times."""
+    from telemetra.operators import sequence as seq
+
+    prof = SensorProfile(asset="a", ts="ts", sensors=("x",), tiebreak=("x",), chunk_seconds=1)
+    rows = [(a, t, float(i)) for a in (None, 1, 2) for i, t in enumerate([None, 0, 0, 0.001, 0.5, 7, 7, 4000, -3, -3.7])]
+    df = spark.createDataFrame(rows, "a int, t double, x double").withColumn("ts", F.timestamp_micros(
+        (F.col("t") * 1e6).cast("long")))
+    got = {(r["a"], r["x"]): (r[seq.RN], r[seq.CNT]) for r in seq.number_rows(df, prof).collect()}
+    for a in (None, 1, 2):
+        order = sorted((r for r in rows if r[0] == a), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        assert [got[(a, r[2])] for r in order] == [(k, 10) for k in range(1, 11)]
