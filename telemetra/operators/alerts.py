@@ -7,7 +7,6 @@ enabled).  They are broadcast only after their size is checked.
 
 from __future__ import annotations
 
-import math
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra.functions.scoring import rule_severity
+from telemetra.operators.cooldown import fired
 from telemetra.operators.sequence import null_safe_join
 from telemetra.profile import (ALARM_CODES, DEFAULT_COOLDOWN_MINUTES, DEFAULT_RULES,
                                DERIVED_ALARMS, SEVERITY_COLOURS)
@@ -120,17 +120,10 @@ def apply_cooldown(events: DataFrame, ts: str, key_cols: Sequence[str], id_col:
 
     Of events of one key at one instant only the first by ``id_col`` can fire
     (with a cooldown of 0 all events fire), so a place in the chain is a (key,
-    time) pair, whatever the ids.  The chain is found without sorting a key in
-    one task:
-
-    * time is cut into chunks one cooldown long; at most one event per key
-      fires in a chunk;
-    * each place's successor (first place at or after ts + cooldown) lies in
-      the next chunk or is the first of a later non-empty chunk; both
-      are found with windows over (key, chunk) partitions only;
-    * pointer doubling (log2 rounds of joins, each level checkpointed)
-      gives 2**k-th successors, and the fired set {succ^m(first place)} is
-      enumerated from the highest level down.
+    time) pair, whatever the ids.  The chain is a fold over the places of a
+    key, computed by composing the step functions of segments
+    (:mod:`telemetra.operators.cooldown`); no key is ordered in one task.
+    An event without a time is no place and does not fire.
 
     ``key_cols`` = (asset, rule) for per-asset cooldown, or (rule,) for the
     source behaviour where one asset silences the others; null keys are a key.
@@ -143,48 +136,10 @@ def apply_cooldown(events: DataFrame, ts: str, key_cols: Sequence[str], id_col:
         .withColumn("_L", (minutes * 60_000_000).cast("long"))
     always = ev.filter("_L <= 0").select(*events.columns)
     rest = [c for c in events.columns if c != id_col and c not in key]
-    places = ev.filter("_L > 0").groupBy(*key, "_t").agg(
+    places = ev.filter("_L > 0 and _t is not null").groupBy(F.struct(*key).alias("_key"), "_t").agg(
         F.min("_L").alias("_L"), F.min(F.struct(id_col, *rest)).alias("_row"))
-    places = cut_lineage(places.withColumn("_c", F.floor(F.col("_t") / F.col("_L")).cast("long")))
-    base = places.select(*key, "_t", "_L", "_c")
-
-    # first place of every non-empty chunk, and of the next chunk >= c + 2
-    heads = base.groupBy(*key, "_c").agg(F.min("_t").alias("_h"))
-    wk = Window.partitionBy(*key).orderBy("_c")
-    heads = heads.select(
-        *key, "_c", "_h",
-        F.when(F.lead("_c", 1).over(wk) >= F.col("_c") + 2, F.lead("_h", 1).over(wk))
-        .otherwise(F.lead("_h", 2).over(wk)).alias("_far"))
-
-    # probes (ts + L) of chunk c meet the places of chunk c + 1
-    none = F.lit(None).cast("long")
-    probes = base.select(*key, (F.col("_c") + 1).alias("_pc"), (F.col("_t") + F.col("_L")).alias("_pt"),
-                         F.lit(0).alias("_kind"), F.col("_t").alias("_src"), none.alias("_n"))
-    cands = base.select(*key, F.col("_c").alias("_pc"), F.col("_t").alias("_pt"),
-                        F.lit(1).alias("_kind"), none.alias("_src"), F.col("_t").alias("_n"))
-    wdesc = Window.partitionBy(*key, "_pc").orderBy(F.col("_pt").desc(), F.col("_kind").desc()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    near = probes.unionByName(cands).withColumn("_nx", F.last("_n", ignorenulls=True).over(wdesc)) \
-        .filter(F.col("_kind") == 0).select(*key, F.col("_src").alias("_t"), (F.col("_pc") - 1).alias("_c"), "_nx")
-    succ = null_safe_join(near, heads.select(*key, "_c", "_far"), [*key, "_c"], "left") \
-        .select(*key, "_t", F.coalesce("_nx", "_far").alias("_j"))
-
-    # number of levels: chain length <= non-empty chunks of a key
-    most = heads.groupBy(*key).count().agg(F.max("count")).first()[0] or 1
-    levels = [cut_lineage(succ)]
-    for _ in range(max(1, math.ceil(math.log2(most + 1)))):
-        prev = levels[-1]
-        then = prev.select(*key, F.col("_t").alias("_j"), F.col("_j").alias("_k"))
-        levels.append(cut_lineage(null_safe_join(prev, then, [*key, "_j"], "left")
-                                  .select(*key, "_t", F.col("_k").alias("_j"))))
-    # walk: start from the first place of every key
-    fired = base.groupBy(*key).agg(F.min("_t").alias("_t"))
-    for level in reversed(levels):
-        step = null_safe_join(fired, level, [*key, "_t"]).filter(F.col("_j").isNotNull()) \
-            .select(*key, F.col("_j").alias("_t"))
-        fired = cut_lineage(fired.unionByName(step))
-    out = null_safe_join(places, fired, [*key, "_t"])
-    named = [F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in events.columns]
+    out = fired(places, "_key", "_t", "_L")
+    named = [F.col(f"_key.{c}").alias(c) if c in key else F.col(f"_row.{c}").alias(c) for c in events.columns]
     return out.select(*named).unionByName(always)
 
 

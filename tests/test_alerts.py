@@ -102,3 +102,59 @@ def test_merge_rules(spark):
                                ("NEW", "rpm", "rate_of_change", 5, 10, "y")])
     m = {r["rule_id"]: r for r in AL.merge_rules(base, ch).collect()}
     assert len(m) == 8 and m["EGT_HIGH"]["warning_threshold"] == 500.0
+
+
+def test_cooldown_step_functions():
+    """Composed tables of any cuts equal the fold; ends pass through runs in which nothing fires."""
+    import random
+
+    import numpy as np
+
+    from telemetra.operators import cooldown as CD
+
+    rng = random.Random(5)
+    for _ in range(300):
+        wait = rng.choice([1, 3, 10, 50, 1000])
+        times = np.array(sorted(rng.sample(range(400), rng.randint(1, 60))))
+        cuts = sorted(rng.sample(range(1, len(times)), min(len(times) - 1, rng.randint(0, 6))))
+        parts = np.split(times, cuts)
+        table = CD.step_table(parts[0], wait)
+        for part in parts[1:]:
+            table = CD.composed(table, CD.step_table(part, wait), int(times[0]), wait)
+        for entered in [CD.FREE, *range(int(times[0]), int(times[0]) + wait, max(1, wait // 20))]:
+            end = entered
+            for t in times.tolist():
+                end = t + wait if t >= end else end
+            assert int(CD.followed(*table, np.array([entered]))[0]) == end
+
+
+def test_cooldown_many_segments(spark, monkeypatch):
+    """Segments of a few places, groups of a few segments, one busy key, null keys; few jobs."""
+    import random
+
+    from telemetra.operators import cooldown as CD
+
+    monkeypatch.setattr(CD, "SEGMENT", 7)
+    monkeypatch.setattr(CD, "GROUP", 3)
+    rng = random.Random(2)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"e{i}", rng.choice(["hot"] * 6 + ["a", None]), start + dt.timedelta(seconds=rng.randrange(20_000)))
+            for i in range(900)]
+    rows.append(("no time", "hot", None))
+    df = spark.createDataFrame(rows, "alert_id string, k string, ts timestamp")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("cooldown", "cooldown")
+    try:
+        out = AL.apply_cooldown(df, "ts", ["k"], cooldown_col=None, cooldown_minutes=4)
+        jobs = len(tracker.getJobIdsForGroup("cooldown"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = set()
+    for k in ("hot", "a", None):
+        last = None
+        for ts, i in sorted((r[2], r[0]) for r in rows if r[1] == k and r[2] is not None):
+            if last is None or (ts - last).total_seconds() >= 240:
+                want.add(i)
+                last = ts
+    assert {r["alert_id"] for r in out.collect()} == want
+    assert jobs <= 10  # the stages of one checkpoint, whatever the length of the chains

@@ -160,8 +160,6 @@ def test_clean_chunked_equals_direct(spark, mode):
 
 def test_numbering_of_one_busy_asset(spark):
     """One asset at 1 Hz, a million rows: no window partition comes near a block, positions are right."""
-    from telemetra.operators import sequence as seq
-
     prof = SensorProfile(asset="a", ts="ts", sensors=("x",))
     df = spark.range(1_000_000).select(
         F.lit(1).alias("a"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")).alias("ts"),
@@ -176,10 +174,8 @@ def test_numbering_of_one_busy_asset(spark):
 
 def test_numbering_across_slots_and_chunks(spark):
     """Small slots: many chunks, empty ones between, null assets and times, equal times."""
-    from telemetra.operators import sequence as seq
-
     prof = SensorProfile(asset="a", ts="ts", sensors=("x",), tiebreak=("x",), chunk_seconds=1)
-    rows = [(a, t, float(i)) for a in (None, 1, 2) for i, t in enumerate([None, 0, 0, 0.001, 0.5, 7, 7, 4000, -3, -3.7])]
+    rows = [(a, t if t is None else float(t), float(i)) for a in (None, 1, 2) for i, t in enumerate([None, 0, 0, 0.001, 0.5, 7, 7, 4000, -3, -3.7])]
     df = spark.createDataFrame(rows, "a int, t double, x double").withColumn("ts", F.timestamp_micros(
         (F.col("t") * 1e6).cast("long")))
     got = {(r["a"], r["x"]): (r[seq.RN], r[seq.CNT]) for r in seq.number_rows(df, prof).collect()}
