@@ -94,13 +94,15 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", t
     rows are larger than that; it moves to the edge of a group of equal texts
     when the edge is within ``group_tolerance``, so such groups are cut only
     where balance needs it.  ``slot`` numbers a shard's rows from 0 in key
-    order.  A null id hashes like any other value.  Rows that repeat one id
-    and text share one key and stay in one shard.  An empty table gives an
+    order.  Rows without an id are told
+    apart by their place in the table, so that they can be cut like others.
+    Rows that repeat one id and text share one key and stay in one shard.  An empty table gives an
     empty result.
     """
     spark = docs.sparkSession
     crc = F.crc32(text_of(text_col).cast("binary"))
-    low = F.xxhash64(F.col(id_col)).bitwiseAND(F.lit((1 << LOW_BITS) - 1))
+    own = F.when(F.col(id_col).isNull(), F.xxhash64(F.monotonically_increasing_id())).otherwise(F.xxhash64(id_col))
+    low = own.bitwiseAND(F.lit((1 << LOW_BITS) - 1))
     rows = stored(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text_of(text_col)) + 1).cast("long").alias("size"),
         crc.alias("crc"), F.shiftleft(crc, LOW_BITS).bitwiseOR(low).alias("key")), "shard-rows")
@@ -136,7 +138,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, id_col: str = "doc_id", t
 
     _, rows_below = _histogram(rows, edges) if bounds else (None, np.zeros(0, np.int64))
     starts = np.concatenate([[0], rows_below]).astype(np.int64)
-    keys = np.concatenate([[0], edges]).astype(np.uint64)
+    keys = np.concatenate([np.zeros(1, np.uint64), edges])  # all of one type: floats would lose the low bits
     shard_of = np.searchsorted(shard_ends, keys, "right")
     first = {s: int(starts[shard_of == s][0]) for s in set(shard_of.tolist())}
     offsets = spark.createDataFrame(
