@@ -19,13 +19,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from telemetra.llm.common import forget_others
 
 BUCKETS = 1 << 15
+#: Rows drawn per row of the bound, before the bound is applied.
+MORE = 1.5
 UNKNOWN = "und"
 _SPACE = 32
 _MULTIPLIERS = (0x9E3779B1, 0x85EBCA77C2B2AE63, 0xC2B2AE3D27D4EB4F)
@@ -158,8 +160,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         fit_rows: int = 1500, seed: int = 5) -> Model:
     """Learn from documents that are not held out and have a text and a language.
 
-    ``fit_rows`` bounds (in expectation) the documents of each language that
-    the regression sees; document frequencies cover all training documents.
+    ``fit_rows`` bounds the documents of each language that the regression
+    sees: those of the least draws, one draw per row; document frequencies
+    cover all training documents.
     Without training documents the model knows no language.
     """
     import pyarrow as pa
@@ -202,12 +205,18 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                 [pa.array(langs, pa.string()), pa.array(sides, pa.int32()), pa.array(at, pa.binary()),
                  pa.array(values, pa.binary())], ["lang", "side", "at", "x"])
 
-    draw = F.pmod(F.xxhash64(F.lit(seed), text_col), F.lit(1 << 30)) / float(1 << 30)
+    def uniform(k: int):
+        """A draw from 0 to 1 by a row's identity; copies of a text under other ids draw for themselves."""
+        return F.pmod(F.xxhash64(F.lit(k), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / float(1 << 30)
+
     share = F.lit(0.0)
     for lang, rows in per_lang.items():
-        share = F.when(F.col(lang_col) == lang, min(1.0, fit_rows / rows)).otherwise(share)
-    side = F.pmod(F.xxhash64(F.lit(seed + 1), text_col), F.lit(5)).cast("int")
-    got = train.filter(draw < share).select(text_col, F.col(lang_col).cast("string"), side.alias("side")) \
+        share = F.when(F.col(lang_col) == lang, min(1.0, MORE * fit_rows / rows)).otherwise(share)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
+    got = train.filter(uniform(seed) < share).select(
+        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), uniform(seed).alias("draw"),
+        F.floor(5 * uniform(seed + 1)).cast("int").alias("side")) \
+        .withColumn("place", place).filter(F.col("place") <= fit_rows).select("text", "lang", "side") \
         .mapInArrow(vectors, "lang string, side int, at binary, x binary").toPandas() \
         .sort_values(["lang", "at", "x"]).itertuples()
     index = {str(lang): i for i, lang in enumerate(languages)}
