@@ -229,6 +229,20 @@ def test_op5_held_out_accuracy(spark, table, rows):
     assert total > 3 and right >= 0.9 * total
 
 
+def test_op5_sample_is_bounded(spark, monkeypatch):
+    """One text under thousands of ids, and under one id: the driver sees at most fit_rows rows of a language."""
+    from telemetra.llm import langid
+    seen = []
+    train = langid.train_ftrl
+    monkeypatch.setattr(langid, "train_ftrl", lambda rows, *a, **k: (seen.extend(r[2] for r in rows), train(rows, *a, **k))[1])
+    rows = [(i, "the very same words of one text", "en") for i in range(4000)]
+    rows += [(8, "die immer gleichen worte", "de")] * 900 + [(i, f"andere worte {i}", "de") for i in range(9000, 9400)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), fit_rows=60)
+    assert model.languages == ["de", "en"]
+    counts = collections.Counter(seen)
+    assert set(counts) == {0, 1} and max(counts.values()) <= 60 and counts[1] >= 30
+
+
 def test_op5_nothing_to_learn(spark):
     from telemetra.llm import langid
     df = spark.createDataFrame([(1, "some text", None, "s")], "doc_id long, text string, lang string, source string")
@@ -263,6 +277,27 @@ def test_op6_near_equal(spark):
     assert {(r["doc_id"], r["shard"], r["slot"]) for r in got} == {(r["doc_id"], r["shard"], r["slot"]) for r in again}
 
 
+@pytest.mark.parametrize("ids", ["distinct", "null"])
+def test_op6_group_larger_than_a_shard(spark, ids):
+    """A third to a half of all rows are one text: shards end inside its group."""
+    import random
+
+    from telemetra.llm.sharding import shard_by_bytes
+    rng = random.Random(8)
+    rows = [(i, "".join(rng.choices("abcdef", k=rng.randint(0, 100)))) for i in range(3000)]
+    rows += [(5000 + i if ids == "distinct" else None, "the one text of fifty-odd characters, held very often")
+             for i in range(3000)]
+    got = collected(shard_by_bytes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)))
+    sizes = collections.Counter()
+    slots = collections.defaultdict(list)
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    ideal = sum(sizes.values()) / 8
+    assert len(sizes) == 8 and max(abs(s - ideal) for s in sizes.values()) < 0.02 * ideal
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+
+
 def wanted_targets(sizes):
     """Sources in order (null last); excess over three times the size is shared again by weight."""
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
