@@ -60,6 +60,26 @@ def merge_rules(base: DataFrame, changes: DataFrame) -> DataFrame:
     return kept.unionByName(changes.select(*base.columns))
 
 
+def apply_changes(base: DataFrame, log: DataFrame, id_col: str, order: Sequence[str]) -> DataFrame:
+    """``base`` after a log of changes, the latest change per ``id_col`` winning.
+
+    ``log`` has ``id_col``, the ``order`` columns (time, then a number that
+    tells changes of one time apart; nulls are earliest), columns of ``base``
+    (null: unchanged), and may have ``deleted``.  Of an id that ``base`` lacks
+    a row is added.  Changes are reduced before they are joined, so that an id
+    that is changed very often costs one row per task.
+    """
+    fields = [c for c in base.columns if c != id_col and c in log.columns]
+    gone = F.col("deleted") if "deleted" in log.columns else F.lit(False)
+    latest = log.groupBy(id_col).agg(F.max(F.struct(
+        *[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("at")).alias(f"_{i}") for i, c in enumerate(order)],
+        F.struct(*[F.col(c) for c in fields], F.coalesce(gone, F.lit(False)).alias("_gone")).alias("_new"))).alias("_c"))
+    joined = base.withColumn("_here", F.lit(True)).join(latest, id_col, "full")
+    new = F.col("_c._new")
+    return joined.filter(~F.coalesce(new["_gone"], F.lit(False))).select(
+        *[F.col(c) if c == id_col or c not in fields else F.coalesce(new[c], F.col(c)).alias(c) for c in base.columns])
+
+
 def set_enabled(rules: DataFrame, rule_id: str, enabled: bool) -> DataFrame:
     """Enable or disable one rule."""
     return rules.withColumn("enabled", F.when(F.col("rule_id") == rule_id, F.lit(enabled))
@@ -76,13 +96,19 @@ def readings_long(readings: DataFrame, asset: str, ts: str, sensors: Sequence[st
                   scores: DataFrame | None = None, score_cols: Sequence[str] = (),
                   keep: Sequence[str] = ()) -> DataFrame:
     """Readings (optionally merged with model scores on asset and time; scores
-    win on a name clash) as (asset, ts, sensor_name, value); nulls dropped."""
+    win on a name clash) as (asset, ts, sensor_name, value); nulls dropped.
+
+    A null asset or time meets the scores of the same nulls.  Of several
+    scores of one asset and time the highest counts, so that a reading is
+    never repeated.
+    """
     wide = readings
     names = list(sensors)
     if scores is not None:
         clash = [c for c in score_cols if c in wide.columns]
-        wide = wide.drop(*clash).join(scores.select(asset, ts, *score_cols), on=[asset, ts],
-                                      how="left")
+        highest = scores.groupBy(asset, ts).agg(*[F.max(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")))
+                                                  .alias(c) for c in score_cols])
+        wide = null_safe_join(wide.drop(*clash), highest, [asset, ts], "left")
         names = [c for c in names if c not in score_cols] + list(score_cols)
     long_df = wide.select(asset, ts, *keep, *[F.col(c).cast("double").alias(c) for c in names]) \
         .unpivot([asset, ts, *keep], names, "sensor_name", "value")
@@ -154,9 +180,8 @@ def order_alerts(events: DataFrame, ts: str) -> DataFrame:
 
 
 def apply_acks(events: DataFrame, acks: DataFrame, id_col: str = "alert_id") -> DataFrame:
-    """Mark events acknowledged by the latest ack per id (acks: id, by, at)."""
-    latest = acks.groupBy(id_col).agg(F.max_by(F.struct("acknowledged_by", "acknowledged_at"),
-                                               "acknowledged_at").alias("_a"))
+    """Mark events acknowledged by the latest ack per id (acks: id, by, at; of one time the largest name)."""
+    latest = acks.groupBy(id_col).agg(F.max(F.struct("acknowledged_at", "acknowledged_by")).alias("_a"))
     j = events.join(latest, on=id_col, how="left")
     return j.withColumn("acknowledged", F.col("acknowledged") | F.col("_a").isNotNull()) \
         .withColumn("acknowledged_by", F.col("_a.acknowledged_by")).drop("_a")

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemetra.profile import SensorProfile
+from telemetra.session import cut_lineage
 
 RN, CNT, BLK, HALO = "_rn", "_cnt", "_blk", "_halo"
 BKEY = "_bkey"  # (asset, block) as one value that is never null itself: windows and joins share it
@@ -102,6 +103,27 @@ def _offsets(counts: DataFrame, with_count: bool) -> DataFrame:
         _CHUNK, (F.col("_in") + F.col("_before")).alias(_OFF), *([CNT] if with_count else []))
 
 
+def ordered_positions(df: DataFrame, order: list[str], group: str | None = None) -> DataFrame:
+    """Add ``_rn`` (1-based position) and ``_cnt`` over the whole table, or inside ``group``.
+
+    The table is sorted by ranges of (group, order), of any types, nulls
+    first, and written once (a checkpoint); every partition's rows have
+    consecutive places, and the rows before a partition are a running sum over
+    the partitions (of a group).  No key is ordered in one task, except rows
+    that are equal in all of them.
+    """
+    keys = [group] if group else []
+    placed = cut_lineage(df.orderBy(*[F.col(c).asc_nulls_first() for c in [*keys, *order]])
+                         .withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}))
+    runs = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*keys, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_skip"),
+                       F.sum("_n").over(Window.partitionBy(*keys)).alias(CNT))
+    return null_safe_join(placed, runs, [*keys, "_part"]) \
+        .withColumn(RN, F.col("_place") - F.col("_first") + F.col("_skip") + 1) \
+        .drop("_part", "_place", "_first", "_skip")
+
+
 def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -> DataFrame:
     """Recompute ``_rn``/``_cnt`` after rows were filtered out.
 

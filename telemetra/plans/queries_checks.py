@@ -111,10 +111,127 @@ def q_bronze_append(spark, sf_dir):
     sources = []
     for part in range(2):
         sources.append(scratch_path(spark, f"raw_{run}_{part}"))
-        raw.filter(F.col("l_orderkey") % 2 == part).coalesce(1).write.parquet(sources[-1])
+        raw.filter(F.col("l_orderkey") % 2 == part).write.parquet(sources[-1])
     for source in (sources[0], sources[1], sources[0]):
         got = readers.with_lineage(readers.read_readings(spark, source, raw.schema), ts=LINEITEM.ts, with_day=False)
         sinks.write_append(got, target, partitions=("year",), replace_sources=True)
     return spark.read.parquet(target).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", *LINEITEM_SENSORS,
         "data_quality_flag", F.col("year").cast("long").alias("year"), F.col("month").cast("long").alias("month"))
+
+
+@register("bronze_ledger", "IO7 IO9 IO10", f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, {_S},
+  'file ' || (l_orderkey % 3) AS source_file, year(l_shipdate) AS year
+FROM lineitem WHERE l_orderkey % 3 > 0 OR year(l_shipdate) <> 1995""")
+def q_bronze_ledger(spark, sf_dir):
+    """Three sources; the first comes again corrected, without a whole year; one commit is run twice."""
+    raw = cat.lineitem_readings(spark, sf_dir).withColumns({
+        "source_file": F.concat(F.lit("file "), (F.col("l_orderkey") % 3).cast("string")), "year": F.year("l_shipdate")})
+    target = scratch_path(spark, f"ledger_{uuid.uuid4().hex}")
+    for source in range(3):
+        for _ in range(1 + source % 2):
+            sinks.commit_sources(raw.filter(F.col("l_orderkey") % 3 == source), target, ("year",), batch=f"first-{source}")
+    sinks.commit_sources(raw.filter((F.col("l_orderkey") % 3 == 0) & (F.col("year") != 1995)), target, ("year",),
+                         batch="corrected")
+    return sinks.read_committed(spark, target).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", *LINEITEM_SENSORS, "source_file",
+        F.col("year").cast("long").alias("year"))
+
+
+@register("assign_timestamps_text", "IO5", """SELECT o_orderkey,
+  TIMESTAMP '2024-06-30 12:00:00' - to_seconds(CAST(30 * (count(*) OVER (PARTITION BY o_custkey)
+    - row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderkey AS VARCHAR))) AS BIGINT)) AS timestamp
+FROM orders""")
+def q_assign_timestamps_text(spark, sf_dir):
+    """Order by a text column, restarting per asset."""
+    o = cat.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderkey").cast("string").alias("name"))
+    out = readers.assign_timestamps(o, ["name"], "2024-06-30 12:00:00", step_seconds=30, asset="o_custkey")
+    return out.select("o_orderkey", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+
+
+SCORE_RULES = (
+    ("VALUE_HIGH", "value", "threshold_high", 100.0, 150.0, "value high", 30),
+    ("ANOMALY", "anomaly_score", "anomaly_score", 0.25, 0.5, "unusual pattern", 30),
+)
+
+
+@register("scored_alerts", "R2 R1 R3 J1", f"""WITH RECURSIVE {_NULLED},
+given AS (
+  SELECT user_id, ts, least(abs(value - 50.0) / 50.0 / 5, 1.0) AS score FROM n WHERE event_id % 2 = 0
+  UNION ALL SELECT user_id, ts, 0.3 FROM n WHERE event_id % 4 = 0),
+top AS (SELECT user_id, ts, max(score) AS anomaly_score FROM given GROUP BY 1, 2),
+m AS (SELECT n.*, anomaly_score FROM n LEFT JOIN top
+      ON n.user_id IS NOT DISTINCT FROM top.user_id AND n.ts IS NOT DISTINCT FROM top.ts),
+ev AS (
+  SELECT 'VALUE_HIGH' AS rule_id, user_id, ts FROM m WHERE value >= 100
+  UNION SELECT 'ANOMALY', user_id, ts FROM m WHERE anomaly_score >= 0.25),
+chain AS (
+  SELECT rule_id, user_id, min(ts) AS ts FROM ev WHERE ts IS NOT NULL GROUP BY 1, 2
+  UNION ALL
+  SELECT x.rule_id, x.user_id, x.ts FROM chain p, LATERAL (
+    SELECT e.rule_id, e.user_id, min(e.ts) AS ts FROM ev e
+    WHERE e.rule_id = p.rule_id AND e.user_id IS NOT DISTINCT FROM p.user_id AND e.ts >= p.ts + INTERVAL 30 MINUTE
+    GROUP BY 1, 2) x)
+SELECT * FROM chain""")
+def q_scored_alerts(spark, sf_dir):
+    """Readings with null keys, merged with repeated scores, through the rules, then the cooldown."""
+    ev = _nulled(spark, sf_dir)
+    score = F.least(F.abs(F.col("value") - 50.0) / 50.0 / 5, F.lit(1.0))
+    scores = ev.filter("event_id % 2 = 0").select("user_id", "ts", score.alias("anomaly_score")) \
+        .union(ev.filter("event_id % 4 = 0").select("user_id", "ts", F.lit(0.3)))
+    long_df = AL.readings_long(ev, "user_id", "ts", ["value"], scores, ["anomaly_score"])
+    alerts = AL.evaluate_rules(long_df, AL.rules_frame(spark, SCORE_RULES), "user_id", "ts")
+    return AL.apply_cooldown(alerts, "ts", ["user_id", "rule_id"]).select("rule_id", "user_id", "ts")
+
+
+@register("rule_admin", "R4 R5", """WITH c AS (
+  SELECT l_partkey, l_quantity, l_linenumber % 3 > 0 AS on_, l_linenumber = 7 AS gone, row_number() OVER (
+    PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC) AS k FROM lineitem)
+SELECT 'part ' || p_partkey AS rule_id, coalesce(CASE WHEN l_quantity < 40 THEN l_quantity END, p_retailprice) AS warning_threshold,
+  p_retailprice * 2 AS critical_threshold, coalesce(on_, true) AS enabled
+FROM part LEFT JOIN (SELECT * FROM c WHERE k = 1) ON l_partkey = p_partkey WHERE NOT coalesce(gone, false)""")
+def q_rule_admin(spark, sf_dir):
+    """A rule per part; the lines are its change log: threshold (null: as it was), switch, deletion."""
+    rules = cat.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("rule_id"),
+        F.col("p_retailprice").alias("warning_threshold"), (F.col("p_retailprice") * 2).alias("critical_threshold"),
+        F.lit(True).alias("enabled"))
+    log = cat.lineitem_readings(spark, sf_dir).select(
+        F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("rule_id"), "l_shipdate", "l_orderkey",
+        "l_linenumber", "l_quantity", F.when(F.col("l_quantity") < 40, F.col("l_quantity")).alias("warning_threshold"),
+        (F.col("l_linenumber") % 3 > 0).alias("enabled"), (F.col("l_linenumber") == 7).alias("deleted"))
+    return AL.apply_changes(rules, log, "rule_id", ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity"])
+
+
+_ACKED = """a AS (
+  SELECT o.o_orderkey, o.o_orderdate, CASE WHEN o_orderstatus = 'F' THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+         max(l_shipdate) AS last_ack
+  FROM orders o LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') ON l_orderkey = o_orderkey GROUP BY ALL),
+b AS (SELECT l_orderkey, l_shipdate, max(l_suppkey) AS who FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2)"""
+
+
+def _acked(spark, sf_dir):
+    alerts = cat.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderdate", F.when(F.col("o_orderstatus") == "F", "CRITICAL").otherwise("WARNING").alias("severity"),
+        F.lit(False).alias("acknowledged"))
+    acks = cat.lineitem_readings(spark, sf_dir).filter("l_returnflag = 'R'").select(
+        F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("acknowledged_by"),
+        F.col("l_shipdate").alias("acknowledged_at"))
+    return AL.apply_acks(alerts, acks, "o_orderkey")
+
+
+@register("acked_alerts", "R7", f"""WITH {_ACKED}
+SELECT o_orderkey, severity, last_ack IS NOT NULL AS acknowledged, who AS acknowledged_by
+FROM a LEFT JOIN b ON l_orderkey = o_orderkey AND l_shipdate = last_ack""")
+def q_acked_alerts(spark, sf_dir):
+    return _acked(spark, sf_dir).select("o_orderkey", "severity", "acknowledged", "acknowledged_by")
+
+
+@register("filtered_alerts", "R11 A9", f"""WITH {_ACKED}
+SELECT year(o_orderdate) AS year, count(*) AS total_active, min(o_orderdate) AS first_alert, max(o_orderdate) AS last_alert
+FROM a WHERE severity = 'CRITICAL' AND last_ack IS NULL GROUP BY 1""")
+def q_filtered_alerts(spark, sf_dir):
+    """Critical alerts that nobody has acknowledged, by year."""
+    open_ = AL.filter_alerts(_acked(spark, sf_dir).withColumnRenamed("acknowledged", "resolved"), "CRITICAL", active_only=True)
+    out = AL.alert_summary(open_.withColumn("year", F.year("o_orderdate")), ["year"], "o_orderdate")
+    return out.select("year", "total_active", "first_alert", "last_alert")

@@ -76,31 +76,19 @@ def assign_timestamps(df: DataFrame, order_cols: Sequence[str], end_ts, step_sec
                       asset: str | None = None, ts_name: str = "timestamp") -> DataFrame:
     """IO5: synthetic timestamps by row order, ``step_seconds`` apart, last = ``end_ts``.
 
-    The global position is computed like ``zipWithIndex``: rows are range
-    partitioned on ``order_cols``, each partition numbers its rows locally,
-    and partition counts give offsets -- no single-partition window.
-    Within an asset (when given) numbering restarts per asset.
+    The position comes from one sort by ranges of ``order_cols`` (of any
+    types) and the row counts of its partitions
+    (:func:`sequence.ordered_positions`); no partition holds the whole table.
+    Within an asset (when given) numbering restarts per asset; a null asset is
+    an asset.
     """
     from telemetra.operators import sequence as seq
 
-    key = asset or "_one"
-    x = df if asset else df.withColumn("_one", F.lit(0))
-    prof = SensorProfile(asset=key, ts=order_cols[0], sensors=(), tiebreak=tuple(order_cols[1:]))
-    if not _is_time(x, order_cols[0]):
-        # order column is not a timestamp: chunk on a synthetic clock
-        x = x.withColumn("_ord_ts", F.timestamp_seconds(F.col(order_cols[0]).cast("long")))
-        prof = prof.with_(ts="_ord_ts", tiebreak=tuple(order_cols))
-    numbered = seq.number_rows(x, prof)
+    numbered = seq.ordered_positions(df, list(order_cols), asset)
     end = F.lit(end_ts).cast("timestamp")
     ts = F.timestamp_seconds(
         F.unix_seconds(end) - (F.col(seq.CNT) - F.col(seq.RN)) * F.lit(step_seconds))
-    out = numbered.withColumn(ts_name, ts).drop(seq.RN, seq.CNT, "_ord_ts")
-    return out if asset else out.drop("_one")
-
-
-def _is_time(df: DataFrame, col: str) -> bool:
-    dt = df.schema[col].dataType
-    return isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType))
+    return numbered.withColumn(ts_name, ts).drop(seq.RN, seq.CNT)
 
 
 def with_lineage(df: DataFrame, ts: str = "timestamp", quality_flag: str | None = "raw",

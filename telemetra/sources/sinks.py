@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ def write_append(df: DataFrame, path: str, partitions: Sequence[str] = ("year",
     ``replace_sources`` makes re-runs idempotent by source file: the table is
     partitioned by ``source_col`` first and only the partitions of the sources
     in ``df`` are overwritten, so ingesting a file again replaces its rows and
-    an increment of the same month keeps the earlier ones.
+    an increment of the same month keeps the earlier ones.  Partitions that a
+    corrected file no longer has stay: :func:`commit_sources` replaces whole
+    sources.
     """
     w = df.write.partitionBy(*([source_col] if replace_sources else []), *partitions)
     if max_records_per_file:
@@ -29,6 +32,79 @@ def write_append(df: DataFrame, path: str, partitions: Sequence[str] = ("year",
         w.mode("append").parquet(path)
 
 
+def commit_sources(df: DataFrame, path: str, partitions: Sequence[str] = ("year", "month"),
+                   source_col: str = "source_file", batch: str | None = None,
+                   sources: Sequence[str] | None = None) -> bool:
+    """IO7/IO9: replace the rows of the sources in ``df``, by a ledger of commits.
+
+    The rows are written beside the older ones, under a batch of their own;
+    then the ledger gets one row per source that names its batch, and
+    :func:`read_committed` reads each source's last one.  So a source that is
+    ingested again has its new rows only (also where it lost whole
+    partitions), a write that fails leaves the table as it was, and a batch
+    that the ledger knows is not written twice (a stream passes its epoch).
+    ``sources`` names sources explicitly, for those that have no rows left.
+    Returns whether the batch was committed now.
+    """
+    spark = df.sparkSession
+    batch = batch or uuid.uuid4().hex
+    ledger = _ledger(spark, path)
+    done = ledger.agg(F.coalesce(F.max("number"), F.lit(0)).alias("n"),
+                      F.coalesce(F.max(F.col("batch") == batch), F.lit(False)).alias("known")).first()
+    if done["known"]:
+        return False
+    df.withColumn("batch", F.lit(batch)).write.partitionBy("batch", *partitions).mode("append").parquet(f"{path}/data")
+    named = df.select(F.col(source_col).cast("string").alias("source")).distinct()
+    if sources is not None:
+        named = named.union(spark.createDataFrame([(s,) for s in sources], "source string")).distinct()
+    named.select("source", F.lit(batch).alias("batch"), F.lit(done["n"] + 1).cast("long").alias("number")) \
+        .write.mode("append").parquet(f"{path}/ledger")
+    return True
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    schema = "source string, batch string, number long"
+    if not _exists(spark, f"{path}/ledger"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/ledger")
+
+
+def read_committed(spark: SparkSession, path: str, source_col: str = "source_file") -> DataFrame:
+    """The rows of every source's last committed batch."""
+    live = _ledger(spark, path).groupBy(F.col("source").alias("_source")).agg(
+        F.max_by("batch", "number").alias("_batch"))
+    data = spark.read.parquet(f"{path}/data")
+    return data.join(live, data["batch"].eqNullSafe(F.col("_batch"))
+                     & data[source_col].cast("string").eqNullSafe(F.col("_source")), "left_semi").drop("batch")
+
+
+def vacuum_sources(spark: SparkSession, path: str) -> list[str]:
+    """Delete the batches that no source's last commit names; returns their names."""
+    ledger = _ledger(spark, path)
+    live = ledger.groupBy("source").agg(F.max_by("batch", "number").alias("batch")).select("batch").distinct()
+    dead = [r["batch"] for r in ledger.select("batch").distinct().join(live, "batch", "left_anti").collect()]
+    for batch in dead:  # one folder per batch
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/batch={batch}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return dead
+
+
+def start_ledger_sink(df: DataFrame, path: str, checkpoint: str, name: str,
+                      partitions: Sequence[str] = ("year", "month"), source_col: str = "source_file",
+                      available_now: bool = False) -> StreamingQuery:
+    """IO9: streaming append through the ledger; an epoch that is run again is committed once."""
+    def commit(batch: DataFrame, epoch: int) -> None:
+        commit_sources(batch, path, partitions, source_col, batch=f"{name}-{epoch}")
+
+    w = df.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
 def write_overwrite(df: DataFrame, path: str, partitions: Sequence[str] = (),
                     cluster_by: Sequence[str] = (), max_records_per_file: int | None = None) -> None:
     """IO8: overwrite with the new schema (Parquet replaces the files).

@@ -107,3 +107,71 @@ def test_tiered_batch_flow(spark, tmp_dir):
     run_batch(spark, raw, None, LINEITEM, os.path.join(tmp_dir, "lake"), health,
               kpi_grain="month", stop_on_gate_failure=False)
     assert spark.read.parquet(os.path.join(tmp_dir, "lake", "bronze")).count() == raw.count()
+
+
+def test_ledger_replaces_whole_sources(spark, tmp_dir):
+    """A corrected file that lost a month, a batch run twice, a source without rows, a failed write."""
+    path = os.path.join(tmp_dir, "ledger")
+    cols = "source_file string, year int, month int, v int"
+
+    def commit(rows, batch, **more):
+        return sinks.commit_sources(spark.createDataFrame(rows, cols), path, batch=batch, **more)
+
+    def now():
+        return sorted((r["source_file"], r["month"], r["v"]) for r in sinks.read_committed(spark, path).collect())
+
+    assert commit([("f1", 2024, 1, 1), ("f1", 2024, 2, 2), ("f2", 2024, 1, 3)], "b1")
+    assert commit([("f1", 2024, 2, 20)], "b2")
+    assert now() == [("f1", 2, 20), ("f2", 1, 3)]
+    assert not commit([("f1", 2024, 9, 9)], "b2") and now() == [("f1", 2, 20), ("f2", 1, 3)]
+    # rows written without a commit are not seen
+    spark.createDataFrame([("f2", 2024, 1, 99)], cols).withColumn("batch", F.lit("lost")) \
+        .write.partitionBy("batch", "year", "month").mode("append").parquet(path + "/data")
+    assert now() == [("f1", 2, 20), ("f2", 1, 3)]
+    assert commit([], "b3", sources=["f2"]) and now() == [("f1", 2, 20)]
+    assert sinks.vacuum_sources(spark, path) == ["b1"] and now() == [("f1", 2, 20)]
+
+
+def test_ledger_stream_sink_runs_epochs_once(spark, tmp_dir):
+    src, path = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    cols = "source_file string, year int, month int, v int"
+    spark.createDataFrame([("f1", 2024, 1, 1)], cols).write.parquet(src)
+    stream = spark.readStream.schema(cols).parquet(src)
+    sinks.start_ledger_sink(stream, path, os.path.join(tmp_dir, "ck"), "q", available_now=True).awaitTermination()
+    # the same epoch again, as after a lost checkpoint
+    sinks.start_ledger_sink(stream, path, os.path.join(tmp_dir, "ck2"), "q", available_now=True).awaitTermination()
+    assert [r["v"] for r in sinks.read_committed(spark, path).collect()] == [1]
+
+
+def test_scores_merge_once_and_null_safe(spark):
+    ev = spark.createDataFrame([(None, T0, 1.0), ("a", None, 2.0), ("a", T0, 3.0)], "asset string, ts timestamp, x double")
+    scores = spark.createDataFrame([(None, T0, 0.4), ("a", None, 0.5), ("a", T0, 0.6), ("a", T0, 0.9), ("a", T0, None)],
+                                   "asset string, ts timestamp, anomaly_score double")
+    got = {(r["asset"], r["ts"], r["value"]) for r in AL.readings_long(ev, "asset", "ts", ["x"], scores, ["anomaly_score"])
+           .filter("sensor_name = 'anomaly_score'").collect()}
+    assert got == {(None, T0, 0.4), ("a", None, 0.5), ("a", T0, 0.9)}
+
+
+def test_change_log_latest_wins(spark):
+    base = spark.createDataFrame([("r1", 1.0, True), ("r2", 2.0, True), ("r3", 3.0, True)],
+                                 "rule_id string, warning_threshold double, enabled boolean")
+    log = spark.createDataFrame(
+        [("r1", T0, 2, None, False, None), ("r1", T0, 1, 9.0, True, None), ("r1", None, 5, 7.0, True, None),
+         ("r2", T0, 1, None, None, True), ("new", T0, 1, 4.0, True, False), ("unborn", T0, 1, 4.0, True, True)],
+        "rule_id string, at timestamp, number int, warning_threshold double, enabled boolean, deleted boolean")
+    got = {tuple(r) for r in AL.apply_changes(base, log, "rule_id", ["at", "number"]).collect()}
+    assert got == {("r1", 1.0, False), ("r3", 3.0, True), ("new", 4.0, True)}
+
+
+def test_ordered_positions_of_any_type(spark):
+    from telemetra.operators import sequence as seq
+    names = [None, "", "b", "a", "é", "a", "B"]
+    df = spark.createDataFrame([(g, n) for g in (None, 1) for n in names], "g int, name string").repartition(4)
+    order = sorted(names, key=lambda n: (n is not None, (n or "").encode()))
+    for group, size in (("g", 7), (None, 14)):
+        rows = seq.ordered_positions(df, ["name"], group).collect()
+        assert {r[seq.CNT] for r in rows} == {size}
+        for g in ([None, 1] if group else ["all"]):
+            own = sorted((r[seq.RN], r["name"]) for r in rows if g == "all" or r["g"] == g)
+            assert [k for k, _ in own] == list(range(1, size + 1))
+            assert [n for _, n in own] == (order if group else [n for n in order for _ in range(2)])
