@@ -11,10 +11,12 @@ from telemetra.operators import clean as C
 from telemetra.operators import features as FT
 from telemetra.operators import trend as TR
 from telemetra.plans import catalog as cat
-from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_SENSORS
+from telemetra.plans.batch import GateFailure, run_batch
+from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_HEALTH, LINEITEM_SENSORS
 from telemetra.plans.queries_core import rnd
 from telemetra.plans.queries_more import _li_events, _rules_sql
 from telemetra.plans.registry import register
+from telemetra.plans.sqlgen import lineitem_clean_ctes, zscore_cte
 from telemetra.session import scratch_path
 from telemetra.sources import readers, sinks
 
@@ -235,3 +237,28 @@ def q_filtered_alerts(spark, sf_dir):
     open_ = AL.filter_alerts(_acked(spark, sf_dir).withColumnRenamed("acknowledged", "resolved"), "CRITICAL", active_only=True)
     out = AL.alert_summary(open_.withColumn("year", F.year("o_orderdate")), ["year"], "o_orderdate")
     return out.select("year", "total_active", "first_alert", "last_alert")
+
+
+@register("batch_flow", "P8 P7 IO8 W1 W2 W4 A1", f"""WITH {lineitem_clean_ctes()},
+{zscore_cte('clean', 'silver', 'l_suppkey', 'l_shipdate', LINEITEM_SENSORS)}
+SELECT l_suppkey, date_trunc('month', l_shipdate) AS month_bucket, count(*) AS reading_count,
+  CAST(sum(CASE WHEN is_anomaly THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
+  (floor(avg(l_quantity) * 16384.0 + 0.5) / 16384.0) AS l_quantity_avg, max(l_tax) AS l_tax_max
+FROM silver GROUP BY 1, 2""")
+def q_batch_flow(spark, sf_dir):
+    """The batch flow: stopped by a gate after the feature tier, started again, and read back."""
+    base, run = scratch_path(spark, f"flow_{uuid.uuid4().hex}"), uuid.uuid4().hex
+    raw = cat.lineitem_readings(spark, sf_dir)
+
+    def start(**limits):
+        return run_batch(spark, raw, None, LINEITEM, base, dict(LINEITEM_HEALTH), kpi_grain="month",
+                         bucket_col="month_bucket", run=run, gate_config={
+                             "max_duplicate_percentage": 100.0, "required_tables": ("gold_turbine_hourly_kpis",)} | limits)
+
+    try:
+        start(required_features_count=1000)
+    except GateFailure:
+        start()
+    return spark.read.parquet(f"{base}/gold_kpis").select(
+        "l_suppkey", F.col("month_bucket").cast("timestamp_ntz").alias("month_bucket"), "reading_count", "anomaly_count",
+        rnd("l_quantity_avg").alias("l_quantity_avg"), "l_tax_max")

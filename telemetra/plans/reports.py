@@ -161,61 +161,63 @@ def _gate(tier, gate, value, limit, kind):
                     F.lit(kind).alias("kind"))
 
 
-def quality_gates(raw: DataFrame, features: DataFrame, kpis: DataFrame, profile: SensorProfile,
-                  present_tables: Sequence[str] = (), config: Mapping | None = None) -> DataFrame:
-    """Gate rows (tier, gate, value, limit, passed), one aggregation per tier.
-
-    raw: null % <= 5, duplicate % <= 1, rows >= 100; features: anomaly rate
-    <= 15 %, feature columns >= 50, sensor values within limits; KPIs:
-    assets >= 1, health within 0..100, required tables present."""
-    cfg = {"max_null_percentage": 5.0, "max_duplicate_percentage": 1.0,
-           "min_records_per_run": 100, "max_anomaly_rate": 15.0, "required_features_count": 50,
-           "min_turbines": 1, "health_score_range": (0.0, 100.0),
-           "required_tables": ("gold_turbine_hourly_kpis", "gold_turbine_latest_status",
-                               "gold_alert_history")}
-    cfg.update(config or {})
-    sensors = list(profile.sensors)
+GATE_LIMITS = {"max_null_percentage": 5.0, "max_duplicate_percentage": 1.0,
+               "min_records_per_run": 100, "max_anomaly_rate": 15.0, "required_features_count": 50,
+               "min_turbines": 1, "health_score_range": (0.0, 100.0),
+               "required_tables": ("gold_turbine_hourly_kpis", "gold_turbine_latest_status",
+                                   "gold_alert_history")}
+
+
+def _judged(row: DataFrame, gates: list[Column]) -> DataFrame:
+    """Gate rows of a tier's one-row aggregate."""
+    kept = F.when(F.col("kind") == "max", F.col("value") <= F.col("limit")).otherwise(F.col("value") >= F.col("limit"))
+    return row.select(F.explode(F.array(*gates)).alias("g")).select("g.*").withColumn("passed", kept).drop("kind")
+
+
+def bronze_gates(raw: DataFrame, profile: SensorProfile, config: Mapping | None = None) -> DataFrame:
+    """P7, raw tier: null % <= 5, duplicate % <= 1, rows >= 100; one aggregation."""
+    cfg = GATE_LIMITS | dict(config or {})
     nulls = sum((F.count_if(F.col(c).isNull()) for c in raw.columns), F.lit(0))
-    key = F.struct(F.col(profile.asset), F.col(profile.ts))
+    rows = F.greatest(F.col("n"), F.lit(1))
     r = raw.agg(F.count(F.lit(1)).alias("n"), nulls.alias("nulls"),
-                F.count_distinct(key).alias("keys"))
-    ncols = len(raw.columns)
-    bronze = r.select(F.explode(F.array(
-        F.struct(F.lit("bronze").alias("tier"), F.lit("null_percentage").alias("gate"),
-                 (F.col("nulls") * 100.0 / F.greatest(F.col("n") * ncols, F.lit(1))).alias("value"),
-                 F.lit(float(cfg["max_null_percentage"])).alias("limit"),
-                 F.lit("max").alias("kind")),
-        _gate("bronze", "duplicate_percentage",
-              (F.col("n") - F.col("keys")) * 100.0 / F.greatest(F.col("n"), F.lit(1)),
+                F.count_distinct(F.struct(F.col(profile.asset), F.col(profile.ts))).alias("keys"))
+    return _judged(r, [
+        _gate("bronze", "null_percentage", F.col("nulls") * 100.0 / F.greatest(F.col("n") * len(raw.columns), F.lit(1)),
+              cfg["max_null_percentage"], "max"),
+        _gate("bronze", "duplicate_percentage", (F.col("n") - F.col("keys")) * 100.0 / rows,
               cfg["max_duplicate_percentage"], "max"),
-        _gate("bronze", "records", F.col("n").cast("double"), cfg["min_records_per_run"],
-              "min"))).alias("g"))
-    in_range = [F.col(s).between(lo, hi) for s, (lo, hi) in profile.limits.items()
-                if s in features.columns]
+        _gate("bronze", "records", F.col("n"), cfg["min_records_per_run"], "min")])
+
+
+def silver_gates(features: DataFrame, profile: SensorProfile, config: Mapping | None = None) -> DataFrame:
+    """P7, feature tier: anomaly rate <= 15 %, feature columns >= 50, sensor values within limits."""
+    cfg = GATE_LIMITS | dict(config or {})
     ok = F.lit(True)
-    for c in in_range:
-        ok = ok & F.coalesce(c, F.lit(True))
-    s = features.agg(F.avg(F.col("is_anomaly").cast("double")).alias("ar"),
-                     F.count_if(~ok).alias("out_of_range"))
-    silver = s.select(F.explode(F.array(
-        F.struct(F.lit("silver").alias("tier"), F.lit("anomaly_rate").alias("gate"),
-                 (F.coalesce(F.col("ar"), F.lit(0.0)) * 100).alias("value"),
-                 F.lit(float(cfg["max_anomaly_rate"])).alias("limit"), F.lit("max").alias("kind")),
-        _gate("silver", "feature_count", F.lit(float(len(features.columns))),
-              cfg["required_features_count"], "min"),
-        _gate("silver", "out_of_range_rows", F.col("out_of_range").cast("double"), 0.0,
-              "max"))).alias("g"))
+    for sensor, (lo, hi) in profile.limits.items():
+        if sensor in features.columns:
+            ok = ok & F.coalesce(F.col(sensor).between(lo, hi), F.lit(True))
+    s = features.agg(F.avg(F.col("is_anomaly").cast("double")).alias("ar"), F.count_if(~ok).alias("out_of_range"))
+    return _judged(s, [
+        _gate("silver", "anomaly_rate", F.coalesce(F.col("ar"), F.lit(0.0)) * 100, cfg["max_anomaly_rate"], "max"),
+        _gate("silver", "feature_count", F.lit(len(features.columns)), cfg["required_features_count"], "min"),
+        _gate("silver", "out_of_range_rows", F.col("out_of_range"), 0.0, "max")])
+
+
+def gold_gates(kpis: DataFrame, profile: SensorProfile, present_tables: Sequence[str] = (),
+               config: Mapping | None = None) -> DataFrame:
+    """P7, KPI tier: assets >= 1, health within 0..100, required tables present."""
+    cfg = GATE_LIMITS | dict(config or {})
     lo, hi = cfg["health_score_range"]
     k = kpis.agg(F.count_distinct(profile.asset).alias("assets"),
-                 F.count_if((F.col("health_score") < lo) | (F.col("health_score") > hi))
-                 .alias("bad_health"))
-    missing = float(len([t for t in cfg["required_tables"] if t not in set(present_tables)]))
-    gold = k.select(F.explode(F.array(
-        F.struct(F.lit("gold").alias("tier"), F.lit("assets").alias("gate"),
-                 F.col("assets").cast("double").alias("value"),
-                 F.lit(float(cfg["min_turbines"])).alias("limit"), F.lit("min").alias("kind")),
-        _gate("gold", "health_out_of_range", F.col("bad_health").cast("double"), 0.0, "max"),
-        _gate("gold", "missing_tables", F.lit(missing), 0.0, "max"))).alias("g"))
-    out = bronze.unionByName(silver).unionByName(gold).select("g.*")
-    return out.withColumn("passed", F.when(F.col("kind") == "max", F.col("value") <= F.col("limit"))
-                          .otherwise(F.col("value") >= F.col("limit"))).drop("kind")
+                 F.count_if((F.col("health_score") < lo) | (F.col("health_score") > hi)).alias("bad_health"))
+    missing = len(set(cfg["required_tables"]) - set(present_tables))
+    return _judged(k, [_gate("gold", "assets", F.col("assets"), cfg["min_turbines"], "min"),
+                       _gate("gold", "health_out_of_range", F.col("bad_health"), 0.0, "max"),
+                       _gate("gold", "missing_tables", F.lit(missing), 0.0, "max")])
+
+
+def quality_gates(raw: DataFrame, features: DataFrame, kpis: DataFrame, profile: SensorProfile,
+                  present_tables: Sequence[str] = (), config: Mapping | None = None) -> DataFrame:
+    """Gate rows (tier, gate, value, limit, passed) of all tiers, one aggregation per tier."""
+    return bronze_gates(raw, profile, config).unionByName(silver_gates(features, profile, config)) \
+        .unionByName(gold_gates(kpis, profile, present_tables, config))

@@ -101,12 +101,41 @@ def test_tiered_batch_flow(spark, tmp_dir):
     tiers = {r["tier"]: r for r in log.collect()}
     assert tiers["bronze"]["rows"] == raw.count()
     assert tiers["silver"]["rows"] > 0 and tiers["gold"]["rows"] > 0
-    # feature_count gate (>= 50 columns) fails for the 4-sensor mapping
-    assert tiers["gates"]["status"].startswith("failed")
-    # re-running replaces the raw partitions instead of duplicating them
+    # several lines of one supplier and day: the duplicate gate fails, and it alone
+    assert tiers["bronze gates"]["status"] == "failed:1" and tiers["gates"]["status"] == "failed:1"
+    assert tiers["silver gates"]["status"] == tiers["gold gates"]["status"] == "passed"
+    # running again replaces the source's rows instead of adding to them
     run_batch(spark, raw, None, LINEITEM, os.path.join(tmp_dir, "lake"), health,
               kpi_grain="month", stop_on_gate_failure=False)
-    assert spark.read.parquet(os.path.join(tmp_dir, "lake", "bronze")).count() == raw.count()
+    assert sinks.read_committed(spark, os.path.join(tmp_dir, "lake", "bronze")).count() == raw.count()
+
+
+def test_batch_flow_resumes_at_the_failed_gate(spark, tmp_dir, monkeypatch):
+    from telemetra.operators import features as FT
+    from telemetra.plans.batch import GateFailure, run_batch
+    from telemetra.plans.catalog import LINEITEM, LINEITEM_HEALTH, lineitem_readings
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("driver data absent")
+    raw, base = lineitem_readings(spark, sf), os.path.join(tmp_dir, "lake")
+    built = []
+    features = FT.silver_features
+    monkeypatch.setattr(FT, "silver_features", lambda *a, **k: (built.append(1), features(*a, **k))[1])
+    limits = {"max_duplicate_percentage": 100.0, "required_tables": ("gold_turbine_hourly_kpis",)}
+
+    def start(**more):
+        return {r["tier"]: r["status"] for r in run_batch(
+            spark, raw, None, LINEITEM, base, dict(LINEITEM_HEALTH), kpi_grain="month", run="r1",
+            gate_config=limits | more).collect()}
+
+    with pytest.raises(GateFailure):
+        start(max_null_percentage=-1.0)
+    assert not built and not os.path.exists(os.path.join(base, "silver"))
+    with pytest.raises(GateFailure):
+        start(required_features_count=1000)
+    assert len(built) == 1 and not os.path.exists(os.path.join(base, "gold_kpis"))
+    log = start()
+    assert len(built) == 1 and "silver" not in log and log["gold"] == "written" and log["gates"] == "passed"
 
 
 def test_ledger_replaces_whole_sources(spark, tmp_dir):
