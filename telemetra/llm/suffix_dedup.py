@@ -113,9 +113,9 @@ def entries(raw: bytes, length: int) -> tuple[np.ndarray, ...]:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc`` (the id; for a null id a hash of the text) and ``raw`` (UTF-8 bytes)."""
+    """``doc`` (a hash of id and text, which tells rows apart unless they are equal) and ``raw`` (UTF-8 bytes)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text)).alias("doc"),
+    return docs.select(F.xxhash64(F.col(id_col), text).alias("doc"),
                        F.col(id_col).alias("id"), text.cast("binary").alias("raw"))
 
 
@@ -267,8 +267,7 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     another row; strings are judged on the input, and never cross rows.  Null
     and empty texts and texts shorter than ``length`` keep all bytes.  Repeated
     rows are occurrences like any other.  Rows that repeat an id with
-    different texts share their spans; ids are integers, and a row with a null
-    id is known by its text.  An empty table gives an empty result; other
+    different texts are different documents.  An empty table gives an empty result; other
     columns are not read.
     """
     import pyarrow as pa

@@ -66,6 +66,20 @@ def test_op1_shorter_strings(spark):
     assert got[3] == (45, b"z")
 
 
+def test_op1_rows_of_one_id(spark):
+    """A row loses nothing because another row of its id holds a repeated string."""
+    import random
+
+    from telemetra.llm.suffix_dedup import remove_duplicates
+    rng = random.Random(6)
+    a, b, c, d = ("".join(rng.choices("abcdefghij ", k=420)) for _ in range(4))
+    rows = [(1, a + b), (1, c + d), (2, a), (None, c[:50]), (None, d + a), (3, b[:100]), (1, a + b)]
+    got = collections.Counter((r["doc_id"], r["n_bytes"], r["n_removed"], bytes(r["kept"]).decode())
+                              for r in collected(remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))))
+    assert got == {(1, 840, 840, ""): 2, (1, 840, 420, c): 1, (2, 420, 420, ""): 1, (None, 50, 0, c[:50]): 1,
+                   (None, 840, 840, ""): 1, (3, 100, 0, b[:100]): 1}
+
+
 def test_op3_tokenizer_library(spark, table, rows):
     import public_tokenizers as P
     import tiktoken
