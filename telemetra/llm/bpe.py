@@ -47,8 +47,8 @@ class PerfectHash:
     def __init__(self, keys: list[bytes]):
         n = self.n = len(keys)
         self.n_buckets = max(1, n // 2)
-        self.shift = np.zeros(self.n_buckets, np.int64)
-        self.slot = np.full(max(n, 1), -1, np.int64)
+        shift = np.zeros(self.n_buckets, np.int64)
+        slot = np.full(max(n, 1), -1, np.int64)
         buckets: dict[int, list[int]] = {}
         for i, key in enumerate(keys):
             buckets.setdefault(xxhash.xxh3_64_intdigest(key) % self.n_buckets, []).append(i)
@@ -64,48 +64,55 @@ class PerfectHash:
                 if len({*at}) == len(at) and free[at].all():
                     break
                 d += 1
-            self.shift[b] = d
-            self.slot[at] = own
+            shift[b] = d
+            slot[at] = own
             free[at] = False
         left = iter(np.nonzero(free)[0].tolist())
         for b in order:
             if len(buckets[b]) == 1:
                 at = next(left)
-                self.shift[b] = -at - 1
-                self.slot[at] = buckets[b][0]
+                shift[b] = -at - 1
+                slot[at] = buckets[b][0]
+        self.shift, self.slot = shift.tolist(), slot.tolist()  # lists are read faster one by one
 
     def candidate(self, key: bytes) -> int:
         """The only key number that ``key`` can have; the caller compares the keys."""
-        d = int(self.shift[xxhash.xxh3_64_intdigest(key) % self.n_buckets])
+        d = self.shift[xxhash.xxh3_64_intdigest(key) % self.n_buckets]
         if d == 0:
             return -1
-        return int(self.slot[-d - 1 if d < 0 else xxhash.xxh3_64_intdigest(key, d) % self.n])
+        return self.slot[-d - 1 if d < 0 else xxhash.xxh3_64_intdigest(key, d) % self.n]
 
 
-def byte_pairs(ranks: dict[bytes, int]) -> list[int]:
-    """Ranks of all two-byte tokens by ``first << 8 | second``, -1 for others."""
-    return [ranks.get(bytes((k >> 8, k & 255)), -1) for k in range(1 << 16)]
+def byte_pairs(ranks: dict[bytes, int]) -> list[list[int]]:
+    """Ranks of all two-byte tokens by first and second byte, -1 for others."""
+    return [[ranks.get(bytes((first, second)), -1) for second in range(256)] for first in range(256)]
 
 
-def merge_pairs(piece: bytes, ranks: dict[bytes, int], twos: list[int]) -> list[int]:
+def merge_pairs(piece: bytes, ranks: dict[bytes, int], twos: list[list[int]]) -> list[int]:
     """Ids of one pre-token by rank-ordered merges (heap over linked bytes).
 
-    ``twos`` is :func:`byte_pairs` of the ranks.  A heap entry is ``rank << 32 | start``; it is stale unless ``pair[start]``
-    still has that rank.
+    ``twos`` is :func:`byte_pairs` of the ranks.  A heap entry holds a rank
+    above the bits of a start; it is stale unless ``pair[start]`` still has
+    that rank.
     """
     n = len(piece)
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
     get = ranks.get
     end = [*range(1, n + 1)]  # of the part that starts here
     before = [*range(-1, n)]  # start of the part before
-    pair = [twos[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    pair = [twos[a][b] for a, b in zip(piece, piece[1:])]
     pair.append(-1)
-    heap = [r << 32 | i for i, r in enumerate(pair) if r >= 0]
+    merged = {}  # rank of the part that starts here, if longer than a byte
+    heap = [r << bits | i for i, r in enumerate(pair) if r >= 0]
     heapify(heap)
     while heap:
         entry = heappop(heap)
-        i = entry & 0xFFFFFFFF
-        if pair[i] != entry >> 32:
+        i = entry & mask
+        rank = entry >> bits
+        if pair[i] != rank:
             continue
+        merged[i] = rank
         j = end[i]
         stop = end[i] = end[j]
         pair[j] = -1
@@ -113,17 +120,17 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int], twos: list[int]) -> list[
         if stop < n:
             r = pair[i] = get(piece[i:end[stop]], -1)
             if r >= 0:
-                heappush(heap, r << 32 | i)
+                heappush(heap, r << bits | i)
         else:
             pair[i] = -1
         h = before[i]
         if h >= 0:
             r = pair[h] = get(piece[h:stop], -1)
             if r >= 0:
-                heappush(heap, r << 32 | h)
+                heappush(heap, r << bits | h)
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:end[i]]])
+        out.append(merged[i] if i in merged else ranks[piece[i:i + 1]])
         i = end[i]
     return out
 
