@@ -1,77 +1,48 @@
 """Stupid-backoff language-model scores (operator 7).
 
-A document's score is the sum over its words of log10 S(word | word before):
+A document's score is the sum over its words of log10 S, S being the first of
 
-* (c(v w) - c_d(v w)) / c(v) where a bigram v w occurs in another document,
+* (c(g) - c_d(g)) / c(context of g) for the k-gram g that ends with the word,
+  k from the order of the model down to 2, where g occurs in another document,
   that is where its count exceeds the document's own count c_d,
-* 0.4 c(w) / N otherwise.
-
-The count tables are relations partitioned by hash.  Bigrams are dealt by the
-hash of their first word, so that a bucket counts them together with their
-context; contexts that are frequent are dealt by the hash of both words, and
-their own counts come from a broadcast table of at most ``FREQUENT`` words.
-A bucket joins its counts to the bigrams of the documents and adds up per
-document.  Words that back off are looked up in the broadcast table or, when
-rare, joined to the unigram table.  Logarithms are held in millionths, so sums
-do not depend on the order of addition.
-
-Bigrams travel packed: a task sends each bucket the distinct bigrams of a block
-of documents once, followed by who holds them how often.  Words are known by
-48-bit hashes.
+* c(w) / N for the word itself,
+
+times 0.4 for every step down.  A document begins with ``order - 1`` marks.
+
+The work is relational.  Tasks turn a document into its distinct n-grams with
+its own counts (``ngrams``); the count table of each order is a sum over these,
+partitioned by the n-gram's hash, and gets the counts of contexts by a join
+(``count_tables``).  The exploded n-grams are joined to the table of the highest
+order; words not found there go on to the next lower one, the last to the
+unigrams; scores are summed per document.  An n-gram that occurs once is in no
+other document, so the tables of higher orders hold repeated ones only.
+
+Joins are split by frequency: n-grams above a share of 1 / ``HOT`` of all words,
+of which there are at most ``HOT``, are looked up in a broadcast table, so no
+key of a shuffled join has more rows than that share.  Logarithms are held in
+millionths, so sums do not depend on the order of addition.  Words are known by
+62-bit hashes, n-grams by 64-bit hashes of these.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from telemetra.llm.common import Remembered, stored
+from telemetra.llm.common import BROADCAST_IDS, Remembered, forget_others, stored
 
 BACKOFF = 0.4
-#: Words in the broadcast table at most (16 bytes each).
-FREQUENT = 200_000
-#: Words of a block of documents (a longer document is a block of its own).
-BLOCK_WORDS = 2_000_000
-#: Buckets at least; otherwise as many as shuffle partitions.
-BUCKETS = 32
-BEGIN, END = 1, 2
-_MASK = (1 << 48) - 1
-
-_word_hash = Remembered(lambda word: (xxhash.xxh3_64_intdigest(word) & _MASK) | 4)
-
-
-def _words(text: str | None) -> np.ndarray:
-    words = text.encode().split() if text else []
-    return np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words))
-
-
-def _blocks(batches):
-    """``(ids, word arrays)`` of documents with words, about ``BLOCK_WORDS`` words at a time."""
-    ids, words, held = [], [], 0
-    for batch in batches:
-        _word_hash.trim()
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            w = _words(text.as_py())
-            if len(w) == 0:
-                continue
-            if held and (held + len(w) > BLOCK_WORDS or len(ids) == 0xFFFF):
-                yield ids, words
-                ids, words, held = [], [], 0
-            ids.append(key)
-            words.append(w)
-            held += len(w)
-    if ids:
-        yield ids, words
-
-
-def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
-    """Where a new combination of values begins."""
-    change = np.zeros(max(len(sorted_keys[0]) - 1, 0), bool)
-    for k in sorted_keys:
-        change |= k[1:] != k[:-1]
-    return np.concatenate([[0], np.flatnonzero(change) + 1]) if len(sorted_keys[0]) else np.zeros(0, np.int64)
+#: N-grams of a broadcast table at most (24 bytes each).
+HOT = 100_000
+#: Rows of an Arrow batch that a task passes on, about.
+BATCH_ROWS = 50_000
+#: Mark before the first word; hashes of words are larger.
+BEGIN = 1
+
+_word_hash = Remembered(lambda word: (xxhash.xxh3_64_intdigest(word) >> 2) | 2)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -80,216 +51,160 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _lookup(table: tuple[np.ndarray, np.ndarray], words: np.ndarray) -> np.ndarray:
-    """Counts of words in the sorted table, 0 for others."""
-    keys, counts = table
-    if len(keys) == 0:
-        return np.zeros(len(words), np.int64)
-    at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
-    return np.where(keys[at] == words, counts[at], 0)
-
-
-def _pack48(x: np.ndarray) -> bytes:
-    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _unpack48(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
-
-
-def _micro(x: np.ndarray) -> np.ndarray:
-    return np.rint(1e6 * np.log10(x)).astype(np.int64)
-
+def _distinct(words: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """A document's distinct n-grams: their words, the last first, and its counts of orders 2 to ``order``."""
+    padded = np.concatenate([np.full(order - 1, BEGIN, np.uint64), words])
+    back = [padded[order - 1 - k:len(padded) - k] for k in range(order)]
+    gram, counts = back[0], []
+    for k in range(1, order):
+        gram = _mix(_mix(gram) ^ back[k])
+        _, first, place, times = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
+        counts.append(times[place])
+    return [b[first] for b in back], [c[first] for c in counts]
 
-def unigrams(texts: DataFrame) -> DataFrame:
-    """``w, c``: counts of all words (``texts`` has ``doc, text``)."""
-    import pyarrow as pa
 
-    def count(batches):
-        for _, words in _blocks(batches):
-            w, c = np.unique(np.concatenate(words), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(c.astype(np.int64))], ["w", "c"])
+def words_of(order: int) -> list[str]:
+    """Columns of an n-gram's words, the last word first."""
+    return [f"w{k}" for k in range(order)]
 
-    return texts.mapInArrow(count, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
+def gram(order: int, skip: int = 0) -> Column:
+    """Key of the ``order``-gram that ends ``skip`` words before the end of a row."""
+    words = [F.col(w) for w in words_of(order + skip)[skip:]]
+    return words[0] if order == 1 else F.xxhash64(*words)
 
-def _frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent words, ``FREQUENT`` at most: those of a count that no more words reach."""
-    octave = F.floor(8 * F.log2(F.col("c"))).cast("int")
-    sizes = sorted(((r[0], r[1]) for r in table.groupBy(octave.alias("o")).count().collect()), reverse=True)
-    total, least = 0, None
-    for o, n in sizes:
-        if total + n > FREQUENT:
-            break
-        total, least = total + n, o
-    if least is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    got = table.filter(octave >= least).toPandas().sort_values("w")
-    return got["w"].to_numpy().astype(np.uint64), got["c"].to_numpy().astype(np.int64)
 
+def ngrams(texts: DataFrame, order: int) -> DataFrame:
+    """``doc, w0 .., own2 ..`` of every row of ``texts`` (``doc, text``): its distinct n-grams.
 
-def _bigram_payloads(texts: DataFrame, frequent, n_buckets: int) -> DataFrame:
-    """A row per block and bucket with the block's bigrams of that bucket, packed."""
+    ``own2 ..`` are the row's counts of the bigram .. the n-gram that end there.
+    """
     import pyarrow as pa
 
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
-    columns = ["bucket", "docs", "v", "v_pairs", "w", "w_refs", "ref", "times"]
-
-    def pack(batches):
-        table = shared.value
-        for ids, words in _blocks(batches):
-            lengths = np.array([len(w) for w in words])
-            every = np.concatenate(words)
-            ends = np.cumsum(lengths) + np.arange(1, len(words) + 1) - 1  # of each document with its END
-            size = len(every) + len(words)
-            w = np.empty(size, np.uint64)
-            is_end = np.zeros(size, bool)
-            is_end[ends] = True
-            w[is_end], w[~is_end] = END, every
-            v = np.empty(size, np.uint64)
-            v[0], v[1:] = BEGIN, w[:-1]
-            v[v == END] = BEGIN
-            doc = np.repeat(np.arange(len(words), dtype=np.uint64), lengths + 1)
-            salt = (v == BEGIN) | (_lookup(table, v) > 0)
-            bucket = _mix(np.where(salt, v ^ _mix(w), v)) % np.uint64(n_buckets)
-            high = (bucket << np.uint64(48)) | v
-            low = (w << np.uint64(16)) | doc
-            del every, is_end, w, v, doc, salt, bucket
-            order = np.argsort(low, kind="stable")
-            order = order[np.argsort(high[order], kind="stable")]
-            high, low = high[order], low[order]
-            one = _starts(high, low)  # a bigram in a document
-            times = np.diff(np.append(one, size)).astype(np.uint32)
-            high, low = high[one], low[one]
-            pair = _starts(high, low >> np.uint64(16))
-            context = _starts(high[pair])
-            bucket_of = (high[pair[context]] >> np.uint64(48)).astype(np.int64)
-            rows = []
-            first = _starts(bucket_of)
-            for c0, c1 in zip(first, np.append(first[1:], len(context))):
-                p0, p1 = context[c0], context[c1] if c1 < len(context) else len(pair)
-                r0, r1 = pair[p0], pair[p1] if p1 < len(pair) else len(one)
-                own, ref = np.unique((low[r0:r1] & np.uint64(0xFFFF)).astype(np.int64), return_inverse=True)
-                rows.append((
-                    int(bucket_of[c0]), np.array([ids[i] for i in own], np.int64).tobytes(),
-                    _pack48(high[pair[context[c0:c1]]] & np.uint64(_MASK)),
-                    np.diff(np.append(context[c0:c1], p1)).astype(np.uint32).tobytes(),
-                    _pack48(low[pair[p0:p1]] >> np.uint64(16)),
-                    np.diff(np.append(pair[p0:p1], r1)).astype(np.uint32).tobytes(),
-                    ref.astype(np.uint16).tobytes(), times[r0:r1].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32())]
-                + [pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 8)], columns)
-
-    return texts.mapInArrow(pack, "bucket int, docs binary, v binary, v_pairs binary, w binary, w_refs binary, "
-                                  "ref binary, times binary")
-
-
-def _bucket_scores(payloads: DataFrame, frequent, n_words: int, n_docs: int) -> DataFrame:
-    """``doc, score, w, c``: sums per bucket and document; with ``w``, a rare word to look up ``c`` times."""
-    import pyarrow as pa
+    columns = ["doc", *words_of(order), *[f"own{k}" for k in range(2, order + 1)]]
 
-    shared = payloads.sparkSession.sparkContext.broadcast(frequent)
-
-    def score(parts):
-        table = shared.value
-        docs = [np.frombuffer(p["docs"], np.int64) for p in parts]
-        base = np.cumsum([0] + [len(d) for d in docs])
-        v = [np.repeat(_unpack48(p["v"]), np.frombuffer(p["v_pairs"], np.uint32)) for p in parts]
-        refs = [np.frombuffer(p["w_refs"], np.uint32) for p in parts]
-        held = np.concatenate([np.frombuffer(p["ref"], np.uint16).astype(np.int32) + np.int32(b)
-                               for p, b in zip(parts, base)])
-        times = np.concatenate([np.frombuffer(p["times"], np.uint32) for p in parts])
-        v, w, refs = np.concatenate(v), np.concatenate([_unpack48(p["w"]) for p in parts]), np.concatenate(refs)
-        docs, who = np.unique(np.concatenate(docs), return_inverse=True)
-        who = who.astype(np.int32)
-
-        # counts of bigrams over all blocks, and of contexts
-        order = np.lexsort((w, v))
-        first = _starts(v[order], w[order])
-        number = np.empty(len(order), np.int32)
-        number[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(order))))
-        pair_of = np.repeat(number, refs)
-        count = np.bincount(pair_of, weights=times, minlength=len(first)).astype(np.int64)
-        pv, pw = v[order[first]], w[order[first]]
-        del v, w, order, number, refs
-        starts = _starts(pv)
-        context = np.repeat(np.add.reduceat(count, starts), np.diff(np.append(starts, len(pv))))
-        known = _lookup(table, pv)
-        context = np.where(known > 0, known, np.where(pv == BEGIN, n_docs, context))
-
-        # a document's own occurrences of a bigram; an id in several blocks has to be put together
-        scored = pw[pair_of] != END
-        pair_of, holder, times = pair_of[scored], who[held[scored]], times[scored].astype(np.int64)
-        del held, scored
-        if base[-1] > len(docs):
-            key, back = np.unique(pair_of.astype(np.int64) * len(docs) + holder, return_inverse=True)
-            times = np.bincount(back, weights=times, minlength=len(key)).astype(np.int64)
-            pair_of, holder = key // len(docs), key % len(docs)
-        others = count[pair_of] - times
-        found = others > 0
-        word = pw[pair_of]
-        word_count = _lookup(table, word)
-        rare = ~found & (word_count == 0)
-        value = _micro(np.where(found, others / context[pair_of], BACKOFF * np.where(rare, 1, word_count) / n_words))
-        value[rare] = 0  # of rare words everything is added with their count
-        total = np.zeros(len(docs), np.int64)
-        np.add.at(total, holder, value * times)
-        seen = np.zeros(len(docs), bool)
-        seen[holder[~rare]] = True
-        none = np.zeros(int(rare.sum()), np.int64)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([docs[seen], docs[holder[rare]]])),
-            pa.array(np.concatenate([total[seen], none])),
-            pa.array(np.concatenate([np.zeros(seen.sum(), np.int64), word[rare].view(np.int64)])),
-            pa.array(np.concatenate([np.zeros(seen.sum(), np.int64), times[rare]]))], ["doc", "score", "w", "c"])
-
-    def run(batches):
-        at, parts = None, []
+    def explode(batches):
+        forget_others(_word_hash)
+        held: list[list[np.ndarray]] = [[] for _ in columns]
+        rows = 0
         for batch in batches:
-            for p in batch.to_pylist():
-                if p["bucket"] != at and parts:
-                    yield score(parts)
-                    parts = []
-                at = p["bucket"]
-                parts.append(p)
-        if parts:
-            yield score(parts)
-
-    n = payloads.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return payloads.repartition(int(n), "bucket").sortWithinPartitions("bucket") \
-        .mapInArrow(run, "doc long, score long, w long, c long")
-
-
-def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            _word_hash.trim()
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = (text.as_py() or "").encode().split()
+                if not words:
+                    continue
+                grams, counts = _distinct(
+                    np.fromiter(map(_word_hash.__getitem__, words), np.uint64, len(words)), order)
+                rows += len(grams[0])
+                for column, values in zip(held, [np.full(len(grams[0]), doc, np.int64),
+                                                 *[g.view(np.int64) for g in grams], *counts]):
+                    column.append(values.astype(np.int64, copy=False))
+                if rows >= BATCH_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], columns)
+                    held, rows = [[] for _ in columns], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in held], columns)
+
+    return texts.mapInArrow(explode, ", ".join(f"{c} long" for c in columns))
+
+
+def _as_one(grams: DataFrame, order: int) -> DataFrame:
+    """N-grams of rows that share a ``doc``, counted as those of one document."""
+    words = words_of(order)
+    out = grams.groupBy("doc", *words).agg(F.sum(f"own{order}").alias(f"own{order}"))
+    for k in range(2, order):
+        out = out.withColumn(f"own{k}", F.sum(f"own{order}").over(Window.partitionBy("doc", *words[:k])))
+    return out.select(grams.columns)
+
+
+def _with_counts(rows: DataFrame, key: Column, table: DataFrame, n_words: int) -> DataFrame:
+    """``rows`` with the columns of ``table`` (``g, c, ..``) at ``g = key``, null where it has none."""
+    least = max(n_words // HOT, 1)  # counts add up to n_words, so at most HOT exceed this
+    values = table.columns[1:]
+    keyed, table = rows.withColumn("key", key), table.withColumnRenamed("g", "key")
+    near = keyed.join(F.broadcast(table.filter(F.col("c") > least)), "key", "left")
+    far = near.filter("c is null").drop(*values).join(table.filter(F.col("c") <= least), "key", "left")
+    return near.filter("c is not null").unionByName(far).drop("key")
+
+
+def count_tables(grams: DataFrame, order: int, n_words: int, n_docs: int) -> list[DataFrame]:
+    """Tables of orders 1 to ``order``: ``g, c`` and, from order 2 on, ``before`` (the count of the context).
+
+    From order 2 on they hold the n-grams that occur twice or more.
+    """
+    times = f"own{order}"
+    marks = grams.sparkSession.range(1).select(*[F.lit(BEGIN).cast("long").alias(w) for w in words_of(order)])
+    tables = [stored(grams.groupBy(gram(1).alias("g")).agg(F.sum(times).alias("c")), "lm-1-grams")]
+    for k in range(2, order + 1):
+        counted = grams.groupBy(gram(k).alias("g")).agg(
+            F.sum(times).alias("count"), F.first(gram(k - 1, skip=1)).alias("context")).filter("count > 1")
+        begin = marks.select(gram(k - 1).alias("g"), F.lit(n_docs).cast("long").alias("c"))
+        contexts = tables[-1].select("g", "c").unionByName(begin)
+        tables.append(stored(
+            _with_counts(counted, F.col("context"), contexts, n_words + n_docs)
+            .select("g", F.col("count").alias("c"), F.col("c").alias("before")), f"lm-{k}-grams"))
+    return tables
+
+
+def _micro(x: Column) -> Column:
+    return F.rint(F.lit(1e6) * F.log10(x)).cast("long")
+
+
+def scores(grams: DataFrame, tables: list[DataFrame], n_words: int) -> DataFrame:
+    """``doc, score`` (millionths of log10) of the exploded n-grams by the count tables."""
+    order = len(tables)
+    times = F.col(f"own{order}")
+    left, done, weight = grams, [], 1.0
+    for k in range(order, 1, -1):
+        others = F.col("c") - F.col(f"own{k}")
+        looked_up = stored(
+            _with_counts(left, gram(k), tables[k - 1], n_words).select(
+                "doc", *words_of(k - 1), *[f"own{j}" for j in range(2, k)], times.alias("times"),
+                F.when(others > 0, _micro(F.lit(weight) * (others / F.col("before")))).alias("value")),
+            f"lm-scores-{k}")
+        done.append(looked_up.filter("value is not null").select("doc", "value", "times"))
+        left, times = looked_up.filter("value is null").drop("value"), F.col("times")
+        weight *= BACKOFF
+    share = F.col("c") / F.lit(max(n_words, 1))
+    done.append(_with_counts(left, gram(1), tables[0], n_words).select(
+        "doc", _micro(F.lit(weight) * share).alias("value"), times.alias("times")))
+    every = done[0]
+    for part in done[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("doc").agg(F.sum(F.col("value") * F.col("times")).alias("score"))
+
+
+def stupid_backoff(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
     """``id_col, n_words, log_score, mean_score`` for every row.
 
     ``log_score`` is the sum, ``mean_score`` the mean per word (null without
-    words), both log10, of the model counted over all rows.  Words are runs
-    without ASCII white space.  Null, empty and blank texts have 0 words and
-    score 0.  Rows that repeat an id are one document: each gets the score of
-    all their words.  A null id is known by its text.  An empty table gives an
-    empty result; other columns are not read; ids are integers.
+    words), both log10, of the model of ``order`` 2 or more counted over all
+    rows.  Words are runs without ASCII white space.  Null, empty and blank
+    texts have 0 words and score 0.  Rows that repeat an id are one document:
+    each gets the score of all their words, and the end of one row is not the
+    context of the next.  A null id is known by its text.  A text of any length
+    is one task's arrays of its words.  An empty table gives an empty result;
+    other columns are not read; ids are integers.
     """
-    spark = docs.sparkSession
+    if order < 2:
+        raise ValueError("order is 2 or more")
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text))
     texts = docs.select(key.alias("doc"), text.alias("text"))
     rows = stored(docs.select(F.col(id_col).alias("id"), key.alias("doc"),
                               F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n")), "lm-docs")
-    size = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    table = stored(unigrams(texts), "lm-unigrams")
-    frequent = _frequent(table)
-    n_buckets = max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = stored(_bucket_scores(_bigram_payloads(texts, frequent, n_buckets), frequent, size[0], size[1]),
-                   "lm-parts")
-
-    backed = F.rint(F.lit(1e6) * F.log10(F.lit(BACKOFF) * F.col("all") / F.lit(max(size[0], 1)))).cast("long")
-    rare = parts.filter("w <> 0").join(table.withColumnRenamed("c", "all"), "w") \
-        .select("doc", (backed * F.col("c")).alias("score"))
-    summed = parts.filter("w = 0").select("doc", "score").union(rare).groupBy("doc").agg(F.sum("score").alias("score"))
+    n_words, n_docs = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
+    repeated = stored(rows.groupBy("doc").count().filter("count > 1").select("doc"), "lm-repeated")
+    n_repeated = repeated.count()
+    if n_repeated:
+        several = F.broadcast(repeated) if n_repeated <= BROADCAST_IDS else repeated
+        grams = ngrams(texts.join(several, "doc", "left_anti"), order).unionByName(
+            _as_one(ngrams(texts.join(several, "doc", "left_semi"), order), order))
+    else:
+        grams = ngrams(texts, order)
+    grams = stored(grams, "lm-ngrams")
+    summed = scores(grams, count_tables(grams, order, n_words, n_docs), n_words)
+
     words = rows.groupBy("doc").agg(F.sum("n").alias("words"))
     return rows.join(words, "doc").join(summed, "doc", "left").select(
         F.col("id").alias(id_col), F.col("words").alias("n_words"),

@@ -172,17 +172,25 @@ FROM f JOIN rate ON f.source IS NOT DISTINCT FROM rate.source
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 t AS (
-  SELECT doc_id, w[i] AS w, CASE WHEN i = 1 THEN ' ' ELSE w[i - 1] END AS v
+  SELECT doc_id, w[i] AS w, CASE WHEN i = 1 THEN ' ' ELSE w[i - 1] END AS v,
+         CASE WHEN i <= 2 THEN ' ' ELSE w[i - 2] END AS u
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+n AS (SELECT count(*) AS docs FROM d WHERE len(w) > 0),
 uni AS (SELECT w, count(*) AS c FROM t GROUP BY w),
-ctx AS (SELECT w AS v, c FROM uni UNION ALL SELECT ' ', count(*) FROM d WHERE len(w) > 0),
-own AS (SELECT doc_id, v, w, count(*) AS cd FROM t GROUP BY doc_id, v, w),
-big AS (SELECT v, w, sum(cd) AS c FROM own GROUP BY v, w),
+own3 AS (SELECT doc_id, u, v, w, count(*) AS cd3 FROM t GROUP BY doc_id, u, v, w),
+own2 AS (SELECT doc_id, v, w, sum(cd3) AS cd2 FROM own3 GROUP BY doc_id, v, w),
+big AS (SELECT v, w, sum(cd2) AS c2 FROM own2 GROUP BY v, w),
+tri AS (SELECT u, v, w, sum(cd3) AS c3 FROM own3 GROUP BY u, v, w),
+ctx1 AS (SELECT w AS v, c AS b1 FROM uni UNION ALL SELECT ' ', docs FROM n),
+ctx2 AS (SELECT v AS u, w AS v, c2 AS b2 FROM big UNION ALL SELECT ' ', ' ', docs FROM n),
 s AS (
-  SELECT doc_id, sum(cd * CAST(round(1e6 * log10(CASE
-           WHEN big.c > cd THEN CAST(big.c - cd AS DOUBLE) / ctx.c
-           ELSE CAST(0.4 AS DOUBLE) * uni.c / (SELECT count(*) FROM t) END)) AS BIGINT)) AS score
-  FROM own JOIN big USING (v, w) JOIN ctx USING (v) JOIN uni USING (w) GROUP BY doc_id)
+  SELECT doc_id, sum(cd3 * CAST(round(1e6 * log10(CASE
+           WHEN c3 > cd3 THEN CAST(c3 - cd3 AS DOUBLE) / b2
+           WHEN c2 > cd2 THEN CAST(0.4 AS DOUBLE) * (CAST(c2 - cd2 AS DOUBLE) / b1)
+           ELSE CAST(0.4 AS DOUBLE) * CAST(0.4 AS DOUBLE) * (CAST(uni.c AS DOUBLE) / (SELECT count(*) FROM t)) END))
+         AS BIGINT)) AS score
+  FROM own3 JOIN own2 USING (doc_id, v, w) JOIN tri USING (u, v, w) JOIN big USING (v, w)
+       JOIN ctx1 USING (v) JOIN ctx2 USING (u, v) JOIN uni USING (w) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(CAST(score AS DOUBLE), 0) / 1e6 AS log_score,
        round(CAST(score AS DOUBLE) / 1e6 / len(w), 6) AS mean_score
 FROM d LEFT JOIN s USING (doc_id)
