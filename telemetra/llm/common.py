@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 BLANK = r"\x20\x09-\x0D"
 #: Ids up to which a filter on documents is broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
-#: A worker remembers the last 240,000 to 480,000 distinct strings of a function.
+#: A worker remembers the last 240,000 to 480,000 distinct strings of a function, unless told otherwise.
 REMEMBERED = 240_000
 
 
@@ -108,18 +108,21 @@ _remembering: list["Remembered"] = []
 
 
 def forget_others(*kept: "Remembered") -> None:
-    """Workers outlive a stage: drop what earlier stages remembered there."""
+    """Workers outlive a stage: drop what earlier stages remembered there, and Arrow's unused memory."""
+    import pyarrow as pa
+
     for memory in _remembering:
         if not any(memory is k for k in kept):
             memory.clear()
             memory.older = {}
+    pa.default_memory_pool().release_unused()
 
 
 class Remembered(dict):
     """Results of a function of a string; those not used for long are forgotten."""
 
-    def __init__(self, of):
-        self.of, self.older = of, {}
+    def __init__(self, of, room: int = REMEMBERED):
+        self.of, self.older, self.room = of, {}, room
         _remembering.append(self)
 
     def __missing__(self, key):
@@ -130,6 +133,6 @@ class Remembered(dict):
         return out
 
     def trim(self):
-        if len(self) > REMEMBERED:
+        if len(self) > self.room:
             self.older = dict(self)
             self.clear()

@@ -52,7 +52,7 @@ SALTS = 16
 #: Members of a group that are held together when it is opened.
 PART = 256
 
-_word_hash = Remembered(xxhash.xxh3_64_intdigest)
+_word_hash = Remembered(xxhash.xxh3_64_intdigest, room=60_000)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                      0xA0761D6478BD642F], np.uint64)
 

@@ -42,7 +42,7 @@ BATCH_ROWS = 50_000
 #: Mark before the first word; hashes of words are larger.
 BEGIN = 1
 
-_word_hash = Remembered(lambda word: (xxhash.xxh3_64_intdigest(word) >> 2) | 2)
+_word_hash = Remembered(lambda word: (xxhash.xxh3_64_intdigest(word) >> 2) | 2, room=60_000)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
