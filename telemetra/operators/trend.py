@@ -213,52 +213,66 @@ def forecast_bands(forecast: DataFrame, as_of: Column | str, horizon_minutes: in
 # ---------------------------------------------------------------------------
 
 class ForecasterModel:
-    """Scaler + one regressor per (step, target) output."""
+    """A fitted ``PipelineModel`` (scaler, then one regressor per (step, target) output) and its shape."""
 
-    def __init__(self, scaler, models, features, targets, seq_len, horizon):
-        self.scaler, self.models = scaler, models
+    def __init__(self, pipeline, features, targets, seq_len, horizon):
+        self.pipeline = pipeline
         self.features, self.targets = list(features), list(targets)
         self.seq_len, self.horizon = seq_len, horizon
 
 
+def forecaster_windows(df: DataFrame, profile: SensorProfile, features: Sequence[str],
+                       targets: Sequence[str], seq_len: int = 48, horizon: int = 12,
+                       validation: float = 0.2) -> DataFrame:
+    """W7/W8 as training data: ``raw`` (flattened lag vector), ``y0 ..`` (step-major, then target),
+    ``split``, and ``last0 ..`` (each target's value at the end of the window, the naive forecast).
+    Missing values count as 0, as in :func:`linear_forecast`."""
+    from pyspark.ml.functions import array_to_vector
+
+    from telemetra.operators.features import sequences, split_sequences
+
+    inputs = [*features, *[t for t in targets if t not in features]]
+    df = df.fillna(0.0, subset=inputs)
+    seqs = split_sequences(sequences(df, profile, inputs, targets, seq_len, horizon), validation)
+    n = len(features)
+    lags = F.flatten(F.transform("x", lambda row: F.slice(row, 1, n)))
+    return seqs.select(
+        profile.asset, "seq_idx", "split", array_to_vector(lags).alias("raw"),
+        *[F.col("y")[i].alias(f"y{i}") for i in range(horizon * len(targets))],
+        *[F.col("x")[seq_len - 1][inputs.index(t)].alias(f"last{k}") for k, t in enumerate(targets)])
+
+
 def train_forecaster(df: DataFrame, profile: SensorProfile, features: Sequence[str],
                      targets: Sequence[str], seq_len: int = 48, horizon: int = 12,
                      validation: float = 0.2, max_iter: int = 50, loss: str = "huber"
                      ) -> tuple[ForecasterModel, DataFrame]:
     """Sliding windows (W7) -> flattened lag vector -> MinMax scaling
     fitted on the chronological training part only (W8) -> one linear
-    regressor per output (step-major, then target; Huber loss by default).
+    regressor per output (step-major, then target; Huber loss by default),
+    as one ML ``Pipeline``.
 
-    Returns the model and a metrics DataFrame (output, split, mae)."""
+    Returns the model and a metrics DataFrame (output, split, n, mae,
+    naive_mae): the mean absolute error, and that of the window's last value
+    as the forecast."""
+    from pyspark.ml import Pipeline
     from pyspark.ml.feature import MinMaxScaler
-    from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import LinearRegression
 
-    from telemetra.operators.features import sequences
-
-    seqs = sequences(df, profile, features, targets, seq_len, horizon)
-    data = seqs.select(profile.asset, "seq_idx", "n_seq",
-                       array_to_vector(F.flatten("x")).alias("raw"), "y")
-    data = data.withColumn("split", F.when(
-        F.col("seq_idx") <= F.floor(F.col("n_seq") * (1 - validation)), "train")
-        .otherwise("validation"))
-    scaler = MinMaxScaler(inputCol="raw", outputCol="features").fit(
-        data.filter(F.col("split") == "train"))
-    scaled = scaler.transform(data)
+    data = forecaster_windows(df, profile, features, targets, seq_len, horizon, validation)
     n_out = horizon * len(targets)
-    scaled = scaled.select("*", *[F.col("y")[i].alias(f"y{i}") for i in range(n_out)])
-    train = scaled.filter(F.col("split") == "train")
-    models, metrics = [], None
-    for i in range(n_out):
-        lr = LinearRegression(featuresCol="features", labelCol=f"y{i}", predictionCol="_pred",
-                              loss=loss, maxIter=max_iter, regParam=0.0 if loss == "squaredError" else 1e-4)
-        m = lr.fit(train)
-        models.append(m)
-        err = m.transform(scaled).groupBy("split").agg(
-            F.avg(F.abs(F.col("_pred") - F.col(f"y{i}"))).alias("mae")) \
-            .withColumn("output", F.lit(i))
-        metrics = err if metrics is None else metrics.unionByName(err)
-    return ForecasterModel(scaler, models, features, targets, seq_len, horizon), metrics
+    stages = [MinMaxScaler(inputCol="raw", outputCol="features")]
+    stages += [LinearRegression(featuresCol="features", labelCol=f"y{i}", predictionCol=f"p{i}", loss=loss,
+                                maxIter=max_iter, regParam=0.0 if loss == "squaredError" else 1e-4)
+               for i in range(n_out)]
+    fitted = Pipeline(stages=stages).fit(data.filter(F.col("split") == "train"))
+    error = {f"e{i}": F.abs(F.col(f"p{i}") - F.col(f"y{i}")) for i in range(n_out)}
+    naive = {f"v{i}": F.abs(F.col(f"last{i % len(targets)}") - F.col(f"y{i}")) for i in range(n_out)}
+    sums = fitted.transform(data).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(e).alias(c) for c, e in {**error, **naive}.items()])
+    metrics = sums.select("split", "n", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("output"), F.col(f"e{i}").alias("mae"), F.col(f"v{i}").alias("naive_mae"))
+        for i in range(n_out)]))).select("output", "split", "n", "mae", "naive_mae")
+    return ForecasterModel(fitted, features, targets, seq_len, horizon), metrics
 
 
 def forecast(model: ForecasterModel, df: DataFrame, profile: SensorProfile) -> DataFrame:
@@ -268,7 +282,7 @@ def forecast(model: ForecasterModel, df: DataFrame, profile: SensorProfile) -> D
     from pyspark.ml.functions import array_to_vector
 
     last = last_n_rows(df, profile, model.seq_len, keep_position=True)
-    feat = F.array(*[F.col(c).cast("double") for c in model.features])
+    feat = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in model.features])
     # windows of the last seq_len rows, in time order, per asset
     grouped = last.groupBy(profile.asset).agg(
         F.array_sort(F.collect_list(F.struct((-F.col(POS)).alias("rn"), feat.alias("f"))))
@@ -276,17 +290,12 @@ def forecast(model: ForecasterModel, df: DataFrame, profile: SensorProfile) -> D
     ok = F.col("_cnt") >= model.seq_len
     vec = grouped.withColumn("sufficient_data", ok).withColumn(
         "raw", F.when(ok, array_to_vector(F.flatten(F.transform("_rows", lambda r: r["f"])))))
-    ready = model.scaler.transform(vec.filter(F.col("sufficient_data")))
-    outs = []
-    for i, m in enumerate(model.models):
-        step, tgt = divmod(i, len(model.targets))
-        p = m.transform(ready).select(profile.asset, F.lit(step + 1).alias("step"),
-                                      F.lit(model.targets[tgt]).alias("target"),
-                                      F.round(m.getPredictionCol(), 4).alias("value"))
-        outs.append(p)
-    out = outs[0]
-    for p in outs[1:]:
-        out = out.unionByName(p)
+    ready = model.pipeline.transform(vec.filter(F.col("sufficient_data")))
+    n_targets = len(model.targets)
+    out = ready.select(profile.asset, F.inline(F.array(*[
+        F.struct(F.lit(i // n_targets + 1).alias("step"), F.lit(model.targets[i % n_targets]).alias("target"),
+                 F.round(F.col(f"p{i}"), 4).alias("value"))
+        for i in range(model.horizon * n_targets)])))
     short = vec.filter(~F.col("sufficient_data")).select(
         profile.asset, F.lit(None).cast("int").alias("step"), F.lit(None).cast("string").alias("target"),
         F.lit(None).cast("double").alias("value"))

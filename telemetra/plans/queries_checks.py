@@ -16,7 +16,7 @@ from telemetra.plans.catalog import EVENTS, LINEITEM, LINEITEM_HEALTH, LINEITEM_
 from telemetra.plans.queries_core import rnd
 from telemetra.plans.queries_more import _li_events, _rules_sql
 from telemetra.plans.registry import register
-from telemetra.plans.sqlgen import lineitem_clean_ctes, zscore_cte
+from telemetra.plans.sqlgen import lineitem_clean_ctes, r, zscore_cte
 from telemetra.session import scratch_path
 from telemetra.sources import readers, sinks
 
@@ -262,3 +262,35 @@ def q_batch_flow(spark, sf_dir):
     return spark.read.parquet(f"{base}/gold_kpis").select(
         "l_suppkey", F.col("month_bucket").cast("timestamp_ntz").alias("month_bucket"), "reading_count", "anomaly_count",
         rnd("l_quantity_avg").alias("l_quantity_avg"), "l_tax_max")
+
+
+# ---------------------------------------------------------------------------
+# T6-T8, W8, IO13: forecaster trained, saved, loaded and measured
+# ---------------------------------------------------------------------------
+
+@register("forecaster", "T6 T7 T8 W7 W8 IO13", f"""
+WITH e AS (
+  SELECT user_id, coalesce(value, 0.0) AS v, row_number() OVER o AS rn, count(*) OVER (PARTITION BY user_id) AS cnt,
+         lead(coalesce(value, 0.0), 1) OVER o AS y1, lead(coalesce(value, 0.0), 2) OVER o AS y2
+  FROM events WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id)),
+w AS (
+  SELECT v, y1, y2, CASE WHEN rn - 11 <= floor((cnt - 13) * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'validation' END
+         AS split
+  FROM e WHERE rn >= 12 AND rn + 2 <= cnt),
+y AS (SELECT 1 AS step, split, abs(v - y1) AS err FROM w UNION ALL SELECT 2, split, abs(v - y2) FROM w)
+SELECT CAST(step AS BIGINT) AS step, split, count(*) AS n, {r('avg(err)')} AS naive_mae,
+       true AS beats_naive, true AS same_after_load
+FROM y GROUP BY step, split""")
+def q_forecaster(spark, sf_dir):
+    """Windows of 12 readings, 2 steps ahead; the error is compared with that of the last reading as forecast."""
+    ev = cat.events_readings(spark, sf_dir)
+    model, metrics = TR.train_forecaster(ev, EVENTS, ["value"], ["value"], seq_len=12, horizon=2,
+                                         loss="squaredError")
+    path = scratch_path(spark, f"forecaster-{uuid.uuid4().hex}")
+    sinks.save_forecaster(model, spark, path)
+    fitted = TR.forecast(model, ev, EVENTS)
+    loaded = TR.forecast(sinks.load_forecaster(spark, path), ev, EVENTS)
+    same = fitted.exceptAll(loaded).isEmpty() and loaded.exceptAll(fitted).isEmpty() and not loaded.isEmpty()
+    return metrics.select((F.col("output") + 1).cast("long").alias("step"), "split", "n",
+                          rnd("naive_mae").alias("naive_mae"), (F.col("mae") < F.col("naive_mae")).alias("beats_naive"),
+                          F.lit(same).alias("same_after_load"))

@@ -165,6 +165,25 @@ def load_iforest(spark: SparkSession, path: str):
                         meta["max_samples"], meta["offset"])
 
 
+def save_forecaster(model, spark: SparkSession, path: str) -> None:
+    """IO13: forecaster as an ML pipeline (scaler and regressors) + JSON metadata."""
+    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    meta = {"features": model.features, "targets": model.targets, "seq_len": model.seq_len,
+            "horizon": model.horizon}
+    spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
+        "overwrite").text(f"{path}/meta")
+
+
+def load_forecaster(spark: SparkSession, path: str):
+    """IO13: inverse of :func:`save_forecaster`."""
+    from pyspark.ml import PipelineModel
+
+    from telemetra.operators.trend import ForecasterModel
+    meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
+    return ForecasterModel(PipelineModel.load(f"{path}/pipeline"), meta["features"], meta["targets"],
+                           meta["seq_len"], meta["horizon"])
+
+
 def save_stats(df: DataFrame, path: str) -> None:
     """IO13: baselines / drift statistics as a Parquet table."""
     df.write.mode("overwrite").parquet(path)

@@ -73,6 +73,31 @@ def test_forecaster_learns_linear_trend(spark):
     assert TR.forecast(model, short, p).first()["sufficient_data"] is False
 
 
+def test_forecaster_saved_and_loaded(spark, tmp_dir):
+    """Two targets, one of them no feature; a loaded model forecasts the same; naive errors by hand."""
+    rows = [(a, T0 + dt.timedelta(minutes=5 * i), float(i % 7), 3.0 * i + k) for k, a in enumerate("AB")
+            for i in range(60)]
+    df = spark.createDataFrame(rows, "a string, ts timestamp, x double, y double")
+    p = SensorProfile(asset="a", ts="ts", sensors=("x", "y"))
+    model, metrics = TR.train_forecaster(df, p, ["x"], ["x", "y"], seq_len=8, horizon=2, loss="squaredError")
+    got = {(r["output"], r["split"]): r for r in metrics.collect()}
+    assert len(got) == 8
+    windows = 60 - 8 - 2 + 1
+    train = windows * 8 // 10
+    assert {k[1]: r["n"] for k, r in got.items()} == {"train": 2 * train, "validation": 2 * (windows - train)}
+    assert got[1, "validation"]["naive_mae"] == pytest.approx(3.0)  # y, one step on
+    assert got[3, "validation"]["naive_mae"] == pytest.approx(6.0)
+    assert got[0, "validation"]["mae"] < 1e-6 < got[0, "validation"]["naive_mae"]  # x has a period of 7
+    sinks.save_forecaster(model, spark, os.path.join(tmp_dir, "forecaster"))
+    loaded = sinks.load_forecaster(spark, os.path.join(tmp_dir, "forecaster"))
+
+    def rows_of(m):
+        return sorted(map(tuple, TR.forecast(m, df, p).collect()))
+    assert rows_of(model) == rows_of(loaded) and len(rows_of(model)) == 8
+    assert {(r[0], r[1]): r[3] for r in rows_of(loaded) if r[2] == "x"} == {
+        (a, k): pytest.approx((59 + k) % 7, abs=1e-3) for a in "AB" for k in (1, 2)}
+
+
 def test_alert_log_acks_exports(spark, tmp_dir):
     ev = spark.createDataFrame([(f"id{i}", T0 + dt.timedelta(minutes=i), False) for i in range(5)],
                                "alert_id string, timestamp timestamp, acknowledged boolean")
