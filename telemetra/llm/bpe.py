@@ -23,7 +23,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from telemetra.llm.common import Remembered, forget_others
+from telemetra.llm.common import Remembered, forget_others, forgetting
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -200,7 +200,7 @@ class Tokenizer:
         key, shared = self.key, self.shared
 
         def codec() -> Codec:
-            """A worker makes its codec once and keeps it, with what it remembers, between tasks."""
+            """A worker makes its codec once and keeps it between tasks."""
             if key not in _codecs:
                 _codecs.clear()
                 _codecs[key] = Codec(*shared.value)
@@ -232,7 +232,7 @@ class Tokenizer:
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "ids"])
 
         return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")) \
-            .mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+            .mapInArrow(forgetting(run), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
     def decode(self, encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
         """``encoded`` columns ``id_col, ids_col`` and ``decoded`` (the bytes of the ids).
@@ -255,5 +255,5 @@ class Tokenizer:
                     [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "ids", "decoded"])
 
         return encoded.select(encoded[id_col].alias("id"), encoded[ids_col].alias("ids")) \
-            .mapInArrow(run, f"id {kind}, ids array<int>, decoded binary") \
+            .mapInArrow(forgetting(run), f"id {kind}, ids array<int>, decoded binary") \
             .withColumnsRenamed({"id": id_col, "ids": ids_col})

@@ -118,6 +118,19 @@ def forget_others(*kept: "Remembered") -> None:
     pa.default_memory_pool().release_unused()
 
 
+def forgetting(run):
+    """``run`` of an Arrow map; when its task ends, its worker drops what it remembered and Arrow's unused memory.
+
+    Workers stay, also those that later stages have no use for.
+    """
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            forget_others()
+    return task
+
+
 class Remembered(dict):
     """Results of a function of a string; those not used for long are forgotten."""
 

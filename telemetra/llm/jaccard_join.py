@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import BROADCAST_IDS, Remembered, forget_others, stored, without
+from telemetra.llm.common import BROADCAST_IDS, Remembered, forget_others, forgetting, stored, without
 from telemetra.llm.components import components
 
 WORDS = 5
@@ -140,7 +140,7 @@ def verified(docs: DataFrame, members: DataFrame, queries: DataFrame, id_col: st
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "tokens"])
 
     sets = stored(_only(docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")),
-                        "key", ids).mapInArrow(full, "id long, tokens binary"), "jaccard-sets")
+                        "key", ids).mapInArrow(forgetting(full), "id long, tokens binary"), "jaccard-sets")
 
     def compare(batches):
         at, own = None, None
@@ -182,7 +182,7 @@ def _index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                                  ["token", "doc", "n", "pos"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")) \
-        .filter("key is not null").mapInArrow(prefixes, "token long, doc long, n int, pos int")
+        .filter("key is not null").mapInArrow(forgetting(prefixes), "token long, doc long, n int, pos int")
     return rows.withColumn("holders", F.count(F.lit(1)).over(Window.partitionBy("token"))).filter("holders > 1")
 
 
@@ -291,15 +291,18 @@ def row_components(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_c
     def summaries(batches):
         forget_others(_word_hash)
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(2)]
+            sizes, digests = [], []
+            for text in batch.column(2):
+                s = shingles(text.as_py())
+                sizes.append(len(s))
+                digests.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary())],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
                 ["row", "id", "n", "sig"])
 
     every = stored(docs.select(F.col(row_col).alias("row"), F.col(id_col).cast("long").alias("id"),
                                F.col(text_col).alias("text"))
-                   .mapInArrow(summaries, "row long, id long, n long, sig binary"), "jaccard-docs")
+                   .mapInArrow(forgetting(summaries), "row long, id long, n long, sig binary"), "jaccard-docs")
     classes = stored(every.filter("n > 0").groupBy("sig").agg(F.min("row").alias("rep")), "jaccard-classes")
     member = stored(every.join(classes, "sig", "left").select("row", "id", "n", F.coalesce("rep", "row").alias("rep")),
                     "jaccard-members")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from telemetra.llm.common import forget_others
+from telemetra.llm.common import forget_others, forgetting
 
 BUCKETS = 1 << 15
 #: Rows drawn per row of the bound, before the bound is applied.
@@ -258,5 +258,5 @@ def predict_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
                 [batch.column(0), pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())], ["row", "lang_pred", "score"])
 
-    return given.mapInArrow(run, StructType([
+    return given.mapInArrow(forgetting(run), StructType([
         *given.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
