@@ -464,6 +464,41 @@ def _events_stream(spark, sf_dir):
     return run, STR.stream_readings(spark, src, schema, max_files_per_trigger=1, ts="ts")
 
 
+def _late_events_stream(spark, sf_dir):
+    """``events`` as increments of consecutive days, a folder each; some rows come one increment late, and
+    some come again with the next."""
+    import uuid
+
+    from telemetra.session import scratch_path
+    from telemetra.streaming import streams as STR
+
+    run = uuid.uuid4().hex[:12]
+    src = scratch_path(spark, f"stream_late_{run}")
+    ev = cat.events_readings(spark, sf_dir).select(
+        "user_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").cast("long").alias("event_id"),
+        "event_type", F.col("value").cast("double").alias("value"))
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01"))
+    first, last = ev.agg(F.min(day), F.max(day)).first()
+    step = ((last or 0) - (first or 0)) // STREAM_FILES + 1
+    draw = F.pmod(F.xxhash64("event_id"), F.lit(10))
+    when = F.floor((day - F.lit(first or 0)) / step).cast("int")
+    sent = ev.withColumn("increment", F.explode(
+        F.when(draw == 0, F.array(when + 1)).when(draw == 1, F.array(when, when + 1)).otherwise(F.array(when))))
+    for i in range(STREAM_FILES + 1):
+        sent.filter(F.col("increment") == i).drop("increment").write.mode("append").parquet(f"{src}/increment={i}")
+    files = STR.stream_readings(spark, f"{src}/*", ev.schema,
+                                max_files_per_trigger=spark.sparkContext.defaultParallelism)
+    return run, files, f"{2 * step + 1} days"
+
+
+def _upserted(spark, df, name, keys, version=None):
+    from telemetra.session import scratch_path
+    from telemetra.sources import sinks
+    path = scratch_path(spark, f"stream_up_{name}")
+    sinks.start_upsert_sink(df, path, scratch_path(spark, f"stream_uck_{name}"), available_now=True).awaitTermination()
+    return sinks.read_upserts(spark, path, keys, version)
+
+
 def _run_to_parquet(spark, df, name):
     from telemetra.session import scratch_path
     sink = scratch_path(spark, f"stream_out_{name}")
@@ -494,6 +529,46 @@ def q_stream_kpis(spark, sf_dir):
                       "value_min", "value_max", rnd("value_std").alias("value_std"))
 
 
+@register("stream_kpis_late", "IO9 X2 X5", """SELECT user_id, date_trunc('day', ts) AS window_start,
+  count(*) AS reading_count, (floor(avg(value) * 16384.0 + 0.5) / 16384.0) AS value_avg, min(value) AS value_min,
+  max(value) AS value_max, (floor(stddev_samp(value) * 16384.0 + 0.5) / 16384.0) AS value_std
+FROM events GROUP BY 1, 2""")
+def q_stream_kpis_late(spark, sf_dir):
+    """Late and repeated readings: repeats are dropped across batches, every window comes out, the last ones too."""
+    from telemetra.streaming import streams as STR
+
+    run, stream, delay = _late_events_stream(spark, sf_dir)
+    once = STR.dedup_stream(stream, ["user_id", "ts", "event_id"], "ts", delay)
+    kpis = STR.kpi_stream(once, "user_id", "ts", ["value"], window="1 day", delay=None)
+    out = _upserted(spark, kpis, f"kpis_{run}", ["user_id", "window_start"])
+    return out.select("user_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("reading_count").cast("long"), rnd("value_avg").alias("value_avg"),
+                      "value_min", "value_max", rnd("value_std").alias("value_std"))
+
+
+@register("stream_zscores", "IO9 W2 W4 X2", """WITH w AS (
+  SELECT user_id, ts, event_id, value, value - lag(value) OVER o AS value_rate_of_change, avg(value) OVER f AS m,
+    stddev_samp(value) OVER f AS sd FROM events
+  WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id),
+    f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)),
+z AS (SELECT *, CASE WHEN sd > 0 THEN (value - m) / sd ELSE 0.0 END AS z FROM w)
+SELECT user_id, ts, event_id, value,
+  (floor(value_rate_of_change * 16384.0 + 0.5) / 16384.0) AS value_rate_of_change,
+  (floor(z * 16384.0 + 0.5) / 16384.0) AS value_zscore, CAST(abs(z) > 2 AS INT) AS value_anomaly,
+  abs(z) > 2 AS is_anomaly FROM z""")
+def q_stream_zscores(spark, sf_dir):
+    """Rolling z-scores kept in state, over late and repeated readings, equal the batch frames."""
+    from telemetra.streaming import streams as STR
+
+    run, stream, delay = _late_events_stream(spark, sf_dir)
+    rows = STR.feature_stream(stream, "user_id", "ts", "event_id", ["value"], lookback=20, sigma=2.0,
+                              min_sensors=1, delay=delay)
+    out = _upserted(spark, rows, f"zscores_{run}", ["user_id", "ts", "event_id"], "version")
+    return out.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "value",
+                      rnd("value_rate_of_change").alias("value_rate_of_change"),
+                      rnd("value_zscore").alias("value_zscore"), "value_anomaly", "is_anomaly")
+
+
 def _stream_cooldown_sql():
     return """WITH RECURSIVE c AS (
   SELECT CAST(user_id AS VARCHAR) AS k, ts, event_id, value FROM events WHERE value >= 100),

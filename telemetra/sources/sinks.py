@@ -105,6 +105,29 @@ def start_ledger_sink(df: DataFrame, path: str, checkpoint: str, name: str,
     return (w.trigger(availableNow=True) if available_now else w).start()
 
 
+def start_upsert_sink(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
+    """IO9: update-mode stream into a folder per epoch; an epoch that is run again replaces its folder.
+
+    Read with :func:`read_upserts`.
+    """
+    def put(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    w = df.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w).start()
+
+
+def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], version: str | None = None) -> DataFrame:
+    """The last row of every key: of its last epoch, and there of the greatest ``version``.
+
+    An aggregation with map-side combine; null keys are keys like others.
+    """
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (*keys, "epoch", version)]
+    last = F.struct("epoch", version) if version else F.col("epoch")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), last).alias("_last")).select(*keys, "_last.*")
+
+
 def write_overwrite(df: DataFrame, path: str, partitions: Sequence[str] = (),
                     cluster_by: Sequence[str] = (), max_records_per_file: int | None = None) -> None:
     """IO8: overwrite with the new schema (Parquet replaces the files).

@@ -110,3 +110,91 @@ def test_read_csv_readings_renames_headers(spark, tmp_dir):
     df = read_csv_readings(spark, path, SERVICE_CSV_RENAMES)
     assert df.columns == list(SERVICE_CSV_RENAMES.values())
     assert df.count() == 2 and df.agg(F.sum("fault")).first()[0] == 1
+
+
+def late_files(base, n_files=6, per=60, seed=5):
+    """Rows of three assets (one null) with missing and equal readings; some a file late, some repeated."""
+    rng = random.Random(seed)
+    os.makedirs(base, exist_ok=True)
+    sent, rows = [[] for _ in range(n_files + 1)], []
+    for f in range(n_files):
+        for i in range(per):
+            ts = T0 + dt.timedelta(minutes=5 * (f * per + i // 2))
+            asset = rng.choice(["A", "B", None])
+            x = None if rng.random() < 0.1 else (500.0 if asset == "B" and f < 2 else round(rng.gauss(500, 30), 2))
+            r = (asset, ts, f * per + i, x)
+            rows.append(r)
+            draw = rng.random()
+            for at in ([f + 1] if draw < 0.2 else [f, f, f + 1] if draw < 0.4 else [f]):
+                sent[at].append(r)
+    for f, chunk in enumerate(sent):
+        rng.shuffle(chunk)
+        pq.write_table(pa.table({
+            "asset": pa.array([r[0] for r in chunk], pa.string()),
+            "ts": pa.array([r[1] for r in chunk], pa.timestamp("us", "UTC")),
+            "eid": pa.array([r[2] for r in chunk], pa.int64()), "x": pa.array([r[3] for r in chunk], pa.float64())}),
+            os.path.join(base, f"part-{f:03d}.parquet"))
+        os.utime(os.path.join(base, f"part-{f:03d}.parquet"), (1_700_000_000 + f, 1_700_000_000 + f))
+    return rows
+
+
+LATE = T.StructType([T.StructField("asset", T.StringType()), T.StructField("ts", T.TimestampType()),
+                     T.StructField("eid", T.LongType()), T.StructField("x", T.DoubleType())])
+
+
+def test_feature_stream_equals_batch_frames(spark, tmp_dir):
+    from pyspark.sql import Window
+
+    src = os.path.join(tmp_dir, "in")
+    rows = late_files(src)
+    s = ST.stream_readings(spark, src, LATE, max_files_per_trigger=1)
+    out = ST.feature_stream(s, "asset", "ts", "eid", ["x"], lookback=12, sigma=1.5, min_sensors=1, delay="1 day")
+    path = os.path.join(tmp_dir, "out")
+    q = sinks.start_upsert_sink(out, path, os.path.join(tmp_dir, "ck"), available_now=True)
+    q.awaitTermination()
+    assert len([d for d in os.listdir(path) if d.startswith("epoch=")]) >= 7  # one per file
+    got = {r["eid"]: r for r in sinks.read_upserts(spark, path, ["asset", "ts", "eid"], "version").collect()}
+    o = Window.partitionBy("asset").orderBy("ts", "eid")
+    w = o.rowsBetween(-12, 0)
+    want = spark.createDataFrame(rows, LATE).select(
+        "asset", "eid", "x", (F.col("x") - F.lag("x").over(o)).alias("rate"), F.when(
+            F.stddev_samp("x").over(w) > 0, (F.col("x") - F.avg("x").over(w)) / F.stddev_samp("x").over(w))
+        .otherwise(0.0).alias("z")).collect()
+    assert len(got) == len(want) == len(rows)
+    for r in want:
+        g = got[r["eid"]]
+        assert g["asset"] == r["asset"] and g["x"] == r["x"]
+        for name, value in (("x_rate_of_change", r["rate"]), ("x_zscore", r["z"])):
+            assert g[name] == (None if value is None else pytest.approx(value, abs=1e-9)), (name, r, g)
+        assert g["is_anomaly"] == (r["z"] is not None and abs(r["z"]) > 1.5)
+
+
+def test_feature_stream_empty(spark, tmp_dir):
+    src, path = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    spark.createDataFrame([], LATE).coalesce(1).write.parquet(src)
+    out = ST.feature_stream(ST.stream_readings(spark, src, LATE), "asset", "ts", "eid", ["x"])
+    sinks.start_upsert_sink(out, path, os.path.join(tmp_dir, "ck"), available_now=True).awaitTermination()
+    if os.path.exists(path):
+        assert sinks.read_upserts(spark, path, ["asset", "ts", "eid"], "version").count() == 0
+
+
+def test_kpi_stream_with_late_and_repeated_rows(spark, tmp_dir):
+    src, path = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    rows = late_files(src, seed=6)
+    s = ST.dedup_stream(ST.stream_readings(spark, src, LATE, max_files_per_trigger=1), ["asset", "ts", "eid"], "ts",
+                        "1 day")
+    out = ST.kpi_stream(s, "asset", "ts", ["x"], "1 hour", delay=None)
+    sinks.start_upsert_sink(out, path, os.path.join(tmp_dir, "ck"), available_now=True).awaitTermination()
+    got = {(r["asset"], r["window_start"]): (r["reading_count"], r["x_max"])
+           for r in sinks.read_upserts(spark, path, ["asset", "window_start"]).collect()}
+    want = {(r["asset"], r["w"]["start"]): (r["n"], r["m"]) for r in spark.createDataFrame(rows, LATE).groupBy(
+        "asset", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.max("x").alias("m")).collect()}
+    assert got == want
+
+
+def test_alert_stream_without_cooldown_fires_every_row(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    rows = write_files(src, n_files=2, per=40, seed=4)
+    s = ST.stream_readings(spark, src, SCHEMA, max_files_per_trigger=1, ts="ts")
+    out = run_to_memory(ST.alert_stream(s, ["asset"], "ts", "eid", "x", cooldown_minutes=0), "alerts_zero")
+    assert sorted(r["event_id"] for r in out.collect()) == sorted(r[2] for r in rows)
