@@ -13,17 +13,18 @@ hash order for all its pairs.
 
 *Groups.*  Every token points to one of its holders, the one whose tokens are
 the most widely held (the original of a cluster of edited copies).  Documents
-are tried against the one that they point to, and verified links make the first
-components.  A group is the documents of one component that point to the same one.
-
-*Matrix.*  For every component, and for every group, the union of its members'
-prefix tokens is formed, one row per token and component or group.  A document
-is a query against larger components, never its own: the number of its prefix
-tokens in a union bounds its overlap with any member.  Components that the
-bound admits are looked at group by group, and only groups that it admits again
-are opened: the query's full set is sent to each part of the group and compared
-with the members there.  So the documents of one cluster, which the first links
-have put into one component, do not meet each other again.
+that point to the same one are a group; each is tried against it, and verified
+links make the first components.
+
+*Matrix.*  For every group the union of its members' prefix tokens is stored,
+one row per token and group.  A document is a query against larger groups:
+the number of its prefix tokens in a group's union bounds its overlap with any
+member, and only groups that the bound admits are opened: the query's full set
+is sent to each part of the group and compared with the members there that are
+not yet in its component.  Within a group the same is done for the members
+outside its main component.  Documents that keep the hash order are taken
+together by a common frequent token, and every document is a query against
+these groups.
 
 Neither copies nor groups are expanded into pairs, and nothing is capped or
 sampled: the result is exact (up to 64-bit hashes).
@@ -48,8 +49,8 @@ NUM, DEN = 3, 4
 SLACK, SLACK_PERCENT = 64, 3
 #: A token with more holders goes to the end of the order (a matter of cost, not of the result).
 FREQUENT = 64
-#: Documents that are tried against one document in a part.
-TRIED = 1024
+#: Parts among which the tries against one document are dealt.
+SALTS = 16
 #: Members of a group that are held together when it is opened.
 PART = 256
 
@@ -194,29 +195,33 @@ def _lengths(n):
 
 
 def _ordered(index: DataFrame, groups: DataFrame) -> DataFrame:
-    """``token, doc, n, grp, comp, members, plain, late, fits``: which tokens are in the prefix of which order.
+    """``token, doc, n, grp, members, plain, late, fits, kin``: which tokens are in the prefix of which order.
 
     ``late``: in the prefix of the order with frequent tokens last; only where
     the stored tokens reach that far (``fits``).  ``plain``: in the prefix of
     the hash order.  A pair is found in the late order if both fit, else in
-    the plain order.  A token is frequent when many components hold it; tokens
-    that a single component holds have done their work.
+    the plain order.  A token is frequent when many groups hold it; tokens
+    that a single component holds have done their work.  ``kin``: a document
+    that does not fit consists of common passages in large part; those whose
+    least hashed frequent token is the same are taken together.
     """
     by_token = Window.partitionBy("token")
     held = index.join(groups.select("doc", "grp", "comp", "members"), "doc") \
-        .withColumn("nth", F.dense_rank().over(by_token.orderBy("comp"))) \
-        .withColumn("comps", F.max("nth").over(by_token)).filter("comps > 1")
+        .withColumn("nth", F.dense_rank().over(by_token.orderBy("grp"))) \
+        .withColumn("groups", F.max("nth").over(by_token)) \
+        .withColumn("open", F.min("comp").over(by_token) != F.max("comp").over(by_token)).filter("open")
     per_doc = Window.partitionBy("doc")
     p, length = _lengths(F.col("n"))
-    marked = held.withColumn("often", F.when(F.col("comps") > FREQUENT, 1).otherwise(0)) \
+    marked = held.withColumn("often", F.when(F.col("groups") > FREQUENT, 1).otherwise(0)) \
         .withColumn("earlier", F.coalesce(F.sum("often").over(
             per_doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
         .withColumn("seldom", length - F.sum("often").over(per_doc)) \
+        .withColumn("kin", F.min(F.when(F.col("often") == 1, F.xxhash64("token"))).over(per_doc)) \
         .withColumn("p", p).withColumn("whole", length == F.col("n"))
     rank = F.when(F.col("often") == 1, F.when(F.col("whole"), F.col("seldom") + F.col("earlier"))) \
         .otherwise(F.col("pos") - F.col("earlier"))
     return marked.withColumn("fits", F.col("whole") | (F.col("seldom") >= F.col("p"))).select(
-        "token", "doc", "n", "grp", "comp", "members", "fits", (F.col("pos") < F.col("p")).alias("plain"),
+        "token", "doc", "n", "grp", "members", "fits", "kin", (F.col("pos") < F.col("p")).alias("plain"),
         F.coalesce(F.col("fits") & (rank < F.col("p")), F.lit(False)).alias("late")).filter("plain or late")
 
 
@@ -241,20 +246,13 @@ def _tries(index: DataFrame) -> DataFrame:
     counted = listed.select("token", "doc", "n").join(heads.hint("merge"), "token") \
         .filter((F.col("doc") != F.col("head")) & _close("n", "head_n")) \
         .groupBy("doc", "head", "n").agg(F.count(F.lit(1)).alias("c")).filter("8 * c >= n")
-    tries = stored(counted.groupBy("doc").agg(F.max(F.struct("c", "head")).alias("m"))
-                   .select(F.col("m.head").alias("grp"), F.col("doc").alias("id")), "jaccard-pointed")
-    parts = F.ceil(F.col("k") / TRIED).cast("int")
-    return tries.join(tries.groupBy("grp").agg(F.count(F.lit(1)).alias("k")), "grp").select(
-        "grp", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), "id")
+    return counted.groupBy("doc").agg(F.max(F.struct("c", "head")).alias("m")).select(
+        F.col("m.head").alias("grp"), F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int").alias("part"),
+        F.col("doc").alias("id"))
 
 
-#: Queries, members: which orders find a pair (see :func:`_ordered`).
-_ORDERS = (("late and fits", "late and fits"), ("plain and fits", "plain and not fits"),
-           ("plain and not fits", "plain"))
-
-
-def _bounded(hits: DataFrame, *unit: str) -> DataFrame:
-    """``doc, *unit``: the queries and units (components or groups) that the bound admits.
+def _admitted(hits: DataFrame, unit: str) -> DataFrame:
+    """``doc, unit``: the queries and units that the bound admits.
 
     Of a pair with sizes x and y, the overlap is at most the common prefix
     tokens plus what either set has beyond its prefix, so these must number
@@ -267,37 +265,28 @@ def _bounded(hits: DataFrame, *unit: str) -> DataFrame:
         return F.ceil(NUM * (n + y) / (NUM + DEN)) - most + 1
 
     found = hits.filter((DEN * F.col("high") >= NUM * F.col("n")) & (DEN * F.col("n") >= NUM * F.col("low"))) \
-        .groupBy("doc", "n", *unit).agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("low"),
-                                        F.max("high").alias("high"))
+        .groupBy("doc", "n", unit).agg(F.count(F.lit(1)).alias("c"), F.min("low").alias("low"),
+                                       F.max("high").alias("high"))
     low = F.greatest("low", F.ceil(NUM * F.col("n") / DEN))
     high = F.least("high", F.floor(DEN * F.col("n") / NUM))
     # one token less than the bound, since the ends are rounded
-    return found.filter((low <= high) & (F.col("c") >= F.least(need(low), need(high)) - 1)).select("doc", *unit)
-
-
-def _qualifying(rows: DataFrame) -> DataFrame:
-    """``doc, grp``: queries and the groups of larger components that their bound admits."""
-    union = [F.min("n").alias("low"), F.max("n").alias("high")]
-
-    def components_of(order):
-        queries, condition = _ORDERS[order]
-        matrix = rows.filter(condition).groupBy("token", F.col("comp").alias("other")).agg(
-            *union, F.max("members").alias("others"))
-        hits = rows.filter(queries).join(matrix, "token").filter(
-            F.struct("others", "other") > F.struct("members", "comp"))
-        return _bounded(hits, "other").withColumn("order", F.lit(order))
+    return found.filter((low <= high) & (F.col("c") >= F.least(need(low), need(high)) - 1)).select("doc", unit)
 
-    admitted = components_of(0).union(components_of(1)).union(components_of(2))
-    admitted = stored(admitted, "jaccard-admitted")
 
-    def groups_of(order):
-        queries, condition = _ORDERS[order]
-        asked = admitted.filter(F.col("order") == order).select("doc", "other")
-        wanted = rows.filter(queries).select("doc", "token", "n").join(asked, "doc")
-        matrix = rows.filter(condition).groupBy("token", F.col("comp").alias("other"), "grp").agg(*union)
-        return _bounded(wanted.join(matrix, ["token", "other"]), "grp")
+def _qualifying(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two tables of queries and what their bound admits: ``doc, grp`` and ``doc, kin``.
 
-    return groups_of(0).union(groups_of(1)).union(groups_of(2)).distinct()
+    Documents that fit are queries against larger groups than their own, by
+    the members that fit.  Pairs of which one document does not fit are found
+    by all documents as queries against the kins of those that do not.
+    """
+    union = [F.min("n").alias("low"), F.max("n").alias("high")]
+    late = rows.filter("late and fits")
+    by_group = late.groupBy("token", F.col("grp").alias("g")).agg(*union, F.max("members").alias("g_members"))
+    by_kin = rows.filter("plain and not fits").groupBy("token", F.col("kin").alias("k")).agg(*union)
+    larger = late.join(by_group, "token").filter(F.struct("g_members", "g") > F.struct("members", "grp"))
+    return (_admitted(larger, "g").withColumnRenamed("g", "grp"),
+            _admitted(rows.filter("plain").join(by_kin, "token"), "k").withColumnRenamed("k", "kin"))
 
 
 def row_components(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -339,21 +328,31 @@ def row_components(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_c
         .join(near, "doc", "left").select("doc", F.coalesce("grp", "doc").alias("grp"),
                                           F.coalesce("comp", "doc").alias("comp"))
     placed = stored(placed, "jaccard-placed")
-    # a group is what points to the same document and is in one component; its least document names it
-    sizes = stored(placed.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("k"), F.min("doc").alias("least")),
-                   "jaccard-sizes")
-    wholes = sizes.groupBy("comp").agg(F.sum("k").alias("members"))
-    groups = stored(placed.join(sizes.join(wholes, "comp"), ["grp", "comp"])
-                    .select("doc", F.col("least").alias("grp"), "comp", "members"), "jaccard-groups")
+    parted = placed.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("grp").agg(
+        F.sum("k").alias("members"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("m"))
+    sizes = stored(parted.select("grp", "members", "comps", F.col("m.comp").alias("main")), "jaccard-sizes")
+    groups = stored(placed.join(sizes, "grp"), "jaccard-groups")
 
+    # a group is opened to queries from outside, and to its own members outside its main component
     rows = stored(_ordered(index, groups), "jaccard-prefixes")
-    asked = stored(_qualifying(rows).join(placed.select("doc", "comp"), "doc")
-                   .join(sizes.select(F.col("least").alias("grp"), "k"), "grp"), "jaccard-asked")
-    parts = F.ceil(F.col("k") / PART).cast("int")
-    queries = asked.select("grp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
+    by_group, by_kin = _qualifying(rows)
+    asked = by_group.join(placed.select("doc", "comp"), "doc").select("doc", "comp", "grp") \
+        .union(groups.filter("comps > 1 and comp <> main").select("doc", "comp", "grp"))
+    # kins are opened likewise; a group has a number, a kin the hash of a token
+    kin = stored(rows.filter("not fits").select("doc", "kin").distinct().join(placed.select("doc", "comp"), "doc"),
+                 "jaccard-kin")
+    openable = stored(groups.select(F.lit(False).alias("kin"), "grp", "doc", "comp").union(
+        kin.select(F.lit(True), "kin", "doc", "comp")), "jaccard-openable")
+    held = openable.groupBy("kin", "grp").agg(F.count(F.lit(1)).alias("members"))
+    asked = stored(asked.select(F.lit(False).alias("kin"), "grp", "doc", "comp").union(
+        by_kin.join(placed.select("doc", "comp"), "doc").select(F.lit(True), "kin", "doc", "comp"))
+        .join(held, ["kin", "grp"]), "jaccard-asked")
+    parts, name = F.ceil(F.col("members") / PART).cast("int"), F.struct("kin", "grp").alias("grp")
+    queries = asked.select(name, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
                            F.col("doc").alias("id"), "comp")
-    members = groups.join(asked.select("grp", "k").distinct(), "grp").select(
-        "grp", F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), F.col("doc").alias("id"), "comp")
+    opened = openable.join(asked.select("kin", "grp", "members").distinct(), ["kin", "grp"])
+    members = opened.select(name, F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"),
+                            F.col("doc").alias("id"), "comp")
     more = stored(verified(docs, members, queries, row_col, text_col), "jaccard-links")
     final = stored(components(links.union(more)), "jaccard-components")
     return stored(member.join(final, member["rep"] == final["node"], "left").select(
