@@ -282,6 +282,19 @@ def q_sequences(spark, sf_dir):
                       F.col("y")[0].alias("y_first"))
 
 
+@register("sequence_split", "W8 W7", """WITH t AS (
+  SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn,
+    count(*) OVER (PARTITION BY user_id) AS cnt FROM events)
+SELECT user_id, rn AS end_rn, rn - 5 AS seq_idx, cnt - 8 AS n_seq,
+  CASE WHEN rn - 5 <= floor((cnt - 8) * 0.8) THEN 'train' ELSE 'validation' END AS split
+FROM t WHERE rn >= 6 AND rn + 3 <= cnt""")
+def q_sequence_split(spark, sf_dir):
+    """The first four fifths of each asset's training sequences train, the rest validate."""
+    ev = cat.events_readings(spark, sf_dir)
+    seqs = FT.sequences(ev, EVENTS.with_(block_rows=16), ["value"], ["value"], seq_len=6, horizon=3)
+    return FT.split_sequences(seqs).select("user_id", "end_rn", "seq_idx", "n_seq", "split")
+
+
 @register("chronological_split", "W8", """SELECT event_id, user_id,
   CASE WHEN row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
             <= floor(count(*) OVER (PARTITION BY user_id) * 0.8) THEN 'train' ELSE 'validation' END AS split

@@ -236,6 +236,27 @@ def q_iforest_scores(spark, sf_dir):
                          rnd("anomaly_score").alias("anomaly_score"))
 
 
+@register("iforest_checks", "M1 M2 M4", """SELECT 'flagged share' AS what, count(*) > 0 AS passed FROM lineitem
+UNION ALL SELECT 'planted copies', count(*) > 0 FROM lineitem""")
+def q_iforest_checks(spark, sf_dir):
+    """What a forest must do whatever its draws: flag the share asked for (5 %, give or take 1.5) and put a copy of
+    every row that lies eight standard deviations off in each reading before the rows themselves (AUC over 0.95)."""
+    li = cat.lineitem_readings(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", *S)
+    model = AN.train_iforest(li, S, n_trees=100, max_samples=256, contamination=0.05, seed=42,
+                             key_cols=["l_orderkey", "l_linenumber", "l_partkey"])
+    off = li.withColumns({s: F.col(s) + 8.0 * sd for s, sd in zip(S, model.stds)})
+    both = li.withColumn("planted", F.lit(0)).union(off.withColumn("planted", F.lit(1)))
+    rows = F.count(F.lit(1)).alias("rows")
+    flagged = F.count_if(F.col("is_anomaly"))
+    share = AN.score_iforest(li, model, normalise=None).agg(rows, flagged.alias("flagged")).select(
+        F.lit("flagged share").alias("what"),
+        F.col("flagged").between(0.035 * F.col("rows"), 0.065 * F.col("rows")).alias("passed"))
+    scored = AN.score_iforest(both, model, normalise=None).withColumn("s", -F.col("score_samples"))
+    found = AN.evaluate_anomaly(scored, "planted", "is_anomaly", "s").select(
+        F.lit("planted copies").alias("what"), (F.col("auc_roc") > 0.95).alias("passed"))
+    return share.union(found)
+
+
 def _s10_sql_parts():
     zs = [_z_sql(s) for s in S]
     avg = "(" + " + ".join(zs) + f") / {len(zs)}"
