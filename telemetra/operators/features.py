@@ -25,6 +25,11 @@ def _framed(df: DataFrame, profile: SensorProfile, lookback: int, lookahead: int
     return seq.blocked(df, profile, lookback, lookahead, strategy=strategy, block_rows=block_rows)
 
 
+def _carried(frame: DataFrame, keep_sequence: bool) -> DataFrame:
+    """The columns that go through the sliding aggregates."""
+    return frame if keep_sequence else frame.drop(seq.CNT)
+
+
 def _finish(df: DataFrame, keep_sequence: bool) -> DataFrame:
     out = seq.drop_halo(df).drop(seq.BLK, seq.BKEY)
     return out if keep_sequence else out.drop(seq.RN, seq.CNT)
@@ -38,7 +43,7 @@ def rolling_stats(df: DataFrame, profile: SensorProfile, sensors: Sequence[str]
     sensors = list(sensors or profile.sensors)
     frame = _framed(df, profile, max(windows), 0, strategy, block_rows)
     specs = [(f"{s}_rolling_{st}_{w}", s, w, st) for w in windows for s in sensors for st in stats]
-    out = seq.sliding_aggs(frame, profile, specs)
+    out = seq.sliding_aggs(_carried(frame, keep_sequence), profile, specs)
     return _finish(out, keep_sequence)
 
 
@@ -73,16 +78,17 @@ def zscore_flags(df: DataFrame, profile: SensorProfile, sensors: Sequence[str] |
     """
     sensors = list(sensors or profile.sensors)
     frame = _framed(df, profile, lookback, 0, strategy, block_rows)
-    out = _zscore_on_frame(frame, profile, sensors, lookback, sigma, min_sensors)
+    out = seq.sliding_aggs(_carried(frame, keep_sequence), profile, _zscore_specs(sensors, lookback))
+    out = _with_zscores(out, sensors, sigma, min_sensors)
     return _finish(out, keep_sequence)
 
 
-def _zscore_on_frame(frame: DataFrame, profile: SensorProfile, sensors: Sequence[str],
-                     lookback: int, sigma: float, min_sensors: int) -> DataFrame:
-    specs = []
-    for s in sensors:
-        specs += [(f"_m_{s}", s, lookback, "mean"), (f"_sd_{s}", s, lookback, "std")]
-    out = seq.sliding_aggs(frame, profile, specs)
+def _zscore_specs(sensors: Sequence[str], lookback: int) -> list[tuple[str, str, int, str]]:
+    return [x for s in sensors for x in ((f"_m_{s}", s, lookback, "mean"), (f"_sd_{s}", s, lookback, "std"))]
+
+
+def _with_zscores(out: DataFrame, sensors: Sequence[str], sigma: float, min_sensors: int) -> DataFrame:
+    """Z-scores and flags from the columns of :func:`_zscore_specs`."""
     zcols: dict[str, Column] = {}
     for s in sensors:
         sd, m = F.col(f"_sd_{s}"), F.col(f"_m_{s}")
@@ -114,13 +120,19 @@ def silver_features(clean: DataFrame, profile: SensorProfile, windows: Sequence[
     """
     sensors = list(profile.sensors)
     frame = _framed(clean, profile, max(max(windows), lookback, 2), 0, strategy, block_rows)
+    frame = _carried(frame, keep_sequence=False)
     specs = [(f"{s}_rolling_{st}_{w}", s, w, st) for w in windows for s in sensors
              for st in ("mean", "std", "min", "max")]
-    out = seq.sliding_aggs(frame, profile, specs)
-    out = out.withColumns(_rate_cols(sensors, seq.ordered_window(profile)))
+    # lags first: they and the aggregates share one sort of the narrow rows
+    out = frame.withColumns(_rate_cols(sensors, seq.ordered_window(profile)))
+    rates = [c for c in out.columns if c not in frame.columns]
+    out = seq.sliding_aggs(out, profile, specs + _zscore_specs(sensors, lookback))
     if cross_roles is not None:
         out = out.withColumns(cross_sensor_columns(**cross_roles))
-    out = _zscore_on_frame(out, profile, sensors, lookback, sigma, min_sensors)
+    out = _with_zscores(out, sensors, sigma, min_sensors)
+    rolled = [name for name, *_ in specs]
+    out = out.select(*[c for c in frame.columns], *rolled, *rates,
+                     *[c for c in out.columns if c not in {*frame.columns, *rolled, *rates}])
     return _finish(out, keep_sequence=False)
 
 

@@ -22,23 +22,26 @@ This module numbers rows and cuts every asset into bounded blocks instead:
 ``strategy="direct"`` uses plain ``partitionBy(asset)`` windows and serves as
 the reference in tests.
 
-Sliding aggregates (``sliding_agg``) use the van Herk / Gil-Werman split:
-positions are cut into segments of ``w + 1`` rows, a frame ``[i-w, i]`` spans
-at most two segments, and is the combination of a suffix aggregate (running
-frame in descending order) at ``i-w`` and a prefix aggregate (running frame in
-ascending order) at ``i``.  Both are incremental frames, so the cost is O(n)
-instead of the O(n * w) of a sliding ``rowsBetween`` frame, and every partial
-sum covers at most ``w + 1`` rows, so rounding stays at the level of a direct
-frame.
+Sliding aggregates (``sliding_aggs``) use the van Herk / Gil-Werman split:
+the places of a block are cut into segments of ``w + 1`` rows, a frame
+``[i-w, i]`` spans at most two segments, and is the combination of a suffix
+aggregate (running in descending order) at ``i-w`` and a prefix aggregate
+(running in ascending order) at ``i``.  Both are incremental, so the cost is
+O(n) instead of the O(n * w) of a sliding ``rowsBetween`` frame, and every
+partial sum covers at most ``w + 1`` rows, so rounding stays at the level of a
+direct frame.  They are made block by block on Arrow columns: as windows they
+took a sort of ever wider rows for every frame length and direction.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from telemetra.profile import SensorProfile
-from telemetra.session import cut_lineage
+from telemetra.session import cut_lineage, written
 
 RN, CNT, BLK, HALO = "_rn", "_cnt", "_blk", "_halo"
 BKEY = "_bkey"  # (asset, block) as one value that is never null itself: windows and joins share it
@@ -129,16 +132,17 @@ def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -
 
     Input must carry ``_rn`` and ``_blk`` (no halo rows).  The local position
     inside each block plus the running count of earlier blocks gives the new
-    position; only a per-block count table is aggregated.
+    position; only a per-block count table is aggregated.  The rows are
+    written once: counting them must not run all that led to them again.
     """
     a = profile.asset
     if strategy == "direct":
         w = Window.partitionBy(a)
         return df.drop(CNT).withColumn(RN, F.row_number().over(w.orderBy(RN)).cast("long")) \
             .withColumn(CNT, F.count(F.lit(1)).over(w)).drop(BLK, BKEY)
-    local = df.withColumn(_LRN, F.row_number().over(
-        Window.partitionBy(BKEY).orderBy(RN)))
-    counts = df.groupBy(BKEY).agg(F.count(F.lit(1)).alias(_CC))
+    local = written(df.withColumn(_LRN, F.row_number().over(Window.partitionBy(BKEY).orderBy(RN))).drop(RN, CNT),
+                    "numbered")
+    counts = local.groupBy(BKEY).agg(F.count(F.lit(1)).alias(_CC))
     per_asset = Window.partitionBy(f"{BKEY}.a").orderBy(f"{BKEY}.b")
     offsets = counts.select(
         BKEY,
@@ -146,7 +150,7 @@ def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -
                    F.lit(0)).alias(_OFF),
         F.sum(_CC).over(Window.partitionBy(f"{BKEY}.a")).alias(CNT),
     )
-    out = local.drop(CNT).join(offsets, BKEY)
+    out = local.join(offsets, BKEY)
     return out.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
         _LRN, _OFF, BLK, BKEY)
 
@@ -195,6 +199,64 @@ def drop_halo(df: DataFrame) -> DataFrame:
     return df.filter(~F.col(HALO)).drop(HALO)
 
 
+def _over_frames(values: np.ndarray, w: int, step: np.ufunc, neutral) -> np.ndarray:
+    """``step`` over the last ``w + 1`` values of each place; one row per column."""
+    k, n = values.shape
+    segments = -(-n // (w + 1))
+    cells = np.full((k, segments * (w + 1)), neutral, dtype=values.dtype)
+    cells[:, :n] = values
+    cells = cells.reshape(k, segments, w + 1)
+    upto = step.accumulate(cells, axis=2).reshape(k, -1)[:, :n]
+    if n > w:
+        after = step.accumulate(cells[:, :, ::-1], axis=2)[:, :, ::-1].reshape(k, -1)[:, :n - w]
+        # a frame of one whole segment is the running value at its end, others begin in the segment before
+        two = np.arange(n - w) % (w + 1) != 0
+        upto[:, w:][:, two] = step(after[:, two], upto[:, w:][:, two])
+    return upto
+
+
+def _block_frames(columns: list, w: int, kinds: set[str]) -> dict[str, list]:
+    """``kinds`` of all frames of a block, per column; null where a frame has no value (std: two values)."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    given = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in columns])
+    # nulls are zeros here, and masked below
+    x = np.stack([pc.fill_null(c.cast(pa.float64(), safe=False), 0.0).to_numpy() for c in columns])
+    n = _over_frames(given.astype(np.int64), w, np.add, 0)
+    out: dict[str, list] = {}
+
+    def keep(kind: str, values: np.ndarray, least: int) -> None:
+        out[kind] = [pa.array(v, mask=m) for v, m in zip(values, n < least)]
+
+    with np.errstate(all="ignore"):
+        if kinds & {"min", "max", "std"}:
+            # NaN is above all others
+            lo = _over_frames(np.where(given, x, np.nan), w, np.fmin, np.nan)
+            hi = _over_frames(np.where(given, x, -np.inf), w, np.maximum, -np.inf)
+            keep("min", lo, 1)
+            keep("max", hi, 1)
+        if kinds & {"mean", "std"}:
+            # a shift by the block's mean keeps sums of squares well conditioned
+            known = given & np.isfinite(x)
+            shift = (np.where(known, x, 0.0).sum(axis=1) / np.maximum(known.sum(axis=1), 1))[:, None]
+            moved = np.where(given, x - shift, 0.0)
+            s = _over_frames(moved, w, np.add, 0.0)
+            keep("mean", shift + s / n, 1)
+        if "std" in kinds:
+            q = _over_frames(moved * moved, w, np.add, 0.0)
+            keep("std", np.where(lo == hi, 0.0, np.sqrt(np.maximum((q - s * s / n) / (n - 1), 0.0))), 2)
+    if kinds & {"min", "max"}:
+        for i, c in enumerate(columns):
+            if pa.types.is_integer(c.type):  # in their own numbers: doubles would round large ones
+                whole = pc.fill_null(c.cast(pa.int64()), 0).to_numpy()[None, :]
+                ends = np.iinfo(np.int64)
+                for kind, step, neutral in (("min", np.minimum, ends.max), ("max", np.maximum, ends.min)):
+                    over = _over_frames(np.where(given[i:i + 1], whole, neutral), w, step, neutral)
+                    out[kind][i] = pa.array(over[0], mask=n[i] < 1)
+    return out
+
+
 def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str, str, int, str]]
                  ) -> DataFrame:
     """Add sliding-frame aggregates over ``rowsBetween(-w, 0)`` in O(n).
@@ -206,105 +268,32 @@ def sliding_aggs(frame: DataFrame, profile: SensorProfile, specs: list[tuple[str
     the mean of their block before squares are summed; a frame whose values are all equal has
     standard deviation exactly 0, as its least and greatest value agree.
 
-    Plan shape per distinct w: one sort on (asset, block, segment, row)
-    shared by the prefix frames, segment totals, the block shift and the
-    lags; min/max add one descending pass for suffix extremes.
+    Plan shape: one sort of the frame's own columns by block, whatever the
+    number of aggregates; all of them are made block by block, so a task
+    holds the results of one block at a time.
     """
+    import pyarrow as pa
+
     by_w: dict[int, list[tuple[str, str, str]]] = {}
     for name, src, w, kind in specs:
+        if kind not in ("mean", "std", "min", "max"):
+            raise ValueError(f"unknown aggregate {kind!r}")
         by_w.setdefault(int(w), []).append((name, src, kind))
-
-    out = frame
-    tmp: list[str] = []
-    for w, items in sorted(by_w.items()):
-        seg = f"_seg{w}"
-        out = out.withColumn(seg, F.floor((F.col(RN) - 1) / (w + 1)).cast("long"))
-        ordw = Window.partitionBy(BKEY).orderBy(seg, RN)
-        segw = Window.partitionBy(BKEY, seg).orderBy(RN)
-        run = segw.rowsBetween(Window.unboundedPreceding, 0)
-        whole = segw.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        desc = Window.partitionBy(BKEY, seg).orderBy(F.col(RN).desc()).rowsBetween(
-            Window.unboundedPreceding, 0)
-        srcs = sorted({src for _, src, _ in items})
-        need: dict[str, set[str]] = {}
-        for _, src, kind in items:
-            k = need.setdefault(src, set())
-            if kind in ("mean", "std"):
-                k.update({"n", "s"})
-            if kind == "std":
-                k.update({"q", "min", "max"})
-            if kind in ("min", "max"):
-                k.update({"n", kind})
-        # block-local shift keeps sums of squares well conditioned
-        shifts = {src: f"_c{w}_{src}" for src in srcs if need[src] & {"s", "q"}}
-        out = out.select("*", *[
-            F.avg(F.col(src)).over(Window.partitionBy(BKEY)).alias(c)
-            for src, c in shifts.items()])
-        parts: list[Column] = []
-        for src in srcs:
-            x = F.col(src)
-            xs = x - F.col(shifts[src]) if src in shifts else x
-            pieces = {"n": F.count(x)}
-            if "s" in need[src]:
-                pieces["s"] = F.sum(xs)
-            if "q" in need[src]:
-                pieces["q"] = F.sum(xs * xs)
-            for key, agg in pieces.items():
-                parts.append(agg.over(run).alias(f"_p{w}{key}_{src}"))
-                parts.append(agg.over(whole).alias(f"_t{w}{key}_{src}"))
-            if "min" in need[src]:
-                parts.append(F.min(x).over(run).alias(f"_p{w}lo_{src}"))
-                parts.append(F.min(x).over(desc).alias(f"_x{w}lo_{src}"))
-            if "max" in need[src]:
-                parts.append(F.max(x).over(run).alias(f"_p{w}hi_{src}"))
-                parts.append(F.max(x).over(desc).alias(f"_x{w}hi_{src}"))
-        out = out.select("*", *parts)
-        # suffix (this row to segment end) = total - prefix + own value
-        lagged: list[Column] = [F.lag(F.col(seg), w).over(ordw).alias(f"_ls{w}")]
-        for src in srcs:
-            own = {"n": F.when(F.col(src).isNotNull(), 1).otherwise(0)}
-            if src in shifts:
-                xs = F.coalesce(F.col(src) - F.col(shifts[src]), F.lit(0.0))
-                own["s"], own["q"] = xs, xs * xs
-            for key in ("n", "s", "q"):
-                if f"_p{w}{key}_{src}" in out.columns:
-                    suffix = (F.coalesce(F.col(f"_t{w}{key}_{src}"), F.lit(0))
-                              - F.coalesce(F.col(f"_p{w}{key}_{src}"), F.lit(0)) + own[key])
-                    lagged.append(F.lag(suffix, w).over(ordw).alias(f"_l{w}{key}_{src}"))
-            for key in ("lo", "hi"):
-                if f"_x{w}{key}_{src}" in out.columns:
-                    lagged.append(F.lag(F.col(f"_x{w}{key}_{src}"), w).over(ordw)
-                                  .alias(f"_l{w}{key}_{src}"))
-        out = out.select("*", *lagged)
-
-        same = F.col(f"_ls{w}").isNull() | (F.col(f"_ls{w}") == F.col(seg))
-
-        def add(key: str, src: str) -> Column:
-            p = F.coalesce(F.col(f"_p{w}{key}_{src}"), F.lit(0))
-            return F.when(same, p).otherwise(p + F.coalesce(F.col(f"_l{w}{key}_{src}"), F.lit(0)))
-
-        def ext(key: str, src: str, fn) -> Column:
-            p, lg = F.col(f"_p{w}{key}_{src}"), F.col(f"_l{w}{key}_{src}")
-            return F.when(same, p).otherwise(fn(p, lg))
-
-        final: list[Column] = []
-        for name, src, kind in items:
-            n = add("n", src)
-            if kind == "min":
-                final.append(F.when(n > 0, ext("lo", src, F.least)).alias(name))
-            elif kind == "max":
-                final.append(F.when(n > 0, ext("hi", src, F.greatest)).alias(name))
-            else:
-                s_ = add("s", src)
-                c = F.col(shifts[src])
-                if kind == "mean":
-                    final.append(F.when(n > 0, c + s_ / n).alias(name))
-                else:
-                    q = add("q", src)
-                    var = F.greatest((q - s_ * s_ / n) / (n - 1), F.lit(0.0))
-                    flat = ext("lo", src, F.least) == ext("hi", src, F.greatest)
-                    final.append(F.when(n > 1, F.when(flat, F.lit(0.0)).otherwise(F.sqrt(var))).alias(name))
-        helper = [c for c in out.columns if c.startswith(
-            (f"_p{w}", f"_t{w}", f"_x{w}", f"_l{w}", f"_c{w}_")) or c in (seg, f"_ls{w}")]
-        out = out.select(*[c for c in out.columns if c not in helper], *final)
-    return out
+    types = {name: frame.schema[src].dataType if kind in ("min", "max") else T.DoubleType()
+             for name, src, _, kind in specs}
+    made = [name for items in by_w.values() for name, _, _ in items]
+    schema = T.StructType([*frame.schema.fields, *[T.StructField(name, types[name]) for name in made]])
+
+    def with_frames(table: pa.Table) -> pa.Table:
+        table = table.sort_by(RN).combine_chunks()
+        for w, items in by_w.items():
+            srcs = sorted({src for _, src, _ in items})
+            found = _block_frames([table.column(c).combine_chunks() for c in srcs], w, {k for _, _, k in items})
+            for name, src, kind in items:
+                values = found[kind][srcs.index(src)]
+                if kind in ("min", "max"):
+                    values = values.cast(table.column(src).type)
+                table = table.append_column(name, values)
+        return table
+
+    return frame.groupBy(BKEY).applyInArrow(with_frames, schema)
