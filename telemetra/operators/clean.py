@@ -116,17 +116,26 @@ def drop_incomplete(df: DataFrame, sensors: Iterable[str]) -> DataFrame:
 
 
 def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step",
-                   strategy: str = "chunked", keep_sequence: bool = False) -> DataFrame:
+                   strategy: str = "chunked", keep_sequence: bool = False,
+                   carry: Iterable[str] | None = None) -> DataFrame:
     """C2-C5 chain: dedup, out-of-range to null, fill, drop incomplete rows.
 
     With ``keep_sequence`` the result keeps ``_rn``/``_cnt`` renumbered over
     the surviving rows, so a following windowed stage need not number again.
+    The result has the columns of ``df``; with ``carry`` given only those of
+    it beside asset, time and sensors, which spares the later shuffles.
     """
     sensors = list(profile.sensors)
+    kept = None if carry is None else [profile.asset, profile.ts, *sensors, *carry]
     if strategy == "direct":
-        return _clean_direct(df, profile, sensors, mode, keep_sequence)
+        x = _clean_direct(df, profile, sensors, mode, keep_sequence)
+        return x if kept is None else x.select(*kept, *([seq.RN, seq.CNT] if keep_sequence else []))
     x = nan_to_null(df, sensors)
     x = dedup_readings(x, profile)
+    if kept is not None:
+        x = x.select(*kept)
+    # one row per asset and time is left: the time alone orders them
+    profile = profile.with_(tiebreak=())
     x = null_out_of_range(x, profile.limits)
     x = fill_previous(x, profile, sensors, mode=mode, strategy=strategy, keep_sequence=True)
     x = drop_incomplete(x, sensors)

@@ -43,7 +43,7 @@ def _round_all(df, cols, d=4):
 
 def gold_kpis_frame(spark, sf_dir):
     readings = cat.lineitem_readings(spark, sf_dir)
-    clean = C.clean_readings(readings, LINEITEM, keep_sequence=True)
+    clean = C.clean_readings(readings, LINEITEM, keep_sequence=True, carry=())
     flagged = FT.zscore_flags(clean, LINEITEM, lookback=288)
     kpis = K.hourly_kpis(flagged, LINEITEM, grain="month", bucket_col="month_bucket")
     return K.with_health(kpis, **LINEITEM_HEALTH)
@@ -267,7 +267,7 @@ SELECT count(*) AS total_records, count(DISTINCT l_suppkey) AS assets,
 FROM silver""")
 def q_feature_report(spark, sf_dir):
     readings = cat.lineitem_readings(spark, sf_dir)
-    clean = C.clean_readings(readings, LINEITEM, keep_sequence=True)
+    clean = C.clean_readings(readings, LINEITEM, keep_sequence=True, carry=("l_returnflag",))
     flagged = FT.zscore_flags(clean, LINEITEM, lookback=288)
     labelled = C.with_fault_label(flagged, "l_returnflag = 'R'")
     rep = ST.feature_report(labelled, LINEITEM, label_col="is_faulty")
