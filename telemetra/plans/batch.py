@@ -102,7 +102,8 @@ def run_batch(spark: SparkSession, raw: DataFrame, alarms: DataFrame | None,
 
     def silver() -> None:
         clean = C.clean_readings(bronze_t.select(*columns), profile, keep_sequence=True)
-        sinks.write_overwrite(FT.silver_features(clean, profile), at["silver"], cluster_by=(profile.asset,))
+        # the feature pass deals rows by asset and block: an asset lies in few files without one more shuffle
+        sinks.write_overwrite(FT.silver_features(clean, profile), at["silver"])
 
     silver_t, more = flow.step("silver", silver, lambda: spark.read.parquet(at["silver"]),
                                lambda t: silver_gates(t, profile, gate_config), gates_path, stop_on_gate_failure)
