@@ -13,7 +13,7 @@ Distribution:
 * trees grow in parallel, one ``applyInPandas`` group per tree (a group
   holds at most ``max_samples`` rows);
 * the forest is a table of nodes (trees * 2^(h+1) rows at most, a fixed
-  bound), broadcast once and applied with a vectorised ``mapInPandas``.
+  bound), broadcast once and applied with a vectorised ``mapInArrow``.
 Exact equality with other implementations is not a goal (different random
 streams); rank agreement is.
 """
@@ -31,9 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemetra.operators.stats import exact_quantiles, value_running_counts
+from telemetra.session import written
 
 NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, left int, right int, "
                "size int")
+#: Rows that walk through all trees at once.
+SCORED_AT_ONCE = 256
 
 
 def baseline_anomaly_result(df: DataFrame, baselines: Mapping[str, tuple[float, float]],
@@ -82,27 +85,47 @@ class IForestModel:
     offset: float | None = None  # decision threshold on score_samples
 
     def arrays(self):
-        """Forest as dense arrays [tree, node] for vectorised traversal."""
+        """Forest as flat arrays over global node ids (tree * width + node).
+
+        A leaf is its own child on both sides, so a walk of ``steps`` steps ends
+        in every row's leaf; ``path`` is a leaf's depth plus c(size).
+        ``child`` holds a node's right child at 2 * id, its left one after it.
+        """
         t = self.nodes
         n_trees = int(t["tree_id"].max()) + 1
         width = int(t["node_id"].max()) + 1
-        feat = np.full((n_trees, width), -1, dtype=np.int64)
-        thr = np.zeros((n_trees, width))
-        left = np.zeros((n_trees, width), dtype=np.int64)
-        right = np.zeros((n_trees, width), dtype=np.int64)
-        size = np.zeros((n_trees, width))
-        ti, ni = t["tree_id"].to_numpy(), t["node_id"].to_numpy()
-        feat[ti, ni] = t["feature"].to_numpy()
-        thr[ti, ni] = t["threshold"].to_numpy()
-        left[ti, ni] = t["left"].to_numpy()
-        right[ti, ni] = t["right"].to_numpy()
-        size[ti, ni] = t["size"].to_numpy()
-        # path-length correction c(size) of every node, precomputed once
-        corr = np.vectorize(_c, otypes=[float])(size)
-        # flat layout: global node id = tree * width + node (1-D takes are fast)
-        off = (np.arange(n_trees) * width)[:, None]
-        return (feat.ravel(), thr.ravel(), (left + off).ravel(), (right + off).ravel(),
-                corr.ravel(), n_trees, width)
+        at = (t["tree_id"].to_numpy() * width + t["node_id"].to_numpy()).astype(np.int64)
+        inner = t["feature"].to_numpy() >= 0
+        feat = np.zeros(n_trees * width, dtype=np.int32)
+        thr = np.zeros(n_trees * width)
+        child = np.repeat(np.arange(n_trees * width, dtype=np.int32), 2)
+        corr = np.zeros(n_trees * width)
+        feat[at[inner]] = t["feature"].to_numpy()[inner]
+        thr[at] = t["threshold"].to_numpy()
+        first = (t["tree_id"].to_numpy() * width)[inner]
+        child[2 * at[inner]] = t["right"].to_numpy()[inner] + first
+        child[2 * at[inner] + 1] = t["left"].to_numpy()[inner] + first
+        corr[at] = [_c(float(n)) for n in t["size"]]  # path-length correction c(size) of every node
+        depth = np.zeros(n_trees * width)
+        level, steps = (np.arange(n_trees) * width).astype(np.int32), 0
+        while len(level := level[child[2 * level] != level]):
+            steps += 1
+            level = np.concatenate([child[2 * level], child[2 * level + 1]])
+            depth[level] = steps
+        return feat, thr, child, depth + corr, n_trees, width, steps
+
+
+def _mean_paths(x: np.ndarray, forest: tuple) -> np.ndarray:
+    """Mean path length over the trees of every row of ``x``."""
+    feat, thr, child, path, n_trees, width, steps = forest
+    n, n_feat = x.shape
+    flat = np.ascontiguousarray(x).ravel()
+    base = (np.arange(n, dtype=np.int32) * n_feat)[None, :]
+    # all trees at once: g[t, i] is row i's current (global) node in tree t
+    g = np.repeat((np.arange(n_trees, dtype=np.int32) * width)[:, None], n, axis=1)
+    for _ in range(steps):
+        g = child.take(2 * g + (flat.take(base + feat.take(g)) < thr.take(g)))
+    return path.take(g).mean(axis=0)
 
 
 def _grow(pdf: pd.DataFrame, n_feat: int, height: int, seed: int) -> pd.DataFrame:
@@ -213,7 +236,8 @@ def train_iforest(df: DataFrame, features: Sequence[str], n_trees: int = 200,
     forest = nodes.toPandas()
     model = IForestModel(features, means, stds, forest, psi)
     if contamination is not None:
-        scored = score_iforest(df, model, normalise=None)
+        # written once: the quantile reads the scores digit by digit
+        scored = written(score_iforest(df, model, normalise=None).select("score_samples"), "scores")
         q = exact_quantiles(scored, [], "score_samples", [contamination], few_groups=True).first()
         model.offset = float(q["q"])
     return model
@@ -240,35 +264,23 @@ def score_iforest(df: DataFrame, model: IForestModel, normalise: str | None = "t
     sc = df.sparkSession.sparkContext
     bc = sc.broadcast(model.arrays())
     cn = _c(model.max_samples)
-    out_schema = T.StructType(x.schema.fields + [T.StructField("score_samples", T.DoubleType())])
+    kept = [f for f in x.schema.fields if f.name not in fcols]
+    out_schema = T.StructType(kept + [T.StructField("score_samples", T.DoubleType())])
 
     def run(batches):
-        feat, thr, left, right, corr, n_trees, width = bc.value
-        roots = (np.arange(n_trees) * width)[:, None]
-        nf = len(fcols)
-        for pdf in batches:
-            X = pdf[fcols].to_numpy(dtype=float)
-            base = (np.arange(len(X)) * nf)[None, :]
-            flat = X.ravel()
-            # all trees at once: g[t, i] is row i's current (global) node in tree t
-            g = np.broadcast_to(roots, (n_trees, len(X))).copy()
-            depth = np.zeros((n_trees, len(X)))
-            while True:
-                f = feat.take(g)
-                active = f >= 0
-                if not active.any():
-                    break
-                value = flat.take(base + np.maximum(f, 0))
-                nxt = np.where(value < thr.take(g), left.take(g), right.take(g))
-                g = np.where(active, nxt, g)
-                depth += active
-            path = (depth + corr.take(g)).mean(axis=0)
-            s = np.power(2.0, -path / cn) if cn > 0 else np.full(len(X), 0.5)
-            pdf = pdf.copy()
-            pdf["score_samples"] = -s
-            yield pdf
-
-    scored = x.mapInPandas(run, out_schema).drop(*fcols)
+        import pyarrow as pa
+
+        forest = bc.value
+        for batch in batches:
+            x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in fcols])
+            # few rows at a time: the nodes of all trees stay in the processor's cache
+            paths = [_mean_paths(x[i:i + SCORED_AT_ONCE], forest) for i in range(0, len(x), SCORED_AT_ONCE)]
+            path = np.concatenate(paths) if paths else np.zeros(0)
+            s = np.power(2.0, -path / cn) if cn > 0 else np.full(len(x), 0.5)
+            yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in kept], pa.array(-s)],
+                                             names=[f.name for f in out_schema])
+
+    scored = x.mapInArrow(run, out_schema)
     offset = model.offset if model.offset is not None else -0.5
     scored = scored.withColumn("raw_score", F.col("score_samples") - F.lit(offset)) \
         .withColumn("is_anomaly", F.col("raw_score") < 0)
