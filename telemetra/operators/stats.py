@@ -12,7 +12,8 @@ its size and however its values are spread:
 * running counts add the offset of the high digits, of the middle digits
   inside them, and the running sum inside one combination of both.
 
-A window sees at most 2**(bits of a digit) rows.  There is one plan at every
+A window sees at most 2**(bits of a digit) rows, or the ``GROUP_SORTED``
+values of a small group, whose quantiles are read off one sort.  There is one plan at every
 size, and no job is started while a query is built.
 """
 
@@ -29,6 +30,8 @@ from telemetra.profile import SensorProfile
 
 #: Lowest bits cut off by the high and by the middle digits of a value.
 HIGH, MIDDLE = 42, 21
+#: Values of a group that one task orders.
+GROUP_SORTED = 100_000
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], id_cols: Sequence[str] = (),
@@ -55,11 +58,51 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     rows.  Ranks are found digit by digit (see the module): the first
     histogram has at most 2**22 rows per group, and the others are taken over
     the intervals that hold a wanted rank only.  ``few_groups`` says that the
-    groups are names of columns (a bounded set): the intervals are then
-    broadcast and no row is shuffled.
+    are names of columns (a bounded set): the intervals are then
+    broadcast and no row is shuffled.  Else only groups of more than
+    ``GROUP_SORTED`` values go that way; the others, which a task can order
+    one by one, are sorted once.
     """
     g = list(group_cols)
     x = df.filter(F.col(value_col).isNotNull()).select(*g, F.col(value_col).cast("double").alias("_v"))
+    if not g or few_groups:
+        return _quantiles_by_digits(x, g, probs, few_groups)
+    large = F.broadcast(x.groupBy(*g).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > GROUP_SORTED).drop("_c"))
+    ordered = _quantiles_by_sort(null_safe_join(x, large, g, "left_anti"), g, probs)
+    return ordered.unionByName(_quantiles_by_digits(null_safe_join(x, large, g, "left_semi"), g, probs, few_groups))
+
+
+def _ranks(probs: Sequence[float]) -> Column:
+    """Per quantile its position among ``_n`` values, and the one or two ranks (from 0) around it."""
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"))
+                       for p in probs])
+    return F.flatten(F.transform(wanted, lambda r: F.array_distinct(F.array(*[
+        F.struct(r["p"].alias("p"), r["pos"].alias("pos"), k(r["pos"]).cast("long").alias("k")) for k in (F.floor, F.ceil)]))))
+
+
+def _between() -> Column:
+    """Value at ``_pos`` between ``_lo`` and ``_hi``, those of the ranks around it."""
+    part = F.col("_pos") - F.floor("_pos")
+    return F.when((part == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(
+        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part)
+
+
+def _quantiles_by_sort(x: DataFrame, g: list[str], probs: Sequence[float]) -> DataFrame:
+    """Quantiles of groups that a task can order: one shuffle and one sort."""
+    whole = Window.partitionBy(*g)
+    placed = x.withColumn("_at", F.row_number().over(whole.orderBy("_v")) - 1) \
+        .withColumn("_n", F.count(F.lit(1)).over(whole.orderBy("_v").rowsBetween(
+            Window.unboundedPreceding, Window.unboundedFollowing)))
+    near = F.lit(False)  # most rows are next to no quantile
+    for p in probs:
+        near = near | (F.abs(F.lit(float(p)) * (F.col("_n") - 1) - F.col("_at")) < 1)
+    hits = placed.filter(near).withColumn("_r", F.explode(F.filter(_ranks(probs), lambda r: r["k"] == F.col("_at"))))
+    return hits.groupBy(*g, F.col("_r.p").alias("p"), F.col("_r.pos").alias("_pos")).agg(
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).select(*g, "p", _between().alias("q"))
+
+
+def _quantiles_by_digits(x: DataFrame, g: list[str], probs: Sequence[float], few_groups: bool) -> DataFrame:
+    """Quantiles of groups of any size, by histograms of the digits."""
     x = _digits(x, "_v", ["_k1"])
 
     def placed(hist: DataFrame, inside: list[str], by: str) -> DataFrame:
@@ -71,12 +114,8 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     whole = Window.partitionBy(*g)
     first = placed(x.groupBy(*g, "_k1").agg(F.count(F.lit(1)).alias("_c")), g, "_k1") \
         .withColumn("_n", F.sum("_c").over(whole))
-    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("_n") - 1)).alias("pos"))
-                       for p in probs])
-    ranks = F.flatten(F.transform(wanted, lambda r: F.array_distinct(F.array(*[
-        F.struct(r["p"].alias("p"), r["pos"].alias("pos"), k(r["pos"]).cast("long").alias("k")) for k in (F.floor, F.ceil)]))))
     hits = first.withColumn("_r", F.explode(F.filter(
-        ranks, lambda r: (r["k"] >= F.col("_start")) & (r["k"] < F.col("_end"))))) \
+        _ranks(probs), lambda r: (r["k"] >= F.col("_start")) & (r["k"] < F.col("_end"))))) \
         .select(*g, "_k1", F.col("_r.p").alias("p"), F.col("_r.pos").alias("_pos"),
                 (F.col("_r.k") - F.col("_start")).alias("_k"))
     for above, digit in (("_k1", "_k2"), ("_k2", "_k3")):
@@ -89,9 +128,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
             .select(*g, digit, "p", "_pos", (F.col("_k") - F.col("_start")).alias("_k"), "_v")
     # a whole position has one rank, another one the two around it
     found = hits.groupBy(*g, "p", "_pos").agg(F.min("_k3").alias("_k3"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    part = F.col("_pos") - F.floor("_pos")
-    return found.select(*g, "p", F.when((part == 0) | (F.col("_lo") == F.col("_hi")), F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * part).alias("q"))
+    return found.select(*g, "p", _between().alias("q"))
 
 
 def value_running_counts(df: DataFrame, group_cols: Sequence[str], value_col: str,
