@@ -63,9 +63,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the digest of their decoding."""
+    """Token ids of every document, and the digest of their decoding.
+
+    The ids are written before they are decoded: in one plan, a task holds a
+    worker for each of the two at a time.
+    """
     codec = tokenizer(spark)
-    return codec.decode(codec.encode(docs)).select(
+    return codec.decode(stored(codec.encode(docs), "pipeline-ids")).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

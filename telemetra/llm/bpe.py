@@ -25,6 +25,9 @@ from pyspark.sql import DataFrame
 
 from telemetra.llm.common import Remembered, forget_others, forgetting
 
+#: Token ids that a task passes on in one batch, unless a single text has more.
+BATCH_IDS = 500_000
+
 
 def read_ranks(path: str) -> list[bytes]:
     """Token bytes by rank from a file of ``base64 rank`` lines; ranks are 0 .. n-1."""
@@ -185,6 +188,45 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
+def encoded_batches(own: Codec, batch):
+    """Batches ``id, ids`` of a batch ``id, text``, of ``BATCH_IDS`` ids at most or of one text."""
+    import pyarrow as pa
+
+    def passed_on(first, ids):
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        return pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(ids)), lists], ["id", "ids"])
+
+    first, ids, held = 0, [], 0
+    for row, text in enumerate(batch.column(1)):
+        packed = own.encode_packed(text.as_py())
+        if ids and held + len(packed) > 4 * BATCH_IDS:
+            yield passed_on(first, ids)
+            first, ids, held = row, [], 0
+        ids.append(packed)
+        held += len(packed)
+    if ids:
+        yield passed_on(first, ids)
+
+
+def decoded_batches(own: Codec, batch):
+    """Batches ``id, ids, decoded`` of a batch ``id, ids``, of ``BATCH_IDS`` ids at most or of one row."""
+    import pyarrow as pa
+
+    lists = batch.column(1)
+    values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    valid = lists.is_valid().to_pylist()
+    first = 0
+    while first < len(valid):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + BATCH_IDS, "right")) - 1)
+        out = [own.decode(values[a:b].tolist() if ok else ())
+               for a, b, ok in zip(ends[first:last], ends[first + 1:last + 1], valid[first:last])]
+        rows = batch.slice(first, last - first)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(0), rows.column(1), pa.array(out, pa.binary())], ["id", "ids", "decoded"])
+        first = last
+
+
 _codecs: dict[str, Codec] = {}
 
 
@@ -215,21 +257,13 @@ class Tokenizer:
         separate rows; an empty table gives an empty result; other columns are
         not read.
         """
-        import pyarrow as pa
-
         codec = self._codec()
         kind = dict(docs.dtypes)[id_col]
 
         def run(batches):
             own = codec()
             for batch in batches:
-                ids, ends = [], [0]
-                for text in batch.column(1):
-                    ids.append(own.encode_packed(text.as_py()))
-                    ends.append(ends[-1] + len(ids[-1]) // 4)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "ids"])
+                yield from encoded_batches(own, batch)
 
         return docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")) \
             .mapInArrow(forgetting(run), f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
@@ -239,20 +273,13 @@ class Tokenizer:
 
         A null array gives empty bytes; an id outside the vocabulary raises.
         """
-        import pyarrow as pa
-
         codec = self._codec()
         kind = dict(encoded.dtypes)[id_col]
 
         def run(batches):
             own = codec()
             for batch in batches:
-                lists = batch.column(1)
-                ids, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-                valid = lists.is_valid().to_pylist()
-                out = [own.decode(ids[a:b].tolist() if ok else ()) for a, b, ok in zip(ends, ends[1:], valid)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["id", "ids", "decoded"])
+                yield from decoded_batches(own, batch)
 
         return encoded.select(encoded[id_col].alias("id"), encoded[ids_col].alias("ids")) \
             .mapInArrow(forgetting(run), f"id {kind}, ids array<int>, decoded binary") \

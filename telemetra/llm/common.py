@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import tempfile
 import uuid
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 BLANK = r"\x20\x09-\x0D"
 #: Ids up to which a filter on documents is broadcast (8 bytes each).
 BROADCAST_IDS = 2_000_000
+#: Rows of a batch of texts that a task works on, and passes on, at a time.
+SLICE_ROWS = 500
 #: A worker remembers the last 240,000 to 480,000 distinct strings of a function, unless told otherwise.
 REMEMBERED = 240_000
 
@@ -104,11 +107,18 @@ def bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def slices(batches):
+    """The rows of ``batches``, a few at a time: what is made of a whole batch of texts takes several times its room."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(first, SLICE_ROWS)
+
+
 _remembering: list["Remembered"] = []
 
 
 def forget_others(*kept: "Remembered") -> None:
-    """Workers outlive a stage: drop what earlier stages remembered there, and Arrow's unused memory."""
+    """Workers outlive a stage: drop what earlier stages remembered there, and give back unused memory."""
     import pyarrow as pa
 
     for memory in _remembering:
@@ -116,6 +126,9 @@ def forget_others(*kept: "Remembered") -> None:
             memory.clear()
             memory.older = {}
     pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc: freed arrays stay with the process else
+    if give_back:
+        give_back(0)
 
 
 def forgetting(run):

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetra.llm.common import BROADCAST_IDS, Remembered, forget_others, forgetting, stored, without
+from telemetra.llm.common import BROADCAST_IDS, Remembered, forget_others, forgetting, slices, stored, without
 from telemetra.llm.components import components
 
 WORDS = 5
@@ -170,7 +170,7 @@ def _index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def prefixes(batches):
         forget_others(_word_hash)
-        for batch in batches:
+        for batch in slices(batches):
             tokens, doc, n, pos = [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 s = shingles(text.as_py())
@@ -300,7 +300,7 @@ def row_components(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_c
 
     def summaries(batches):
         forget_others(_word_hash)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, digests = [], []
             for text in batch.column(2):
                 s = shingles(text.as_py())

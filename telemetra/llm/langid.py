@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from telemetra.llm.common import forget_others, forgetting
+from telemetra.llm.common import forget_others, forgetting, slices
 
 BUCKETS = 1 << 15
 #: Rows drawn per row of the bound, before the bound is applied.
@@ -251,7 +251,7 @@ def predict_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
     def run(batches):
         forget_others()
         own = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).field(text_col)
             got = [own.predict(text.as_py()) for text in texts]
             yield pa.RecordBatch.from_arrays(
