@@ -2,8 +2,9 @@
 
 Vectors become integers; the score of two rows is their exact integer inner
 product.  Rows and anchors are packed into blocks, every block of anchors meets
-every block of rows once (blocks are dealt over salts, so that a meeting is an
-ordinary equi-join and its tasks stay small), and a task multiplies the two
+every block of rows once (blocks of rows are dealt over salts and the anchors
+copied to each, so that a meeting is an ordinary equi-join and its tasks stay
+small; the copies are shuffled, never broadcast), and a task multiplies the two
 matrices modulo several primes below 256 in float32: residues are at most 125
 in size, so sums over ``DEPTH`` components stay below 2**24 and are exact.
 Centred mixed-radix digits (Chinese remaindering) give the signed score back;
@@ -25,6 +26,8 @@ from telemetra.llm.common import stored
 
 #: Rows and anchors of a block.
 ROWS, ANCHORS = 4096, 512
+#: Blocks of rows are dealt over so many salts, and over more where a salt would hold over ``SALT_BLOCKS``.
+SALTS, SALT_BLOCKS = 64, 8
 #: Components whose products are summed in float32 before they are reduced.
 DEPTH = 1024
 #: Scores must stay below this, so that 100 times a score fits in a long.
@@ -144,7 +147,7 @@ def _met(anchors: DataFrame, blocks: DataFrame, n_blocks: int, kind: str, primes
     """``pick(scores, anchors, rows)`` of every block of anchors with every block of rows."""
     import pyarrow as pa
 
-    salts = max(n_blocks, 1)
+    salts = max(min(n_blocks, SALTS), -(-n_blocks // SALT_BLOCKS), 1)
     left = anchors.select(F.struct(*anchors.columns).alias("a"),
                           F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     right = blocks.select(F.struct(*blocks.columns).alias("b"),
@@ -164,7 +167,8 @@ def _met(anchors: DataFrame, blocks: DataFrame, n_blocks: int, kind: str, primes
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in out],
                                                      [c.split()[0] for c in columns.split(", ")])
 
-    return left.join(right, "salt").select("a", "b").mapInArrow(meet, columns)
+    # a broadcast would collect the anchors' copies of all salts on the driver: the stored size does not count them
+    return left.join(right.hint("merge"), "salt").select("a", "b").mapInArrow(meet, columns)
 
 
 def hard_negatives(df: DataFrame, id_col: str, vector_col: str, label: Column, anchor: Column,
