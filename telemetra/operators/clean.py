@@ -117,11 +117,13 @@ def drop_incomplete(df: DataFrame, sensors: Iterable[str]) -> DataFrame:
 
 def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step",
                    strategy: str = "chunked", keep_sequence: bool = False,
-                   carry: Iterable[str] | None = None) -> DataFrame:
+                   carry: Iterable[str] | None = None, with_count: bool = True) -> DataFrame:
     """C2-C5 chain: dedup, out-of-range to null, fill, drop incomplete rows.
 
     With ``keep_sequence`` the result keeps ``_rn``/``_cnt`` renumbered over
-    the surviving rows, so a following windowed stage need not number again.
+    the surviving rows, so a following windowed stage need not number again;
+    without ``with_count`` it has ``_rn`` only, which spares a shuffle of a
+    table with many assets.
     The result has the columns of ``df``; with ``carry`` given only those of
     it beside asset, time and sensors, which spares the later shuffles.
     """
@@ -129,7 +131,9 @@ def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step"
     kept = None if carry is None else [profile.asset, profile.ts, *sensors, *carry]
     if strategy == "direct":
         x = _clean_direct(df, profile, sensors, mode, keep_sequence)
-        return x if kept is None else x.select(*kept, *([seq.RN, seq.CNT] if keep_sequence else []))
+        if keep_sequence and not with_count:
+            x = x.drop(seq.CNT)
+        return x if kept is None else x.select(*kept, *[c for c in (seq.RN, seq.CNT) if c in x.columns])
     x = nan_to_null(df, sensors)
     x = dedup_readings(x, profile)
     if kept is not None:
@@ -140,7 +144,7 @@ def clean_readings(df: DataFrame, profile: SensorProfile, mode: str = "one_step"
     x = fill_previous(x, profile, sensors, mode=mode, strategy=strategy, keep_sequence=True)
     x = drop_incomplete(x, sensors)
     if keep_sequence:
-        return seq.renumber(x, profile, strategy=strategy)
+        return seq.renumber(x, profile, strategy=strategy, with_count=with_count)
     return x.drop(seq.RN, seq.CNT, seq.BLK, seq.BKEY)
 
 

@@ -127,19 +127,22 @@ def ordered_positions(df: DataFrame, order: list[str], group: str | None = None)
         .drop("_part", "_place", "_first", "_skip")
 
 
-def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -> DataFrame:
-    """Recompute ``_rn``/``_cnt`` after rows were filtered out.
+def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked", with_count: bool = True) -> DataFrame:
+    """Recompute ``_rn``/``_cnt`` after rows were filtered out; ``_cnt`` only with ``with_count``.
 
     Input must carry ``_rn`` and ``_blk`` (no halo rows).  The local position
     inside each block plus the running count of earlier blocks gives the new
     position; only a per-block count table is aggregated.  The rows are
     written once: counting them must not run all that led to them again.
+    Without ``_cnt`` they are not shuffled for it: only blocks after an
+    asset's first have rows before them (one block in ``block_rows`` rows at
+    most), and these few are broadcast.
     """
     a = profile.asset
     if strategy == "direct":
         w = Window.partitionBy(a)
-        return df.drop(CNT).withColumn(RN, F.row_number().over(w.orderBy(RN)).cast("long")) \
-            .withColumn(CNT, F.count(F.lit(1)).over(w)).drop(BLK, BKEY)
+        out = df.drop(CNT).withColumn(RN, F.row_number().over(w.orderBy(RN)).cast("long"))
+        return (out.withColumn(CNT, F.count(F.lit(1)).over(w)) if with_count else out).drop(BLK, BKEY)
     local = written(df.withColumn(_LRN, F.row_number().over(Window.partitionBy(BKEY).orderBy(RN))).drop(RN, CNT),
                     "numbered")
     counts = local.groupBy(BKEY).agg(F.count(F.lit(1)).alias(_CC))
@@ -148,9 +151,12 @@ def renumber(df: DataFrame, profile: SensorProfile, strategy: str = "chunked") -
         BKEY,
         F.coalesce(F.sum(_CC).over(per_asset.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_OFF),
-        F.sum(_CC).over(Window.partitionBy(f"{BKEY}.a")).alias(CNT),
+        *([F.sum(_CC).over(Window.partitionBy(f"{BKEY}.a")).alias(CNT)] if with_count else []),
     )
-    out = local.join(offsets, BKEY)
+    if with_count:
+        out = local.join(offsets, BKEY)
+    else:
+        out = local.join(F.broadcast(offsets.filter(f"{BKEY}.b > 0")), BKEY, "left").fillna(0, [_OFF])
     return out.withColumn(RN, (F.col(_OFF) + F.col(_LRN)).cast("long")).drop(
         _LRN, _OFF, BLK, BKEY)
 

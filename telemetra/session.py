@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,5 +63,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared checkpoint folder, and read back."""
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    for paths in _steps[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Tables that :func:`written` has made in the steps that are running, innermost last; see :func:`step_files`.
+_steps: list[list[str]] = []
+
+
+@contextmanager
+def step_files(spark: SparkSession):
+    """A step whose result is in its own files at the end: what it left on disk besides is deleted.
+
+    Shuffle files go with the execution that made them (else they stay until
+    the driver happens to collect its garbage), tables of :func:`written` with
+    the step.  Frames that were made inside must not be read later.
+    """
+    before, paths = spark.conf.get(_FREE, None), []
+    spark.conf.set(_FREE, "true")
+    _steps.append(paths)
+    try:
+        yield
+    finally:
+        _steps.pop()
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
